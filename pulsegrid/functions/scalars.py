@@ -22,6 +22,14 @@ def to_number(c: ColumnOrName) -> Column:
     return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
 
 
+def np_round(c: ColumnOrName, places: int = 0) -> Column:
+    """Round like pandas/numpy `round`: scale in double arithmetic, round half
+    to even (`rint`), scale back. Spark's `bround` rounds the shortest decimal
+    text instead and disagrees on values such as 135.705."""
+    k = float(10 ** places)
+    return F.rint(_c(c) * k) / k if places else F.rint(_c(c))
+
+
 def valid_reading(c: ColumnOrName) -> Column:
     """A reading the rule engine acts on: present, a number, and not 0.
 

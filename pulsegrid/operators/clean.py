@@ -150,24 +150,27 @@ def clean_movement(df: DataFrame) -> DataFrame:
 
 
 # --- device event shaping ------------------------------------------------------------
-def vitals_event(df: DataFrame, patient_col: str = "User ID") -> DataFrame:
-    """Smartwatch dataset row -> vitals event (P13): integer readings are
-    truncated, sleep stays fractional, nulls are kept."""
+def vitals_event(df: DataFrame, timestamp=None) -> DataFrame:
+    """Clean smartwatch row -> vitals event (P13): readings truncated to
+    integers, sleep kept fractional, nulls kept; the event time is the send
+    time (now) unless a column is given."""
     def num(c):
-        return to_number(F.col(f"`{c}`"))
+        return to_number(F.col(c))
 
     def as_int(c):
-        return F.when(num(c).isNotNull(), num(c).cast("long")).cast("double")
+        return num(c).cast("long").cast("double")
 
+    ts = timestamp if timestamp is not None else F.unix_micros(F.current_timestamp()) / 1e6
     return df.select(
-        num(patient_col).cast("long").cast("string").alias("patient_id"),
+        num("user_id").cast("long").cast("string").alias("patient_id"),
         F.lit(S.VITALS_DEVICE).alias("device_type"),
-        as_int("Heart Rate (BPM)").alias("heart_rate"),
-        as_int("Blood Oxygen Level (%)").alias("spo2"),
-        as_int("Step Count").alias("step_count"),
-        num("Sleep Duration (hours)").alias("sleep_duration"),
-        F.col("`Activity Level`").alias("activity_level"),
-        as_int("Stress Level").alias("stress_level"),
+        ts.cast("double").alias("timestamp"),
+        as_int("heart_rate").alias("heart_rate"),
+        as_int("spo2").alias("spo2"),
+        as_int("step_count").alias("step_count"),
+        num("sleep_duration").alias("sleep_duration"),
+        F.col("activity_level"),
+        as_int("stress_level").alias("stress_level"),
     )
 
 

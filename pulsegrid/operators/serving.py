@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.scalars import (
-    fmt_clock, fmt_minute, is_fall, kpi_falls_class, kpi_mews_class, radar_norms,
+    fmt_clock, fmt_minute, is_fall, kpi_falls_class, kpi_mews_class, np_round, radar_norms,
 )
 
 DEFAULT_MEWS_MIN = 2
@@ -128,7 +128,7 @@ def fall_summary(m: DataFrame) -> DataFrame:
         F.max("peak_impact").alias("peak_impact"),
         F.count("avg_activity").alias("windows"),
     )
-    return s.withColumn("fall_rate", F.bround(F.col("fall_windows") / F.col("windows") * 100, 1))
+    return s.withColumn("fall_rate", np_round(F.col("fall_windows") / F.col("windows") * 100, 1))
 
 
 def movement_summary(m: DataFrame, detailed: bool = True) -> DataFrame:
@@ -163,12 +163,12 @@ def patient_profile(v: DataFrame, m: DataFrame) -> DataFrame:
 
 def side_by_side(v: DataFrame, m: DataFrame, mews_min: int = DEFAULT_MEWS_MIN) -> DataFrame:
     """Comparison table (J02): 9 vitals metrics left-joined to 4 movement
-    metrics, missing -> 0, fractional figures rounded half-even to 2 places."""
+    metrics, missing -> 0, fractional figures rounded to 2 places as pandas does."""
     s = vitals_summary(v, mews_min, windows_name="vitals_windows").join(
         movement_summary(m, detailed=True), "patient_id", "left")
     s = s.fillna(0, subset=["movement_windows", "avg_activity", "peak_impact", "total_falls"])
     frac = ["avg_hr", "min_hr", "max_hr", "avg_spo2", "min_spo2", "avg_mews", "avg_activity", "peak_impact"]
-    return s.withColumns({c: F.bround(F.col(c), 2) for c in frac})
+    return s.withColumns({c: np_round(F.col(c), 2) for c in frac})
 
 
 # --- distributions ----------------------------------------------------------------

@@ -233,7 +233,7 @@ def q_vsum(spark, d):
 SELECT patient_id, CAST(sum(fall_events_detected) AS BIGINT) AS total_falls,
   count(CASE WHEN fall_events_detected > 0 THEN 1 END) AS fall_windows, round(avg(avg_activity), 6) AS avg_activity,
   max(peak_impact) AS peak_impact, count(avg_activity) AS windows,
-  round_even(count(CASE WHEN fall_events_detected > 0 THEN 1 END) / count(avg_activity) * 100, 1) AS fall_rate
+  round_even(count(CASE WHEN fall_events_detected > 0 THEN 1 END) / count(avg_activity) * 100 * 10, 0) / 10 AS fall_rate
 FROM fx_gold_m GROUP BY patient_id""")
 def q_fsum(spark, d):
     _, gm = gold(spark, d)
@@ -270,9 +270,9 @@ def q_profile(spark, d):
 @register("j02_side_by_side", W() + """
 SELECT v.*, coalesce(m.movement_windows, 0) AS movement_windows, coalesce(m.avg_activity, 0) AS avg_activity,
   coalesce(m.peak_impact, 0) AS peak_impact, coalesce(m.total_falls, 0) AS total_falls
-FROM (""" + _A09.format(w="vitals_windows", r="round_even(", r2=", 2)", b="round_even(", b2=", 2)") + """) v
-LEFT JOIN (SELECT patient_id, count(avg_activity) AS movement_windows, round_even(avg(avg_activity), 2) AS avg_activity,
-             round_even(max(peak_impact), 2) AS peak_impact, CAST(sum(fall_events_detected) AS BIGINT) AS total_falls
+FROM (""" + _A09.format(w="vitals_windows", r="round_even(100 * ", r2=", 0) / 100", b="round_even(100 * ", b2=", 0) / 100") + """) v
+LEFT JOIN (SELECT patient_id, count(avg_activity) AS movement_windows, round_even(avg(avg_activity) * 100, 0) / 100 AS avg_activity,
+             round_even(max(peak_impact) * 100, 0) / 100 AS peak_impact, CAST(sum(fall_events_detected) AS BIGINT) AS total_falls
            FROM fx_gold_m GROUP BY patient_id) m ON v.patient_id = m.patient_id""")
 def q_side(spark, d):
     gv, gm = gold(spark, d)
