@@ -1 +1,245 @@
-"""Storage queries (write to the shared folder, read back)."""
+"""Registered storage queries: each writes the fixture-derived data to a fresh
+folder under the shared checkpoint dir, runs the real job/reader, and reads
+the result back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulsegrid.functions.scalars import event_time, utc_wall
+from pulsegrid.operators import datasets as DS
+from pulsegrid.operators import serving as SV
+from pulsegrid.operators.clean import route
+from pulsegrid.plans.catalog import W, register
+from pulsegrid.plans.catalog_data import _WATCH
+from pulsegrid.plans.etl import run_etl
+from pulsegrid.plans.fixtures import fx_events, fx_sensor, fx_watch
+from pulsegrid.plans.layers import r6, wall
+from pulsegrid.session import scratch_path
+from pulsegrid.sinks.files import export_csv, land_batch, rename_suffix
+from pulsegrid.sources.files import (
+    available_dates, read_landing, read_landing_partitions, read_layer, read_smartwatch_csv,
+)
+from pulsegrid.sources.sensor import read_sensor_raw
+
+_PAYLOAD = ["patient_id", "device_type", "timestamp", "heart_rate", "spo2", "stress_level",
+            "sensor_type", "activity_code", "activity_name", "x", "y", "z"]
+
+
+def write_landing(spark: SparkSession, d: str, bad_every: int = 0) -> str:
+    """Fixture events as landing JSON-Lines: even events wrapped in a Kafka
+    envelope (ms timestamp clashing with the payload's), odd ones bare; with
+    ``bad_every`` every n-th line is cut short (malformed)."""
+    ev = fx_events(spark, d)
+    payload = F.struct(*[F.col(c) for c in _PAYLOAD])
+    env = F.to_json(F.struct(F.col("event_id").alias("offset"), (F.col("event_id") % 4).cast("int").alias("partition"),
+                             (F.col("timestamp") * 1000).cast("long").alias("timestamp"),
+                             F.col("patient_id").alias("key"), payload.alias("value")))
+    line = F.when(F.col("event_id") % 2 == 0, env).otherwise(F.to_json(payload))
+    if bad_every:
+        line = F.when(F.col("event_id") % bad_every == 0,
+                      F.concat(F.lit('{"patient_id": "'), F.col("patient_id"), F.lit('", "heart_rate": '))).otherwise(line)
+    root = scratch_path(spark, "landing")
+    ev.select(line.alias("value")).write.text(root)
+    rename_suffix(spark, root, ".txt", ".jsonl")
+    return root
+
+
+def event_date(ts_col: str = "timestamp"):
+    return F.date_format(utc_wall(event_time(ts_col)), "yyyy-MM-dd")
+
+
+def etl_base(spark: SparkSession, d: str, **kw) -> tuple[str, object]:
+    landing = write_landing(spark, d)
+    base = scratch_path(spark, "lake")
+    res = run_etl(spark, landing, base, batch_date=event_date(), **kw)
+    return base, res
+
+
+_LANDED = """SELECT patient_id, device_type, epoch_s AS timestamp,
+  CASE WHEN device_type <> 'imu_sensor' THEN heart_rate END AS heart_rate,
+  CASE WHEN device_type <> 'imu_sensor' THEN spo2 END AS spo2,
+  CASE WHEN device_type <> 'vital_monitor' THEN x END AS x,
+  CASE WHEN device_type <> 'vital_monitor' THEN activity_code END AS activity_code,
+  CASE WHEN event_id % 2 = 0 THEN event_id END AS "offset",
+  CASE WHEN event_id % 2 = 0 THEN patient_id END AS key
+FROM fx_raw"""
+
+
+@register("s01_landing_scan", W() + _LANDED)
+def q_landing(spark, d):
+    df = read_landing(spark, write_landing(spark, d))
+    return df.select("patient_id", "device_type", "timestamp", "heart_rate", "spo2", "x", "activity_code",
+                     "offset", "key")
+
+
+@register("s02_landing_quarantine", W() + """
+SELECT CASE WHEN event_id % 50 = 0 THEN 'bad' ELSE 'good' END AS status, count(*) AS n_rows FROM fx_raw GROUP BY 1""")
+def q_quarantine(spark, d):
+    good, bad = read_landing(spark, write_landing(spark, d, bad_every=50), quarantine=True)
+    g = good.agg(F.lit("good").alias("status"), F.count(F.lit(1)).alias("n_rows"))
+    b = bad.agg(F.lit("bad").alias("status"), F.count("raw_line").alias("n_rows"))
+    return g.unionByName(b)
+
+
+@register("s05_read_layer_silver", W() + """
+SELECT patient_id, epoch_s AS timestamp, heart_rate, spo2, strftime(event_timestamp, '%Y-%m-%d') AS etl_batch_date
+FROM fx_silver_v""")
+def q_read_layer(spark, d):
+    base, _ = etl_base(spark, d)
+    return read_layer(spark, base, "silver", "vitals").select("patient_id", "timestamp", "heart_rate", "spo2",
+                                                               "etl_batch_date")
+
+
+_GOLD_V_DATED = """SELECT *, strftime(window_start, '%Y-%m-%d') AS etl_batch_date FROM fx_gold_v"""
+
+
+@register("k02_gold_rerun_idempotent", W() + _GOLD_V_DATED)
+def q_rerun(spark, d):
+    landing = write_landing(spark, d)
+    base = scratch_path(spark, "lake")
+    for _ in range(2):  # the same batch twice: partitions are replaced, not appended
+        run_etl(spark, landing, base, batch_date=event_date(), bronze_mode="overwrite")
+    g = read_layer(spark, base, "gold", "vitals")
+    return wall(g, "window_start", "window_end")
+
+
+@register("s06_read_batch_date", W() + f"SELECT * FROM ({_GOLD_V_DATED}) g WHERE etl_batch_date = '2024-01-02'")
+def q_batch_date(spark, d):
+    base, _ = etl_base(spark, d)
+    return wall(read_layer(spark, base, "gold", "vitals", batch_date="2024-01-02"), "window_start", "window_end")
+
+
+@register("s06_missing_batch_date", W() + f"SELECT * FROM ({_GOLD_V_DATED}) g WHERE etl_batch_date = '1999-01-01'")
+def q_missing_date(spark, d):
+    base, _ = etl_base(spark, d)
+    return wall(read_layer(spark, base, "gold", "vitals", batch_date="1999-01-01"), "window_start", "window_end")
+
+
+@register("s07_available_dates", W() + """
+SELECT DISTINCT strftime(window_start, '%Y-%m-%d') AS etl_batch_date FROM fx_gold_m ORDER BY 1 DESC""")
+def q_dates(spark, d):
+    base, _ = etl_base(spark, d)
+    return available_dates(spark, base, "gold", "movement")
+
+
+_LAYER_COUNTS = """SELECT 'bronze' AS layer, 'vitals' AS data_type, count(*) AS record_count FROM fx_raw WHERE device_type = 'vital_monitor'
+UNION ALL SELECT 'bronze', 'movement', count(*) FROM fx_raw WHERE device_type = 'imu_sensor'
+UNION ALL SELECT 'silver', 'vitals', count(*) FROM fx_silver_v
+UNION ALL SELECT 'silver', 'movement', count(*) FROM fx_silver_m
+UNION ALL SELECT 'gold', 'vitals', count(*) FROM fx_gold_v
+UNION ALL SELECT 'gold', 'movement', count(*) FROM fx_gold_m"""
+
+
+@register("k09_run_log", W() + _LAYER_COUNTS)
+def q_run_log(spark, d):
+    base, _ = etl_base(spark, d)
+    return spark.read.parquet(f"{base}/_run_log").select("layer", "data_type", "record_count")
+
+
+@register("a28_layer_counts", W() + _LAYER_COUNTS)
+def q_layer_counts(spark, d):
+    base, _ = etl_base(spark, d, run_log=False)
+    parts = [read_layer(spark, base, layer, ent).agg(F.lit(layer).alias("layer"), F.lit(ent).alias("data_type"),
+                                                     F.count(F.lit(1)).alias("record_count"))
+             for layer in ("bronze", "silver", "gold") for ent in ("vitals", "movement")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("st05_min_record_threshold", W() + """
+SELECT 'vitals' AS data_type, (SELECT count(*) FROM fx_silver_v) >= 4000 AS written,
+  CASE WHEN (SELECT count(*) FROM fx_silver_v) >= 4000 THEN (SELECT count(*) FROM fx_silver_v) ELSE 0 END AS silver_rows
+UNION ALL
+SELECT 'movement', (SELECT count(*) FROM fx_silver_m) >= 4000,
+  CASE WHEN (SELECT count(*) FROM fx_silver_m) >= 4000 THEN (SELECT count(*) FROM fx_silver_m) ELSE 0 END""")
+def q_threshold(spark, d):
+    base, res = etl_base(spark, d, min_records=4000)
+    parts = []
+    for ent in ("vitals", "movement"):
+        t = read_layer(spark, base, "silver", ent)
+        written = ("silver", ent) not in res.skipped
+        parts.append(t.agg(F.lit(ent).alias("data_type"), F.lit(written).alias("written"),
+                           F.count(F.lit(1)).alias("silver_rows")))
+    return parts[0].unionByName(parts[1])
+
+
+@register("k07_csv_roundtrip_clean", W(_WATCH) + "SELECT * FROM w_clean")
+def q_csv_clean(spark, d):
+    path = scratch_path(spark, "smartwatch_csv")
+    export_csv(DS.to_dataset_names(fx_watch(spark, d)), path)
+    return DS.clean_smartwatch(read_smartwatch_csv(spark, path))
+
+
+@register("s08_smartwatch_csv_raw", W() + "SELECT * FROM fx_watch")
+def q_csv_raw(spark, d):
+    path = scratch_path(spark, "smartwatch_csv")
+    export_csv(DS.to_dataset_names(fx_watch(spark, d)), path)
+    return DS.to_canonical(read_smartwatch_csv(spark, path))
+
+
+@register("s11_a27_partitioned_landing_avg_hr", W() + """
+SELECT patient_id, avg(heart_rate) AS avg_hr FROM fx_raw
+WHERE device_type = 'vital_monitor' AND strftime(make_timestamp(CAST(epoch_s * 1000000 AS BIGINT)), '%Y-%m-%d') = '2024-01-02'
+GROUP BY patient_id""")
+def q_partitioned(spark, d):
+    v, _, _ = route(fx_events(spark, d))
+    base = scratch_path(spark, "landing_tree")
+    land_batch(v.drop("event_id"), base, "vitals", time_col=utc_wall(event_time("timestamp")))
+    df = read_landing_partitions(spark, f"{base}/vitals")
+    date = (F.col("year") == "2024") & (F.col("month") == "01") & (F.col("day") == "02")
+    return SV.avg_hr_by_patient(df, date)
+
+
+def _sensor_files(spark: SparkSession, d: str) -> str:
+    """Sensor lines as files `data_<n>_<sensor>_<device>.txt` in one folder per device/sensor."""
+    root = scratch_path(spark, "sensor_raw")
+    fx_sensor(spark, d).write.partitionBy("device_type", "sensor_type").text(root)
+    jvm = spark.sparkContext._jvm
+    rp = jvm.org.apache.hadoop.fs.Path(root)
+    fs = rp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(rp, True)
+    n = 0
+    while it.hasNext():
+        p = it.next().getPath()
+        if p.getName().startswith("part-"):
+            sensor = p.getParent().getName().split("=", 1)[1]
+            device = p.getParent().getParent().getName().split("=", 1)[1]
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), f"data_{n}_{sensor}_{device}.txt"))
+            n += 1
+    return root
+
+
+def _read_all_sensor(spark, root) -> DataFrame:
+    out = None
+    for device in ("phone", "watch"):
+        for sensor in ("accelerometer", "gyroscope"):
+            df = read_sensor_raw(spark, f"{root}/device_type={device}/sensor_type={sensor}", sensor, device)
+            out = df if out is None else out.unionByName(df)
+    return out
+
+
+@register("s09_a19_sensor_files_statistics", W("""s_parsed AS (SELECT device_type, sensor_type,
+    CAST(TRY_CAST(f[1] AS DOUBLE) AS BIGINT) AS subject_id, trim(f[2]) AS activity_code,
+    TRY_CAST(f[4] AS DOUBLE) AS x, TRY_CAST(f[5] AS DOUBLE) AS y, TRY_CAST(f[6] AS DOUBLE) AS z
+  FROM (SELECT device_type, sensor_type, string_split(rtrim(line, ';'), ',') AS f FROM fx_sensor WHERE trim(line) <> '')
+  WHERE len(f) <= 6)""") + """
+SELECT device_type, sensor_type, count(*) AS total_readings, count(DISTINCT subject_id) AS unique_subjects,
+  count(DISTINCT activity_code) AS unique_activities,
+  CAST(min(subject_id) AS VARCHAR) || ' - ' || CAST(max(subject_id) AS VARCHAR) AS subject_range,
+  round(avg(x), 6) AS x_mean, round(avg(y), 6) AS y_mean, round(avg(z), 6) AS z_mean,
+  device_type || '_' || sensor_type AS dataset
+FROM s_parsed GROUP BY device_type, sensor_type""")
+def q_sensor_files(spark, d):
+    raw = _read_all_sensor(spark, _sensor_files(spark, d))
+    return r6(DS.sensor_statistics(raw).drop("files"), "x_mean", "y_mean", "z_mean")
+
+
+@register("a21_files_per_dataset")
+def q_files(spark, d):
+    raw = _read_all_sensor(spark, _sensor_files(spark, d))
+    return raw.groupBy("device_type", "sensor_type").agg(F.count_distinct("source_file").alias("files"),
+                                                         F.count(F.lit(1)).alias("total_readings"))
