@@ -56,7 +56,15 @@ def run_etl(spark: SparkSession, landing: str, base: str, run_id: str | None = N
     bronze = bronze_frame(spark, landing, res.run_id, batch_date)
     if isinstance(batch_date, str):
         res.batch_dates = [batch_date]
-    else:  # the dates this run touches: one tiny distinct job
+    return run_layers(spark, bronze, base, res, min_records, fall_threshold, minutes, run_log, bronze_mode)
+
+
+def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult, min_records: int = 1,
+               fall_threshold: float = S.FALL_SVM_THRESHOLD, minutes: int = S.WINDOW_MINUTES,
+               run_log: bool = True, bronze_mode: str = "append") -> EtlResult:
+    """Bronze rows (with lineage) -> the three layer tables. Shared by the
+    batch job and the streaming ingestion (one call per micro-batch)."""
+    if not res.batch_dates:  # the dates this run touches: one tiny distinct job
         res.batch_dates = sorted(r[0] for r in bronze.select("etl_batch_date").distinct().collect())
     v, m, _ = route(bronze)
     res.counts[("bronze", "vitals")] = write_layer(v, base, "bronze", "vitals", mode=bronze_mode)
