@@ -12,7 +12,7 @@ from pulsegrid.operators import datasets as DS
 from pulsegrid.operators import serving as SV
 from pulsegrid.operators.clean import route
 from pulsegrid.plans.catalog import W, register
-from pulsegrid.plans.catalog_data import _WATCH
+from pulsegrid.plans.catalog_data import _WATCH, _names_case
 from pulsegrid.plans.etl import run_etl
 from pulsegrid.plans.fixtures import fx_events, fx_sensor, fx_watch
 from pulsegrid.plans.layers import r6, wall
@@ -21,7 +21,8 @@ from pulsegrid.sinks.files import export_csv, land_batch, rename_suffix
 from pulsegrid.sources.files import (
     available_dates, read_landing, read_landing_partitions, read_layer, read_smartwatch_csv,
 )
-from pulsegrid.sources.sensor import read_sensor_raw
+from pulsegrid.operators.datasets import feature_statistics
+from pulsegrid.sources.sensor import read_sensor_features, read_sensor_raw
 
 _PAYLOAD = ["patient_id", "device_type", "timestamp", "heart_rate", "spo2", "stress_level",
             "sensor_type", "activity_code", "activity_name", "x", "y", "z"]
@@ -243,3 +244,86 @@ def q_files(spark, d):
     raw = _read_all_sensor(spark, _sensor_files(spark, d))
     return raw.groupBy("device_type", "sensor_type").agg(F.count_distinct("source_file").alias("files"),
                                                          F.count(F.lit(1)).alias("total_readings"))
+
+
+# --- ARFF feature files (S10, A20) ------------------------------------------------
+# fixed values: header of the generated feature files
+_ARFF_HEAD = ['@relation person_activities', '% generated from events', '@attribute "ACTIVITY" {A,B,C}',
+              '@attribute "X0" numeric', '@attribute "X1" numeric', '@attribute "class" {1600,1601}', '', '@data']
+
+
+def _feature_files(spark: SparkSession, d: str) -> str:
+    """Events as ARFF files `data_<subject>_accel_<device>.arff`: per-file
+    header, then one row per event; every 17th event is a comment line and
+    every 13th row lacks a field."""
+    from pulsegrid.plans.fixtures import events
+    ev = events(spark, d)
+    subject = (F.lit(1600) + F.col("user_id") % 5).cast("string")
+    device = F.when(F.col("event_id") % 2 == 0, "phone").otherwise("watch")
+    fname = F.concat(F.lit("data_"), subject, F.lit("_accel_"), device, F.lit(".arff"))
+    act = F.expr("substr('ABCDEFGHIJKLMOPQRSZ', CAST(1 + event_id % 19 AS INT), 1)")
+    x0 = ((F.col("event_id") * 7) % 1000).cast("string")
+    x1 = (F.col("event_id") % 100).cast("string")
+    row = F.when(F.col("event_id") % 17 == 0, F.lit("% note"))\
+        .when(F.col("event_id") % 13 == 0, F.concat_ws(",", act, x0, subject))\
+        .otherwise(F.concat_ws(",", act, x0, x1, subject))
+    data = ev.select(fname.alias("file"), (F.col("event_id") + 1000).alias("ord"), row.alias("line"))
+    head = (data.select("file").distinct()
+            .select("file", F.posexplode(F.array(*[F.lit(h) for h in _ARFF_HEAD])).alias("ord", "line"))
+            .withColumn("ord", F.col("ord").cast("long")))
+    root = scratch_path(spark, "features")
+    (head.unionByName(data).repartition("file").sortWithinPartitions("file", "ord").drop("ord")
+     .write.partitionBy("file").text(root))
+    jvm = spark.sparkContext._jvm
+    rp = jvm.org.apache.hadoop.fs.Path(root)
+    fs = rp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(rp, True)
+    while it.hasNext():
+        p = it.next().getPath()
+        if p.getName().startswith("part-"):
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), p.getParent().getName().split("=", 1)[1]))
+    return root
+
+
+_FEATURES_SQL = """SELECT substr('ABCDEFGHIJKLMOPQRSZ', CAST(1 + event_id % 19 AS INT), 1) AS "ACTIVITY",
+  CAST((event_id * 7) % 1000 AS VARCHAR) AS "X0", CAST(event_id % 100 AS VARCHAR) AS "X1",
+  CAST(1600 + user_id % 5 AS VARCHAR) AS "class",
+  CASE WHEN event_id % 2 = 0 THEN 'phone' ELSE 'watch' END AS device_type
+FROM events WHERE event_id % 17 <> 0 AND event_id % 13 <> 0"""
+
+
+def _all_features(spark, d):
+    root = _feature_files(spark, d)
+    cols = ["ACTIVITY", "X0", "X1", "class"]
+    return read_sensor_features(spark, root, "accelerometer", "phone", cols).unionByName(
+        read_sensor_features(spark, root, "accelerometer", "watch", cols))
+
+
+@register("s10_sensor_features", W() + f"""
+SELECT "ACTIVITY", "X0", "X1", "class", device_type, 'accelerometer' AS sensor_type,
+  'data_' || "class" || '_accel_' || device_type || '.arff' AS source_file,
+  {_names_case('"ACTIVITY"')} AS activity_name FROM ({_FEATURES_SQL}) f""")
+def q_features(spark, d):
+    return _all_features(spark, d)
+
+
+@register("a20_feature_statistics", W() + f"""
+SELECT device_type, 'accelerometer' AS sensor_type, count(*) AS total_samples, count(DISTINCT "class") AS unique_subjects,
+  count(DISTINCT "ACTIVITY") AS unique_activities, device_type || '_accelerometer' AS dataset
+FROM ({_FEATURES_SQL}) f GROUP BY device_type""")
+def q_feature_stats(spark, d):
+    return feature_statistics(_all_features(spark, d))
+
+
+# --- heterogeneous concatenation (U02) ---------------------------------------------
+@register("u02_concat_heterogeneous", W() + """
+SELECT patient_id, device_type, epoch_s AS timestamp,
+  CASE WHEN device_type = 'vital_monitor' THEN heart_rate END AS heart_rate,
+  CASE WHEN device_type = 'vital_monitor' THEN spo2 END AS spo2,
+  CASE WHEN device_type = 'imu_sensor' THEN x END AS x,
+  CASE WHEN device_type = 'imu_sensor' THEN activity_code END AS activity_code
+FROM fx_raw WHERE device_type IN ('vital_monitor', 'imu_sensor')""")
+def q_concat(spark, d):
+    v, m, _ = route(fx_events(spark, d))
+    return v.select("patient_id", "device_type", "timestamp", "heart_rate", "spo2").unionByName(
+        m.select("patient_id", "device_type", "timestamp", "x", "activity_code"), allowMissingColumns=True)

@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,10 +54,15 @@ def run_etl(spark: SparkSession, landing: str, base: str, run_id: str | None = N
     suits back-fills where the landing input holds whole batch dates, and
     makes the whole job idempotent."""
     res = EtlResult(run_id or uuid.uuid4().hex[:8])
-    bronze = bronze_frame(spark, landing, res.run_id, batch_date)
+    # one landing scan feeds the date list and both Bronze tables; the cached
+    # blocks spill to disk and are rebuilt from the landing files if lost
+    bronze = bronze_frame(spark, landing, res.run_id, batch_date).persist(StorageLevel.MEMORY_AND_DISK)
     if isinstance(batch_date, str):
         res.batch_dates = [batch_date]
-    return run_layers(spark, bronze, base, res, min_records, fall_threshold, minutes, run_log, bronze_mode)
+    try:
+        return run_layers(spark, bronze, base, res, min_records, fall_threshold, minutes, run_log, bronze_mode)
+    finally:
+        bronze.unpersist()
 
 
 def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult, min_records: int = 1,

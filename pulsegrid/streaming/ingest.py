@@ -65,9 +65,9 @@ def land_stream(kafka: DataFrame, base: str, kind: str, checkpoint: str,
     """Kafka records -> JSON-Lines landing files in processing-time Hive
     partitions (K05/K06). A batch is flushed every ``interval``; the record
     cap is the source's ``maxOffsetsPerTrigger``. Failed batches are retried
-    from the checkpoint, so nothing is dropped or ingested twice."""
-    env = to_envelope(kafka.withColumn("value", F.col("value").cast("string")))
-    out = env.withColumns(time_parts(F.current_timestamp()))
+    from the checkpoint, so nothing is dropped or ingested twice. The event
+    is stored decoded under `value`, as the batch reader expects."""
+    out = envelope_lines(kafka).withColumns(time_parts(F.current_timestamp()))
     return (out.writeStream.format("json").outputMode("append")
             .partitionBy(*PARTITION_COLS)
             .option("path", f"{base}/{kind}").option("checkpointLocation", checkpoint)

@@ -83,3 +83,27 @@ def test_ingest_skips_small_layers(spark):
                    batch_date="2024-01-01").awaitTermination(300)
     assert read_layer(spark, base, "bronze", "vitals").count() > 0
     assert read_layer(spark, base, "silver", "vitals").count() == 0
+
+
+def test_land_stream_writes_partitioned_envelopes(spark):
+    import time
+    from pulsegrid.sources.files import read_landing, read_landing_partitions
+    from pulsegrid.streaming.ingest import land_stream
+    rate = spark.readStream.format("rate").option("rowsPerSecond", 50).load()
+    payload = F.to_json(F.struct(F.format_string("%d", 1600 + F.col("value") % 8).alias("patient_id"),
+                                 F.lit("vital_monitor").alias("device_type"),
+                                 (F.unix_micros("timestamp") / 1e6).alias("timestamp"),
+                                 (F.col("value") % 150 + 30).cast("double").alias("heart_rate")))
+    kafka = rate.select(F.format_string("%d", 1600 + F.col("value") % 8).cast("binary").alias("key"),
+                        payload.cast("binary").alias("value"), F.lit("raw_vitals").alias("topic"),
+                        F.lit(0).alias("partition"), F.col("value").alias("offset"), "timestamp")
+    base = scratch_path(spark, "landing_stream")
+    q = land_stream(kafka, base, "vitals", scratch_path(spark, "ckpt"), interval="1 second")
+    deadline = time.time() + 60
+    while time.time() < deadline and q.lastProgress is None or (q.recentProgress and sum(p["numInputRows"] for p in q.recentProgress) < 50):
+        time.sleep(1)
+    time.sleep(2)
+    q.stop()
+    landed = read_landing_partitions(spark, f"{base}/vitals")
+    rows = landed.select("patient_id", "heart_rate", "offset", "year", "minute").collect()
+    assert rows and all(r.patient_id.startswith("16") and r.offset is not None and len(r.minute) == 2 for r in rows)
