@@ -14,12 +14,11 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def to_number(c: ColumnOrName) -> Column:
-    """Text or number -> double; unparseable text, NaN and +-inf -> null.
-
-    ``try_cast`` keeps ANSI mode from failing the job on bad text.
-    """
+    """Text or number -> double; unparseable text and NaN -> null (P06), like
+    a coercing numeric parse. ``try_cast`` keeps ANSI mode from failing the
+    job on bad text."""
     d = _c(c).try_cast("double")
-    return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
+    return F.when(~F.isnan(d), d)
 
 
 def np_round(c: ColumnOrName, places: int = 0) -> Column:
@@ -42,9 +41,9 @@ def valid_reading(c: ColumnOrName) -> Column:
 
 def event_time(epoch_seconds: ColumnOrName) -> Column:
     """Epoch seconds (double, sub-second kept) -> TIMESTAMP; bad input -> null."""
-    s = to_number(epoch_seconds)
-    # micro-second precision, guarded against overflow of the long micros
-    return F.when(F.abs(s) < F.lit(9.0e12), F.timestamp_micros((s * 1_000_000).cast("long")))
+    # micro-second precision; text, NaN and out-of-range values become null
+    s = _c(epoch_seconds).try_cast("double")
+    return F.timestamp_micros((s * 1_000_000).try_cast("long"))
 
 
 def utc_wall(ts: ColumnOrName) -> Column:

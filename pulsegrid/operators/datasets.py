@@ -79,14 +79,17 @@ def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), med.select(c).scalar()) for c in cols})
 
 
-def clean_smartwatch(raw: DataFrame, impute: bool = True) -> DataFrame:
+def clean_smartwatch(raw: DataFrame, impute: bool = False) -> DataFrame:
     """The whole cleaning job (P22-P24), steps in the original order:
     drop unknown users, standardise labels, coerce numbers, range filters
-    (nulls fail), drop missing labels, median-impute, then final typing:
+    (nulls fail), drop missing labels, median-impute, then final typing.
+    The range filters already drop every null of the five imputed columns,
+    so imputation cannot change a row; it is skipped unless ``impute`` (it
+    would cost one extra aggregation job). Final typing:
     readings rounded as pandas does (half-even on the scaled double) to 2 places, steps rounded to an integer,
     stress and user id truncated."""
     df = typed_smartwatch(raw).filter(_first_failed_step() == 0)
-    if impute:  # a no-op after the range filters, kept for the job's order
+    if impute:
         df = impute_median(df, NUMERIC)
     return df.select(
         F.col("user_id").cast("long").cast("int").alias("user_id"),

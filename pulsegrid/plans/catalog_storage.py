@@ -14,7 +14,7 @@ from pulsegrid.operators.clean import route
 from pulsegrid.plans.catalog import W, register
 from pulsegrid.plans.catalog_data import _WATCH, _names_case
 from pulsegrid.plans.etl import run_etl
-from pulsegrid.plans.fixtures import fx_events, fx_sensor, fx_watch
+from pulsegrid.plans.fixtures import device_fields_only, fx_events, fx_sensor, fx_watch
 from pulsegrid.plans.layers import r6, wall
 from pulsegrid.session import scratch_path
 from pulsegrid.sinks.files import export_csv, land_batch, rename_suffix
@@ -32,7 +32,7 @@ def write_landing(spark: SparkSession, d: str, bad_every: int = 0) -> str:
     """Fixture events as landing JSON-Lines: even events wrapped in a Kafka
     envelope (ms timestamp clashing with the payload's), odd ones bare; with
     ``bad_every`` every n-th line is cut short (malformed)."""
-    ev = fx_events(spark, d)
+    ev = device_fields_only(fx_events(spark, d))
     payload = F.struct(*[F.col(c) for c in _PAYLOAD])
     env = F.to_json(F.struct(F.col("event_id").alias("offset"), (F.col("event_id") % 4).cast("int").alias("partition"),
                              (F.col("timestamp") * 1000).cast("long").alias("timestamp"),
@@ -187,7 +187,7 @@ SELECT patient_id, avg(heart_rate) AS avg_hr FROM fx_raw
 WHERE device_type = 'vital_monitor' AND strftime(make_timestamp(CAST(epoch_s * 1000000 AS BIGINT)), '%Y-%m-%d') = '2024-01-02'
 GROUP BY patient_id""")
 def q_partitioned(spark, d):
-    v, _, _ = route(fx_events(spark, d))
+    v, _, _ = route(device_fields_only(fx_events(spark, d)))
     base = scratch_path(spark, "landing_tree")
     land_batch(v.drop("event_id"), base, "vitals", time_col=utc_wall(event_time("timestamp")))
     df = read_landing_partitions(spark, f"{base}/vitals")

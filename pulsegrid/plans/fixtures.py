@@ -74,26 +74,35 @@ def fx_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`fx_raw` as device events: `epoch_s` becomes `timestamp`; movement rows
-    carry sensor type and activity name; fields of the other kind are null
-    (and therefore absent once encoded as JSON)."""
+    carry sensor type and activity name. Readings of the other device kind
+    are left in place (routing and the per-device rules ignore them); the
+    landing writer drops them from the encoded events."""
     r = fx_raw(spark, sf_dir)
-    vit = F.col("device_type") != F.lit("imu_sensor")
     mov = F.col("device_type") != F.lit("vital_monitor")
     return r.select(
         "event_id", "patient_id", "device_type",
         F.col("epoch_s").alias("timestamp"),
-        F.when(vit, F.col("heart_rate")).alias("heart_rate"),
-        F.when(vit, F.col("spo2")).alias("spo2"),
-        F.when(vit, F.col("stress_level")).alias("stress_level"),
+        "heart_rate", "spo2", "stress_level",
         F.when(mov, F.lit("accelerometer")).alias("sensor_type"),
-        F.when(mov, F.col("activity_code")).alias("activity_code"),
-        F.when(mov, activity_name("activity_code")).alias("activity_name"),
-        F.when(mov, F.col("x")).alias("x"),
-        F.when(mov, F.col("y")).alias("y"),
-        F.when(mov, F.col("z")).alias("z"),
+        "activity_code",
+        activity_name("activity_code").alias("activity_name"),
+        "x", "y", "z",
     )
 
 
+VITALS_FIELDS = ["heart_rate", "spo2", "stress_level"]
+MOVEMENT_FIELDS = ["sensor_type", "activity_code", "activity_name", "x", "y", "z"]
+
+
+def device_fields_only(ev: DataFrame) -> DataFrame:
+    """Null the readings a device does not produce (vitals on movement rows
+    and vice versa), so encoded events carry only their own fields."""
+    vit = F.col("device_type") != F.lit("imu_sensor")
+    mov = F.col("device_type") != F.lit("vital_monitor")
+    return ev.withColumns({**{c: F.when(vit, F.col(c)) for c in VITALS_FIELDS},
+                           **{c: F.when(mov, F.col(c)) for c in MOVEMENT_FIELDS}})
+
+
 # --- DuckDB side: the same adapters plus the layer CTEs ---------------------
 def duck_fixture_ctes() -> str:
     return (f"fx_raw AS (SELECT {FX_RAW_SELECT} FROM events),\n"
