@@ -327,3 +327,55 @@ def q_concat(spark, d):
     v, m, _ = route(fx_events(spark, d))
     return v.select("patient_id", "device_type", "timestamp", "heart_rate", "spo2").unionByName(
         m.select("patient_id", "device_type", "timestamp", "x", "activity_code"), allowMissingColumns=True)
+
+
+# --- Kafka record layout: envelope, topic routing, lineage (P01, P04, P05, S04) ----
+def kafka_layout(spark: SparkSession, d: str) -> DataFrame:
+    """Fixture events as the Kafka source yields them: key, JSON value,
+    topic per device kind, partition, offset, broker time."""
+    ev = device_fields_only(fx_events(spark, d)).filter(F.col("device_type").isin("vital_monitor", "imu_sensor"))
+    payload = F.to_json(F.struct(*[F.col(c) for c in _PAYLOAD]))
+    topic = F.when(F.col("device_type") == "vital_monitor", "raw_vitals").otherwise("raw_movement")
+    return ev.select(F.col("patient_id").cast("binary").alias("key"), payload.cast("binary").alias("value"),
+                     topic.alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+                     F.col("event_id").alias("offset"), F.timestamp_seconds("timestamp").alias("timestamp"))
+
+
+@register("p04_to_envelope", W() + """
+SELECT event_id AS "offset", CAST(event_id % 4 AS INTEGER) AS "partition", CAST(epoch_s * 1000 AS BIGINT) AS timestamp,
+  patient_id AS key, patient_id, CASE WHEN device_type = 'vital_monitor' THEN heart_rate END AS heart_rate,
+  CASE WHEN device_type = 'imu_sensor' THEN x END AS x
+FROM fx_raw WHERE device_type IN ('vital_monitor', 'imu_sensor')""")
+def q_envelope(spark, d):
+    from pulsegrid.streaming.ingest import envelope_lines
+    env = envelope_lines(kafka_layout(spark, d))
+    return env.select("offset", "partition", "timestamp", "key", "value.patient_id", "value.heart_rate", "value.x")
+
+
+@register("s04_route_topics", W() + """
+SELECT 'raw_vitals' AS topic, count(*) AS n_rows, count(DISTINCT patient_id) AS patients, avg(heart_rate) AS avg_hr,
+  CAST(NULL AS DOUBLE) AS max_x
+FROM fx_raw WHERE device_type = 'vital_monitor'
+UNION ALL
+SELECT 'raw_movement', count(*), count(DISTINCT patient_id), NULL, max(x) FROM fx_raw WHERE device_type = 'imu_sensor'""")
+def q_topics(spark, d):
+    from pulsegrid.schemas import MOVEMENT_SCHEMA, VITALS_SCHEMA
+    from pulsegrid.streaming.alerts import route_topics
+    t = route_topics(kafka_layout(spark, d), {"raw_vitals": VITALS_SCHEMA, "raw_movement": MOVEMENT_SCHEMA})
+    v = t["raw_vitals"].agg(F.lit("raw_vitals").alias("topic"), F.count(F.lit(1)).alias("n_rows"),
+                            F.count_distinct("patient_id").alias("patients"), F.avg("heart_rate").alias("avg_hr"),
+                            F.lit(None).cast("double").alias("max_x"))
+    m = t["raw_movement"].agg(F.lit("raw_movement").alias("topic"), F.count(F.lit(1)).alias("n_rows"),
+                              F.count_distinct("patient_id").alias("patients"), F.lit(None).cast("double").alias("avg_hr"),
+                              F.max("x").alias("max_x"))
+    return v.unionByName(m)
+
+
+@register("p01_lineage", W() + """
+SELECT device_type, 'run-0001' AS etl_run_id, '2024-01-31' AS etl_batch_date, count(*) AS n_rows,
+  count(DISTINCT patient_id) AS patients FROM fx_raw GROUP BY device_type""")
+def q_lineage(spark, d):
+    from pulsegrid.operators.clean import add_lineage
+    df = add_lineage(fx_events(spark, d), run_id="run-0001", batch_date="2024-01-31", source_file="events")
+    return df.groupBy("device_type", "etl_run_id", "etl_batch_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("patient_id").alias("patients"))
