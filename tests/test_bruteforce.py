@@ -1,8 +1,6 @@
 """Spark operators against small brute-force models written with pandas /
 plain Python on sf0.001 (the semantics of the original single-process tools)."""
 
-import math
-
 import numpy as np
 import pandas as pd
 from hypothesis import given, settings

@@ -87,7 +87,7 @@ def test_ingest_skips_small_layers(spark):
 
 def test_land_stream_writes_partitioned_envelopes(spark):
     import time
-    from pulsegrid.sources.files import read_landing, read_landing_partitions
+    from pulsegrid.sources.files import read_landing_partitions
     from pulsegrid.streaming.ingest import land_stream
     rate = spark.readStream.format("rate").option("rowsPerSecond", 50).load()
     payload = F.to_json(F.struct(F.format_string("%d", 1600 + F.col("value") % 8).alias("patient_id"),
