@@ -70,12 +70,16 @@ def _first_failed_step() -> Column:
     return expr.otherwise(F.lit(0))
 
 
-def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Nulls of each column -> that column's exact median.
+def impute_median(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+    """Nulls of each column -> that column's median (A23), exact by default
+    (see :func:`describe_numeric` for when to pass ``exact=False``).
 
     The medians are one global aggregate used as scalar subqueries, so rows
     are filled in place (no join, no driver round trip)."""
-    med = df.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in cols])
+    def med_of(c):
+        x = F.col(c)
+        return F.percentile(x, 0.5) if exact else F.percentile_approx(x.cast("double"), 0.5, accuracy).cast("double")
+    med = df.agg(*[med_of(c).alias(c) for c in cols])
     return df.withColumns({c: F.coalesce(F.col(c), med.select(c).scalar()) for c in cols})
 
 
@@ -124,15 +128,26 @@ def null_profile(df: DataFrame) -> DataFrame:
     return agg.selectExpr(f"stack({len(cols)}, {items}) AS (column_name, nulls)")
 
 
-def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
+def _quartiles(x: Column, exact: bool, accuracy: int) -> Column:
+    if exact:
+        return F.percentile(x, [0.25, 0.5, 0.75])
+    return F.percentile_approx(x.cast("double"), [0.25, 0.5, 0.75], accuracy).cast("array<double>")
+
+
+def describe_numeric(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """count, mean, std (sample), min, quartiles (linear interpolation), max
-    per column (A24); one row per column."""
+    per column (A24); one row per column.
+
+    ``exact`` quartiles merge a value->count map into the final task, so its
+    size is the number of distinct values: right for readings of fixed
+    precision (the datasets here). For continuous high-cardinality columns
+    pass ``exact=False``: a mergeable sketch with rank error 1/accuracy."""
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                  F.min(x).cast("double").alias(f"min{i}"),
-                 F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}"), F.max(x).cast("double").alias(f"max{i}")]
+                 _quartiles(x, exact, accuracy).alias(f"q{i}"), F.max(x).cast("double").alias(f"max{i}")]
     items = ", ".join(f"'{c}', n{i}, mean{i}, std{i}, min{i}, q{i}[0], q{i}[1], q{i}[2], max{i}"
                       for i, c in enumerate(cols))
     return df.agg(*aggs).selectExpr(

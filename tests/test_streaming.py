@@ -107,3 +107,25 @@ def test_land_stream_writes_partitioned_envelopes(spark):
     landed = read_landing_partitions(spark, f"{base}/vitals")
     rows = landed.select("patient_id", "heart_rate", "offset", "year", "minute").collect()
     assert rows and all(r.patient_id.startswith("16") and r.offset is not None and len(r.minute) == 2 for r in rows)
+
+
+def test_one_read_feeds_console_and_collector(spark, capsys):
+    from pulsegrid.streaming.alerts import console
+    src = scratch_path(spark, "events_json")
+    ev = fx_events(spark, SF).withColumn("svm", svm()).drop("event_id")
+    ev.write.json(src)
+    got = []
+    q = start_alert_query(AL.all_alerts(spark.readStream.schema(ev.schema).json(src)), scratch_path(spark, "ckpt"),
+                          sinks=[console, lambda b: got.extend(b.collect())], trigger={"availableNow": True})
+    q.awaitTermination(120)
+    assert len(got) == AL.all_alerts(ev).count() > 0
+    assert q.lastProgress["numInputRows"] == ev.count()  # the source was read once
+
+
+def test_describe_approx_close_to_exact(spark):
+    from pulsegrid.operators import datasets as DS
+    from pulsegrid.plans.fixtures import fx_watch
+    clean = DS.clean_smartwatch(fx_watch(spark, SF))
+    ex = {r.column_name: r for r in DS.describe_numeric(clean, ["heart_rate"]).collect()}
+    ap = {r.column_name: r for r in DS.describe_numeric(clean, ["heart_rate"], exact=False).collect()}
+    assert abs(ex["heart_rate"].p50 - ap["heart_rate"].p50) < 1.0
