@@ -66,10 +66,19 @@ def q_report(spark, d):
 _NULL_COLS = ["user_id", "heart_rate", "spo2", "step_count", "sleep_duration", "activity_level", "stress_level"]
 
 
+def _na_sql(c: str) -> str:
+    from pulsegrid.sources.files import PANDAS_NA_TOKENS
+    toks = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_NA_TOKENS)
+    return f"CASE WHEN {c} IN ({toks}) THEN NULL ELSE {c} END"
+
+
 @register("a22_null_profile", W() + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM fx_watch" for c in _NULL_COLS))
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE ({_na_sql(c)}) IS NULL) AS nulls FROM fx_watch"
+    for c in _NULL_COLS))
 def q_nulls(spark, d):
-    return DS.null_profile(fx_watch(spark, d))
+    """Missing values per column as the dataset is read (missing-value texts count)."""
+    from pulsegrid.sources.files import na_tokens_to_null
+    return DS.null_profile(na_tokens_to_null(fx_watch(spark, d)))
 
 
 _NUM = ["heart_rate", "spo2", "step_count", "sleep_duration", "stress_level"]

@@ -13,7 +13,7 @@ from pulsegrid.operators.datasets import feature_statistics
 from pulsegrid.operators import serving as SV
 from pulsegrid.operators.clean import route
 from pulsegrid.plans.catalog import W, register
-from pulsegrid.plans.catalog_data import _WATCH, _names_case
+from pulsegrid.plans.catalog_data import _WATCH, _na_sql, _names_case
 from pulsegrid.plans.etl import run_etl
 from pulsegrid.plans.fixtures import device_fields_only, fx_events, fx_sensor, fx_watch
 from pulsegrid.plans.layers import r6, wall
@@ -175,7 +175,9 @@ def q_csv_clean(spark, d):
     return DS.clean_smartwatch(read_smartwatch_csv(spark, path))
 
 
-@register("s08_smartwatch_csv_raw", W() + "SELECT * FROM fx_watch")
+@register("s08_smartwatch_csv_raw", W() + "SELECT " + ", ".join(
+    f"{_na_sql(c)} AS {c}" for c in ["user_id", "heart_rate", "spo2", "step_count", "sleep_duration",
+                                     "activity_level", "stress_level"]) + " FROM fx_watch")
 def q_csv_raw(spark, d):
     path = scratch_path(spark, "smartwatch_csv")
     export_csv(DS.to_dataset_names(fx_watch(spark, d)), path)

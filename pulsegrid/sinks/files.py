@@ -21,6 +21,8 @@ def write_layer(df: DataFrame, base: str, layer: str, entity: str, partitioned:
     empty result writes nothing.
     """
     path = f"{base}/{layer}/{entity}"
+    if df.isEmpty():  # stops at the first row found; an empty result writes no table
+        return 0
     obs = Observation(f"rows_{layer}_{entity}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if observe else df
     w = out.write

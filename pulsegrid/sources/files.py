@@ -6,6 +6,7 @@ filters into the scan, and split files across tasks.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,16 @@ from pulsegrid import schemas as S
 from pulsegrid.operators.clean import unnest_envelope
 
 CORRUPT = "_corrupt_record"
+
+# --- fixed values: cell texts a pandas CSV read treats as missing (its default na_values)
+PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def na_tokens_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Text cells spelling a missing value become null, as in a pandas CSV read."""
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(*PANDAS_NA_TOKENS), F.col(f"`{c}`")) for c in cols})
 LANDING_GLOB = "*.{json,jsonl}"
 PARTITION_COLS = ["year", "month", "day", "hour", "minute"]
 
@@ -81,7 +92,10 @@ def read_layer(spark: SparkSession, base: str, layer: str, entity: str, batch_da
     r = spark.read.option("ignoreCorruptFiles", "true")
     if schema is not None:
         r = r.schema(schema)
-    df = r.parquet(path)
+    try:
+        df = r.parquet(path)
+    except AnalysisException:  # a folder without data files (e.g. an empty write)
+        return spark.createDataFrame([], schema or T.StructType([]))
     if "etl_batch_date" in df.columns:
         df = df.withColumn("etl_batch_date", F.col("etl_batch_date").cast("string"))
     if batch_date is not None:
@@ -97,9 +111,11 @@ def available_dates(spark: SparkSession, base: str, layer: str, entity: str) ->
     return df.select("etl_batch_date").distinct().orderBy(F.col("etl_batch_date").desc())
 
 
-def read_smartwatch_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Headered smartwatch CSV, every column as text (S08). Empty cells are
-    null; padding inside cells is kept for the cleaning step to handle."""
-    return (spark.read.option("header", "true").schema(S.SMARTWATCH_SCHEMA)
-            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-            .csv(path))
+def read_smartwatch_csv(spark: SparkSession, path: str, pandas_na: bool = True) -> DataFrame:
+    """Headered smartwatch CSV, every column as text (S08). Empty cells and,
+    with ``pandas_na``, the texts pandas reads as missing (`nan`, `NA`, ...)
+    are null; padding inside cells is kept for the cleaning step."""
+    df = (spark.read.option("header", "true").schema(S.SMARTWATCH_SCHEMA)
+          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+          .csv(path))
+    return na_tokens_to_null(df) if pandas_na else df

@@ -50,8 +50,10 @@ def alert_stream(kafka: DataFrame, t: S.AlertThresholds = S.STANDARD,
     topics = topics or DEFAULT_TOPICS
     names = list(topics)
     parsed = route_topics(kafka, topics)
-    vit = parsed[names[0]]
-    mov = parsed[names[1]]
+    # a reading without its own time is stamped with the processing time
+    now = F.unix_micros(F.current_timestamp()) / 1e6
+    vit = parsed[names[0]].withColumn("timestamp", F.coalesce("timestamp", now))
+    mov = parsed[names[1]].withColumn("timestamp", F.coalesce("timestamp", now))
     mov = mov.withColumn("svm", F.coalesce(F.col("svm"), svm()))
     return AL.union_alerts(AL.vitals_alerts(vit, t), AL.movement_alerts(mov, t))
 
