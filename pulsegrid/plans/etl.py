@@ -32,9 +32,23 @@ class EtlResult:
     skipped: list[tuple[str, str]] = field(default_factory=list)
 
 
+# up to this many one-byte rows are fetched by `take`, which reads partitions
+# incrementally (1, then 4x more ...) and usually touches a handful of files
+TAKE_LIMIT = 10_000
+
+
 def has_at_least(df: DataFrame, n: int) -> bool:
-    """`len(df) >= n` without counting everything (ST05): stops after n rows."""
-    return n <= 0 or df.limit(n).count() >= n
+    """`len(df) >= n` without counting everything (ST05): stops after n rows.
+
+    Small thresholds use `take` on an empty projection (incremental partition
+    scan); large ones `limit(n).count()` (every partition stops after n rows,
+    nothing but the count reaches the driver)."""
+    if n <= 0:
+        return True
+    probe = df.select(F.lit(1).alias("one"))
+    if n <= TAKE_LIMIT:
+        return len(probe.take(n)) >= n
+    return probe.limit(n).count() >= n
 
 
 def bronze_frame(spark: SparkSession, landing: str, run_id: str, batch_date: str | Column | None) -> DataFrame:
@@ -86,9 +100,12 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
         if not has_at_least(silver, min_records):
             res.skipped.append(("silver", entity))
             continue
-        res.counts[("silver", entity)] = write_layer(silver, base, "silver", entity)
+        # min_records >= 1 has just proven Silver non-empty
+        res.counts[("silver", entity)] = write_layer(silver, base, "silver", entity, check_empty=min_records < 1)
         s = read_layer(spark, base, "silver", entity).filter(F.col("etl_batch_date").isin(res.batch_dates))
-        res.counts[("gold", entity)] = write_layer(to_gold(s), base, "gold", entity)
+        # Gold is empty exactly when no Silver row has a patient and an event time
+        keyed = s.dropna(subset=["event_timestamp", "patient_id"])
+        res.counts[("gold", entity)] = write_layer(to_gold(s), base, "gold", entity, probe=keyed)
     if run_log:
         append_run_log(spark, base, res.run_id, res.counts)
     return res

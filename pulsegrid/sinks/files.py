@@ -12,16 +12,22 @@ from pulsegrid.sources.files import PARTITION_COLS
 
 
 def write_layer(df: DataFrame, base: str, layer: str, entity: str, partitioned: bool = True,
-                mode: str | None = None, observe: bool = True) -> int | None:
+                mode: str | None = None, observe: bool = True, probe: DataFrame | None = None,
+                check_empty: bool = True) -> int | None:
     """Write a layer table (K01/K02) and return its row count.
 
     Partitioned by `etl_batch_date` with dynamic partition overwrite, so a
     rerun of a batch replaces exactly that batch (idempotent). The row count
     comes from an Observation on the same write - no extra pass - and an
     empty result writes nothing.
+
+    The empty check stops at the first row of a narrow plan. For an
+    aggregate, pass its input as ``probe`` (empty exactly when the aggregate
+    is): checking the aggregate itself would run its shuffle a second time.
+    ``check_empty=False`` when the caller already knows there are rows.
     """
     path = f"{base}/{layer}/{entity}"
-    if df.isEmpty():  # stops at the first row found; an empty result writes no table
+    if check_empty and (probe if probe is not None else df).isEmpty():
         return 0
     obs = Observation(f"rows_{layer}_{entity}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if observe else df
