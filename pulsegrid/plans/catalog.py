@@ -18,7 +18,7 @@ from pulsegrid.operators import alerts as AL
 from pulsegrid.operators import serving as SV
 from pulsegrid.operators.clean import route
 from pulsegrid.plans.fixtures import fx_events
-from pulsegrid.plans.layers import duck_with, gold, r6, silver, wall
+from pulsegrid.plans.layers import duck_with, gold, gold_m, gold_v, r6, silver_m, silver_v, wall
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,20 +55,20 @@ def q_route(spark, d):
 @register("p09_silver_vitals", W() + """
 SELECT patient_id, epoch_s AS timestamp, heart_rate, spo2, event_timestamp FROM fx_silver_v""")
 def q_silver_v(spark, d):
-    sv, _ = silver(spark, d)
+    sv = silver_v(spark, d)
     return wall(sv.select("patient_id", "timestamp", "heart_rate", "spo2", "event_timestamp"), "event_timestamp")
 
 
 @register("p12_silver_movement", W() + """
 SELECT patient_id, epoch_s AS timestamp, x, y, z, svm, event_timestamp FROM fx_silver_m""")
 def q_silver_m(spark, d):
-    _, sm = silver(spark, d)
+    sm = silver_m(spark, d)
     return wall(sm.select("patient_id", "timestamp", "x", "y", "z", "svm", "event_timestamp"), "event_timestamp")
 
 
 @register("a01_gold_vitals", W() + "SELECT * FROM fx_gold_v")
 def q_gold_v(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return wall(gv, "window_start", "window_end")
 
 
@@ -76,7 +76,7 @@ def q_gold_v(spark, d):
 SELECT patient_id, window_start, window_end, round(avg_activity, 6) AS avg_activity, peak_impact,
        fall_events_detected FROM fx_gold_m""")
 def q_gold_m(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return r6(wall(gm, "window_start", "window_end"), "avg_activity")
 
 
@@ -87,7 +87,7 @@ SELECT patient_id, window_start, avg_hr, avg_spo2,
 FROM fx_gold_v""")
 def q_mews_simple(spark, d):
     from pulsegrid.operators.gold import gold_vitals
-    sv, _ = silver(spark, d)
+    sv = silver_v(spark, d)
     g = gold_vitals(sv, scoring="simple")
     return wall(g.select("patient_id", "window_start", "avg_hr", "avg_spo2", "mews_score"), "window_start")
 
@@ -95,7 +95,7 @@ def q_mews_simple(spark, d):
 @register("w02_gold_vitals_5min", W(minutes=5) + """
 SELECT patient_id, window_start, window_end, avg_hr, peak_hr, mews_score FROM fx_gold_v""")
 def q_gold_5(spark, d):
-    gv, _ = gold(spark, d, minutes=5)
+    gv = gold_v(spark, d, minutes=5)
     return wall(gv.select("patient_id", "window_start", "window_end", "avg_hr", "peak_hr", "mews_score"),
                 "window_start", "window_end")
 
@@ -104,7 +104,7 @@ def q_gold_5(spark, d):
 SELECT patient_id, window_start, window_end, round(avg_activity, 6) AS avg_activity, peak_impact,
        fall_events_detected FROM fx_gold_m""")
 def q_gold_60(spark, d):
-    _, gm = gold(spark, d, minutes=60)
+    gm = gold_m(spark, d, minutes=60)
     return r6(wall(gm, "window_start", "window_end"), "avg_activity")
 
 
@@ -116,7 +116,7 @@ SELECT patient_id, window_start, mews_score, avg_hr, avg_spo2, mews_hr_score, me
        strftime(window_start, '%H:%M') AS clock
 FROM fx_gold_v WHERE mews_score >= 2 ORDER BY mews_score DESC, patient_id, window_start LIMIT 5""")
 def q_critical(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return SV.critical_banners(wall(gv, "window_start"), mews_min=2, k=5)
 
 
@@ -124,7 +124,7 @@ def q_critical(spark, d):
 SELECT patient_id, window_start, fall_events_detected, peak_impact, strftime(window_start, '%H:%M') AS clock
 FROM fx_gold_m WHERE fall_events_detected > 0 ORDER BY fall_events_detected DESC, patient_id, window_start LIMIT 3""")
 def q_fall_banners(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return SV.fall_banners(wall(gm, "window_start"), k=3)
 
 
@@ -132,7 +132,7 @@ def q_fall_banners(spark, d):
 SELECT * FROM fx_gold_v WHERE patient_id IN ('1600', '1601', '1603', '1607')
   AND avg_hr BETWEEN 60 AND 150 AND avg_spo2 >= 93""")
 def q_filter_v(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return wall(SV.filter_vitals(gv, ["1600", "1601", "1603", "1607"], (60, 150), 93), "window_start", "window_end")
 
 
@@ -140,7 +140,7 @@ def q_filter_v(spark, d):
 SELECT patient_id, window_start, window_end, round(avg_activity, 6) AS avg_activity, peak_impact, fall_events_detected
 FROM fx_gold_m WHERE patient_id IN ('1600', '1602', '1606') AND fall_events_detected > 0""")
 def q_filter_m(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return r6(wall(SV.filter_movement(gm, ["1600", "1602", "1606"], only_falls=True), "window_start", "window_end"),
               "avg_activity")
 
@@ -148,13 +148,13 @@ def q_filter_m(spark, d):
 @register("p16_reflag_falls", W() + """
 SELECT patient_id, window_start, peak_impact, CASE WHEN peak_impact > 20.5 THEN 1 ELSE 0 END AS is_fall FROM fx_gold_m""")
 def q_reflag(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return wall(SV.reflag_falls(gm, 20.5).select("patient_id", "window_start", "peak_impact", "is_fall"), "window_start")
 
 
 @register("p20_alert_windows", W() + "SELECT * FROM fx_gold_v WHERE mews_score > 0")
 def q_alert_windows(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return wall(SV.alert_windows(gv), "window_start", "window_end")
 
 
@@ -162,7 +162,7 @@ def q_alert_windows(spark, d):
 SELECT * FROM fx_gold_v WHERE patient_id IN ('1600', '1601', '1602', '1603', '1604', '1605')
   AND mews_score IN (2, 3, 4) ORDER BY avg_hr DESC NULLS LAST, patient_id, window_start LIMIT 50""")
 def q_table_v(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return wall(SV.table_view(gv, "avg_hr", 50, patients=["1600", "1601", "1602", "1603", "1604", "1605"],
                               mews_levels=[2, 3, 4]), "window_start", "window_end")
 
@@ -172,7 +172,7 @@ SELECT patient_id, window_start, window_end, round(avg_activity, 6) AS avg_activ
 FROM fx_gold_m WHERE fall_events_detected > 0
 ORDER BY peak_impact DESC NULLS LAST, patient_id, window_start LIMIT 20""")
 def q_table_m(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return r6(wall(SV.table_view(gm, "peak_impact", 20, only_falls=True), "window_start", "window_end"),
               "avg_activity")
 
@@ -225,7 +225,7 @@ FROM fx_gold_v GROUP BY patient_id"""
 
 @register("a09_vitals_summary", W() + _A09.format(w="windows", r="round(", r2=", 6)", b="", b2=""))
 def q_vsum(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return r6(SV.vitals_summary(gv, 2), "avg_hr", "avg_spo2", "avg_mews")
 
 
@@ -236,7 +236,7 @@ SELECT patient_id, CAST(sum(fall_events_detected) AS BIGINT) AS total_falls,
   round_even(count(CASE WHEN fall_events_detected > 0 THEN 1 END) / count(avg_activity) * 100 * 10, 0) / 10 AS fall_rate
 FROM fx_gold_m GROUP BY patient_id""")
 def q_fsum(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return r6(SV.fall_summary(gm), "avg_activity")
 
 
@@ -245,7 +245,7 @@ SELECT patient_id, count(avg_activity) AS movement_windows, round(avg(avg_activi
   max(peak_impact) AS peak_impact, CAST(sum(fall_events_detected) AS BIGINT) AS total_falls
 FROM fx_gold_m GROUP BY patient_id""")
 def q_msum(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return r6(SV.movement_summary(gm, detailed=True), "avg_activity")
 
 
@@ -282,13 +282,13 @@ def q_side(spark, d):
 @register("a13_mews_distribution", W() + """
 SELECT mews_score, count(*) AS windows FROM fx_gold_v GROUP BY mews_score ORDER BY mews_score""")
 def q_mews_dist(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return SV.mews_distribution(gv)
 
 
 @register("a14_mews_mean", W() + "SELECT floor(avg(mews_score) * 10) / 10 AS mews_mean FROM fx_gold_v")
 def q_mews_mean(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return SV.mews_mean(gv)
 
 
@@ -300,7 +300,7 @@ FROM (SELECT patient_id, lo, hi,
       FROM fx_gold_m, r WHERE avg_activity IS NOT NULL) b
 GROUP BY patient_id, bin, lo, hi""")
 def q_hist(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return r6(SV.activity_histogram(gm, 20), "bin_lo", "bin_hi")
 
 
@@ -308,7 +308,7 @@ def q_hist(spark, d):
 SELECT patient_id, window_start, avg_hr, peak_hr, avg_spo2, peak_spo2, mews_score, least(mews_score, 5) AS mews_bucket
 FROM fx_gold_v ORDER BY patient_id, window_start""")
 def q_vseries(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return SV.vitals_series(wall(gv, "window_start"))
 
 
@@ -317,7 +317,7 @@ SELECT patient_id, window_start, round(avg_activity, 6) AS avg_activity, peak_im
   CASE WHEN fall_events_detected > 0 THEN peak_impact END AS fall_marker
 FROM fx_gold_m ORDER BY patient_id, window_start""")
 def q_mseries(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return r6(SV.movement_series(wall(gm, "window_start")), "avg_activity")
 
 
@@ -325,7 +325,7 @@ def q_mseries(spark, d):
 SELECT patient_id, window_start, avg_hr, peak_hr, mews_score FROM fx_gold_v WHERE mews_score > 0
 ORDER BY window_start DESC, patient_id LIMIT 100""")
 def q_latest_alerts(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return SV.latest_alerts(wall(gv, "window_start"), 100)
 
 
@@ -333,14 +333,14 @@ def q_latest_alerts(spark, d):
 SELECT patient_id, window_start, fall_events_detected, peak_impact FROM fx_gold_m WHERE fall_events_detected > 0
 ORDER BY window_start DESC, patient_id""")
 def q_latest_falls(spark, d):
-    _, gm = gold(spark, d)
+    gm = gold_m(spark, d)
     return SV.latest_falls(wall(gm, "window_start"))
 
 
 @register("o09_gold_sample", W() + """
 SELECT patient_id, avg_hr, peak_hr, avg_spo2, mews_score FROM fx_gold_v ORDER BY patient_id, window_start LIMIT 5""")
 def q_sample(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     return SV.gold_sample(gv, ["patient_id", "avg_hr", "peak_hr", "avg_spo2", "mews_score", "window_start"]).drop("window_start")
 
 
@@ -350,7 +350,7 @@ SELECT patient_id, window_start, strftime(window_start, '%Y-%m-%d %H:%M') AS win
   WHEN mews_score = 3 THEN 'High' ELSE 'Critical' END AS severity, least(mews_score, 5) AS mews_bucket
 FROM fx_gold_v""")
 def q_text(spark, d):
-    gv, _ = gold(spark, d)
+    gv = gold_v(spark, d)
     g = SV.with_time_text(wall(gv, "window_start"))
     return g.select("patient_id", "window_start", "window_start_text", fn.fmt_clock("window_start").alias("clock"),
                     fn.severity_label("mews_score").alias("severity"), fn.mews_bucket("mews_score").alias("mews_bucket"))

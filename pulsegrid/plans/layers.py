@@ -16,6 +16,22 @@ from pulsegrid.operators.gold import gold_movement, gold_vitals
 from pulsegrid.plans.fixtures import duck_fixture_ctes, fx_events
 
 
+def silver_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_vitals(route(fx_events(spark, sf_dir))[0])
+
+
+def silver_m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_movement(route(fx_events(spark, sf_dir))[1])
+
+
+def gold_v(spark: SparkSession, sf_dir: str, minutes: int = 10) -> DataFrame:
+    return gold_vitals(silver_v(spark, sf_dir), minutes)
+
+
+def gold_m(spark: SparkSession, sf_dir: str, minutes: int = 10) -> DataFrame:
+    return gold_movement(silver_m(spark, sf_dir), minutes=minutes)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     ev = fx_events(spark, sf_dir)
     v, m, _ = route(ev)

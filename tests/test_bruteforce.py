@@ -10,7 +10,7 @@ from pulsegrid import schemas as S
 from pulsegrid.operators import alerts as AL
 from pulsegrid.operators import datasets as DS
 from pulsegrid.plans.fixtures import fx_watch
-from pulsegrid.plans.layers import gold, silver
+from pulsegrid.plans.layers import gold_v, silver_v
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,14 +60,14 @@ def _mews_spo2(s):
 
 
 def test_gold_vitals_equals_pandas(spark):
-    sv, _ = silver(spark, SF)
+    sv = silver_v(spark, SF)
     pdf = sv.select("patient_id", "timestamp", "heart_rate", "spo2").toPandas()
     pdf["window_start"] = (pdf["timestamp"] // 600 * 600).astype("int64")
     exp = pdf.groupby(["patient_id", "window_start"], as_index=False).agg(
         avg_hr=("heart_rate", "mean"), peak_hr=("heart_rate", "max"),
         avg_spo2=("spo2", "mean"), peak_spo2=("spo2", "max"))
     exp["mews_score"] = exp["avg_hr"].map(_mews_hr) + exp["avg_spo2"].map(_mews_spo2)
-    gv, _ = gold(spark, SF)
+    gv = gold_v(spark, SF)
     from pyspark.sql import functions as F
     got = gv.select("patient_id", F.unix_seconds("window_start").alias("window_start"), "avg_hr", "peak_hr",
                     "avg_spo2", "peak_spo2", "mews_score").toPandas()

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators.clean import route
 from pulsegrid.plans.fixtures import fx_events
-from pulsegrid.plans.layers import gold, silver
+from pulsegrid.plans.layers import gold_m, gold_v, silver_m, silver_v
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,20 +16,20 @@ def test_routing_partitions_input(spark):
 
 
 def test_windows_contain_their_events(spark):
-    sv, _ = silver(spark, SF)
+    sv = silver_v(spark, SF)
     w = sv.select("event_timestamp", F.window("event_timestamp", "10 minutes").alias("w"))
     bad = w.filter(~((F.col("w.start") <= F.col("event_timestamp")) & (F.col("event_timestamp") < F.col("w.end"))))
     assert bad.count() == 0
 
 
 def test_fall_counts_bounded_by_rows(spark):
-    _, sm = silver(spark, SF)
-    _, gm = gold(spark, SF)
+    sm = silver_m(spark, SF)
+    gm = gold_m(spark, SF)
     assert gm.agg(F.sum("fall_events_detected")).first()[0] <= sm.count()
     assert gm.filter(F.col("peak_impact") < F.col("avg_activity")).count() == 0
 
 
 def test_mews_is_sum_of_components(spark):
-    gv, _ = gold(spark, SF)
+    gv = gold_v(spark, SF)
     assert gv.filter(F.col("mews_score") != F.col("mews_hr_score") + F.col("mews_spo2_score")).count() == 0
     assert gv.filter(~F.col("mews_score").between(0, 6)).count() == 0
