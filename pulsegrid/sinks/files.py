@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.scalars import time_parts
@@ -26,19 +26,41 @@ def write_layer(df: DataFrame, base: str, layer: str, entity: str, partitioned:
     is): checking the aggregate itself would run its shuffle a second time.
     ``check_empty=False`` when the caller already knows there are rows.
     """
-    path = f"{base}/{layer}/{entity}"
-    if check_empty and (probe if probe is not None else df).isEmpty():
-        return 0
+    if not observe:
+        _write(df, base, layer, entity, partitioned, mode, probe, check_empty)
+        return None
+    return write_layer_metrics(df, base, layer, entity, partitioned=partitioned, mode=mode, probe=probe,
+                               check_empty=check_empty)["rows"]
+
+
+def write_layer_metrics(df: DataFrame, base: str, layer: str, entity: str, extra: dict[str, Column] | None = None,
+                        partitioned: bool = True, mode: str | None = None, probe: DataFrame | None = None,
+                        check_empty: bool = True) -> dict:
+    """`write_layer` that also returns further aggregates of the written rows
+    (``extra``: name -> aggregate column), observed on the same write. An
+    empty result returns ``{"rows": 0}`` only."""
     obs = Observation(f"rows_{layer}_{entity}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if observe else df
-    w = out.write
+    aggs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (extra or {}).items()]
+    if not _write(df.observe(obs, *aggs), base, layer, entity, partitioned, mode, probe if probe is not None else df,
+                  check_empty):
+        return {"rows": 0}
+    got = dict(obs.get)
+    got["rows"] = int(got["rows"])
+    return got
+
+
+def _write(df: DataFrame, base: str, layer: str, entity: str, partitioned: bool, mode: str | None,
+           probe: DataFrame | None, check_empty: bool) -> bool:
+    if check_empty and (probe if probe is not None else df).isEmpty():
+        return False
+    w = df.write
     if partitioned and "etl_batch_date" in df.columns:
         w = w.partitionBy("etl_batch_date").option("partitionOverwriteMode", "dynamic")
         w = w.mode(mode or "overwrite")
     else:
         w = w.mode(mode or "append")
-    w.parquet(path)
-    return int(obs.get["rows"]) if observe else None
+    w.parquet(f"{base}/{layer}/{entity}")
+    return True
 
 
 def export_csv(df: DataFrame, path: str, header: bool = True) -> None:

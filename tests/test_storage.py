@@ -39,3 +39,45 @@ def test_csv_missing_value_texts(spark):
     rows = read_smartwatch_csv(spark, path).collect()
     assert rows[0]["Activity Level"] is None and rows[0]["Stress Level"] is None
     assert rows[1]["Heart Rate (BPM)"] is None and rows[1]["Activity Level"] == "  Active "
+
+
+def test_write_metrics_observe_the_written_rows(spark):
+    from pyspark.sql import functions as F
+    from pulsegrid.sinks.files import write_layer_metrics
+    base = scratch_path(spark, "lake")
+    df = spark.createDataFrame([("1600", "2024-01-02"), ("1601", "2024-01-01"), ("1602", "2024-01-02")],
+                               "patient_id string, etl_batch_date string")
+    got = write_layer_metrics(df, base, "bronze", "vitals", extra={"dates": F.array_sort(F.collect_set("etl_batch_date"))})
+    assert got == {"rows": 3, "dates": ["2024-01-01", "2024-01-02"]}
+    empty = df.filter("patient_id IS NULL")
+    assert write_layer_metrics(empty, base, "bronze", "movement", extra={"dates": F.collect_set("etl_batch_date")}) == {"rows": 0}
+
+
+def test_gold_skipped_when_no_silver_row_has_event_time(spark):
+    """Silver keeps rows without event time; Gold drops them, so its write is
+    skipped by probing Gold's input instead of running the aggregate twice."""
+    from pulsegrid.plans.etl import EtlResult, run_layers
+    base = scratch_path(spark, "lake")
+    bronze = spark.createDataFrame(
+        [("1600", "vital_monitor", None, 80.0, 97.0, "2024-01-01"),
+         ("1601", "vital_monitor", 1704067200.0, 85.0, 96.0, "2024-01-01")],
+        "patient_id string, device_type string, timestamp double, heart_rate double, spo2 double, etl_batch_date string")
+    res = run_layers(spark, bronze.filter("timestamp IS NULL"), base, EtlResult("r1"), run_log=False)
+    assert res.batch_dates == ["2024-01-01"]
+    assert res.counts[("silver", "vitals")] == 1 and res.counts[("gold", "vitals")] == 0
+    assert ("silver", "movement") in res.skipped
+    assert read_layer(spark, base, "gold", "vitals").count() == 0
+    res = run_layers(spark, bronze, base, EtlResult("r2"), run_log=False)
+    assert res.counts[("gold", "vitals")] == 1
+
+
+def test_has_at_least_small_and_large_thresholds(spark):
+    from pulsegrid.plans import etl
+    df = spark.range(50).repartition(5)
+    assert etl.has_at_least(df, 0) and etl.has_at_least(df, 50) and not etl.has_at_least(df, 51)
+    old = etl.TAKE_LIMIT
+    try:
+        etl.TAKE_LIMIT = 10  # the limit/count path
+        assert etl.has_at_least(df, 50) and not etl.has_at_least(df, 51)
+    finally:
+        etl.TAKE_LIMIT = old
