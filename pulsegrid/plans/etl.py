@@ -89,6 +89,7 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
     track = {} if res.batch_dates else {"dates": F.collect_set("etl_batch_date")}
     dates = set(res.batch_dates)
     v, m, _ = route(bronze)
+    written = {"vitals": v.schema, "movement": m.schema}
     for entity, frame in (("vitals", v), ("movement", m)):
         got = write_layer_metrics(frame, base, "bronze", entity, extra=track, mode=bronze_mode)
         res.counts[("bronze", entity)] = got["rows"]
@@ -100,17 +101,17 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
         "movement": (clean_movement, lambda df: gold_movement(df, fall_threshold, minutes)),
     }
     for entity, (to_silver, to_gold) in steps.items():
-        b = read_layer(spark, base, "bronze", entity)
-        if "etl_batch_date" not in b.columns:  # no Bronze table of this kind yet
-            res.skipped.append(("silver", entity))
-            continue
+        # layers are read back with the schema they were written with: no
+        # footer-reading schema job, and a table never written reads as empty
+        b = read_layer(spark, base, "bronze", entity, schema=written[entity])
         silver = to_silver(b.filter(F.col("etl_batch_date").isin(res.batch_dates)))
         if not has_at_least(silver, min_records):
             res.skipped.append(("silver", entity))
             continue
         # min_records >= 1 has just proven Silver non-empty
         res.counts[("silver", entity)] = write_layer(silver, base, "silver", entity, check_empty=min_records < 1)
-        s = read_layer(spark, base, "silver", entity).filter(F.col("etl_batch_date").isin(res.batch_dates))
+        s = read_layer(spark, base, "silver", entity, schema=silver.schema).filter(
+            F.col("etl_batch_date").isin(res.batch_dates))
         # Gold is empty exactly when no Silver row has a patient and an event time
         keyed = s.dropna(subset=["event_timestamp", "patient_id"])
         res.counts[("gold", entity)] = write_layer(to_gold(s), base, "gold", entity, probe=keyed)
