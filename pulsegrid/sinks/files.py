@@ -100,13 +100,26 @@ def rename_suffix(spark: SparkSession, folder: str, old: str, new: str) -> int:
     return n
 
 
+RUN_LOG_SCHEMA = "etl_run_id string, layer string, data_type string, record_count long, logged_at timestamp_ntz"
+
+
 def run_log_rows(spark: SparkSession, run_id: str, counts: dict[tuple[str, str], int]) -> DataFrame:
     """Batch metadata (K09): one row per written layer table."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = [(run_id, layer, entity, int(n), now) for (layer, entity), n in counts.items()]
-    return spark.createDataFrame(rows, "etl_run_id string, layer string, data_type string, "
-                                       "record_count long, logged_at timestamp_ntz")
+    return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
 
 
 def append_run_log(spark: SparkSession, base: str, run_id: str, counts: dict[tuple[str, str], int]) -> None:
+    """Append the run's metadata; written last, so a logged run completed
+    all of its layer writes."""
     run_log_rows(spark, run_id, counts).write.mode("append").parquet(f"{base}/_run_log")
+
+
+def run_logged(spark: SparkSession, base: str, run_id: str) -> bool:
+    """Whether a run completed (its metadata rows are in the run log)."""
+    from pulsegrid.sources.files import path_exists
+    path = f"{base}/_run_log"
+    if not path_exists(spark, path):
+        return False
+    return not spark.read.schema(RUN_LOG_SCHEMA).parquet(path).filter(F.col("etl_run_id") == run_id).isEmpty()

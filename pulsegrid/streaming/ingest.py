@@ -17,6 +17,7 @@ from pulsegrid import schemas as S
 from pulsegrid.functions.scalars import time_parts
 from pulsegrid.operators.clean import add_lineage, to_envelope, unnest_envelope
 from pulsegrid.plans.etl import EtlResult, run_layers
+from pulsegrid.sinks.files import run_logged
 from pulsegrid.sources.files import CORRUPT, LANDING_GLOB, PARTITION_COLS, _parse_lines
 
 
@@ -45,9 +46,13 @@ def ingest_landing(spark: SparkSession, landing: str, base: str, checkpoint: str
     lines = landing_stream(spark, landing, archive_dir)
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        run_id = micro_batch_run_id(spark, batch_id)
+        if run_logged(spark, base, run_id):
+            # a replay: this micro-batch wrote every layer, but the query
+            # stopped before committing it to the checkpoint
+            return
         parsed = _parse_lines(batch, ["source_file"])
         good = unnest_envelope(parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
-        run_id = f"b{batch_id:06d}"
         bronze = add_lineage(good, run_id, batch_date, source_file=F.col("source_file")).persist()
         try:
             res = EtlResult(run_id, [batch_date] if isinstance(batch_date, str) else [])
@@ -60,6 +65,14 @@ def ingest_landing(spark: SparkSession, landing: str, base: str, checkpoint: str
     return w.start()
 
 
+def micro_batch_run_id(spark: SparkSession, batch_id: int) -> str:
+    """Run id of a micro-batch: stable when the batch is replayed after a
+    restart (the query id is kept in the checkpoint), distinct between
+    queries."""
+    qid = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "query"
+    return f"{qid[:8]}-b{batch_id:06d}"
+
+
 def land_stream(kafka: DataFrame, base: str, kind: str, checkpoint: str,
                 interval: str = "10 minutes") -> StreamingQuery:
     """Kafka records -> JSON-Lines landing files in processing-time Hive
