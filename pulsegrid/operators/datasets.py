@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid.functions.scalars import np_round, percent, text_bar, to_number, value_range_text
 from pulsegrid.operators.clean import standardise_activity
@@ -134,14 +135,18 @@ def _quartiles(x: Column, exact: bool, accuracy: int) -> Column:
     return F.percentile_approx(x.cast("double"), [0.25, 0.5, 0.75], accuracy).cast("array<double>")
 
 
-def describe_numeric(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
+                     accuracy: int = 100_000) -> DataFrame:
     """count, mean, std (sample), min, quartiles (linear interpolation), max
-    per column (A24); one row per column.
+    per column (A24); one row per column. Without ``cols``, every numeric
+    column in frame order, as a pandas describe does.
 
     ``exact`` quartiles merge a value->count map into the final task, so its
     size is the number of distinct values: right for readings of fixed
     precision (the datasets here). For continuous high-cardinality columns
     pass ``exact=False``: a mergeable sketch with rank error 1/accuracy."""
+    if cols is None:
+        cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)

@@ -81,7 +81,9 @@ def q_nulls(spark, d):
     return DS.null_profile(na_tokens_to_null(fx_watch(spark, d)))
 
 
-_NUM = ["heart_rate", "spo2", "step_count", "sleep_duration", "stress_level"]
+# the numeric columns of the cleaned dataset, user id included (a describe of
+# the cleaned table covers every numeric column)
+_NUM = ["user_id", "heart_rate", "spo2", "step_count", "sleep_duration", "stress_level"]
 
 
 @register("a24_describe_clean", W(_WATCH) + " UNION ALL ".join(
@@ -89,7 +91,7 @@ _NUM = ["heart_rate", "spo2", "step_count", "sleep_duration", "stress_level"]
   CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
   round(quantile_cont({c}, 0.75), 6) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM w_clean""" for c in _NUM))
 def q_describe(spark, d):
-    return r6(DS.describe_numeric(_clean(spark, d), _NUM), "mean", "std", "p25", "p50", "p75")
+    return r6(DS.describe_numeric(_clean(spark, d)), "mean", "std", "p25", "p50", "p75")
 
 
 @register("a23_impute_median", W(_WATCH) + """
