@@ -15,7 +15,7 @@ from pulsegrid.operators.clean import route
 from pulsegrid.plans.catalog import W, register
 from pulsegrid.plans.catalog_data import _WATCH, _na_sql, _names_case
 from pulsegrid.plans.etl import run_etl
-from pulsegrid.plans.fixtures import device_fields_only, fx_events, fx_sensor, fx_watch
+from pulsegrid.plans.fixtures import FX_SENSOR_SELECT, device_fields_only, fx_events, fx_watch
 from pulsegrid.plans.layers import r6, wall
 from pulsegrid.session import scratch_path
 from pulsegrid.sinks.files import export_csv, land_batch, rename_suffix
@@ -197,22 +197,36 @@ def q_partitioned(spark, d):
     return SV.avg_hr_by_patient(df, date)
 
 
+# the sensor lines with the file each one is stored in: one file per subject
+# and device/sensor as in the original dataset, each split four ways so a
+# subject holding most readings is still written by four tasks
+_SENSOR_FILE_COLS = ("CAST(1600 + user_id % 51 AS STRING) AS subject, "
+                     "CAST(event_id % 4 AS STRING) AS part")
+
+
 def _sensor_files(spark: SparkSession, d: str) -> str:
-    """Sensor lines as files `data_<n>_<sensor>_<device>.txt` in one folder per device/sensor."""
+    """Sensor lines as files `data_<subject>-<part>_<sensor>_<device>.txt`
+    in one folder per device/sensor; every line of a (subject, part) is in
+    exactly one file."""
+    from pulsegrid.plans.fixtures import FX_SENSOR_SELECT, events
     root = scratch_path(spark, "sensor_raw")
-    fx_sensor(spark, d).write.partitionBy("device_type", "sensor_type").text(root)
+    keys = ["device_type", "sensor_type", "subject", "part"]
+    lines = spark.sql(f"SELECT {FX_SENSOR_SELECT}, {_SENSOR_FILE_COLS} FROM {{events}}", events=events(spark, d))
+    lines.repartition(*keys).write.partitionBy(*keys).text(root)
     jvm = spark.sparkContext._jvm
     rp = jvm.org.apache.hadoop.fs.Path(root)
     fs = rp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     it = fs.listFiles(rp, True)
-    n = 0
     while it.hasNext():
         p = it.next().getPath()
         if p.getName().startswith("part-"):
-            sensor = p.getParent().getName().split("=", 1)[1]
-            device = p.getParent().getParent().getName().split("=", 1)[1]
-            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), f"data_{n}_{sensor}_{device}.txt"))
-            n += 1
+            dirs, q = {}, p.getParent()
+            for _ in keys:
+                k, v = q.getName().split("=", 1)
+                dirs[k] = v
+                q = q.getParent()
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(
+                p.getParent(), f"data_{dirs['subject']}-{dirs['part']}_{dirs['sensor_type']}_{dirs['device_type']}.txt"))
     return root
 
 
@@ -241,7 +255,11 @@ def q_sensor_files(spark, d):
     return r6(DS.sensor_statistics(raw).drop("files"), "x_mean", "y_mean", "z_mean")
 
 
-@register("a21_files_per_dataset")
+@register("a21_files_per_dataset", W() + f"""
+SELECT device_type, sensor_type, count(DISTINCT subject || '-' || part) AS files, count(*) AS total_readings
+FROM (SELECT device_type, sensor_type, subject, part, string_split(rtrim(line, ';'), ',') AS f
+      FROM (SELECT {FX_SENSOR_SELECT}, {_SENSOR_FILE_COLS} FROM events) s WHERE trim(line) <> '') t
+WHERE len(f) <= 6 GROUP BY device_type, sensor_type""")
 def q_files(spark, d):
     raw = _read_all_sensor(spark, _sensor_files(spark, d))
     return raw.groupBy("device_type", "sensor_type").agg(F.count_distinct("source_file").alias("files"),
