@@ -118,3 +118,36 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
     if run_log:
         append_run_log(spark, base, res.run_id, res.counts)
     return res
+
+
+def drop_run(spark: SparkSession, base: str, run_id: str, dates: list[str],
+             entities: tuple[str, ...] = ("vitals", "movement")) -> list[str]:
+    """Take back the Bronze rows an unfinished run appended to ``dates``.
+
+    Used when a micro-batch is replayed after stopping part-way. Each touched
+    Bronze partition is rewritten without the run's rows; the kept rows are
+    checkpointed first (to the shared checkpoint dir) because the overwrite
+    replaces the very files they are read from. A date left without Bronze
+    rows loses its Silver and Gold partitions too (they derive from it
+    alone). Returns the dates that still hold rows, for recomputing."""
+    from pulsegrid.session import shared_dir
+    from pulsegrid.sources.files import delete_path, path_exists
+    shared_dir(spark)  # makes sure a checkpoint dir is set
+    kept: set[str] = set()
+    for entity in entities:
+        if not path_exists(spark, f"{base}/bronze/{entity}"):
+            continue
+        part = read_layer(spark, base, "bronze", entity).filter(F.col("etl_batch_date").isin(dates))
+        if "etl_run_id" not in part.columns or part.filter(F.col("etl_run_id") == run_id).isEmpty():
+            kept.update(dates)  # nothing of this run landed here; partitions stay as they are
+            continue
+        keep = part.filter(F.col("etl_run_id") != run_id).checkpoint()
+        got = write_layer_metrics(keep, base, "bronze", entity, mode="overwrite",
+                                  extra={"dates": F.collect_set("etl_batch_date")})
+        left = set(got.get("dates", []))
+        kept.update(left)
+        for d in set(dates) - left:
+            for layer in ("bronze", "silver", "gold"):
+                delete_path(spark, f"{base}/{layer}/{entity}/etl_batch_date={d}")
+    return sorted(kept)
+

@@ -36,6 +36,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder (e.g. one table partition) if it exists."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
 def _landing_schema(extra: list[T.StructField] | None = None) -> T.StructType:
     return T.StructType(S.LANDING_SCHEMA.fields + (extra or []) + [T.StructField(CORRUPT, T.StringType())])
 

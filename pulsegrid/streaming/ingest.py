@@ -16,9 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pulsegrid import schemas as S
 from pulsegrid.functions.scalars import time_parts
 from pulsegrid.operators.clean import add_lineage, to_envelope, unnest_envelope
-from pulsegrid.plans.etl import EtlResult, run_layers
+from pulsegrid.plans.etl import EtlResult, drop_run, run_layers
 from pulsegrid.sinks.files import run_logged
-from pulsegrid.sources.files import CORRUPT, LANDING_GLOB, PARTITION_COLS, _parse_lines
+from pulsegrid.sources.files import CORRUPT, LANDING_GLOB, PARTITION_COLS, _parse_lines, path_exists
 
 
 def landing_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
@@ -55,7 +55,17 @@ def ingest_landing(spark: SparkSession, landing: str, base: str, checkpoint: str
         good = unnest_envelope(parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
         bronze = add_lineage(good, run_id, batch_date, source_file=F.col("source_file")).persist()
         try:
-            res = EtlResult(run_id, [batch_date] if isinstance(batch_date, str) else [])
+            # the dates this batch writes are noted before its first write; a
+            # note without a run-log entry means an earlier attempt stopped
+            # part-way, and its Bronze rows are taken back first
+            note = f"{base}/_pending/{run_id}"
+            earlier = []
+            if path_exists(spark, note):
+                earlier = drop_run(spark, base, run_id, [r[0] for r in spark.read.schema("d string").json(note).collect()])
+            dates = [batch_date] if isinstance(batch_date, str) else [
+                r[0] for r in bronze.select("etl_batch_date").distinct().collect()]
+            spark.createDataFrame([(d,) for d in dates], "d string").coalesce(1).write.mode("overwrite").json(note)
+            res = EtlResult(run_id, sorted(set(dates) | set(earlier)))
             run_layers(spark, bronze, base, res, min_records, fall_threshold, minutes)
         finally:
             bronze.unpersist()
