@@ -31,3 +31,30 @@ def test_global_figures_use_no_joins(spark):
 def test_gold_aggregates_partially_before_the_shuffle(spark):
     p = _plan(E.queries()["a06_gold_movement"](spark, SF))
     assert "partial_avg" in p and "partial_max" in p and "partial_sum" in p
+
+
+def test_summary_join_reuses_the_aggregates_partitioning(spark):
+    """J02 joins two per-patient aggregates: without a broadcast (large
+    estimates) the sort-merge join adds no exchange of its own."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = _plan(E.queries()["j02_side_by_side"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in p and "CartesianProduct" not in p
+    by_patient = [ln for ln in p.splitlines() if "Exchange hashpartitioning(patient_id" in ln and "window" not in ln]
+    assert len(by_patient) == 2  # one per summary aggregate, none added for the join
+
+
+def test_batch_date_read_prunes_partitions(spark):
+    from pulsegrid.session import scratch_path
+    from pulsegrid.sinks.files import write_layer
+    from pulsegrid.sources.files import read_layer
+    base = scratch_path(spark, "lake")
+    df = spark.createDataFrame([("1600", 1.0, "2024-01-01"), ("1601", 2.0, "2024-01-02")],
+                               "patient_id string, avg_hr double, etl_batch_date string")
+    write_layer(df, base, "gold", "vitals")
+    scan = [ln for ln in _plan(read_layer(spark, base, "gold", "vitals", batch_date="2024-01-02")).splitlines()
+            if "FileScan parquet" in ln][0]
+    assert "PartitionFilters: [isnotnull(etl_batch_date" in scan and "2024-01-02" in scan
