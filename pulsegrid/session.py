@@ -36,8 +36,10 @@ def shared_dir(spark: SparkSession) -> str:
     """Root folder for intermediate tables and stream checkpoints.
 
     Uses the cluster's ``spark.checkpoint.dir`` (a shared file system path).
-    Only when it is unset (local runs, tests) a private folder is created and
-    registered as the checkpoint dir.
+    Only when it is unset in a local session (tests) a private folder is
+    created and registered as the checkpoint dir; on a cluster an unset
+    setting is an error, since a machine-local folder is not visible to the
+    other executors and is lost with them.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -45,6 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
         if jdir.isDefined():
             d = jdir.get()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on the shared file system")
         d = tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
