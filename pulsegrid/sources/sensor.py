@@ -51,8 +51,23 @@ def read_sensor_raw(spark: SparkSession, path: str, sensor_type: str, device_typ
             .withColumns({"sensor_type": F.lit(sensor_type), "device_type": F.lit(device_type)}))
 
 
+# headers up to this many bytes are broadcast to the line scan
+HEADER_BROADCAST_LIMIT = 64 * 1024 * 1024
+
+
+def _sized_broadcast(header: DataFrame, limit: int) -> DataFrame:
+    """Broadcast the per-file headers only when their measured size is under
+    ``limit``: then data lines are matched to their header where they are
+    read, with no shuffle. Beyond it the join stays a shuffle join, where
+    AQE splits a file holding most of the lines across tasks."""
+    size = header.agg(F.sum(F.length("file") + 16 + F.aggregate(
+        "names", F.lit(0), lambda acc, n: acc + F.length(n) + 8)).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(header) if size <= limit else header
+
+
 def read_sensor_features(spark: SparkSession, path: str, sensor_type: str, device_type: str,
-                         columns: list[str] | None = None) -> DataFrame:
+                         columns: list[str] | None = None,
+                         broadcast_limit: int = HEADER_BROADCAST_LIMIT) -> DataFrame:
     """ARFF feature files `data_*_{device}.arff` -> one column per declared
     attribute (S10).
 
@@ -79,8 +94,9 @@ def read_sensor_features(spark: SparkSession, path: str, sensor_type: str, devic
              .select("file", "pos", F.regexp_replace(F.element_at(F.split("t", r"\s+"), 2), '^"+|"+$', "").alias("name")))
     header = (attrs.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("a"))
               .join(data_pos, "file")
-              .select("file", "data_pos", F.transform("a", lambda s: s["name"]).alias("names")))
-    rows = (raw.join(header, "file")
+              .select("file", "data_pos", F.transform("a", lambda s: s["name"]).alias("names"))
+              .persist())
+    rows = (raw.join(_sized_broadcast(header, broadcast_limit), "file")
             .filter((F.struct("blk", "mid") > F.col("data_pos")) & (t != "") & ~F.col("line").startswith("%"))
             .select("file", "names", F.split(t, ",").alias("vals"))
             .filter(F.size("vals") == F.size("names")))

@@ -38,3 +38,17 @@ def test_read_features(spark, tmpdir_fresh):
                     ("Z", "0.7", "0.8", "1600", None), ("Z", "0.7", "0.8", "1601", None)]
     st = feature_statistics(df).collect()[0]
     assert (st.total_samples, st.unique_subjects, st.unique_activities) == (6, 2, 3)
+
+
+def test_header_join_without_broadcast_gives_the_same_rows(spark, tmpdir_fresh):
+    """Above the broadcast limit the headers get no broadcast hint (Spark's
+    own size estimates decide); the rows are the same."""
+    root = local_path(tmpdir_fresh)
+    os.makedirs(root)
+    for s in (1600, 1601):
+        with open(os.path.join(root, f"data_{s}_accel_phone.arff"), "w") as f:
+            f.write(ARFF.format(s=s))
+    small = read_sensor_features(spark, tmpdir_fresh, "accelerometer", "phone")
+    big = read_sensor_features(spark, tmpdir_fresh, "accelerometer", "phone", broadcast_limit=0)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
