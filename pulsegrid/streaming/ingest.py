@@ -18,7 +18,7 @@ from pulsegrid.functions.scalars import time_parts
 from pulsegrid.operators.clean import add_lineage, to_envelope, unnest_envelope
 from pulsegrid.plans.etl import EtlResult, drop_run, run_layers
 from pulsegrid.sinks.files import run_logged
-from pulsegrid.sources.files import CORRUPT, LANDING_GLOB, PARTITION_COLS, _parse_lines, path_exists
+from pulsegrid.sources.files import CORRUPT, LANDING_GLOB, PARTITION_COLS, _parse_lines, delete_path, path_exists
 
 
 def landing_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
@@ -67,6 +67,7 @@ def ingest_landing(spark: SparkSession, landing: str, base: str, checkpoint: str
             spark.createDataFrame([(d,) for d in dates], "d string").coalesce(1).write.mode("overwrite").json(note)
             res = EtlResult(run_id, sorted(set(dates) | set(earlier)))
             run_layers(spark, bronze, base, res, min_records, fall_threshold, minutes)
+            delete_path(spark, note)  # the run log now holds the run
         finally:
             bronze.unpersist()
 

@@ -99,11 +99,13 @@ def test_ingest_replayed_batch_is_not_ingested_twice(spark):
     assert read_layer(spark, base, "gold", "vitals").count() == gold
 
 
-def test_ingest_batch_stopped_part_way_is_redone_once(spark):
-    """A stop inside a micro-batch (Bronze appended, run not logged, batch
-    not committed): the replay takes back that run's Bronze rows and redoes
-    it, so every landing file counts once in every layer."""
-    import shutil
+def test_ingest_batch_stopped_part_way_is_redone_once(spark, monkeypatch):
+    """A micro-batch that fails after its lake writes but before its run-log
+    entry is replayed on restart; the replay takes back that run's Bronze
+    rows and redoes it, so every landing file counts once in every layer."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    import pulsegrid.streaming.ingest as ING
     landing = write_landing(spark, SF)
     base = scratch_path(spark, "lake")
     ckpt = scratch_path(spark, "ckpt")
@@ -113,18 +115,27 @@ def test_ingest_batch_stopped_part_way_is_redone_once(spark):
     more = f"{landing}/more"  # the same lines again: same batch dates
     spark.read.text(landing).write.text(more)
     rename_suffix(spark, more, ".txt", ".jsonl")
-    ingest_landing(spark, landing, base, ckpt, batch_date=date).awaitTermination(300)
-    gold2 = sorted(map(tuple, read_layer(spark, base, "gold", "vitals").drop("etl_batch_date").collect()))
-    assert read_layer(spark, base, "bronze", "vitals").count() == 2 * bronze1
-    shutil.rmtree(os.path.join(local_path(base), "_run_log"))  # the second run never got logged
-    commits = os.path.join(local_path(ckpt), "commits")
-    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
-    for f in (last, f".{last}.crc"):  # ... nor committed
-        if os.path.exists(os.path.join(commits, f)):
-            os.remove(os.path.join(commits, f))
+    real = ING.run_layers
+
+    def stop_before_logging(*args, **kw):
+        real(*args, **{**kw, "run_log": False})
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(ING, "run_layers", stop_before_logging)
+    with pytest.raises(StreamingQueryException):
+        ingest_landing(spark, landing, base, ckpt, batch_date=date).awaitTermination(300)
+    assert read_layer(spark, base, "bronze", "vitals").count() == 2 * bronze1  # written, not logged
+    monkeypatch.setattr(ING, "run_layers", real)
     ingest_landing(spark, landing, base, ckpt, batch_date=date).awaitTermination(300)
     assert read_layer(spark, base, "bronze", "vitals").count() == 2 * bronze1
-    assert sorted(map(tuple, read_layer(spark, base, "gold", "vitals").drop("etl_batch_date").collect())) == gold2
+    # Gold equals a clean run over the same files
+    clean_base, clean_ckpt = scratch_path(spark, "lake"), scratch_path(spark, "ckpt")
+    ingest_landing(spark, landing, clean_base, clean_ckpt, batch_date=date).awaitTermination(300)
+
+    def gold(b):
+        return sorted(map(tuple, read_layer(spark, b, "gold", "vitals").drop("etl_batch_date").collect()))
+    assert gold(base) == gold(clean_base)
+    assert not os.listdir(os.path.join(local_path(base), "_pending"))  # notes go once runs are logged
 
 
 def test_ingest_skips_small_layers(spark):
