@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
-from pulsegrid.functions.scalars import valid_reading
+from pulsegrid.functions.scalars import py_round, valid_reading
 
 _PAYLOAD = ["heart_rate", "spo2_level", "stress_level", "impact_force", "activity_at_time"]
 _NULLS = {"heart_rate": "double", "spo2_level": "double", "stress_level": "int",
@@ -43,10 +43,11 @@ def vitals_rules(t: S.AlertThresholds = S.STANDARD) -> list[Column]:
 
 
 def movement_rules(t: S.AlertThresholds = S.STANDARD) -> list[Column]:
-    """Fall when the magnitude exceeds the threshold; impact to 2 places."""
+    """Fall when the magnitude exceeds the threshold; impact rounded to
+    2 places as the consumer engine's Python `round` does."""
     s = F.col("svm")
     return [F.when(s.isNotNull() & ~F.isnan(s) & (s > t.fall_svm),
-                   _alert("FALL_DETECTED", impact_force=F.bround(s, 2),
+                   _alert("FALL_DETECTED", impact_force=py_round(s, 2),
                           activity_at_time=F.coalesce(F.col("activity_name"), F.lit("unknown"))))]
 
 

@@ -33,3 +33,31 @@ def test_mews_is_sum_of_components(spark):
     gv = gold_v(spark, SF)
     assert gv.filter(F.col("mews_score") != F.col("mews_hr_score") + F.col("mews_spo2_score")).count() == 0
     assert gv.filter(~F.col("mews_score").between(0, 6)).count() == 0
+
+
+def test_py_round_matches_python_round(spark):
+    """The alert's impact rounding equals Python's round on the exact binary
+    value, ties included (where Spark's bround and pandas-style rounding differ)."""
+    import math
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from pulsegrid.functions.scalars import py_round
+
+    ties = [2.675, 31.115, 26.675, 25.125, 135.705, 1.005, -2.675, 0.125, -0.0, 1e12 + 0.125]
+    samples = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.one_of(st.floats(-1e6, 1e6, allow_nan=False),
+                     st.integers(-10**7, 10**7).map(lambda k: k / 1000)))  # decimal ties
+    def collect(x):
+        samples.append(x)
+
+    collect()
+    vals = ties + samples
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "x double")
+           .select(py_round("x", 2)).collect()]
+    for v, g in zip(vals, got):
+        want = round(v, 2)
+        assert g == want and math.copysign(1, g) == math.copysign(1, want), (v, g, want)
