@@ -168,9 +168,11 @@ def time_parts(ts: ColumnOrName) -> dict[str, Column]:
 
 
 def percent(n: ColumnOrName, total: ColumnOrName) -> Column:
-    """Raw percentage n/total*100 (null when total is 0)."""
+    """Raw percentage n/total*100 in double arithmetic, divided first as the
+    profiling script does (29/50*100 is 57.99999999999999, not 58), so text
+    bars built from it have the same length; null when total is 0."""
     t = _c(total)
-    return F.when(t > 0, _c(n) * 100.0 / t)
+    return F.when(t > 0, _c(n).cast("double") / t * 100.0)
 
 
 def text_bar(pct: ColumnOrName, per_point: int = 2) -> Column:

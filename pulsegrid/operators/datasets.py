@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.functions.scalars import np_round, percent, text_bar, to_number, value_range_text
+from pulsegrid.functions.scalars import np_round, percent, py_round, text_bar, to_number, value_range_text
 from pulsegrid.operators.clean import standardise_activity
 
 # --- fixed values: dataset column names and their canonical short names ------
@@ -117,7 +117,7 @@ def cleaning_report(raw: DataFrame) -> DataFrame:
     stack = "stack({n}, {items}) AS (step, check_name, n_rows)".format(
         n=len(steps), items=", ".join(f"{s}, '{d}', s{s}" for s, d in steps))
     return (counts.selectExpr("total", stack)
-            .withColumn("pct_of_input", F.bround(percent("n_rows", "total"), 1))
+            .withColumn("pct_of_input", py_round(percent("n_rows", "total"), 1))
             .select("step", "check_name", "n_rows", "pct_of_input"))
 
 
@@ -184,7 +184,7 @@ def alert_distribution(clean: DataFrame) -> DataFrame:
     items = ", ".join(f"{i}, '{name}', a{i}" for i, (name, _) in enumerate(rules))
     d = agg.selectExpr("total", f"stack({len(rules)}, {items}) AS (rule_order, alert_type, alerts)")
     pct = percent("alerts", "total")
-    return (d.select("alert_type", "alerts", F.bround(pct, 1).alias("pct"),
+    return (d.select("alert_type", "alerts", py_round(pct, 1).alias("pct"),
                      text_bar(pct, 2).alias("bar"), "total", "rule_order")
             .orderBy(F.col("alerts").desc(), "rule_order"))
 

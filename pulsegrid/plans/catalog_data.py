@@ -57,7 +57,7 @@ def q_labels(spark, d):
   (8, 'invalid sleep duration (outside 0-12 hours)'), (9, 'invalid stress level (outside 0-10)'),
   (10, 'missing activity level'), (0, 'kept'))
 SELECT s.step, s.check_name, count(w.step) AS n_rows,
-  round_even(count(w.step) * 100.0 / (SELECT count(*) FROM w_step), 1) AS pct_of_input
+  round_even(CAST(count(w.step) AS DOUBLE) / (SELECT count(*) FROM w_step) * 100, 1) AS pct_of_input
 FROM steps s LEFT JOIN w_step w ON w.step = s.step GROUP BY s.step, s.check_name""".replace("\n, steps", ", steps", 1))
 def q_report(spark, d):
     return DS.cleaning_report(fx_watch(spark, d))
@@ -122,8 +122,8 @@ def q_stress_counts(spark, d):
 d AS (SELECT 0 AS rule_order, 'HIGH_STRESS' AS alert_type, a0 AS alerts, total FROM t UNION ALL
       SELECT 1, 'TACHYCARDIA', a1, total FROM t UNION ALL SELECT 2, 'BRADYCARDIA', a2, total FROM t UNION ALL
       SELECT 3, 'HYPOXIA', a3, total FROM t)
-SELECT alert_type, alerts, round_even(alerts * 100.0 / total, 1) AS pct,
-  repeat('█', CAST(floor(alerts * 100.0 / total * 2) AS INTEGER)) AS bar, total, rule_order
+SELECT alert_type, alerts, round_even(CAST(alerts AS DOUBLE) / total * 100, 1) AS pct,
+  repeat('█', CAST(floor(CAST(alerts AS DOUBLE) / total * 100 * 2) AS INTEGER)) AS bar, total, rule_order
 FROM d ORDER BY alerts DESC, rule_order""".replace("\n, t AS", ", t AS", 1))
 def q_alert_dist(spark, d):
     return DS.alert_distribution(_clean(spark, d))
