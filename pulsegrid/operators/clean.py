@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
 from pulsegrid.functions.scalars import (
-    activity_name, event_time, strip_trailing_semicolons, svm, to_number,
+    activity_name, event_time, py_round, strip_trailing_semicolons, svm, to_number,
 )
 
 
@@ -176,7 +176,7 @@ def vitals_event(df: DataFrame, timestamp=None) -> DataFrame:
 
 def movement_event(df: DataFrame, sensor_type: str | None = "accelerometer") -> DataFrame:
     """Sensor-file row -> movement event (P14): trailing `;` stripped from the
-    axes, ns -> s, magnitude rounded to 4 places. With ``sensor_type`` only
+    axes, ns -> s, magnitude rounded to 4 places as Python `round` does. With ``sensor_type`` only
     rows of that sensor are used (the raw files mix gyroscope in)."""
     if sensor_type is not None and "sensor_type" in df.columns:
         df = df.filter(F.col("sensor_type") == sensor_type)
@@ -189,7 +189,7 @@ def movement_event(df: DataFrame, sensor_type: str | None = "accelerometer") ->
         F.col("activity_code"),
         activity_name("activity_code").alias("activity_name"),
         x.alias("x"), y.alias("y"), z.alias("z"))
-        .withColumn("svm", F.bround(svm(), 4)))
+        .withColumn("svm", py_round(svm(), 4)))
 
 
 def standardise_activity(c: Column | str = "Activity Level") -> Column:
