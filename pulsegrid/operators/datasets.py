@@ -71,15 +71,35 @@ def _first_failed_step() -> Column:
     return expr.otherwise(F.lit(0))
 
 
-def impute_median(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    """Nulls of each column -> that column's median (A23), exact by default
-    (see :func:`describe_numeric` for when to pass ``exact=False``).
+# exact quantiles keep one value->count entry per distinct value in the
+# final task; above this many distinct values a mergeable sketch is used
+EXACT_DISTINCT_LIMIT = 2_000_000
+
+
+def exact_columns(df: DataFrame, cols: list[str], limit: int = EXACT_DISTINCT_LIMIT) -> set[str]:
+    """Columns whose (estimated) number of distinct values is at most
+    ``limit``: one pass of HyperLogLog sketches, partial per task."""
+    got = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    return {c for i, c in enumerate(cols) if got[f"d{i}"] <= limit}
+
+
+def _exact_set(df: DataFrame, cols: list[str], exact: bool | None) -> set[str]:
+    if exact is None:
+        return exact_columns(df, cols)
+    return set(cols) if exact else set()
+
+
+def impute_median(df: DataFrame, cols: list[str], exact: bool | None = None, accuracy: int = 100_000) -> DataFrame:
+    """Nulls of each column -> that column's median (A23); exact unless the
+    column has too many distinct values (see :func:`describe_numeric`).
 
     The medians are one global aggregate used as scalar subqueries, so rows
     are filled in place (no join, no driver round trip)."""
+    ex = _exact_set(df, cols, exact)
+
     def med_of(c):
         x = F.col(c)
-        return F.percentile(x, 0.5) if exact else F.percentile_approx(x.cast("double"), 0.5, accuracy).cast("double")
+        return F.percentile(x, 0.5) if c in ex else F.percentile_approx(x.cast("double"), 0.5, accuracy).cast("double")
     med = df.agg(*[med_of(c).alias(c) for c in cols])
     return df.withColumns({c: F.coalesce(F.col(c), med.select(c).scalar()) for c in cols})
 
@@ -135,24 +155,27 @@ def _quartiles(x: Column, exact: bool, accuracy: int) -> Column:
     return F.percentile_approx(x.cast("double"), [0.25, 0.5, 0.75], accuracy).cast("array<double>")
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
+def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool | None = None,
                      accuracy: int = 100_000) -> DataFrame:
     """count, mean, std (sample), min, quartiles (linear interpolation), max
     per column (A24); one row per column. Without ``cols``, every numeric
     column in frame order, as a pandas describe does.
 
-    ``exact`` quartiles merge a value->count map into the final task, so its
+    Exact quartiles merge a value->count map into the final task, so its
     size is the number of distinct values: right for readings of fixed
-    precision (the datasets here). For continuous high-cardinality columns
-    pass ``exact=False``: a mergeable sketch with rank error 1/accuracy."""
+    precision (the datasets here). By default (``exact=None``) a column gets
+    exact quartiles while its estimated distinct count is at most
+    ``EXACT_DISTINCT_LIMIT``, else a mergeable sketch with rank error
+    1/accuracy; ``exact=True``/``False`` forces one way for every column."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    ex = _exact_set(df, cols, exact)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                  F.min(x).cast("double").alias(f"min{i}"),
-                 _quartiles(x, exact, accuracy).alias(f"q{i}"), F.max(x).cast("double").alias(f"max{i}")]
+                 _quartiles(x, c in ex, accuracy).alias(f"q{i}"), F.max(x).cast("double").alias(f"max{i}")]
     items = ", ".join(f"'{c}', n{i}, mean{i}, std{i}, min{i}, q{i}[0], q{i}[1], q{i}[2], max{i}"
                       for i, c in enumerate(cols))
     return df.agg(*aggs).selectExpr(

@@ -61,3 +61,13 @@ def test_py_round_matches_python_round(spark):
     for v, g in zip(vals, got):
         want = round(v, 2)
         assert g == want and math.copysign(1, g) == math.copysign(1, want), (v, g, want)
+
+
+def test_quantiles_exact_only_for_bounded_distinct_values(spark, monkeypatch):
+    from pulsegrid.operators import datasets as DS
+    df = spark.range(20000).selectExpr("id % 5 AS few", "CAST(id AS DOUBLE) AS many")
+    assert DS.exact_columns(df, ["few", "many"], limit=1000) == {"few"}
+    monkeypatch.setattr(DS, "EXACT_DISTINCT_LIMIT", 1000)
+    d = {r.column_name: r for r in DS.describe_numeric(df).collect()}
+    assert (d["few"].p25, d["few"].p50, d["few"].p75) == (1.0, 2.0, 3.0)  # exact
+    assert abs(d["many"].p50 - 9999.5) <= 20000 / 100_000 + 1  # sketch, rank error 1e-5
