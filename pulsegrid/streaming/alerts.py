@@ -20,10 +20,16 @@ from pulsegrid.operators.clean import parse_value
 
 
 def read_kafka(spark: SparkSession, bootstrap: str, topics: list[str], starting_offsets: str = "latest",
-               fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = 10_000) -> DataFrame:
+               fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = 10_000,
+               min_offsets_per_trigger: int | None = None, max_trigger_delay: str | None = None) -> DataFrame:
     """Kafka topics as one stream (S03/S04): key, value, topic, partition,
     offset, timestamp. The rate cap is a source option (it has no effect as a
-    session setting)."""
+    session setting).
+
+    ``min_offsets_per_trigger`` with ``max_trigger_delay`` gives the landing
+    flush rule "N records or the interval, whichever comes first" (K06): with
+    a short trigger, a batch runs once N records are waiting, or once the
+    delay has passed with any data."""
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", ",".join(topics))
@@ -31,6 +37,9 @@ def read_kafka(spark: SparkSession, bootstrap: str, topics: list[str], starting_
          .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_offsets_per_trigger:
+        r = r.option("minOffsetsPerTrigger", str(min_offsets_per_trigger))
+        r = r.option("maxTriggerDelay", max_trigger_delay or "10m")
     return r.load()
 
 

@@ -87,10 +87,13 @@ def micro_batch_run_id(spark: SparkSession, batch_id: int) -> str:
 def land_stream(kafka: DataFrame, base: str, kind: str, checkpoint: str,
                 interval: str = "10 minutes") -> StreamingQuery:
     """Kafka records -> JSON-Lines landing files in processing-time Hive
-    partitions (K05/K06). A batch is flushed every ``interval``; the record
-    cap is the source's ``maxOffsetsPerTrigger``. Failed batches are retried
-    from the checkpoint, so nothing is dropped or ingested twice. The event
-    is stored decoded under `value`, as the batch reader expects."""
+    partitions (K05/K06). A batch is flushed every ``interval``; for "N
+    records or the interval, whichever first" read the source with
+    ``read_kafka(..., min_offsets_per_trigger=N, max_trigger_delay=interval)``
+    and pass a short ``interval`` (the poll). The record cap is the source's
+    ``maxOffsetsPerTrigger``. Failed batches are retried from the
+    checkpoint, so nothing is dropped or ingested twice. The event is stored
+    decoded under `value`, as the batch reader expects."""
     out = envelope_lines(kafka).withColumns(time_parts(F.current_timestamp()))
     return (out.writeStream.format("json").outputMode("append")
             .partitionBy(*PARTITION_COLS)
