@@ -71,37 +71,74 @@ def _first_failed_step() -> Column:
     return expr.otherwise(F.lit(0))
 
 
-# exact quantiles keep one value->count entry per distinct value in the
-# final task; above this many distinct values a mergeable sketch is used
+# exact quantiles of a column are computed from its (value, frequency)
+# histogram in one task; above this many distinct values a mergeable
+# sketch over the raw values is used instead
 EXACT_DISTINCT_LIMIT = 2_000_000
 
 
-def exact_columns(df: DataFrame, cols: list[str], limit: int = EXACT_DISTINCT_LIMIT) -> set[str]:
-    """Columns whose (estimated) number of distinct values is at most
-    ``limit``: one pass of HyperLogLog sketches, partial per task."""
-    got = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    return {c for i, c in enumerate(cols) if got[f"d{i}"] <= limit}
-
-
-def _exact_set(df: DataFrame, cols: list[str], exact: bool | None) -> set[str]:
-    if exact is None:
-        return exact_columns(df, cols)
-    return set(cols) if exact else set()
+def _long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, v) for every non-null value of the given columns."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("v"))
+                      for c in cols])
+    return df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("v").isNotNull())
+
+
+def value_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, v, n): rows per distinct value of each column. Counted
+    with map-side partial aggregation and a shuffle on (column, value), so a
+    value held by a third of the rows is one partial row per task.
+
+    The histogram is checkpointed to the shared checkpoint dir: the input is
+    scanned once for all the figures read from it, and they survive the loss
+    of an executor."""
+    from pulsegrid.session import shared_dir
+    shared_dir(df.sparkSession)  # a checkpoint dir must be set
+    return _long(df, cols).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+
+
+def quantiles(df: DataFrame, cols: list[str], ps: list[float], exact: bool | None = None,
+              accuracy: int = 100_000, limit: int | None = None,
+              hist: DataFrame | None = None) -> DataFrame:
+    """(column_name, q): quantiles ``ps`` of each column, linear interpolation.
+
+    Exact quantiles come from the value histogram: `percentile(v, p, n)`
+    merges only distinct values, so the one task per column sees at most
+    ``limit`` rows, however many rows and tasks the input has. A column with
+    more distinct values (``exact=None``, the default, decides from the
+    histogram itself; ``exact=False`` for all) gets a `percentile_approx`
+    sketch over its raw values (rank error 1/accuracy)."""
+    limit = EXACT_DISTINCT_LIMIT if limit is None else limit
+    if exact is False:
+        ex = set()
+    else:
+        hist = hist if hist is not None else value_histogram(df, cols)
+        sizes = {r[0]: r[1] for r in hist.groupBy("column_name").count().collect()}  # one row per column
+        ex = {c for c in cols if exact or sizes.get(c, 0) <= limit}
+    parts = []
+    if ex:
+        parts.append(hist.filter(F.col("column_name").isin(sorted(ex))).groupBy("column_name")
+                     .agg(F.percentile("v", ps, F.col("n")).alias("q")))
+    rest = [c for c in cols if c not in ex]
+    if rest:
+        parts.append(_long(df, rest).groupBy("column_name")
+                     .agg(F.percentile_approx("v", ps, accuracy).cast("array<double>").alias("q")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def impute_median(df: DataFrame, cols: list[str], exact: bool | None = None, accuracy: int = 100_000) -> DataFrame:
-    """Nulls of each column -> that column's median (A23); exact unless the
-    column has too many distinct values (see :func:`describe_numeric`).
-
-    The medians are one global aggregate used as scalar subqueries, so rows
-    are filled in place (no join, no driver round trip)."""
-    ex = _exact_set(df, cols, exact)
+    """Nulls of each column -> that column's median (A23), exact from the
+    value histogram unless the column has too many distinct values (see
+    :func:`quantiles`).
 
-    def med_of(c):
-        x = F.col(c)
-        return F.percentile(x, 0.5) if c in ex else F.percentile_approx(x.cast("double"), 0.5, accuracy).cast("double")
-    med = df.agg(*[med_of(c).alias(c) for c in cols])
-    return df.withColumns({c: F.coalesce(F.col(c), med.select(c).scalar()) for c in cols})
+    The medians are a few-row frame used as scalar subqueries, so rows are
+    filled in place (no join, no driver round trip)."""
+    med = quantiles(df, cols, [0.5], exact, accuracy)
+    return df.withColumns({c: F.coalesce(F.col(c), med.filter(F.col("column_name") == c)
+                                         .select(F.col("q")[0]).scalar()) for c in cols})
 
 
 def clean_smartwatch(raw: DataFrame, impute: bool = False) -> DataFrame:
@@ -149,37 +186,39 @@ def null_profile(df: DataFrame) -> DataFrame:
     return agg.selectExpr(f"stack({len(cols)}, {items}) AS (column_name, nulls)")
 
 
-def _quartiles(x: Column, exact: bool, accuracy: int) -> Column:
-    if exact:
-        return F.percentile(x, [0.25, 0.5, 0.75])
-    return F.percentile_approx(x.cast("double"), [0.25, 0.5, 0.75], accuracy).cast("array<double>")
-
-
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool | None = None,
                      accuracy: int = 100_000) -> DataFrame:
     """count, mean, std (sample), min, quartiles (linear interpolation), max
     per column (A24); one row per column. Without ``cols``, every numeric
     column in frame order, as a pandas describe does.
 
-    Exact quartiles merge a value->count map into the final task, so its
-    size is the number of distinct values: right for readings of fixed
-    precision (the datasets here). By default (``exact=None``) a column gets
-    exact quartiles while its estimated distinct count is at most
-    ``EXACT_DISTINCT_LIMIT``, else a mergeable sketch with rank error
-    1/accuracy; ``exact=True``/``False`` forces one way for every column."""
+    The input is scanned once, into the per-column value histogram
+    (checkpointed; one row per distinct value). All figures come from
+    it: count, mean, min and max as sums over it, the standard deviation in
+    two passes over it (mean first, then squared deviations), and the
+    quartiles as in :func:`quantiles`."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    ex = _exact_set(df, cols, exact)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c)
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
-                 F.min(x).cast("double").alias(f"min{i}"),
-                 _quartiles(x, c in ex, accuracy).alias(f"q{i}"), F.max(x).cast("double").alias(f"max{i}")]
-    items = ", ".join(f"'{c}', n{i}, mean{i}, std{i}, min{i}, q{i}[0], q{i}[1], q{i}[2], max{i}"
-                      for i, c in enumerate(cols))
-    return df.agg(*aggs).selectExpr(
-        f"stack({len(cols)}, {items}) AS (column_name, count, mean, std, min, p25, p50, p75, max)")
+    hist = value_histogram(df, cols)
+    base = hist.groupBy("column_name").agg(
+        F.sum("n").alias("count"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    # one row per described column: a bounded broadcast
+    dev = (hist.join(F.broadcast(base.select("column_name", F.col("mean").alias("m"), F.col("count").alias("c"))),
+                     "column_name")
+           .groupBy("column_name")
+           .agg(F.when(F.first("c") > 1, F.sqrt(F.sum(F.col("n") * (F.col("v") - F.col("m")) ** 2) / (F.first("c") - 1)))
+                .alias("std")))
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], exact, accuracy, hist=hist)
+    # the described columns themselves (metadata, one row each) drive the
+    # result, so a column without values still gets its row (count 0)
+    names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "column_name string, ord int")
+    out = (names.join(F.broadcast(base), "column_name", "left").join(F.broadcast(dev), "column_name", "left")
+           .join(F.broadcast(q), "column_name", "left")
+           .select("ord", "column_name", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"), "mean",
+                   "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"),
+                   "max"))
+    return out.orderBy("ord").drop("ord")
 
 
 def value_counts(df: DataFrame, col: str, by_value: bool = False) -> DataFrame:

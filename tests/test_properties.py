@@ -64,10 +64,16 @@ def test_py_round_matches_python_round(spark):
 
 
 def test_quantiles_exact_only_for_bounded_distinct_values(spark, monkeypatch):
+    """Exact quartiles come from the value histogram while a column's
+    distinct values are bounded; beyond the limit a sketch is used."""
     from pulsegrid.operators import datasets as DS
-    df = spark.range(20000).selectExpr("id % 5 AS few", "CAST(id AS DOUBLE) AS many")
-    assert DS.exact_columns(df, ["few", "many"], limit=1000) == {"few"}
-    monkeypatch.setattr(DS, "EXACT_DISTINCT_LIMIT", 1000)
+    df = spark.range(20000).selectExpr("id % 5 AS few", "CAST(id AS DOUBLE) AS many", "CAST(NULL AS DOUBLE) AS none")
+    q = {r.column_name: r.q for r in DS.quantiles(df, ["few", "many"], [0.25, 0.5], limit=1000).collect()}
+    assert q["few"] == [1.0, 2.0]  # exact, interpolated
+    assert abs(q["many"][1] - 9999.5) <= 1.5 and q["many"][1] in {float(v) for v in range(20000)}  # a sketch value
+    monkeypatch.setattr(DS, "EXACT_DISTINCT_LIMIT", 10**9)
     d = {r.column_name: r for r in DS.describe_numeric(df).collect()}
-    assert (d["few"].p25, d["few"].p50, d["few"].p75) == (1.0, 2.0, 3.0)  # exact
-    assert abs(d["many"].p50 - 9999.5) <= 20000 / 100_000 + 1  # sketch, rank error 1e-5
+    assert (d["many"].p25, d["many"].p50, d["many"].p75) == (4999.75, 9999.5, 14999.25)  # exact
+    assert d["few"]["count"] == 20000 and abs(d["many"].std - 5773.647) < 1e-3
+    assert d["none"]["count"] == 0 and d["none"].mean is None and d["none"].p50 is None
+    assert [r.column_name for r in DS.describe_numeric(df).collect()] == ["few", "many", "none"]
