@@ -40,7 +40,7 @@ TAKE_LIMIT = 10_000
 def has_at_least(df: DataFrame, n: int) -> bool:
     """`len(df) >= n` without counting everything (ST05): stops after n rows.
 
-    Small thresholds use `take` on an empty projection (incremental partition
+    Small thresholds use `take` on a constant projection (incremental partition
     scan); large ones `limit(n).count()` (every partition stops after n rows,
     nothing but the count reaches the driver)."""
     if n <= 0:
