@@ -58,3 +58,24 @@ def test_batch_date_read_prunes_partitions(spark):
     scan = [ln for ln in _plan(read_layer(spark, base, "gold", "vitals", batch_date="2024-01-02")).splitlines()
             if "FileScan parquet" in ln][0]
     assert "PartitionFilters: [isnotnull(etl_batch_date" in scan and "2024-01-02" in scan
+
+
+def test_landing_partition_filters_prune_directories(spark):
+    """Filters on the zero-padded time parts reach the scan as partition
+    filters, so other folders are never listed into the read."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from pulsegrid.session import local_path, scratch_path
+    from pulsegrid.sources.files import read_landing_partitions
+    base = scratch_path(spark, "landing")
+    for day, hr in (("01", 80), ("02", 90)):
+        d = os.path.join(local_path(base), "year=2024", "month=01", f"day={day}", "hour=00", "minute=00")
+        os.makedirs(d)
+        with open(os.path.join(d, "part.jsonl"), "w") as f:
+            f.write('{"patient_id": "1600", "device_type": "vital_monitor", "timestamp": 1.0, "heart_rate": %d}\n' % hr)
+    df = read_landing_partitions(spark, base).filter((F.col("year") == "2024") & (F.col("day") == "02"))
+    scan = [ln for ln in _plan(df).splitlines() if "FileScan" in ln][0]
+    assert "PartitionFilters: [" in scan and "(day" in scan
+    assert [r.heart_rate for r in df.select("heart_rate").collect()] == [90.0]
