@@ -112,3 +112,23 @@ def test_alert_rules_match_python_model(spark, rows, preset, stress):
     exp = sorted((f"p{i}", a) for i, (hr, sp, sl) in enumerate(rows)
                  for a in _py_alerts({"heart_rate": hr, "spo2": sp, "stress_level": sl}, t))
     assert got == exp
+
+
+def test_impute_median_matches_pandas(spark):
+    """Median imputation (A23) against pandas `fillna(median())` on the typed
+    smartwatch rows, which still hold nulls before the range filters."""
+    typed = DS.typed_smartwatch(fx_watch(spark, SF))
+    cols = ["heart_rate", "spo2", "sleep_duration", "stress_level"]
+    pdf = typed.select(*cols).toPandas()
+    want = pdf.fillna({c: pdf[c].median() for c in cols})
+    got = DS.impute_median(typed, cols).select(*cols).toPandas()
+    key = lambda d: sorted(map(tuple, d.round(9).to_numpy().tolist()))
+    assert pdf.isna().any().any() and key(got) == key(want)
+
+
+def test_cleaning_with_imputation_changes_no_row(spark):
+    """The range filters drop every null the imputation could fill."""
+    raw = fx_watch(spark, SF)
+    a = sorted(map(tuple, DS.clean_smartwatch(raw).collect()))
+    b = sorted(map(tuple, DS.clean_smartwatch(raw, impute=True).collect()))
+    assert a == b and len(a) > 0
