@@ -44,6 +44,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
+def touch_path(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+
 def _landing_schema(extra: list[T.StructField] | None = None) -> T.StructType:
     return T.StructType(S.LANDING_SCHEMA.fields + (extra or []) + [T.StructField(CORRUPT, T.StringType())])
 

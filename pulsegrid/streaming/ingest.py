@@ -18,7 +18,7 @@ from pulsegrid.functions.scalars import time_parts
 from pulsegrid.operators.clean import add_lineage, to_envelope, unnest_envelope
 from pulsegrid.plans.etl import EtlResult, drop_run, run_layers
 from pulsegrid.sinks.files import run_logged
-from pulsegrid.sources.files import CORRUPT, LANDING_GLOB, PARTITION_COLS, _parse_lines, delete_path, path_exists
+from pulsegrid.sources.files import CORRUPT, LANDING_GLOB, PARTITION_COLS, _parse_lines, delete_path, path_exists, touch_path
 
 
 def landing_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
@@ -47,27 +47,38 @@ def ingest_landing(spark: SparkSession, landing: str, base: str, checkpoint: str
 
     def each(batch: DataFrame, batch_id: int) -> None:
         run_id = micro_batch_run_id(spark, batch_id)
-        if run_logged(spark, base, run_id):
+        done = f"{base}/_done/{run_id}"
+        note = f"{base}/_pending/{run_id}"
+
+        def finish() -> None:
+            touch_path(spark, done)
+            delete_path(spark, note)
+            if batch_id >= KEEP_DONE_MARKERS:  # only the newest batch can be replayed
+                delete_path(spark, f"{base}/_done/{micro_batch_run_id(spark, batch_id - KEEP_DONE_MARKERS)}")
+
+        if path_exists(spark, done):
             # a replay: this micro-batch wrote every layer, but the query
             # stopped before committing it to the checkpoint
             return
+        earlier = []
+        if path_exists(spark, note):
+            # an earlier attempt noted its dates; the run log (written last)
+            # tells whether it completed or stopped part-way
+            if run_logged(spark, base, run_id):
+                finish()
+                return
+            earlier = drop_run(spark, base, run_id, [r[0] for r in spark.read.schema("d string").json(note).collect()])
         parsed = _parse_lines(batch, ["source_file"])
         good = unnest_envelope(parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
         bronze = add_lineage(good, run_id, batch_date, source_file=F.col("source_file")).persist()
         try:
-            # the dates this batch writes are noted before its first write; a
-            # note without a run-log entry means an earlier attempt stopped
-            # part-way, and its Bronze rows are taken back first
-            note = f"{base}/_pending/{run_id}"
-            earlier = []
-            if path_exists(spark, note):
-                earlier = drop_run(spark, base, run_id, [r[0] for r in spark.read.schema("d string").json(note).collect()])
+            # the dates this batch writes are noted before its first write
             dates = [batch_date] if isinstance(batch_date, str) else [
                 r[0] for r in bronze.select("etl_batch_date").distinct().collect()]
             spark.createDataFrame([(d,) for d in dates], "d string").coalesce(1).write.mode("overwrite").json(note)
             res = EtlResult(run_id, sorted(set(dates) | set(earlier)))
             run_layers(spark, bronze, base, res, min_records, fall_threshold, minutes)
-            delete_path(spark, note)  # the run log now holds the run
+            finish()
         finally:
             bronze.unpersist()
 
@@ -76,6 +87,11 @@ def ingest_landing(spark: SparkSession, landing: str, base: str, checkpoint: str
     return w.start()
 
 
+# done markers of this many recent micro-batches are kept (a restart can only
+# replay the newest one)
+KEEP_DONE_MARKERS = 10
+
+
 def micro_batch_run_id(spark: SparkSession, batch_id: int) -> str:
     """Run id of a micro-batch: stable when the batch is replayed after a
     restart (the query id is kept in the checkpoint), distinct between

@@ -138,6 +138,32 @@ def test_ingest_batch_stopped_part_way_is_redone_once(spark, monkeypatch):
     assert not os.listdir(os.path.join(local_path(base), "_pending"))  # notes go once runs are logged
 
 
+def test_ingest_batch_stopped_after_logging_is_not_redone(spark, monkeypatch):
+    """A stop between the run-log entry and the done marker: on restart the
+    logged run counts as complete (no second Bronze append, no second log)."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    import pulsegrid.streaming.ingest as ING
+    landing = write_landing(spark, SF)
+    base = scratch_path(spark, "lake")
+    ckpt = scratch_path(spark, "ckpt")
+    date = F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd")
+
+    def lost(*a, **k):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(ING, "touch_path", lost)
+    with pytest.raises(StreamingQueryException):
+        ingest_landing(spark, landing, base, ckpt, batch_date=date).awaitTermination(300)
+    bronze = read_layer(spark, base, "bronze", "vitals").count()
+    monkeypatch.undo()
+    q = ingest_landing(spark, landing, base, ckpt, batch_date=date)
+    q.awaitTermination(300)
+    assert read_layer(spark, base, "bronze", "vitals").count() == bronze > 0
+    log = spark.read.parquet(f"{base}/_run_log")
+    assert log.count() == log.select("layer", "data_type").distinct().count()  # one entry per table
+
+
 def test_ingest_skips_small_layers(spark):
     landing = write_landing(spark, SF)
     base = scratch_path(spark, "lake")
