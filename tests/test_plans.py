@@ -79,3 +79,15 @@ def test_landing_partition_filters_prune_directories(spark):
     scan = [ln for ln in _plan(df).splitlines() if "FileScan" in ln][0]
     assert "PartitionFilters: [" in scan and "(day" in scan
     assert [r.heart_rate for r in df.select("heart_rate").collect()] == [90.0]
+
+
+def test_histogram_range_subqueries_reuse_the_gold_shuffle(spark):
+    """A15's min/max scalar subqueries are merged into one and read the
+    main plan's Gold exchange: the input is scanned once."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = _plan(E.queries()["a15_activity_histogram"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert p.count("FileScan") == 1 and "ReusedExchange" in p
