@@ -42,10 +42,11 @@ def shared_dir(spark: SparkSession) -> str:
     other executors and is lost with them.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if jdir.isDefined():
-            d = jdir.get()
+    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if d and not jdir.isDefined():  # set on the session after the context started
+        spark.sparkContext.setCheckpointDir(d)
+    if not d and jdir.isDefined():
+        d = jdir.get()
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder on the shared file system")
