@@ -19,11 +19,11 @@ def write_layer(df: DataFrame, base: str, layer: str, entity: str, partitioned:
     Partitioned by `etl_batch_date` with dynamic partition overwrite, so a
     rerun of a batch replaces exactly that batch (idempotent). The row count
     comes from an Observation on the same write - no extra pass - and an
-    empty result writes nothing.
-
-    The empty check stops at the first row of a narrow plan. For an
-    aggregate, pass its input as ``probe`` (empty exactly when the aggregate
-    is): checking the aggregate itself would run its shuffle a second time.
+    empty result writes nothing: a partitioned write of no rows creates no
+    files and replaces no partition, so it needs no check. Other writes are
+    checked first, stopping at the first row of a narrow plan; for an
+    aggregate pass its input as ``probe`` (empty exactly when the aggregate
+    is), since checking the aggregate itself would run its shuffle twice.
     ``check_empty=False`` when the caller already knows there are rows.
     """
     if not observe:
@@ -37,8 +37,8 @@ def write_layer_metrics(df: DataFrame, base: str, layer: str, entity: str, extra
                         partitioned: bool = True, mode: str | None = None, probe: DataFrame | None = None,
                         check_empty: bool = True) -> dict:
     """`write_layer` that also returns further aggregates of the written rows
-    (``extra``: name -> aggregate column), observed on the same write. An
-    empty result returns ``{"rows": 0}`` only."""
+    (``extra``: name -> aggregate column), observed on the same write. A
+    non-partitioned write skipped as empty returns ``{"rows": 0}`` only."""
     obs = Observation(f"rows_{layer}_{entity}")
     aggs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (extra or {}).items()]
     if not _write(df.observe(obs, *aggs), base, layer, entity, partitioned, mode, probe if probe is not None else df,
@@ -51,10 +51,11 @@ def write_layer_metrics(df: DataFrame, base: str, layer: str, entity: str, extra
 
 def _write(df: DataFrame, base: str, layer: str, entity: str, partitioned: bool, mode: str | None,
            probe: DataFrame | None, check_empty: bool) -> bool:
-    if check_empty and (probe if probe is not None else df).isEmpty():
+    by_date = partitioned and "etl_batch_date" in df.columns
+    if check_empty and not by_date and (probe if probe is not None else df).isEmpty():
         return False
     w = df.write
-    if partitioned and "etl_batch_date" in df.columns:
+    if by_date:
         w = w.partitionBy("etl_batch_date").option("partitionOverwriteMode", "dynamic")
         w = w.mode(mode or "overwrite")
     else:

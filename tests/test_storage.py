@@ -50,7 +50,9 @@ def test_write_metrics_observe_the_written_rows(spark):
     got = write_layer_metrics(df, base, "bronze", "vitals", extra={"dates": F.array_sort(F.collect_set("etl_batch_date"))})
     assert got == {"rows": 3, "dates": ["2024-01-01", "2024-01-02"]}
     empty = df.filter("patient_id IS NULL")
-    assert write_layer_metrics(empty, base, "bronze", "movement", extra={"dates": F.collect_set("etl_batch_date")}) == {"rows": 0}
+    got = write_layer_metrics(empty, base, "bronze", "movement", extra={"dates": F.collect_set("etl_batch_date")})
+    assert got == {"rows": 0, "dates": []}
+    assert read_layer(spark, base, "bronze", "movement").count() == 0  # no files were written
 
 
 def test_gold_skipped_when_no_silver_row_has_event_time(spark):
