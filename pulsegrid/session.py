@@ -26,7 +26,10 @@ def get_session(master: str | None = None, app: str = "pulsegrid",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
+         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+         # checkpointed intermediates (value histograms, Bronze take-backs)
+         # are deleted once no longer referenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b.getOrCreate()
