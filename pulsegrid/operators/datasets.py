@@ -186,6 +186,10 @@ def null_profile(df: DataFrame) -> DataFrame:
     return agg.selectExpr(f"stack({len(cols)}, {items}) AS (column_name, nulls)")
 
 
+DESCRIBE_SCHEMA = ("column_name string, count long, mean double, std double, min double, p25 double, "
+                   "p50 double, p75 double, max double")
+
+
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool | None = None,
                      accuracy: int = 100_000) -> DataFrame:
     """count, mean, std (sample), min, quartiles (linear interpolation), max
@@ -199,6 +203,8 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool |
     quartiles as in :func:`quantiles`."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    if not cols:
+        return df.sparkSession.createDataFrame([], DESCRIBE_SCHEMA)
     hist = value_histogram(df, cols)
     base = hist.groupBy("column_name").agg(
         F.sum("n").alias("count"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),

@@ -77,3 +77,9 @@ def test_quantiles_exact_only_for_bounded_distinct_values(spark, monkeypatch):
     assert d["few"]["count"] == 20000 and abs(d["many"].std - 5773.647) < 1e-3
     assert d["none"]["count"] == 0 and d["none"].mean is None and d["none"].p50 is None
     assert [r.column_name for r in DS.describe_numeric(df).collect()] == ["few", "many", "none"]
+
+
+def test_describe_without_numeric_columns_is_empty(spark):
+    from pulsegrid.operators import datasets as DS
+    out = DS.describe_numeric(spark.createDataFrame([("a",)], "s string"))
+    assert out.count() == 0 and out.columns[:2] == ["column_name", "count"]
