@@ -186,6 +186,22 @@ def null_profile(df: DataFrame) -> DataFrame:
     return agg.selectExpr(f"stack({len(cols)}, {items}) AS (column_name, nulls)")
 
 
+def _describe_sketched(df: DataFrame, cols: list[str], accuracy: int) -> DataFrame:
+    """Describe without a value histogram (continuous columns): one global
+    aggregate of mergeable states - count, mean, Welford variance, min, max
+    and a quantile sketch per column."""
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(f"`{c}`").cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
+                 F.min(x).alias(f"min{i}"), F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
+                 F.max(x).alias(f"max{i}")]
+    items = ", ".join(f"'{c}', n{i}, mean{i}, std{i}, min{i}, q{i}[0], q{i}[1], q{i}[2], max{i}"
+                      for i, c in enumerate(cols))
+    return df.agg(*aggs).selectExpr(
+        f"stack({len(cols)}, {items}) AS (column_name, count, mean, std, min, p25, p50, p75, max)")
+
+
 DESCRIBE_SCHEMA = ("column_name string, count long, mean double, std double, min double, p25 double, "
                    "p50 double, p75 double, max double")
 
@@ -200,11 +216,15 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool |
     (checkpointed; one row per distinct value). All figures come from
     it: count, mean, min and max as sums over it, the standard deviation in
     two passes over it (mean first, then squared deviations), and the
-    quartiles as in :func:`quantiles`."""
+    quartiles as in :func:`quantiles`. With ``exact=False`` no histogram is
+    built (right for continuous columns, whose histogram would be as large
+    as the column): one aggregate of mergeable states and sketches."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     if not cols:
         return df.sparkSession.createDataFrame([], DESCRIBE_SCHEMA)
+    if exact is False:
+        return _describe_sketched(df, cols, accuracy)
     hist = value_histogram(df, cols)
     base = hist.groupBy("column_name").agg(
         F.sum("n").alias("count"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
