@@ -162,7 +162,7 @@ def q_threshold(spark, d):
     parts = []
     for ent in ("vitals", "movement"):
         t = read_layer(spark, base, "silver", ent)
-        written = ("silver", ent) not in res.skipped
+        written = ("silver", ent) not in res.skipped and ("bronze", "all") not in res.skipped
         parts.append(t.agg(F.lit(ent).alias("data_type"), F.lit(written).alias("written"),
                            F.count(F.lit(1)).alias("silver_rows")))
     return parts[0].unionByName(parts[1])

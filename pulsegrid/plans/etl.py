@@ -74,6 +74,14 @@ def run_etl(spark: SparkSession, landing: str, base: str, run_id: str | None = N
     if isinstance(batch_date, str):
         res.batch_dates = [batch_date]
     try:
+        if min_records > 1 and not has_at_least(bronze, min_records):
+            # too few landing records: no layer is written and the files stay
+            # in landing for a later run (ST05); a threshold of 1 needs no
+            # check, since an empty run writes no files. (The streaming
+            # ingestion cannot defer consumed files, so it keeps Bronze and
+            # applies the threshold to Silver only.)
+            res.skipped.append(("bronze", "all"))
+            return res
         return run_layers(spark, bronze, base, res, min_records, fall_threshold, minutes, run_log, bronze_mode)
     finally:
         bronze.unpersist()

@@ -83,3 +83,19 @@ def test_has_at_least_small_and_large_thresholds(spark):
         assert etl.has_at_least(df, 50) and not etl.has_at_least(df, 51)
     finally:
         etl.TAKE_LIMIT = old
+
+
+def test_too_few_landing_records_write_no_layer(spark):
+    """ST05 on the raw records of a batch run: below the threshold nothing is
+    written (the landing files stay for a later run)."""
+    from pulsegrid.plans.etl import run_etl
+    landing, base = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    os.makedirs(local_path(landing))
+    with open(os.path.join(local_path(landing), "a.jsonl"), "w") as f:
+        f.write('{"patient_id": "1600", "device_type": "vital_monitor", "timestamp": 1704067200.0, '
+                '"heart_rate": 80, "spo2": 97}\n')
+    res = run_etl(spark, landing, base, batch_date="2024-01-01", min_records=2, run_log=False)
+    assert res.skipped == [("bronze", "all")] and not res.counts
+    assert read_layer(spark, base, "bronze", "vitals").count() == 0
+    res = run_etl(spark, landing, base, batch_date="2024-01-01", min_records=1, run_log=False)
+    assert res.counts[("bronze", "vitals")] == 1 and res.counts[("gold", "vitals")] == 1
