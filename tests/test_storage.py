@@ -99,3 +99,36 @@ def test_too_few_landing_records_write_no_layer(spark):
     assert read_layer(spark, base, "bronze", "vitals").count() == 0
     res = run_etl(spark, landing, base, batch_date="2024-01-01", min_records=1, run_log=False)
     assert res.counts[("bronze", "vitals")] == 1 and res.counts[("gold", "vitals")] == 1
+
+
+def test_cluster_session_without_checkpoint_dir_is_refused():
+    """Outside local mode no machine-local scratch folder is made up."""
+    import pytest
+
+    from pulsegrid.session import shared_dir
+
+    class _Unset:
+        def isDefined(self):
+            return False
+
+    class _Ctx:
+        master = "yarn"
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                class _S:
+                    def getCheckpointDir(self):
+                        return _Unset()
+                return _S()
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Ctx()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_Session())
