@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsegrid.llm import cuckoo_dedup, decontaminate, golay_simhash, importance
-from pulsegrid.llm.common import read_table
-from pulsegrid.session import scratch_path
+from pulsegrid.llm import cuckoo_dedup, decontaminate, golay_simhash, importance, pieces
+from pulsegrid.llm.common import Scratch, read_table
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -38,19 +37,26 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
                           .otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of each document left."""
+    return pieces.encode(docs)
+
+
 STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
-          ("decontamination", decontamination)]
+          ("decontamination", decontamination), ("tokens", tokens)]
 
 # hashed n-gram sampling, SimHash and piece search have no SQL form
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each written and read again."""
-    root = scratch_path(spark, "pipeline")
-    docs = read_table(spark, sf_dir, "documents")
+    """The stages applied to ``documents``, each written and read again; a
+    stage's table is removed once its successor is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(f"{root}/{name}")
-        docs = spark.read.schema(out.schema).parquet(f"{root}/{name}")
+        table = Scratch(spark, f"pipeline-{name}")
+        docs = table.save(stage(spark, docs, sf_dir))
+        if before is not None:
+            before.remove()
+        before = table
     return docs

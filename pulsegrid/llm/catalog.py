@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsegrid.llm import cuckoo_dedup, decontaminate, golay_simhash, importance, line_dedup
+from pulsegrid.llm import cuckoo_dedup, decontaminate, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces
 from pulsegrid.llm.common import read_table
 
 QUERIES: dict = {}
@@ -17,6 +17,12 @@ def query(f):
     return f
 
 
+@query
+def op1_log_bilinear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the unigram base and the model."""
+    return lm_score.score(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document what line deduplication removes and the digest of the rest."""
@@ -57,6 +63,12 @@ FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id LEFT JOIN kept k ON d.d
 """
 
 
+@query
+def op4_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    return pieces.encode(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -114,3 +126,33 @@ FROM norm LEFT JOIN marked m ON id = m.doc_id LEFT JOIN items t ON id = t.doc_id
 def op9_importance_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight of every document and whether Gumbel top-k draws it."""
     return importance.importance(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_lpf_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document under 400-byte strings that start elsewhere too."""
+    r = lpf_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"), length=400, keep="none")
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"])
+    return r.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"),
+                    removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                    F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+# hex digits stand for the bytes: 800 digits are 400 bytes
+ORACLES["op10_lpf_substring_dedup"] = """
+WITH x AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5(substring(h, 2 * i + 1, 800)) AS k
+      FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM x WHERE length(h) >= 800)),
+d AS (SELECT doc_id, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM d),
+b AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i - p > 400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM g),
+spans AS (SELECT doc_id, n, min(i) AS s, max(i) + 400 AS e FROM b GROUP BY doc_id, n),
+gaps AS (SELECT doc_id, s, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS a FROM spans),
+kept AS (SELECT g.doc_id, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last,
+                string_agg(substring(h, 2 * a + 1, 2 * (s - a)), '' ORDER BY s) AS left_over
+         FROM gaps g JOIN x ON g.doc_id = x.doc_id GROUP BY g.doc_id)
+SELECT x.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(left_over || substring(h, 2 * last + 1), h))) AS kept_sha256
+FROM x LEFT JOIN kept k ON x.doc_id = k.doc_id
+"""
