@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsegrid.llm import cuckoo_dedup, decontaminate, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces
+from pulsegrid.llm import cuckoo_dedup, decontaminate, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces, url_equivalence
 from pulsegrid.llm.common import read_table
 
 QUERIES: dict = {}
@@ -23,6 +23,35 @@ def op1_log_bilinear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(read_table(spark, sf_dir, "documents"))
 
 
+# fixed values: the rules of the query's contract
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query
+def op2_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url by rules and redirect equivalence."""
+    return url_equivalence.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+# exact where no page declares a canonical or refresh target, as in the given
+# tables; the propagation itself is tested against brute force
+ORACLES["op2_url_equivalence"] = r"""
+WITH p AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS r FROM pages),
+q AS (
+  SELECT page_id, translate(regexp_extract(coalesce(r, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(r, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+rules(kind, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                             ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+fit AS (
+  SELECT page_id, host, path, h || rules.p AS rule, kind,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(h || rules.p) DESC NULLS LAST) AS n
+  FROM q LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, rules.p))
+SELECT page_id, host, path, rule, coalesce(kind, 'allow') AS verdict FROM fit WHERE n = 1
+"""
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document what line deduplication removes and the digest of the rest."""
