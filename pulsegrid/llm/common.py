@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pulsegrid.session import scratch_path
 
 BLOCK_BYTES = 4 << 20  # text handled by one numpy pass
+ARROW_BYTES = 8 << 20  # text that Spark hands to a Python worker at once
 KEY = ("_rk1", "_rk2")
 
 
@@ -24,6 +25,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batches to ARROW_BYTES if they are larger, so
+    that a worker's memory does not follow the text size; returns df."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    now = conf.get(key, "-1").rstrip("bB")
+    if not now.isdigit() or int(now) > ARROW_BYTES:
+        conf.set(key, str(ARROW_BYTES))
+    return df
+
+
 class Scratch:
     """Intermediate tables of one operator call in the shared folder."""
 

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pulsegrid.llm.common import batch_blocks, text_column
+from pulsegrid.llm.common import batch_blocks, bounded, text_column
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
@@ -226,7 +226,7 @@ def _matcher(automata, out_rows):
 
 
 def _broadcast(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, window: int) -> list:
-    sc = docs.sparkSession.sparkContext
+    sc = bounded(docs).sparkSession.sparkContext
     return [sc.broadcast(dict(vars(a))) for a in item_blocks(benchmark, item_id, item_text, window)]
 
 

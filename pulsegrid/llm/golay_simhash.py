@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.llm.common import batch_blocks, blocks, kept, scratch, text_column
+from pulsegrid.llm.common import batch_blocks, bounded, blocks, kept, scratch, text_column
 from pulsegrid.llm.components import components
 
 SEED = 42
@@ -139,7 +139,7 @@ def _fingerprints(shingle: int):
 
 def fingerprints(docs: DataFrame, shingle: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_column(text).alias("_text")).mapInArrow(
+    return bounded(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), text_column(text).alias("_text")).mapInArrow(
         _fingerprints(shingle), "doc_id bigint, fp bigint")
 
 

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pulsegrid.llm.common import KEY, batch_blocks, kept, row_key, scratch, text_column
+from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, text_column
 
 BINS = 1 << 15
 MAX_LABELS = 200_000  # labelled documents used, those with the smallest id hashes
@@ -238,7 +238,7 @@ def _margin(scored: DataFrame) -> float:
 
 
 def _prepare(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, bins: int, seed: int):
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     sample = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
               .groupBy(F.col("doc_id").cast("bigint").alias("i")).agg((F.min(label) > 0).alias("g"))
               .orderBy(F.xxhash64("i"), "i").limit(MAX_LABELS).toArrow())

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pulsegrid.llm.common import KEY, batch_blocks, kept, row_key, scratch, text_column
+from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, text_column
 
 MIN_WORDS = 5
 UNIT_DDL = f"{KEY[0]} bigint, {KEY[1]} bigint, _id bigint, unit int, start int, end int, digest binary"
@@ -76,7 +76,7 @@ def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                    min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document that loses units: its row key and the removed
     (start, end, unit) spans in order."""
-    with scratch(docs.sparkSession, "lines") as tmp:
+    with scratch(bounded(docs).sparkSession, "lines") as tmp:
         units = tmp.save(docs.select(*row_key(doc_id, text), F.col(doc_id).cast("bigint").alias("_id"),
                                      text_column(text).alias("_text")).mapInArrow(_units(unit, min_words), UNIT_DDL))
         rank = F.struct("_id", *KEY, "unit")

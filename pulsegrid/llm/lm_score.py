@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.llm.common import batch_blocks, crc_mod, kept, scratch, text_column
+from pulsegrid.llm.common import batch_blocks, bounded, crc_mod, kept, scratch, text_column
 
 SHORTLIST = 2048
 CLASSES = 64
@@ -351,7 +351,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_out_
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigram) and score (the model), both log10. Rows whose
     crc32 of the id is held_out_mod[1] modulo held_out_mod[0] are not learnt."""
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     m, r = held_out_mod
     base = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), (crc_mod(doc_id, m) == r).alias("held_out"),
                        crc_mod(doc_id, 16 * m).alias("_crc"), text_column(text).alias("_text"))

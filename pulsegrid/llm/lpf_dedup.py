@@ -44,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.llm.common import KEY, batch_blocks, kept, row_key, scratch, text_column
+from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, text_column
 
 LENGTH = 400
 GRAM = 160
@@ -388,7 +388,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     base = docs.select(*row_key(doc_id, text), F.col(doc_id).cast("bigint").alias("_id"), text_column(text).alias("_text"))
     if not none:
         base = base.dropDuplicates([*KEY])
-    with scratch(docs.sparkSession, "lpf") as tmp:
+    with scratch(bounded(docs).sparkSession, "lpf") as tmp:
         found = tmp.save(base.mapInArrow(
             _anchor_rows(length, gram), f"{KEY[0]} bigint, {KEY[1]} bigint, _id bigint, s int, n int, h bigint, c bigint"))
         place = F.struct("_id", *KEY, "s")

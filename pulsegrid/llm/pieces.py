@@ -30,7 +30,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.llm.common import batch_blocks, int_lists, text_column
+from pulsegrid.llm.common import batch_blocks, bounded, int_lists, text_column
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CELLS = 1 << 20  # bytes of words that one matrix holds
@@ -269,7 +269,7 @@ def _encode_rows(model):
 def encode(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model: str = MODEL) -> DataFrame:
     """One row per input row: doc_id, n_tokens, ids, round_trip (whether the ids
     decode to the text)."""
-    sent = docs.sparkSession.sparkContext.broadcast(read_model(model))
+    sent = bounded(docs).sparkSession.sparkContext.broadcast(read_model(model))
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_column(text).alias("_text")).mapInArrow(
         _encode_rows(sent), "doc_id bigint, n_tokens bigint, ids array<int>, round_trip boolean")
 
