@@ -29,7 +29,7 @@ def bounded(df: DataFrame) -> DataFrame:
     """Lower the session's Arrow batches to ARROW_BYTES if they are larger, so
     that a worker's memory does not follow the text size; returns df."""
     key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
-    now = conf.get(key, "-1").rstrip("bB")
+    now = conf.get(key).rstrip("bB")
     if not now.isdigit() or int(now) > ARROW_BYTES:
         conf.set(key, str(ARROW_BYTES))
     return df
