@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsegrid.llm import cuckoo_dedup, decontaminate, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces, url_equivalence
+from pulsegrid.llm import cuckoo_dedup, decontaminate, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces, toxicity, url_equivalence
 from pulsegrid.llm.common import read_table
 
 QUERIES: dict = {}
@@ -117,6 +117,12 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a 10-word window of a test item."""
