@@ -92,7 +92,7 @@ def ngrams(data: np.ndarray, off: np.ndarray, bins: int = BINS) -> tuple[np.ndar
     edge[0], edge[-1] = word[0], word[-1]
     edge[1:-1] = word[1:] != word[:-1]
     cut = off[1:-1]
-    inner = cut[(cut > 0) & (cut < len(data))]
+    inner = np.unique(cut[(cut > 0) & (cut < len(data))])
     both = inner[word[inner] & word[inner - 1]]  # texts that touch
     bounds = np.sort(np.concatenate([np.flatnonzero(edge), both, both]))
     start, end = bounds[::2], bounds[1::2]
