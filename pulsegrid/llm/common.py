@@ -46,7 +46,7 @@ class Scratch:
         executor loses nothing."""
         self.n += 1
         path = f"{self.root}/t{self.n}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:

@@ -42,8 +42,8 @@ BATCH = 1024
 RATE = 0.15
 ROUNDS = (0, 1)  # the first of 16 parts of the training texts, then the other 15
 FLUSH = 400_000  # distinct tokens that a task counts before it passes them on
-BLOCK = 6 << 20
-FAN_IN = 64
+BLOCK = 16 << 20  # a block is a whole Arrow batch
+FAN_IN = 8
 END = b""
 
 
@@ -322,9 +322,9 @@ def _finish(stats: dict):
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         c = np.zeros(words.num_rows, np.float64)
         kind = np.zeros(words.num_rows, np.int64)
-        at = words.column("local").to_numpy()
-        c[at] = words.column("c").to_numpy()
-        kind[at] = words.column("class").to_numpy()
+        packed = words.column("local_class").to_numpy()
+        c[packed >> 8] = words.column("c").to_numpy()
+        kind[packed >> 8] = (packed & 0xFF) - 1
         mass, distinct, off = stats["mass"][kind], stats["distinct"][kind], stats["discount"]
         seen = c > 0
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -383,5 +383,6 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_out_
         words = encoded.where("local is not null").select("block", "token", "class", "local")
         found = counts.select(F.col("token").alias("_t"), F.col("c"))
         words = words.join(found, F.col("token") == F.col("_t"), "left").select(
-            F.col("block").alias("in_block"), "class", "local", F.coalesce("c", F.lit(0)).cast("double").alias("c"))
+            F.col("block").alias("in_block"), (F.col("local").cast("bigint") * 256 + F.col("class") + 1).alias("local_class"),
+            F.coalesce("c", F.lit(0)).cast("bigint").alias("c"))
         return kept(texts.groupBy("block").cogroup(words.groupBy("in_block")).applyInArrow(_finish(stats), SCORED_DDL))
