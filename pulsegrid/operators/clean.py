@@ -6,6 +6,7 @@ same on batch and streaming frames.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,12 @@ from pulsegrid.functions.scalars import (
 
 
 # --- lineage, routing --------------------------------------------------------
+def processing_date() -> Column:
+    """Today's UTC date as text."""
+    return F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                        F.current_timestamp().cast("timestamp_ntz"))).cast("string")
+
+
 def add_lineage(df: DataFrame, run_id: str | None = None, batch_date: str | Column | None = None,
                 source_file: Column | str | None = None) -> DataFrame:
     """Processing time, source file, batch date and run id.
@@ -29,12 +36,11 @@ def add_lineage(df: DataFrame, run_id: str | None = None, batch_date: str | Colu
     elif isinstance(source_file, str):
         source_file = F.lit(source_file)
     if batch_date is None:
-        bd = F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"),
-                                          F.current_timestamp().cast("timestamp_ntz"))).cast("string")
+        bd = processing_date()
     elif isinstance(batch_date, str):
         bd = F.lit(batch_date)
-    else:
-        bd = batch_date
+    else:  # a row whose date cannot be told gets the processing date
+        bd = F.coalesce(batch_date, processing_date())
     return df.withColumns({
         "etl_processed_time": F.current_timestamp(),
         "source_file": source_file,
@@ -47,46 +53,54 @@ def _hidden(df: DataFrame) -> set[str]:
     try:
         df.select("_metadata.file_path").schema
         return {"_metadata"}
-    except Exception:
+    except AnalysisException:  # not a file scan
         return set()
 
 
+def route_name() -> Column:
+    """`vitals`, `movement` or `other`, from the device type."""
+    d = F.col("device_type")
+    return F.when(d == S.VITALS_DEVICE, "vitals").when(d == S.MOVEMENT_DEVICE, "movement").otherwise("other")
+
+
 def route(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Split by device type into (vitals, movement, other).
 
-    Three filters over the same plan; persist the input first when all three
-    are consumed by separate actions.
+    Three filters over the same plan; to write or count all three, group or
+    partition by :func:`route_name` instead (one pass).
     """
-    d = F.col("device_type")
-    return (df.filter(d == S.VITALS_DEVICE),
-            df.filter(d == S.MOVEMENT_DEVICE),
-            df.filter(d.isNull() | ~d.isin(S.VITALS_DEVICE, S.MOVEMENT_DEVICE)))
+    return tuple(df.filter(route_name() == r) for r in ("vitals", "movement", "other"))
 
 
 # --- Kafka envelope ------------------------------------------------------------
-def unnest_envelope(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Flatten `{offset, partition, timestamp, key, value{...}}`.
-
-    Payload fields win name clashes (`timestamp`); envelope fields that the
-    payload lacks are kept. Rows without an envelope (bare events) keep their
-    own top-level fields, so one frame can hold both line shapes.
+def unnest_envelope(top: Column, payload: Column) -> dict[str, Column]:
+    """Fields of a landing line from its text maps (P03): the line's own fields
+    (``top``) and, for `{offset, partition, timestamp, key, value{...}}`, those
+    under `value` (``payload``, null for a bare event).
+
+    Every field is coerced on its own (P06): text that is no number becomes
+    null and nothing else of the row changes. Payload fields win name clashes
+    (`timestamp`). ``extra_fields`` keeps, as received, what the schema has
+    no place for: undeclared fields, and values that their type cannot hold.
     """
-    if value_col not in df.columns:
-        return df
-    payload = [f.name for f in df.schema[value_col].dataType.fields]
-    has_env = F.col(value_col).isNotNull()
-    cols = []
-    for name in df.columns:
-        if name == value_col:
-            continue
-        if name in payload:
-            cols.append(F.when(has_env, F.col(f"{value_col}.{name}")).otherwise(F.col(name)).alias(name))
-        else:
-            cols.append(F.col(name))
-    for name in payload:
-        if name not in df.columns:
-            cols.append(F.col(f"{value_col}.{name}").alias(name))
-    return df.select(*cols)
+    has = payload.isNotNull()
+
+    def typed(text: Column, kind: T.DataType) -> Column:
+        return text if isinstance(kind, T.StringType) else to_number(text).try_cast(kind)
+
+    declared = {f.name: f.dataType for f in S.EVENT_SCHEMA.fields}
+    out = {n: typed(F.when(has, payload[n]).otherwise(top[n]), t) for n, t in declared.items()}
+    out |= {f.name: typed(top[f.name], f.dataType) for f in S.LANDING_SCHEMA.fields
+            if f.name not in out and f.name != "value"}
+    numeric = [n for n, t in declared.items() if not isinstance(t, T.StringType)]
+    known = [f.name for f in S.LANDING_SCHEMA.fields]
+
+    def foreign(k: Column, v: Column) -> Column:
+        return ~k.isin(known) | (k.isin(numeric) & v.isNotNull() & to_number(v).isNull())
+
+    extra = F.map_filter(F.when(has, payload).otherwise(top), foreign)
+    out["extra_fields"] = F.when(F.size(extra) > 0, extra)
+    return out
 
 
 def to_envelope(df: DataFrame) -> DataFrame:
@@ -200,17 +214,3 @@ def standardise_activity(c: Column | str = "Activity Level") -> Column:
     for bad, good in S.ACTIVITY_LABEL_FIXES.items():
         expr = expr.when(c == bad, F.lit(good))
     return F.trim(expr.otherwise(c))
-
-
-def with_activity_name(df: DataFrame, code_col: str = "activity_code") -> DataFrame:
-    """Activity names for codes."""
-    return df.withColumn("activity_name", activity_name(code_col))
-
-
-def tag_source(df: DataFrame, sensor_type: str, device_type: str) -> DataFrame:
-    """Sensor, device and file name of each row."""
-    return df.withColumns({
-        "sensor_type": F.lit(sensor_type),
-        "device_type": F.lit(device_type),
-        "source_file": F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1),
-    })

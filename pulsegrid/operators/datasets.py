@@ -2,14 +2,13 @@
 null/describe/value-count profiles, alert distribution, sensor statistics.
 
 Everything is a narrow projection/filter or a global/grouped aggregate that
-Spark runs partial + final. Exact quantiles use `percentile`, whose partial
-state is a value->count map: bounded by the number of distinct values (the
-readings here are 0-2 decimal numbers in fixed ranges), not by row count.
+Spark runs partial + final. Exact quantiles rank a distributed value histogram.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,14 +30,14 @@ NUMERIC = ["heart_rate", "spo2", "step_count", "sleep_duration", "stress_level"]
 # --- fixed values: cleaning rules in the order the job applies them ----------
 # (step, description, column, low, high) - inclusive ranges; null fails.
 RANGE_STEPS = [
-    (5, "invalid heart rate (outside 40-200 BPM)", "heart_rate", 40, 200),
-    (6, "invalid blood oxygen (outside 90-100%)", "spo2", 90, 100),
-    (7, "invalid step count (outside 0-25000)", "step_count", 0, 25000),
-    (8, "invalid sleep duration (outside 0-12 hours)", "sleep_duration", 0, 12),
-    (9, "invalid stress level (outside 0-10)", "stress_level", 0, 10),
+    (5, "heart rate not in 40..200", "heart_rate", 40, 200),
+    (6, "oxygen not in 90..100", "spo2", 90, 100),
+    (7, "steps not in 0..25000", "step_count", 0, 25000),
+    (8, "sleep not in 0..12 h", "sleep_duration", 0, 12),
+    (9, "stress not in 0..10", "stress_level", 0, 10),
 ]
-STEP_MISSING_USER = (1, "missing user id")
-STEP_MISSING_ACTIVITY = (10, "missing activity level")
+STEP_MISSING_USER = (1, "no user")
+STEP_MISSING_ACTIVITY = (10, "no activity label")
 
 
 def to_canonical(df: DataFrame) -> DataFrame:
@@ -71,12 +70,6 @@ def _first_failed_step() -> Column:
     return expr.otherwise(F.lit(0))
 
 
-# exact quantiles of a column are computed from its (value, frequency)
-# histogram in one task; above this many distinct values a mergeable
-# sketch over the raw values is used instead
-EXACT_DISTINCT_LIMIT = 2_000_000
-
-
 def _long(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column_name, v) for every non-null value of the given columns."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("v"))
@@ -97,42 +90,48 @@ def value_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
     return _long(df, cols).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")).checkpoint()
 
 
-def quantiles(df: DataFrame, cols: list[str], ps: list[float], exact: bool | None = None,
-              accuracy: int = 100_000, limit: int | None = None,
+def quantiles(df: DataFrame, cols: list[str], ps: list[float], exact: bool = True, accuracy: int = 100_000,
               hist: DataFrame | None = None) -> DataFrame:
-    """(column_name, q): quantiles ``ps`` of each column, linear interpolation.
-
-    Exact quantiles come from the value histogram: `percentile(v, p, n)`
-    merges only distinct values, so the one task per column sees at most
-    ``limit`` rows, however many rows and tasks the input has. A column with
-    more distinct values (``exact=None``, the default, decides from the
-    histogram itself; ``exact=False`` for all) gets a `percentile_approx`
-    sketch over its raw values (rank error 1/accuracy)."""
-    limit = EXACT_DISTINCT_LIMIT if limit is None else limit
-    if exact is False:
-        ex = set()
-    else:
-        hist = hist if hist is not None else value_histogram(df, cols)
-        sizes = {r[0]: r[1] for r in hist.groupBy("column_name").count().collect()}  # one row per column
-        ex = {c for c in cols if exact or sizes.get(c, 0) <= limit}
-    parts = []
-    if ex:
-        parts.append(hist.filter(F.col("column_name").isin(sorted(ex))).groupBy("column_name")
-                     .agg(F.percentile("v", ps, F.col("n")).alias("q")))
-    rest = [c for c in cols if c not in ex]
-    if rest:
-        parts.append(_long(df, rest).groupBy("column_name")
-                     .agg(F.percentile_approx("v", ps, accuracy).cast("array<double>").alias("q")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def impute_median(df: DataFrame, cols: list[str], exact: bool | None = None, accuracy: int = 100_000) -> DataFrame:
+    """(column_name, q): quantiles ``ps`` of each column, linear interpolation,
+    exact at any size.
+
+    The value histogram is range-partitioned by (column, value). Rows before
+    each partition are counted on one row per partition and column, so every
+    histogram row knows its ranks and the two rows around each quantile are
+    picked where they are: no task holds a column. ``exact=False`` asks for
+    mergeable sketches over the raw values instead (rank error 1/accuracy)."""
+    if not exact:
+        return (_long(df, cols).groupBy("column_name")
+                .agg(F.percentile_approx("v", ps, accuracy).cast("array<double>").alias("q")))
+    from pulsegrid.session import shared_dir
+    shared_dir(df.sparkSession)
+    hist = hist if hist is not None else value_histogram(df, cols)
+    # the checkpoint fixes which rows each partition holds
+    h = hist.repartitionByRange("column_name", "v").withColumn("part", F.spark_partition_id()).checkpoint()
+    size = h.groupBy("column_name", "part").agg(F.sum("n").alias("rows"))
+    before = W.partitionBy("column_name").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    column = W.partitionBy("column_name")
+    size = size.select(F.col("column_name").alias("_c"), F.col("part").alias("_p"), F.sum("rows").over(column).alias("total"),
+                       F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    inside = W.partitionBy("column_name", "part").orderBy("v")
+    ranked = (h.join(size, (h["column_name"] == size["_c"]) & (h["part"] == size["_p"]))
+              .withColumn("end", F.col("offset") + F.sum("n").over(inside)))
+    # zero-based places i/p*(total-1): the rows that hold their floor and ceiling
+    at = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("total") - 1)).alias("pos"))
+                             for i, p in enumerate(ps)]))
+    low, high = F.floor("a.pos"), F.ceil("a.pos")
+    held = lambda k: (k >= F.col("end") - F.col("n")) & (k < F.col("end"))
+    near = (ranked.select("column_name", "v", "n", "end", at.alias("a")).filter(held(low) | held(high))
+            .groupBy("column_name", "a.i").agg(F.first("a.pos").alias("pos"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+    value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(
+        (F.ceil("pos") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.floor("pos")) * F.col("hi"))
+    return (near.groupBy("column_name").agg(F.sort_array(F.collect_list(F.struct("i", value.alias("x")))).alias("q"))
+            .select("column_name", F.transform("q", lambda s: s["x"]).alias("q")))
+
+
+def impute_median(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """Nulls of each column -> that column's median (A23), exact from the
-    value histogram unless the column has too many distinct values (see
-    :func:`quantiles`).
+    value histogram (see :func:`quantiles`).
 
     The medians are a few-row frame used as scalar subqueries, so rows are
     filled in place (no join, no driver round trip)."""
@@ -206,7 +205,7 @@ DESCRIBE_SCHEMA = ("column_name string, count long, mean double, std double, min
                    "p50 double, p75 double, max double")
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool | None = None,
+def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
                      accuracy: int = 100_000) -> DataFrame:
     """count, mean, std (sample), min, quartiles (linear interpolation), max
     per column (A24); one row per column. Without ``cols``, every numeric
@@ -223,7 +222,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool |
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     if not cols:
         return df.sparkSession.createDataFrame([], DESCRIBE_SCHEMA)
-    if exact is False:
+    if not exact:
         return _describe_sketched(df, cols, accuracy)
     hist = value_histogram(df, cols)
     base = hist.groupBy("column_name").agg(
@@ -235,7 +234,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool |
            .groupBy("column_name")
            .agg(F.when(F.first("c") > 1, F.sqrt(F.sum(F.col("n") * (F.col("v") - F.col("m")) ** 2) / (F.first("c") - 1)))
                 .alias("std")))
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], exact, accuracy, hist=hist)
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], hist=hist)
     # the described columns themselves (metadata, one row each) drive the
     # result, so a column without values still gets its row (count 0)
     names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "column_name string, ord int")
@@ -293,28 +292,48 @@ def vital_ranges(df: DataFrame) -> DataFrame:
 # --- sensor dataset ------------------------------------------------------------
 def sensor_statistics(raw: DataFrame) -> DataFrame:
     """Per device x sensor: readings, distinct subjects and activities,
-    subject range text, axis means, files (A19, A21, F08)."""
-    agg = [F.count(F.lit(1)).alias("total_readings"),
+    subject range text, axis means, files (A19, A21, F08).
+
+    Two levels: rows are first aggregated by their distinct keys (subject,
+    activity, file), map side, and the distinct counts run on that small
+    frame, so no row is expanded for them."""
+    keys = [c for c in ("subject_id", "activity_code", "source_file") if c in raw.columns]
+    axes = ("x", "y", "z")
+    per = raw.groupBy("device_type", "sensor_type", *keys).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(a).alias(f"{a}_s") for a in axes], *[F.count(a).alias(f"{a}_n") for a in axes])
+    agg = [F.sum("n").alias("total_readings"),
            F.count_distinct("subject_id").alias("unique_subjects"),
            F.count_distinct("activity_code").alias("unique_activities"),
            value_range_text(F.min("subject_id"), F.max("subject_id")).alias("subject_range"),
-           F.avg("x").alias("x_mean"), F.avg("y").alias("y_mean"), F.avg("z").alias("z_mean")]
-    if "source_file" in raw.columns:
+           *[F.try_divide(F.sum(f"{a}_s"), F.sum(f"{a}_n")).alias(f"{a}_mean") for a in axes]]
+    if "source_file" in keys:
         agg.append(F.count_distinct("source_file").alias("files"))
-    return raw.groupBy("device_type", "sensor_type").agg(*agg).withColumn(
+    return per.groupBy("device_type", "sensor_type").agg(*agg).withColumn(
         "dataset", F.concat_ws("_", "device_type", "sensor_type"))
 
 
 def feature_statistics(features: DataFrame) -> DataFrame:
     """Per device x sensor: samples, distinct subjects (`class`), distinct
-    activities (`ACTIVITY`) (A20)."""
-    return (features.groupBy("device_type", "sensor_type")
-            .agg(F.count(F.lit(1)).alias("total_samples"),
+    activities (`ACTIVITY`) (A20); two levels as :func:`sensor_statistics`."""
+    per = features.groupBy("device_type", "sensor_type", "class", "ACTIVITY").agg(F.count(F.lit(1)).alias("n"))
+    return (per.groupBy("device_type", "sensor_type")
+            .agg(F.sum("n").alias("total_samples"),
                  F.count_distinct("class").alias("unique_subjects"),
                  F.count_distinct("ACTIVITY").alias("unique_activities"))
             .withColumn("dataset", F.concat_ws("_", "device_type", "sensor_type")))
 
 
+def dataset_statistics(raw: DataFrame, features: DataFrame) -> DataFrame:
+    """The statistics table of the sensor consolidation: one row per raw and
+    per processed dataset, told apart by ``type``; figures that a kind does
+    not have are null."""
+    r = sensor_statistics(raw).select("dataset", F.lit("raw").alias("type"), "total_readings", "unique_subjects",
+                                      "unique_activities", "subject_range", "x_mean", "y_mean", "z_mean")
+    f = feature_statistics(features).select("dataset", F.lit("processed").alias("type"), "total_samples", "unique_subjects",
+                                            "unique_activities")
+    return r.unionByName(f, allowMissingColumns=True)
+
+
 def head_records(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """First n records in a defined order."""
     return df.orderBy(*order).limit(int(n))

@@ -16,7 +16,7 @@ from pulsegrid import schemas as S
 from pulsegrid.functions import scalars as fn
 from pulsegrid.operators import alerts as AL
 from pulsegrid.operators import serving as SV
-from pulsegrid.operators.clean import route
+from pulsegrid.operators.clean import route, route_name
 from pulsegrid.plans.fixtures import fx_events
 from pulsegrid.plans.layers import duck_with, gold, gold_m, gold_v, r6, silver_m, silver_v, wall
 
@@ -45,11 +45,9 @@ SELECT CASE WHEN device_type = 'vital_monitor' THEN 'vitals' WHEN device_type =
             ELSE 'other' END AS route, count(*) AS n_rows, count(DISTINCT patient_id) AS n_patients
 FROM fx_raw GROUP BY 1""")
 def q_route(spark, d):
-    v, m, o = route(fx_events(spark, d))
-    def agg(df, name):
-        return df.agg(F.lit(name).alias("route"), F.count(F.lit(1)).alias("n_rows"),
-                      F.count_distinct("patient_id").alias("n_patients"))
-    return agg(v, "vitals").unionByName(agg(m, "movement")).unionByName(agg(o, "other"))
+    # one scan: rows and patients per route, first per (route, patient)
+    per = fx_events(spark, d).groupBy(route_name().alias("route"), "patient_id").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("route").agg(F.sum("n").alias("n_rows"), F.count("patient_id").alias("n_patients"))
 
 
 @register("p09_silver_vitals", W() + """

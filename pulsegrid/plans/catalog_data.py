@@ -42,8 +42,10 @@ def q_clean_watch(spark, d):
 
 
 @register("p21_activity_labels", W(_WATCH) + """
-SELECT f.activity_level AS raw_label, t.activity_level AS label, count(*) AS n
-FROM fx_watch f POSITIONAL JOIN w_typed t GROUP BY 1, 2""")
+SELECT activity_level AS raw_label, trim(CASE activity_level WHEN 'nan' THEN NULL WHEN 'Actve' THEN 'Active'
+  WHEN 'Seddentary' THEN 'Sedentary' WHEN 'Highly_Active' THEN 'Highly Active' ELSE activity_level END) AS label,
+  count(*) AS n
+FROM fx_watch GROUP BY 1, 2""")
 def q_labels(spark, d):
     from pulsegrid.operators.clean import standardise_activity
     w = fx_watch(spark, d)
@@ -52,10 +54,10 @@ def q_labels(spark, d):
 
 
 @register("a26_cleaning_report", W(_WATCH) + """
-, steps(step, check_name) AS (VALUES (1, 'missing user id'), (5, 'invalid heart rate (outside 40-200 BPM)'),
-  (6, 'invalid blood oxygen (outside 90-100%)'), (7, 'invalid step count (outside 0-25000)'),
-  (8, 'invalid sleep duration (outside 0-12 hours)'), (9, 'invalid stress level (outside 0-10)'),
-  (10, 'missing activity level'), (0, 'kept'))
+, steps(step, check_name) AS (VALUES (1, 'no user'), (5, 'heart rate not in 40..200'),
+  (6, 'oxygen not in 90..100'), (7, 'steps not in 0..25000'),
+  (8, 'sleep not in 0..12 h'), (9, 'stress not in 0..10'),
+  (10, 'no activity label'), (0, 'kept'))
 SELECT s.step, s.check_name, count(w.step) AS n_rows,
   round_even(CAST(count(w.step) AS DOUBLE) / (SELECT count(*) FROM w_step) * 100, 1) AS pct_of_input
 FROM steps s LEFT JOIN w_step w ON w.step = s.step GROUP BY s.step, s.check_name""".replace("\n, steps", ", steps", 1))

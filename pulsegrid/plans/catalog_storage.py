@@ -1,9 +1,11 @@
 """Registered storage queries: each writes the fixture-derived data to a fresh
-folder under the shared checkpoint dir, runs the real job/reader, and reads
-the result back."""
+folder under the shared checkpoint dir, runs the real job/reader, reads the
+result back, and removes the folder once the result is checkpointed."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,28 +14,76 @@ from pulsegrid.operators import datasets as DS
 from pulsegrid.operators.datasets import feature_statistics
 from pulsegrid.operators import serving as SV
 from pulsegrid.operators.clean import route
-from pulsegrid.plans.catalog import W, register
+from pulsegrid.plans.catalog import W
+from pulsegrid.plans.catalog import register as register_query
 from pulsegrid.plans.catalog_data import _WATCH, _na_sql, _names_case
 from pulsegrid.plans.etl import run_etl
 from pulsegrid.plans.fixtures import FX_SENSOR_SELECT, device_fields_only, fx_events, fx_watch
 from pulsegrid.plans.layers import r6, wall
-from pulsegrid.session import scratch_path
-from pulsegrid.sinks.files import export_csv, land_batch, rename_suffix
+from pulsegrid.session import scratch_path as new_scratch, shared_dir
+from pulsegrid.sinks.files import export_csv, land_batch, write_layer
 from pulsegrid.sources.files import (
-    available_dates, read_landing, read_landing_partitions, read_layer, read_smartwatch_csv,
+    available_dates, delete_path, read_landing, read_landing_partitions, read_layer, read_smartwatch_csv,
 )
 from pulsegrid.sources.sensor import read_sensor_features, read_sensor_raw
 
+_OPEN: list[list[str]] = []  # folders of the queries being built
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    path = new_scratch(spark, name)
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+def register(name: str, sql: str | None = None):
+    """Register a storage query: its result is checkpointed and the folders it
+    wrote are deleted."""
+    def deco(fn):
+        @functools.wraps(fn)
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            shared_dir(spark)
+            _OPEN.append([])
+            try:
+                return fn(spark, d).checkpoint()
+            finally:
+                for path in _OPEN.pop():
+                    delete_path(spark, path)
+        register_query(name, sql)(run)
+        return run
+    return deco
+
+
 _PAYLOAD = ["patient_id", "device_type", "timestamp", "heart_rate", "spo2", "stress_level",
             "sensor_type", "activity_code", "activity_name", "x", "y", "z"]
+GLOB = "*.{json,jsonl,txt}"  # the fixture's landing files are Spark text files
 
 
-def write_landing(spark: SparkSession, d: str, bad_every: int = 0) -> str:
+def landing_events(spark: SparkSession, d: str) -> DataFrame:
+    """Fixture events with the vitals fields that the other queries do not use."""
+    vit = F.col("device_type") != F.lit("imu_sensor")
+    e = F.col("event_id")
+    return device_fields_only(fx_events(spark, d)).withColumns({
+        "step_count": F.when(vit, (e % 900).cast("double")), "sleep_duration": F.when(vit, (e % 19) / 2),
+        "activity_level": F.when(vit, F.element_at(F.array(F.lit("Active"), F.lit("Sedentary")), (e % 2 + 1).cast("int")))})
+
+
+def write_landing(spark: SparkSession, d: str, bad_every: int = 0, rough: bool = False, root: str | None = None) -> str:
     """Fixture events as landing JSON-Lines: even events wrapped in a Kafka
     envelope (ms timestamp clashing with the payload's), odd ones bare; with
-    ``bad_every`` every n-th line is cut short (malformed)."""
-    ev = device_fields_only(fx_events(spark, d))
-    payload = F.struct(*[F.col(c) for c in _PAYLOAD])
+    ``bad_every`` every n-th line is cut short (malformed). ``rough`` lines
+    carry what devices also send: an undeclared field, readings as text,
+    readings that are no number, and no event time (each by event id)."""
+    e = F.col("event_id")
+    ev = landing_events(spark, d)
+    cols = {c: F.col(c) for c in [*_PAYLOAD, "step_count", "sleep_duration", "activity_level"]}
+    if rough:
+        cols["heart_rate"] = F.when((e % 7 == 0) & F.col("heart_rate").isNotNull(), F.lit("ERROR")).when(
+            (e % 5 == 0) & F.col("heart_rate").isNotNull(), F.format_string(" %.0f ", "heart_rate")).otherwise(F.col("heart_rate").cast("string"))
+        cols["timestamp"] = F.when(e % 31 != 0, F.col("timestamp"))
+        cols["firmware"] = F.struct(F.concat(F.lit("v"), (e % 3).cast("string")).alias("version"))
+    payload = F.struct(*[c.alias(n) for n, c in cols.items()])
     env = F.to_json(F.struct(F.col("event_id").alias("offset"), (F.col("event_id") % 4).cast("int").alias("partition"),
                              (F.col("timestamp") * 1000).cast("long").alias("timestamp"),
                              F.col("patient_id").alias("key"), payload.alias("value")))
@@ -41,9 +91,8 @@ def write_landing(spark: SparkSession, d: str, bad_every: int = 0) -> str:
     if bad_every:
         line = F.when(F.col("event_id") % bad_every == 0,
                       F.concat(F.lit('{"patient_id": "'), F.col("patient_id"), F.lit('", "heart_rate": '))).otherwise(line)
-    root = scratch_path(spark, "landing")
+    root = root or scratch_path(spark, "landing")
     ev.select(line.alias("value")).write.text(root)
-    rename_suffix(spark, root, ".txt", ".jsonl")
     return root
 
 
@@ -51,10 +100,10 @@ def event_date(ts_col: str = "timestamp"):
     return F.date_format(utc_wall(event_time(ts_col)), "yyyy-MM-dd")
 
 
-def etl_base(spark: SparkSession, d: str, **kw) -> tuple[str, object]:
-    landing = write_landing(spark, d)
+def etl_base(spark: SparkSession, d: str, landing: str | None = None, **kw) -> tuple[str, object]:
+    landing = landing or write_landing(spark, d)
     base = scratch_path(spark, "lake")
-    res = run_etl(spark, landing, base, batch_date=event_date(), **kw)
+    res = run_etl(spark, landing, base, batch_date=event_date(), glob=GLOB, **kw)
     return base, res
 
 
@@ -70,7 +119,7 @@ FROM fx_raw"""
 
 @register("s01_landing_scan", W() + _LANDED)
 def q_landing(spark, d):
-    df = read_landing(spark, write_landing(spark, d))
+    df = read_landing(spark, write_landing(spark, d), glob=GLOB)
     return df.select("patient_id", "device_type", "timestamp", "heart_rate", "spo2", "x", "activity_code",
                      "offset", "key")
 
@@ -78,7 +127,7 @@ def q_landing(spark, d):
 @register("s02_landing_quarantine", W() + """
 SELECT CASE WHEN event_id % 50 = 0 THEN 'bad' ELSE 'good' END AS status, count(*) AS n_rows FROM fx_raw GROUP BY 1""")
 def q_quarantine(spark, d):
-    good, bad = read_landing(spark, write_landing(spark, d, bad_every=50), quarantine=True)
+    good, bad = read_landing(spark, write_landing(spark, d, bad_every=50), quarantine=True, glob=GLOB)
     g = good.agg(F.lit("good").alias("status"), F.count(F.lit(1)).alias("n_rows"))
     b = bad.agg(F.lit("bad").alias("status"), F.count("raw_line").alias("n_rows"))
     return g.unionByName(b)
@@ -101,7 +150,7 @@ def q_rerun(spark, d):
     landing = write_landing(spark, d)
     base = scratch_path(spark, "lake")
     for _ in range(2):  # the same batch twice: partitions are replaced, not appended
-        run_etl(spark, landing, base, batch_date=event_date(), bronze_mode="overwrite")
+        run_etl(spark, landing, base, batch_date=event_date(), bronze_mode="overwrite", glob=GLOB)
     g = read_layer(spark, base, "gold", "vitals")
     return wall(g, "window_start", "window_end")
 
@@ -133,7 +182,10 @@ UNION ALL SELECT 'gold', 'vitals', count(*) FROM fx_gold_v
 UNION ALL SELECT 'gold', 'movement', count(*) FROM fx_gold_m"""
 
 
-@register("k09_run_log", W() + _LAYER_COUNTS)
+@register("k09_run_log", W() + _LAYER_COUNTS + """
+UNION ALL SELECT 'landing', 'consumed', count(*) FROM fx_raw
+UNION ALL SELECT 'landing', 'rejected', 0
+UNION ALL SELECT 'landing', 'other_device', count(*) FROM fx_raw WHERE device_type NOT IN ('vital_monitor', 'imu_sensor')""")
 def q_run_log(spark, d):
     base, _ = etl_base(spark, d)
     return spark.read.parquet(f"{base}/_run_log").select("layer", "data_type", "record_count")
@@ -197,36 +249,24 @@ def q_partitioned(spark, d):
     return SV.avg_hr_by_patient(df, date)
 
 
-# the sensor lines with the file each one is stored in: one file per subject
-# and device/sensor as in the original dataset, each split four ways so a
-# subject holding most readings is still written by four tasks
+# the sensor lines with the file each one is stored in: files per subject and
+# device/sensor as in the original dataset, cut every 25,000 events, so the
+# number of files (and of tasks that write them) grows with the data
 _SENSOR_FILE_COLS = ("CAST(1600 + user_id % 51 AS STRING) AS subject, "
-                     "CAST(event_id % 4 AS STRING) AS part")
+                     "CAST(CAST(floor(event_id / 25000) AS BIGINT) AS STRING) AS part")
 
 
 def _sensor_files(spark: SparkSession, d: str) -> str:
-    """Sensor lines as files `data_<subject>-<part>_<sensor>_<device>.txt`
-    in one folder per device/sensor; every line of a (subject, part) is in
-    exactly one file."""
+    """Sensor lines under `device_type=/sensor_type=/file=data_<subject>-<part>_
+    <sensor>_<device>.txt/`; every line of a (subject, part) is in exactly one
+    file."""
     from pulsegrid.plans.fixtures import FX_SENSOR_SELECT, events
     root = scratch_path(spark, "sensor_raw")
-    keys = ["device_type", "sensor_type", "subject", "part"]
     lines = spark.sql(f"SELECT {FX_SENSOR_SELECT}, {_SENSOR_FILE_COLS} FROM {{events}}", events=events(spark, d))
-    lines.repartition(*keys).write.partitionBy(*keys).text(root)
-    jvm = spark.sparkContext._jvm
-    rp = jvm.org.apache.hadoop.fs.Path(root)
-    fs = rp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    it = fs.listFiles(rp, True)
-    while it.hasNext():
-        p = it.next().getPath()
-        if p.getName().startswith("part-"):
-            dirs, q = {}, p.getParent()
-            for _ in keys:
-                k, v = q.getName().split("=", 1)
-                dirs[k] = v
-                q = q.getParent()
-            fs.rename(p, jvm.org.apache.hadoop.fs.Path(
-                p.getParent(), f"data_{dirs['subject']}-{dirs['part']}_{dirs['sensor_type']}_{dirs['device_type']}.txt"))
+    name = F.format_string("data_%s-%s_%s_%s.txt", "subject", "part", "sensor_type", "device_type")
+    (lines.repartition("device_type", "sensor_type", "subject", "part")
+     .select("device_type", "sensor_type", name.alias("file"), "line")
+     .write.partitionBy("device_type", "sensor_type", "file").text(root))
     return root
 
 
@@ -234,7 +274,7 @@ def _read_all_sensor(spark, root) -> DataFrame:
     out = None
     for device in ("phone", "watch"):
         for sensor in ("accelerometer", "gyroscope"):
-            df = read_sensor_raw(spark, f"{root}/device_type={device}/sensor_type={sensor}", sensor, device)
+            df = read_sensor_raw(spark, f"{root}/device_type={device}/sensor_type={sensor}", sensor, device, glob="part-*")
             out = df if out is None else out.unionByName(df)
     return out
 
@@ -273,41 +313,35 @@ _ARFF_HEAD = ['@relation person_activities', '% generated from events', '@attrib
 
 
 def _feature_files(spark: SparkSession, d: str) -> str:
-    """Events as ARFF files `data_<subject>_accel_<device>.arff`: per-file
-    header, then one row per event; every 17th event is a comment line and
-    every 13th row lacks a field."""
+    """Events as ARFF files `data_<subject>-<part>_accel_<device>.arff` (one for
+    every 25,000 events of a subject and device): per-file header, then one row
+    per event; every 17th event is a comment line and every 13th row lacks a
+    field."""
     from pulsegrid.plans.fixtures import events
     ev = events(spark, d)
     subject = (F.lit(1600) + F.col("user_id") % 5).cast("string")
     device = F.when(F.col("event_id") % 2 == 0, "phone").otherwise("watch")
-    fname = F.concat(F.lit("data_"), subject, F.lit("_accel_"), device, F.lit(".arff"))
+    part = F.floor(F.col("event_id") / 25000).cast("string")
+    fname = F.concat(F.lit("data_"), subject, F.lit("-"), part, F.lit("_accel_"), device, F.lit(".arff"))
     act = F.expr("substr('ABCDEFGHIJKLMOPQRSZ', CAST(1 + event_id % 19 AS INT), 1)")
     x0 = ((F.col("event_id") * 7) % 1000).cast("string")
     x1 = (F.col("event_id") % 100).cast("string")
     row = F.when(F.col("event_id") % 17 == 0, F.lit("% note"))\
         .when(F.col("event_id") % 13 == 0, F.concat_ws(",", act, x0, subject))\
         .otherwise(F.concat_ws(",", act, x0, x1, subject))
-    data = ev.select(fname.alias("file"), (F.col("event_id") + 1000).alias("ord"), row.alias("line"))
-    head = (data.select("file").distinct()
-            .select("file", F.posexplode(F.array(*[F.lit(h) for h in _ARFF_HEAD])).alias("ord", "line"))
+    data = ev.select(device.alias("device"), fname.alias("file"), (F.col("event_id") + 1000).alias("ord"), row.alias("line"))
+    head = (data.select("device", "file").distinct()
+            .select("device", "file", F.posexplode(F.array(*[F.lit(h) for h in _ARFF_HEAD])).alias("ord", "line"))
             .withColumn("ord", F.col("ord").cast("long")))
     root = scratch_path(spark, "features")
-    (head.unionByName(data).repartition("file").sortWithinPartitions("file", "ord").drop("ord")
-     .write.partitionBy("file").text(root))
-    jvm = spark.sparkContext._jvm
-    rp = jvm.org.apache.hadoop.fs.Path(root)
-    fs = rp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    it = fs.listFiles(rp, True)
-    while it.hasNext():
-        p = it.next().getPath()
-        if p.getName().startswith("part-"):
-            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), p.getParent().getName().split("=", 1)[1]))
+    (head.unionByName(data).repartition("file").sortWithinPartitions("device", "file", "ord").drop("ord")
+     .write.partitionBy("device", "file").text(root))
     return root
 
 
 _FEATURES_SQL = """SELECT substr('ABCDEFGHIJKLMOPQRSZ', CAST(1 + event_id % 19 AS INT), 1) AS "ACTIVITY",
   CAST((event_id * 7) % 1000 AS VARCHAR) AS "X0", CAST(event_id % 100 AS VARCHAR) AS "X1",
-  CAST(1600 + user_id % 5 AS VARCHAR) AS "class",
+  CAST(1600 + user_id % 5 AS VARCHAR) AS "class", CAST(CAST(floor(event_id / 25000) AS BIGINT) AS VARCHAR) AS part,
   CASE WHEN event_id % 2 = 0 THEN 'phone' ELSE 'watch' END AS device_type
 FROM events WHERE event_id % 17 <> 0 AND event_id % 13 <> 0"""
 
@@ -315,13 +349,13 @@ FROM events WHERE event_id % 17 <> 0 AND event_id % 13 <> 0"""
 def _all_features(spark, d):
     root = _feature_files(spark, d)
     cols = ["ACTIVITY", "X0", "X1", "class"]
-    return read_sensor_features(spark, root, "accelerometer", "phone", cols).unionByName(
-        read_sensor_features(spark, root, "accelerometer", "watch", cols))
+    return read_sensor_features(spark, f"{root}/device=phone", "accelerometer", "phone", cols, glob="part-*").unionByName(
+        read_sensor_features(spark, f"{root}/device=watch", "accelerometer", "watch", cols, glob="part-*"))
 
 
 @register("s10_sensor_features", W() + f"""
 SELECT "ACTIVITY", "X0", "X1", "class", device_type, 'accelerometer' AS sensor_type,
-  'data_' || "class" || '_accel_' || device_type || '.arff' AS source_file,
+  'data_' || "class" || '-' || part || '_accel_' || device_type || '.arff' AS source_file,
   {_names_case('"ACTIVITY"')} AS activity_name FROM ({_FEATURES_SQL}) f""")
 def q_features(spark, d):
     return _all_features(spark, d)
@@ -367,9 +401,12 @@ SELECT event_id AS "offset", CAST(event_id % 4 AS INTEGER) AS "partition", CAST(
   CASE WHEN device_type = 'imu_sensor' THEN x END AS x
 FROM fx_raw WHERE device_type IN ('vital_monitor', 'imu_sensor')""")
 def q_envelope(spark, d):
+    from pulsegrid.sources.files import parse_landing
     from pulsegrid.streaming.ingest import envelope_lines
     env = envelope_lines(kafka_layout(spark, d))
-    return env.select("offset", "partition", "timestamp", "key", "value.patient_id", "value.heart_rate", "value.x")
+    sent = F.from_json("value", "offset bigint, partition int, timestamp bigint, key string")
+    return parse_landing(env.select("value", sent["timestamp"].alias("sent")), ["sent"]).select(
+        "offset", "partition", F.col("sent").alias("timestamp"), "key", "patient_id", "heart_rate", "x")
 
 
 @register("s04_route_topics", W() + """
@@ -392,10 +429,181 @@ def q_topics(spark, d):
 
 
 @register("p01_lineage", W() + """
-SELECT device_type, 'run-0001' AS etl_run_id, '2024-01-31' AS etl_batch_date, count(*) AS n_rows,
-  count(DISTINCT patient_id) AS patients FROM fx_raw GROUP BY device_type""")
+SELECT device_type, 'run-' || device_type AS etl_run_id, strftime(make_timestamp(CAST(epoch_s * 1000000 AS BIGINT)), '%Y-%m-%d')
+  AS etl_batch_date, 'events.parquet' AS source_file, count(*) AS n_rows, count(DISTINCT patient_id) AS patients
+FROM fx_raw GROUP BY 1, 2, 3""")
 def q_lineage(spark, d):
     from pulsegrid.operators.clean import add_lineage
-    df = add_lineage(fx_events(spark, d), run_id="run-0001", batch_date="2024-01-31", source_file="events")
-    return df.groupBy("device_type", "etl_run_id", "etl_batch_date").agg(
+    df = None
+    for (device,) in (("vital_monitor",), ("imu_sensor",), ("other",)):
+        part = fx_events(spark, d).filter(F.col("device_type") == device)
+        part = add_lineage(part, run_id=f"run-{device}", batch_date=event_date(), source_file=F.input_file_name())
+        df = part if df is None else df.unionByName(part)
+    return df.groupBy("device_type", "etl_run_id", "etl_batch_date", F.element_at(F.split("source_file", "/"), -1).alias("source_file")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("patient_id").alias("patients"))
+
+
+# --- rough landing input: nothing is lost -------------------------------------------
+_ROUGH = """rough AS (SELECT *, event_id % 50 = 0 AS broken,
+    CASE WHEN device_type = 'imu_sensor' OR heart_rate IS NULL OR event_id % 7 = 0 THEN NULL ELSE heart_rate END AS hr,
+    CASE WHEN event_id % 31 <> 0 THEN epoch_s END AS ts FROM fx_raw)"""
+
+
+@register("s01_rough_landing_fields", W(_ROUGH) + """
+SELECT event_id AS "offset", patient_id, hr AS heart_rate, ts AS timestamp,
+  CASE WHEN device_type <> 'imu_sensor' THEN CAST(event_id % 900 AS DOUBLE) END AS step_count,
+  CASE WHEN device_type <> 'imu_sensor' THEN CASE event_id % 2 WHEN 0 THEN 'Active' ELSE 'Sedentary' END END AS activity_level,
+  '{"version":"v' || (event_id % 3) || '"}' AS firmware,
+  CASE WHEN device_type <> 'imu_sensor' AND heart_rate IS NOT NULL AND event_id % 7 = 0 THEN 'ERROR' END AS bad_reading
+FROM rough WHERE NOT broken AND event_id % 2 = 0""")
+def q_rough_fields(spark, d):
+    df = read_landing(spark, write_landing(spark, d, bad_every=50, rough=True), glob=GLOB)
+    return df.filter("offset is not null").select(
+        "offset", "patient_id", "heart_rate", "timestamp", "step_count", "activity_level",
+        F.col("extra_fields")["firmware"].alias("firmware"), F.col("extra_fields")["heart_rate"].alias("bad_reading"))
+
+
+@register("s02_etl_rough_landing", W(_ROUGH) + """
+SELECT 'bronze' AS part, count(*) AS n_rows, count(hr) AS readings, count(*) AS with_extra FROM rough
+  WHERE NOT broken AND device_type = 'vital_monitor'
+UNION ALL SELECT 'silver', count(*), count(hr), count(*) FROM rough WHERE NOT broken AND device_type = 'vital_monitor'
+  AND hr BETWEEN 30 AND 220 AND spo2 BETWEEN 90 AND 100
+UNION ALL SELECT 'malformed', count(*), 0, 0 FROM rough WHERE broken
+UNION ALL SELECT 'other device', count(*), 0, 0 FROM rough WHERE NOT broken AND device_type NOT IN ('vital_monitor', 'imu_sensor')
+UNION ALL SELECT 'log rejected', count(*), 0, 0 FROM rough WHERE broken""")
+def q_etl_rough(spark, d):
+    base, _ = etl_base(spark, d, write_landing(spark, d, bad_every=50, rough=True))
+    zero = F.lit(0).cast("long")
+    out = None
+    for layer in ("bronze", "silver"):
+        t = read_layer(spark, base, layer, "vitals")
+        part = t.agg(F.lit(layer).alias("part"), F.count(F.lit(1)).alias("n_rows"), F.count("heart_rate").alias("readings"),
+                     F.count(F.col("extra_fields")["firmware"]).alias("with_extra"))
+        out = part if out is None else out.unionByName(part)
+    kept = spark.read.parquet(f"{base}/_quarantine").groupBy(F.col("reason").alias("part")).agg(
+        F.count("raw_line").alias("n_rows"), zero.alias("readings"), zero.alias("with_extra"))
+    log = spark.read.parquet(f"{base}/_run_log").filter("layer = 'landing' and data_type = 'rejected'").select(
+        F.lit("log rejected").alias("part"), F.col("record_count").alias("n_rows"), zero.alias("readings"), zero.alias("with_extra"))
+    return out.unionByName(kept).unionByName(log)
+
+
+@register("k02_null_event_time_keeps_rows", W(_ROUGH) + """
+SELECT ts IS NULL AS dateless, count(*) AS n_rows FROM rough WHERE NOT broken AND device_type = 'vital_monitor'
+  AND hr BETWEEN 30 AND 220 AND spo2 BETWEEN 90 AND 100 GROUP BY 1""")
+def q_null_date(spark, d):
+    """A row without event time goes to the processing date, and reaches Silver."""
+    base, _ = etl_base(spark, d, write_landing(spark, d, bad_every=50, rough=True))
+    t = read_layer(spark, base, "silver", "vitals").filter("etl_batch_date is not null")
+    return t.groupBy(F.col("event_timestamp").isNull().alias("dateless")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("k02_rerun_that_fails_cleaning", W() + """
+SELECT 'bronze' AS layer, count(*) AS n_rows FROM fx_raw WHERE device_type = 'vital_monitor'
+UNION ALL SELECT 'silver', 0 UNION ALL SELECT 'gold', 0""")
+def q_rerun_fails(spark, d):
+    """A back-fill whose readings are all implausible empties Silver and Gold."""
+    base = scratch_path(spark, "lake")
+    for factor in (1, 1000):
+        ev = landing_events(spark, d).withColumn("heart_rate", F.col("heart_rate") * factor + (F.lit(0) if factor == 1 else 500))
+        root = scratch_path(spark, "landing")
+        ev.select(F.to_json(F.struct(*_PAYLOAD)).alias("value")).write.text(root)
+        run_etl(spark, root, base, batch_date=event_date(), bronze_mode="overwrite", glob=GLOB)
+    out = None
+    for layer in ("bronze", "silver", "gold"):
+        part = read_layer(spark, base, layer, "vitals").agg(F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("n_rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("p10_unkeyed_rows", W() + """
+SELECT patient_id, count(*) AS windows FROM (
+  SELECT DISTINCT patient_id, time_bucket(INTERVAL 10 MINUTE, event_timestamp) AS w FROM fx_silver_v
+  WHERE event_id % 3 <> 0 AND event_id % 5 <> 0) GROUP BY 1""")
+def q_unkeyed(spark, d):
+    """Rows without patient or event time give no Gold window."""
+    from pulsegrid.operators.gold import gold_vitals
+    from pulsegrid.plans.layers import silver_v
+    e = F.col("event_id")
+    df = silver_v(spark, d).withColumns({"patient_id": F.when(e % 3 != 0, F.col("patient_id")),
+                                         "event_timestamp": F.when(e % 5 != 0, F.col("event_timestamp"))})
+    return gold_vitals(df).groupBy("patient_id").agg(F.count(F.lit(1)).alias("windows"))
+
+
+@register("k01_append_layer", W() + """
+SELECT patient_id, 2 * count(*) AS n_rows FROM fx_silver_v GROUP BY 1""")
+def q_append(spark, d):
+    """Unpartitioned append, twice; an empty frame in between writes nothing."""
+    from pulsegrid.plans.layers import silver_v
+    base = scratch_path(spark, "lake")
+    df = silver_v(spark, d).select("patient_id", "heart_rate")
+    for part in (df, df.limit(0), df):
+        write_layer(part, base, "silver", "vitals", partitioned=False)
+    return read_layer(spark, base, "silver", "vitals").groupBy("patient_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("k05_land_stream", W() + """
+SELECT patient_id, count(*) AS n_rows, count(DISTINCT event_id) AS offsets,
+  count(CASE WHEN device_type = 'vital_monitor' THEN heart_rate END) AS readings, 0 AS malformed
+FROM fx_raw WHERE device_type IN ('vital_monitor', 'imu_sensor') AND event_id % 10 <> 0 GROUP BY 1
+UNION ALL SELECT NULL, 0, 0, 0, count(*) FROM fx_raw WHERE device_type IN ('vital_monitor', 'imu_sensor') AND event_id % 10 = 0""")
+def q_land_stream(spark, d):
+    """Kafka layout -> landing tree by stream; every tenth message is broken and
+    is landed as received, for the reader to report."""
+    from pulsegrid import schemas as S
+    from pulsegrid.streaming.ingest import land_stream
+    src, base, check = (scratch_path(spark, n) for n in ("kafka", "landing_tree", "ckpt"))
+    k = kafka_layout(spark, d).withColumn("value", F.when(F.col("offset") % 10 == 0, F.lit(b"not json {")).otherwise(F.col("value")))
+    k.write.parquet(src)
+    land_stream(spark.readStream.schema(S.KAFKA_SCHEMA).parquet(src), base, "all", check, available_now=True).awaitTermination()
+    good, bad = read_landing_partitions(spark, f"{base}/all", quarantine=True)
+    zero = F.lit(0).cast("long")
+    return good.groupBy("patient_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("offset").alias("offsets"), F.count("heart_rate").alias("readings"),
+        zero.alias("malformed")).unionByName(bad.agg(
+            F.lit(None).cast("string").alias("patient_id"), zero.alias("n_rows"), zero.alias("offsets"), zero.alias("readings"),
+            F.count("raw_line").alias("malformed")))
+
+
+@register("st04_k08_incremental_ingest", W() + """
+SELECT 'gold' AS part, count(*) AS n, sum(peak_hr) AS total FROM fx_gold_v
+UNION ALL SELECT 'bronze', count(*), sum(heart_rate) FROM fx_raw WHERE device_type = 'vital_monitor'
+UNION ALL SELECT 'runs', 2, NULL""")
+def q_ingest(spark, d):
+    """Two halves of the landing files in two runs of the stream equal one batch."""
+    from pulsegrid.streaming.ingest import ingest_landing
+    landing, base, check, archive = (scratch_path(spark, n) for n in ("landing", "lake", "ckpt", "archive"))
+    ev = landing_events(spark, d)
+    line = F.to_json(F.struct(*_PAYLOAD)).alias("value")
+    for half in (0, 1):
+        ev.filter(F.col("event_id") % 2 == half).select(line).write.text(f"{landing}/h{half}")
+        ingest_landing(spark, landing, base, check, archive_dir=archive, batch_date=event_date(), glob=GLOB).awaitTermination()
+    g = read_layer(spark, base, "gold", "vitals")
+    b = read_layer(spark, base, "bronze", "vitals")
+    none = F.lit(None).cast("double")
+    return (g.agg(F.lit("gold").alias("part"), F.count(F.lit(1)).alias("n"), F.sum("peak_hr").alias("total"))
+            .unionByName(b.agg(F.lit("bronze").alias("part"), F.count(F.lit(1)).alias("n"), F.sum("heart_rate").alias("total")))
+            .unionByName(b.agg(F.lit("runs").alias("part"), F.count_distinct("etl_run_id").alias("n"), none.alias("total"))))
+
+
+@register("s09_s10_consolidated_statistics", W("""s_parsed AS (SELECT device_type, sensor_type,
+    CAST(TRY_CAST(f[1] AS DOUBLE) AS BIGINT) AS subject_id, trim(f[2]) AS activity_code,
+    TRY_CAST(f[4] AS DOUBLE) AS x, TRY_CAST(f[5] AS DOUBLE) AS y, TRY_CAST(f[6] AS DOUBLE) AS z
+  FROM (SELECT device_type, sensor_type, string_split(rtrim(line, ';'), ',') AS f FROM fx_sensor WHERE trim(line) <> '')
+  WHERE len(f) <= 6)""") + f"""
+SELECT device_type || '_' || sensor_type AS dataset, 'raw' AS type, count(*) AS total_readings, NULL AS total_samples,
+  count(DISTINCT subject_id) AS unique_subjects, count(DISTINCT activity_code) AS unique_activities,
+  CAST(min(subject_id) AS VARCHAR) || ' - ' || CAST(max(subject_id) AS VARCHAR) AS subject_range,
+  round(avg(x), 6) AS x_mean, round(avg(y), 6) AS y_mean, round(avg(z), 6) AS z_mean
+FROM s_parsed GROUP BY device_type, sensor_type
+UNION ALL
+SELECT device_type || '_accelerometer', 'processed', NULL, count(*), count(DISTINCT "class"), count(DISTINCT "ACTIVITY"),
+  NULL, NULL, NULL, NULL FROM ({_FEATURES_SQL}) f GROUP BY device_type""")
+def q_consolidated(spark, d):
+    """The consolidation job: all raw and all processed files to combined CSV
+    tables, and one statistics table over both."""
+    root = scratch_path(spark, "consolidated")
+    raw, features = _read_all_sensor(spark, _sensor_files(spark, d)), _all_features(spark, d)
+    export_csv(raw, f"{root}/all_raw")
+    export_csv(features, f"{root}/all_processed")
+    read = lambda name, like: spark.read.option("header", "true").schema(like.schema).csv(f"{root}/{name}")
+    return r6(DS.dataset_statistics(read("all_raw", raw), read("all_processed", features)), "x_mean", "y_mean", "z_mean")

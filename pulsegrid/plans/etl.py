@@ -1,11 +1,12 @@
-"""Batch medallion job: landing -> Bronze -> Silver -> Gold.
-
-Bronze appends each run's rows under their `etl_batch_date` partition.
-Silver and Gold recompute only the batch dates the run touched, reading
-those Bronze/Silver partitions (partition pruning) and replacing the same
-partitions (dynamic overwrite), so re-running a batch gives the same tables
-(ST06) instead of growing duplicates. Row counts come from Observations on
-the writes (A28/K09), not extra count passes.
+"""Medallion job: landing -> Bronze -> Silver -> Gold.
+
+Each run owns the partition `etl_batch_date=<date>/etl_run_id=<run>` of the
+Bronze and Silver tables and of the Gold states, so writing a run twice
+replaces it and taking it back deletes folders; nothing else is rewritten.
+Silver cleans only the run's own Bronze rows. Gold of the touched dates is
+merged from the runs' states (sums, counts, maxima per patient and window), so
+a run reads its own rows and the dates' small states, not the dates' rows (ST06).
+Row counts come from Observations on the writes (A28/K09), not extra passes.
 """
 
 from __future__ import annotations
@@ -13,15 +14,19 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
-from pulsegrid.operators.clean import add_lineage, clean_movement, clean_vitals, route
-from pulsegrid.operators.gold import gold_movement, gold_vitals
-from pulsegrid.sinks.files import append_run_log, write_layer, write_layer_metrics
-from pulsegrid.sources.files import read_landing, read_layer
+from pulsegrid.operators.clean import add_lineage, clean_movement, clean_vitals, route_name
+from pulsegrid.operators.gold import merge_movement, merge_vitals, movement_state, vitals_state
+from pulsegrid.session import scratch_path
+from pulsegrid.sinks.files import append_run_log, write_layer_metrics
+from pulsegrid.sources.files import LANDING_GLOB, delete_path, landing_lines, list_folders, parse_landing, read_layer
+
+ENTITIES = ("vitals", "movement")
+RUN_PARTITIONS = ("etl_batch_date", "etl_run_id")
+STATES = "_gold_state"
 
 
 @dataclass
@@ -32,129 +37,208 @@ class EtlResult:
     skipped: list[tuple[str, str]] = field(default_factory=list)
 
 
-# up to this many one-byte rows are fetched by `take`, which reads partitions
-# incrementally (1, then 4x more ...) and usually touches a handful of files
-TAKE_LIMIT = 10_000
-
-
 def has_at_least(df: DataFrame, n: int) -> bool:
-    """`len(df) >= n` without counting everything (ST05): stops after n rows.
-
-    Small thresholds use `take` on a constant projection (incremental partition
-    scan); large ones `limit(n).count()` (every partition stops after n rows,
-    nothing but the count reaches the driver)."""
-    if n <= 0:
-        return True
-    probe = df.select(F.lit(1).alias("one"))
-    if n <= TAKE_LIMIT:
-        return len(probe.take(n)) >= n
-    return probe.limit(n).count() >= n
+    """`len(df) >= n` (ST05), by one count for every threshold."""
+    return n <= 0 or df.count() >= n
 
 
-def bronze_frame(spark: SparkSession, landing: str, run_id: str, batch_date: str | Column | None) -> DataFrame:
-    return add_lineage(read_landing(spark, landing), run_id, batch_date, source_file=F.col("source_file"))
+@dataclass
+class Staged:
+    """Landing lines of one run as a table in the shared folder, by route."""
+    spark: SparkSession
+    path: str
+    frame: DataFrame
+    seen: dict
+
+    def part(self, *routes: str) -> DataFrame:
+        return self.frame.filter(F.col("_route").isin(*routes)).drop("_route")
+
+    def remove(self) -> None:
+        delete_path(self.spark, self.path)
+
+
+def stage_landing(lines: DataFrame, run_id: str, batch_date: str | Column | None) -> Staged:
+    """Parse landing lines once into a staging table partitioned by route:
+    `vitals`, `movement`, `other` devices and `rejected` lines. The counts of
+    each and the batch dates are observed on the write."""
+    spark = lines.sparkSession
+    df = add_lineage(parse_landing(lines, ["source_file"]), run_id, batch_date, source_file=F.col("source_file"))
+    df = df.withColumn("_route", F.when(F.col("bad_line").isNotNull(), "rejected").otherwise(route_name()))
+    obs, r = Observation(f"landing_{run_id}"), F.col("_route")
+    path = scratch_path(spark, "staging")
+    (df.observe(obs, F.count(F.lit(1)).alias("consumed"), F.count_if(r == "rejected").alias("rejected"),
+                F.count_if(r == "other").alias("other_device"),
+                F.collect_set(F.when(r.isin(*ENTITIES), F.col("etl_batch_date"))).alias("dates"))
+     .write.partitionBy("_route").parquet(path))
+    return Staged(spark, path, spark.read.schema(df.schema).parquet(path), dict(obs.get))
+
+
+def quarantine(staged: Staged, base: str) -> None:
+    """Keep what no layer takes, as received: malformed lines and rows of other
+    devices, with the reason, in `{base}/_quarantine` (per run, replaced by a
+    replay)."""
+    fields = [c for c in staged.frame.columns if c not in ("bad_line", "source_file", "_route", *S.LINEAGE_COLUMNS)]
+    other = F.to_json(F.struct(*fields))
+    rows = staged.part("rejected").select(F.col("bad_line").alias("raw_line"), "source_file", F.lit("malformed").alias("reason"),
+                                          "etl_run_id")
+    rows = rows.unionByName(staged.part("other").select(other.alias("raw_line"), "source_file",
+                                                        F.lit("other device").alias("reason"), "etl_run_id"))
+    (rows.write.partitionBy("etl_run_id").option("partitionOverwriteMode", "dynamic").mode("overwrite")
+     .parquet(f"{base}/_quarantine"))
 
 
 def run_etl(spark: SparkSession, landing: str, base: str, run_id: str | None = None,
             batch_date: str | Column | None = None, min_records: int = 1,
             fall_threshold: float = S.FALL_SVM_THRESHOLD, minutes: int = S.WINDOW_MINUTES,
-            run_log: bool = True, bronze_mode: str = "append") -> EtlResult:
+            run_log: bool = True, bronze_mode: str = "append", glob: str = LANDING_GLOB) -> EtlResult:
     """Run the three layers for the landing files under ``landing``.
 
     ``batch_date`` defaults to today's UTC date (the processing date); a
     column expression assigns dates per row instead (e.g. event date when
-    back-filling history). ``bronze_mode='append'`` suits incremental landing
-    input (each file ingested once, see streaming.ingest); ``'overwrite'``
-    suits back-fills where the landing input holds whole batch dates, and
-    makes the whole job idempotent."""
+    back-filling history; a row without one gets the processing date).
+    ``bronze_mode='append'`` adds a run to its dates (each file ingested
+    once, see streaming.ingest); ``'overwrite'`` suits back-fills where the
+    landing input holds whole batch dates: earlier runs of the touched dates
+    go, which makes the whole job idempotent."""
     res = EtlResult(run_id or uuid.uuid4().hex[:8])
-    # one landing scan feeds both Bronze tables (and their batch dates); the cached
-    # blocks spill to disk and are rebuilt from the landing files if lost
-    bronze = bronze_frame(spark, landing, res.run_id, batch_date).persist(StorageLevel.MEMORY_AND_DISK)
-    if isinstance(batch_date, str):
-        res.batch_dates = [batch_date]
+    staged = stage_landing(landing_lines(spark, landing, glob), res.run_id, batch_date)
     try:
-        if min_records > 1 and not has_at_least(bronze, min_records):
-            # too few landing records: no layer is written and the files stay
-            # in landing for a later run (ST05); a threshold of 1 needs no
-            # check, since an empty run writes no files. (The streaming
-            # ingestion cannot defer consumed files, so it keeps Bronze and
-            # applies the threshold to Silver only.)
-            res.skipped.append(("bronze", "all"))
-            return res
-        return run_layers(spark, bronze, base, res, min_records, fall_threshold, minutes, run_log, bronze_mode)
+        return run_staged(staged, base, res, min_records, fall_threshold, minutes, run_log, bronze_mode,
+                          batch_date if isinstance(batch_date, str) else None)
     finally:
-        bronze.unpersist()
+        staged.remove()
+
+
+def run_staged(staged: Staged, base: str, res: EtlResult, min_records: int = 1,
+               fall_threshold: float = S.FALL_SVM_THRESHOLD, minutes: int = S.WINDOW_MINUTES, run_log: bool = True,
+               bronze_mode: str = "append", batch_date: str | None = None, defer: bool = True) -> EtlResult:
+    """Layers of a staged run. With ``defer`` (the batch job, whose landing files
+    stay where they are) a run of fewer than ``min_records`` readable records,
+    or without a row of a known device, writes no layer, so that a later run
+    can take the files (ST05)."""
+    seen = staged.seen
+    good = seen["consumed"] - seen["rejected"]
+    if seen["rejected"] or seen["other_device"]:
+        quarantine(staged, base)
+    for k in ("consumed", "rejected", "other_device"):
+        res.counts[("landing", k)] = int(seen[k])
+    if defer and good < min_records or good == seen["other_device"]:
+        res.skipped.append(("bronze", "all"))
+        if not res.batch_dates:
+            if run_log and good:
+                append_run_log(staged.spark, base, res.run_id, res.counts)
+            return res
+    if batch_date is not None:
+        res.batch_dates = sorted({batch_date, *res.batch_dates})
+    bronze = staged.part(*ENTITIES).drop("bad_line")
+    return run_layers(staged.spark, bronze, base, res, min_records, fall_threshold, minutes, run_log, bronze_mode)
+
+
+def _own_dates(spark: SparkSession, table: str, run_id: str, dates: list[str]) -> list[str]:
+    """The dates in which a run has a partition of a table (folder names only)."""
+    return [d for d in dates if f"etl_run_id={run_id}" in list_folders(spark, f"{table}/etl_batch_date={d}")]
 
 
 def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult, min_records: int = 1,
                fall_threshold: float = S.FALL_SVM_THRESHOLD, minutes: int = S.WINDOW_MINUTES,
                run_log: bool = True, bronze_mode: str = "append") -> EtlResult:
     """Bronze rows (with lineage) -> the three layer tables. Shared by the
-    batch job and the streaming ingestion (one call per micro-batch)."""
-    # the batch dates this run touches are observed on the Bronze writes
-    # themselves (a set of dates, no extra pass over the input)
-    track = {} if res.batch_dates else {"dates": F.collect_set("etl_batch_date")}
+    batch job and the streaming ingestion (one call per micro-batch).
+
+    ``res.batch_dates`` may hold dates to bring up to date besides those the
+    rows have (after taking a run back). Whatever of the touched dates the new
+    result does not contain is removed, so no layer keeps rows that its source
+    no longer has."""
+    if "etl_run_id" not in bronze.columns:
+        bronze = bronze.withColumn("etl_run_id", F.lit(res.run_id))
+    track = {"dates": F.collect_set("etl_batch_date")}
     dates = set(res.batch_dates)
-    v, m, _ = route(bronze)
-    written = {"vitals": v.schema, "movement": m.schema}
-    for entity, frame in (("vitals", v), ("movement", m)):
-        got = write_layer_metrics(frame, base, "bronze", entity, extra=track, mode=bronze_mode)
+    for entity in ENTITIES:
+        got = write_layer_metrics(bronze.filter(route_name() == entity), base, "bronze", entity, extra=track, by=RUN_PARTITIONS)
         res.counts[("bronze", entity)] = got["rows"]
-        dates.update(got.get("dates", []))
+        _drop_partitions(spark, f"{base}/bronze/{entity}", res.run_id, dates - set(got["dates"]))
+        dates.update(got["dates"])
     res.batch_dates = sorted(dates)
-
-    steps = {
-        "vitals": (clean_vitals, lambda df: gold_vitals(df, minutes)),
-        "movement": (clean_movement, lambda df: gold_movement(df, fall_threshold, minutes)),
-    }
-    for entity, (to_silver, to_gold) in steps.items():
-        # layers are read back with the schema they were written with: no
-        # footer-reading schema job, and a table never written reads as empty
-        b = read_layer(spark, base, "bronze", entity, schema=written[entity])
-        silver = to_silver(b.filter(F.col("etl_batch_date").isin(res.batch_dates)))
-        if not has_at_least(silver, min_records):
-            res.skipped.append(("silver", entity))
-            continue
-        # layer writes are partitioned by batch date: an empty one writes no
-        # files, so no emptiness check runs (Gold's aggregation runs once)
-        res.counts[("silver", entity)] = write_layer(silver, base, "silver", entity)
-        s = read_layer(spark, base, "silver", entity, schema=silver.schema).filter(
-            F.col("etl_batch_date").isin(res.batch_dates))
-        res.counts[("gold", entity)] = write_layer(to_gold(s), base, "gold", entity)
+    if bronze_mode == "overwrite":
+        for d in res.batch_dates:
+            for layer in ("bronze", "silver", STATES):
+                for entity in ENTITIES:
+                    for f in list_folders(spark, f"{base}/{layer}/{entity}/etl_batch_date={d}"):
+                        if f != f"etl_run_id={res.run_id}":
+                            delete_path(spark, f"{base}/{layer}/{entity}/etl_batch_date={d}/{f}")
+
+    steps = {"vitals": (clean_vitals, lambda df: vitals_state(df, minutes), merge_vitals),
+             "movement": (clean_movement, lambda df: movement_state(df, fall_threshold, minutes), merge_movement)}
+    for entity, (to_silver, to_state, to_gold) in steps.items():
+        _refresh(spark, bronze.schema, base, entity, res, min_records, to_silver, to_state, to_gold)
     if run_log:
         append_run_log(spark, base, res.run_id, res.counts)
     return res
 
 
-def drop_run(spark: SparkSession, base: str, run_id: str, dates: list[str],
-             entities: tuple[str, ...] = ("vitals", "movement")) -> list[str]:
-    """Take back the Bronze rows an unfinished run appended to ``dates``.
-
-    Used when a micro-batch is replayed after stopping part-way. Each touched
-    Bronze partition is rewritten without the run's rows; the kept rows are
-    checkpointed first (to the shared checkpoint dir) because the overwrite
-    replaces the very files they are read from. A date left without Bronze
-    rows loses its Silver and Gold partitions too (they derive from it
-    alone). Returns the dates that still hold rows, for recomputing."""
-    from pulsegrid.session import shared_dir
-    from pulsegrid.sources.files import delete_path, path_exists
-    shared_dir(spark)  # makes sure a checkpoint dir is set
-    kept: set[str] = set()
-    for entity in entities:
-        if not path_exists(spark, f"{base}/bronze/{entity}"):
-            continue
-        part = read_layer(spark, base, "bronze", entity).filter(F.col("etl_batch_date").isin(dates))
-        if "etl_run_id" not in part.columns or part.filter(F.col("etl_run_id") == run_id).isEmpty():
-            kept.update(dates)  # nothing of this run landed here; partitions stay as they are
-            continue
-        keep = part.filter(F.col("etl_run_id") != run_id).checkpoint()
-        got = write_layer_metrics(keep, base, "bronze", entity, mode="overwrite",
-                                  extra={"dates": F.collect_set("etl_batch_date")})
-        left = set(got.get("dates", []))
-        kept.update(left)
-        for d in set(dates) - left:
-            for layer in ("bronze", "silver", "gold"):
-                delete_path(spark, f"{base}/{layer}/{entity}/etl_batch_date={d}")
-    return sorted(kept)
-
+def _drop_partitions(spark: SparkSession, table: str, run_id: str, dates) -> None:
+    for d in dates:
+        delete_path(spark, f"{table}/etl_batch_date={d}/etl_run_id={run_id}")
+
+
+def _refresh(spark: SparkSession, schema, base: str, entity: str, res: EtlResult, min_records: int,
+             to_silver, to_state, to_gold) -> None:
+    """Silver and Gold of one entity for the touched dates: clean the Bronze
+    runs that Silver lacks (this run, and runs that a record threshold held
+    back), then merge the dates' states."""
+    on_date = F.col("etl_batch_date").isin(res.batch_dates)
+    owed = {res.run_id}
+    for d in res.batch_dates:
+        have = set(list_folders(spark, f"{base}/silver/{entity}/etl_batch_date={d}"))
+        owed |= {f.split("=", 1)[1] for f in list_folders(spark, f"{base}/bronze/{entity}/etl_batch_date={d}") if f not in have}
+    # layers are read with the schema they were written with: no footer-reading
+    # schema job, and a table never written reads as empty; unreadable files fail
+    source = read_layer(spark, base, "bronze", entity, schema=schema)
+    silver = to_silver(source.filter(on_date & F.col("etl_run_id").isin(sorted(owed))))
+    stored = read_layer(spark, base, "silver", entity, schema=silver.schema).filter(on_date)
+    if min_records > 1 and not has_at_least(
+            stored.filter(~F.col("etl_run_id").isin(sorted(owed))).select("etl_run_id").unionAll(silver.select("etl_run_id")),
+            min_records):
+        res.skipped.append(("silver", entity))
+        written, res_dates = set(), set()
+    else:
+        got = write_layer_metrics(silver, base, "silver", entity, by=RUN_PARTITIONS,
+                                  extra={"own": F.collect_set(F.struct("etl_batch_date", "etl_run_id"))})
+        written = {(r["etl_batch_date"], r["etl_run_id"]) for r in got["own"]}
+        res_dates = {d for d, _ in written}
+        if got["rows"]:
+            res.counts[("silver", entity)] = got["rows"]
+        else:
+            res.skipped.append(("silver", entity))
+    for layer in ("silver", STATES):
+        for run in owed:
+            _drop_partitions(spark, f"{base}/{layer}/{entity}", run, [d for d in res.batch_dates if (d, run) not in written])
+    # read again: the write above changed the table's files
+    stored = read_layer(spark, base, "silver", entity, schema=silver.schema).filter(on_date)
+    state = to_state(stored.filter(F.col("etl_run_id").isin(sorted(owed))))
+    if res_dates:
+        # a rerun of owed partitions replaces them; runs without keyed rows leave none
+        for run in owed:
+            _drop_partitions(spark, f"{base}/{STATES}/{entity}", run, res_dates)
+        write_layer_metrics(state, base, STATES, entity, by=RUN_PARTITIONS)
+    got = write_layer_metrics(to_gold(read_layer(spark, base, STATES, entity, schema=state.schema).filter(on_date)),
+                              base, "gold", entity, extra={"dates": F.collect_set("etl_batch_date")})
+    for d in set(res.batch_dates) - set(got["dates"]):
+        delete_path(spark, f"{base}/gold/{entity}/etl_batch_date={d}")
+    if ("silver", entity) not in res.skipped:
+        res.counts[("gold", entity)] = got["rows"]
+
+
+def drop_run(spark: SparkSession, base: str, run_id: str, dates: list[str]) -> list[str]:
+    """Take back what an unfinished run wrote: its own partitions of the dates
+    are deleted, nothing is read or rewritten. Returns the dates in which it
+    had any, whose Gold the caller brings up to date."""
+    had = set()
+    for layer in ("bronze", "silver", STATES):
+        for entity in ENTITIES:
+            table = f"{base}/{layer}/{entity}"
+            own = _own_dates(spark, table, run_id, dates)
+            had.update(own)
+            _drop_partitions(spark, table, run_id, own)
+    delete_path(spark, f"{base}/_quarantine/etl_run_id={run_id}")
+    return sorted(had)

@@ -87,7 +87,7 @@ KAFKA_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-# Smartwatch dataset columns, all read as text.
+# --- fixed values: smartwatch dataset columns, all read as text --------------
 SMARTWATCH_COLUMNS = [
     "User ID", "Heart Rate (BPM)", "Blood Oxygen Level (%)", "Step Count",
     "Sleep Duration (hours)", "Activity Level", "Stress Level",

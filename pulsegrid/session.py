@@ -53,9 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder on the shared file system")
-        d = tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
+        d = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return d.rstrip("/")
 
 

@@ -12,58 +12,44 @@ from pulsegrid.sources.files import PARTITION_COLS
 
 
 def write_layer(df: DataFrame, base: str, layer: str, entity: str, partitioned: bool = True,
-                mode: str | None = None, observe: bool = True, probe: DataFrame | None = None,
-                check_empty: bool = True) -> int | None:
-    """Write a layer table (K01/K02) and return its row count.
-
-    Partitioned by `etl_batch_date` with dynamic partition overwrite, so a
-    rerun of a batch replaces exactly that batch (idempotent). The row count
-    comes from an Observation on the same write - no extra pass - and an
-    empty result writes nothing: a partitioned write of no rows creates no
-    files and replaces no partition, so it needs no check. Other writes are
-    checked first, stopping at the first row of a narrow plan; for an
-    aggregate pass its input as ``probe`` (empty exactly when the aggregate
-    is), since checking the aggregate itself would run its shuffle twice.
-    ``check_empty=False`` when the caller already knows there are rows.
-    """
-    if not observe:
-        _write(df, base, layer, entity, partitioned, mode, probe, check_empty)
-        return None
-    return write_layer_metrics(df, base, layer, entity, partitioned=partitioned, mode=mode, probe=probe,
-                               check_empty=check_empty)["rows"]
+                mode: str | None = None) -> int:
+    """Write a layer table (K01/K02) and return its row count; see
+    :func:`write_layer_metrics`."""
+    return write_layer_metrics(df, base, layer, entity, partitioned=partitioned, mode=mode)["rows"]
 
 
 def write_layer_metrics(df: DataFrame, base: str, layer: str, entity: str, extra: dict[str, Column] | None = None,
-                        partitioned: bool = True, mode: str | None = None, probe: DataFrame | None = None,
-                        check_empty: bool = True) -> dict:
-    """`write_layer` that also returns further aggregates of the written rows
-    (``extra``: name -> aggregate column), observed on the same write. A
-    non-partitioned write skipped as empty returns ``{"rows": 0}`` only."""
+                        partitioned: bool = True, mode: str | None = None,
+                        by: tuple[str, ...] = ("etl_batch_date",)) -> dict:
+    """Write a layer table; its row count and further aggregates of the
+    written rows (``extra``: name -> aggregate column) are observed on the
+    same write - no extra pass.
+
+    Partitioned by ``by`` (columns the frame has) with dynamic partition
+    overwrite: a rerun replaces exactly the partitions it produces, and a
+    write without rows leaves no file. Rows are rebalanced by the partition
+    columns first, so files have the session's advisory size instead of one
+    small file for each task and date; a large date still spreads over many
+    tasks. ``partitioned=False`` appends instead, and skips an empty frame
+    (K01)."""
+    by = tuple(c for c in by if partitioned and c in df.columns)
+    if not by and df.isEmpty():
+        return {"rows": 0}
     obs = Observation(f"rows_{layer}_{entity}")
     aggs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (extra or {}).items()]
-    if not _write(df.observe(obs, *aggs), base, layer, entity, partitioned, mode, probe if probe is not None else df,
-                  check_empty):
-        return {"rows": 0}
+    # observed above the rebalance: an exchange that turns out empty is cut off
+    # at run time, with all that stands below it
+    df = (df.hint("rebalance", *by) if by else df).observe(obs, *aggs)
+    if by:
+        w = df.write.partitionBy(*by).option("partitionOverwriteMode", "dynamic").mode(mode or "overwrite")
+    else:
+        w = df.write.mode(mode or "append")
+    w.parquet(f"{base}/{layer}/{entity}")
     got = dict(obs.get)
     got["rows"] = int(got["rows"])
     return got
 
 
-def _write(df: DataFrame, base: str, layer: str, entity: str, partitioned: bool, mode: str | None,
-           probe: DataFrame | None, check_empty: bool) -> bool:
-    by_date = partitioned and "etl_batch_date" in df.columns
-    if check_empty and not by_date and (probe if probe is not None else df).isEmpty():
-        return False
-    w = df.write
-    if by_date:
-        w = w.partitionBy("etl_batch_date").option("partitionOverwriteMode", "dynamic")
-        w = w.mode(mode or "overwrite")
-    else:
-        w = w.mode(mode or "append")
-    w.parquet(f"{base}/{layer}/{entity}")
-    return True
-
-
 def export_csv(df: DataFrame, path: str, header: bool = True) -> None:
     """CSV export of any result (K07); text is written as is (no trimming)."""
     (df.write.mode("overwrite").option("header", str(header).lower())
@@ -85,27 +71,12 @@ def land_batch(df: DataFrame, base: str, kind: str, time_col=None) -> None:
     out.write.mode("append").partitionBy(*PARTITION_COLS).json(f"{base}/{kind}")
 
 
-def rename_suffix(spark: SparkSession, folder: str, old: str, new: str) -> int:
-    """Give the part files of a text write another extension (metadata only)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    it = fs.listFiles(root, True)
-    n = 0
-    while it.hasNext():
-        p = it.next().getPath()
-        name = p.getName()
-        if name.endswith(old) and not name.startswith((".", "_")):
-            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), name[: -len(old)] + new))
-            n += 1
-    return n
-
-
 RUN_LOG_SCHEMA = "etl_run_id string, layer string, data_type string, record_count long, logged_at timestamp_ntz"
 
 
 def run_log_rows(spark: SparkSession, run_id: str, counts: dict[tuple[str, str], int]) -> DataFrame:
-    """Batch metadata (K09): one row per written layer table."""
+    """Batch metadata (K09): one row per written layer table, and the landing
+    counters (lines consumed, rejected as malformed, of other devices)."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = [(run_id, layer, entity, int(n), now) for (layer, entity), n in counts.items()]
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA)

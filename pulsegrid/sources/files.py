@@ -14,8 +14,6 @@ from pyspark.sql import types as T
 from pulsegrid import schemas as S
 from pulsegrid.operators.clean import unnest_envelope
 
-CORRUPT = "_corrupt_record"
-
 # --- fixed values: cell texts a pandas CSV read treats as missing (its default na_values)
 PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
                     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
@@ -51,17 +49,44 @@ def touch_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
 
 
-def _landing_schema(extra: list[T.StructField] | None = None) -> T.StructType:
-    return T.StructType(S.LANDING_SCHEMA.fields + (extra or []) + [T.StructField(CORRUPT, T.StringType())])
-
-
-def _parse_lines(lines: DataFrame, keep: list[str]) -> DataFrame:
-    """JSON text lines -> typed columns; a malformed line keeps its text in
-    `_corrupt_record` instead of failing the job. Blank lines are skipped."""
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = (lines.filter(F.trim("value") != "")
-              .select(F.from_json("value", _landing_schema(), opts).alias("j"), *keep))
-    return parsed.select("j.*", *keep)
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under ``path`` that hold data files (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for s in fs.listStatus(p):
+        if s.isDirectory() and not s.getPath().getName().startswith(("_", ".")):
+            it = fs.listFiles(s.getPath(), True)
+            while it.hasNext():
+                if not it.next().getPath().getName().startswith(("_", ".")):
+                    out.append(s.getPath().getName())
+                    break
+    return out
+
+
+def parse_landing(lines: DataFrame, keep: list[str], value: str = "value") -> DataFrame:
+    """JSON text lines -> typed columns, one row per non-blank line.
+
+    Only a line that is no JSON object, or an envelope whose message was none,
+    is malformed: its text is in ``bad_line`` (null otherwise) and its fields
+    are null. A field of the wrong type is null and kept in ``extra_fields``."""
+    as_map = "map<string,string>"
+    df = (lines.filter(F.trim(value) != "").select(F.col(value).alias("_line"), *keep)
+          .withColumn("_top", F.from_json("_line", as_map)))
+    df = df.withColumn("_payload", F.from_json(F.col("_top")["value"], as_map))
+    broken = F.col("_top").isNull() | (F.col("_top")["value"].isNotNull() & F.col("_payload").isNull())
+    cols = unnest_envelope(F.col("_top"), F.col("_payload"))
+    return df.select(*[F.when(~broken, c).alias(n) for n, c in cols.items()], *keep,
+                     F.when(broken, F.col("_line")).alias("bad_line"))
+
+
+def landing_lines(spark: SparkSession, path: str, glob: str = LANDING_GLOB) -> DataFrame:
+    """Text lines of the landing files under ``path`` with their file."""
+    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+            .withColumn("source_file", F.col("_metadata.file_path")))
 
 
 def read_landing(spark: SparkSession, path: str, quarantine: bool = False,
@@ -69,61 +94,85 @@ def read_landing(spark: SparkSession, path: str, quarantine: bool = False,
     """Landing JSON-Lines under ``path`` (any depth), both event kinds and
     both line shapes (bare event / Kafka envelope) in one frame (S01, P03).
 
-    Lines are scanned as text (files split across tasks) and parsed with
-    `from_json`. Malformed lines do not fail the scan (S02): with
-    ``quarantine`` the result is ``(good, bad)`` where ``bad`` holds the raw
-    text and its file.
+    Lines are scanned as text (files split across tasks). Malformed lines do
+    not fail the scan (S02): with ``quarantine`` the result is ``(good, bad)``
+    where ``bad`` holds the raw text and its file.
     """
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
-             .withColumn("source_file", F.col("_metadata.file_path")))
-    df = _parse_lines(lines, ["source_file"])
-    good = unnest_envelope(df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+    df = parse_landing(landing_lines(spark, path, glob), ["source_file"])
+    good = df.filter(F.col("bad_line").isNull()).drop("bad_line")
     if not quarantine:
         return good
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_line"), "source_file")
-    return good, bad
+    return good, df.filter(F.col("bad_line").isNotNull()).select(F.col("bad_line").alias("raw_line"), "source_file")
 
 
-def read_landing_partitions(spark: SparkSession, base: str) -> DataFrame:
-    """Hive-partitioned landing tree `year=/month=/day=/hour=/minute=`.
+def read_landing_partitions(spark: SparkSession, base: str, quarantine: bool = False):
+    """Hive-partitioned landing tree `year=/month=/day=/hour=/minute=` (S11),
+    with ``quarantine`` as :func:`read_landing`.
 
     Partition columns are zero-padded text (as written) so equality filters
     on them prune directories before any file is opened."""
     schema = T.StructType([T.StructField("value", T.StringType())]
                           + [T.StructField(c, T.StringType()) for c in PARTITION_COLS])
-    lines = spark.read.schema(schema).option("basePath", base).text(base)
-    df = _parse_lines(lines, PARTITION_COLS)
-    return unnest_envelope(df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+    df = parse_landing(spark.read.schema(schema).option("basePath", base).text(base), PARTITION_COLS)
+    good = df.filter(F.col("bad_line").isNull()).drop("bad_line")
+    if not quarantine:
+        return good
+    return good, df.filter(F.col("bad_line").isNotNull()).select(F.col("bad_line").alias("raw_line"), *PARTITION_COLS)
+
+
+TEXT_PARTITIONS = ("etl_batch_date", "etl_run_id")
 
 
 def read_layer(spark: SparkSession, base: str, layer: str, entity: str, batch_date: str | None = None,
-               schema: T.StructType | None = None) -> DataFrame:
+               schema: T.StructType | None = None, skip_unreadable: bool = False) -> DataFrame:
     """One layer table (S05); one batch-date partition when ``batch_date`` is
-    given (S06, partition pruning). Missing table or partition -> empty frame
-    (with ``schema`` when known); unreadable files are skipped."""
+    given (S06, partition pruning). A missing table, or one without files, is
+    an empty frame (with ``schema`` when known).
+
+    An unreadable file fails the read. With ``skip_unreadable`` (for serving,
+    never inside the ETL) such files are left out; :func:`unreadable_files`
+    tells which."""
     path = f"{base}/{layer}/{entity}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema or T.StructType([]))
-    r = spark.read.option("ignoreCorruptFiles", "true")
-    if schema is not None:
-        r = r.schema(schema)
-    try:
-        df = r.parquet(path)
-    except AnalysisException:  # a folder without data files (e.g. an empty write)
-        return spark.createDataFrame([], schema or T.StructType([]))
-    if "etl_batch_date" in df.columns:
-        df = df.withColumn("etl_batch_date", F.col("etl_batch_date").cast("string"))
+
+    def reader():
+        r = spark.read
+        # the schema then comes from all readable files, not from one that may be broken
+        return r.option("ignoreCorruptFiles", "true").option("mergeSchema", "true") if skip_unreadable else r
+
+    if schema is None:
+        try:
+            found = reader().parquet(path).schema
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a folder without data files
+                raise
+            return spark.createDataFrame([], T.StructType([]))
+        schema = found
+    # partition values are text, whatever they look like
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in TEXT_PARTITIONS else f for f in schema.fields])
+    df = reader().schema(schema).parquet(path)
     if batch_date is not None:
         df = df.filter(F.col("etl_batch_date") == batch_date)
     return df
 
 
+def unreadable_files(spark: SparkSession, base: str, layer: str, entity: str) -> DataFrame:
+    """`path` of the table's data files that ``skip_unreadable`` leaves out: the
+    listed files from which no row is read (an empty file is listed too)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+             .load(f"{base}/{layer}/{entity}").select("path"))
+    df = read_layer(spark, base, layer, entity, skip_unreadable=True)
+    if not df.columns:
+        return files
+    return files.join(df.select(F.col("_metadata.file_path").alias("path")).distinct(), "path", "left_anti")
+
+
 def available_dates(spark: SparkSession, base: str, layer: str, entity: str) -> DataFrame:
-    """Batch dates present in a layer table, newest first."""
-    df = read_layer(spark, base, layer, entity)
-    if "etl_batch_date" not in df.columns:
-        return spark.createDataFrame([], "etl_batch_date string")
-    return df.select("etl_batch_date").distinct().orderBy(F.col("etl_batch_date").desc())
+    """Batch dates present in a layer table, newest first (S07), from its
+    partition folders: no file is opened."""
+    dates = [f.split("=", 1)[1] for f in list_folders(spark, f"{base}/{layer}/{entity}") if f.startswith("etl_batch_date=")]
+    return spark.createDataFrame([(d,) for d in sorted(dates, reverse=True)], "etl_batch_date string").coalesce(1)
 
 
 def read_smartwatch_csv(spark: SparkSession, path: str, pandas_na: bool = True) -> DataFrame:

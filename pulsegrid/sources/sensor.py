@@ -6,7 +6,7 @@ parsing is built-in string functions (split, element access), no Python.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.scalars import activity_name, strip_trailing_semicolons, to_number
@@ -41,35 +41,28 @@ def parse_sensor_lines(df: DataFrame, line_col: str = "line") -> DataFrame:
     ).withColumn("activity_name", activity_name("activity_code"))
 
 
-def read_sensor_raw(spark: SparkSession, path: str, sensor_type: str, device_type: str) -> DataFrame:
-    """Raw sensor files `data_*_{device}.txt` under ``path``."""
-    lines = (spark.read.option("pathGlobFilter", f"data_*_{device_type}.txt")
+def source_name() -> Column:
+    """Name of a scanned file; a file written under a `file=<name>` partition
+    folder has that name."""
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    folder = F.element_at(parts, -2)
+    return F.when(folder.startswith("file="), F.substr(folder, F.lit(6))).otherwise(F.element_at(parts, -1))
+
+
+def read_sensor_raw(spark: SparkSession, path: str, sensor_type: str, device_type: str, glob: str | None = None) -> DataFrame:
+    """Raw sensor files `data_*_{device}.txt` (or ``glob``) under ``path``."""
+    lines = (spark.read.option("pathGlobFilter", glob or f"data_*_{device_type}.txt")
              .option("recursiveFileLookup", "true").text(path)
-             .select(F.col("value").alias("line"),
-                     F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file")))
+             .select(F.col("value").alias("line"), source_name().alias("source_file")))
     return (parse_sensor_lines(lines)
             .withColumns({"sensor_type": F.lit(sensor_type), "device_type": F.lit(device_type)}))
 
 
-# headers up to this many bytes are broadcast to the line scan
-HEADER_BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
-def _sized_broadcast(header: DataFrame, limit: int) -> DataFrame:
-    """Broadcast the per-file headers only when their measured size is under
-    ``limit``: then data lines are matched to their header where they are
-    read, with no shuffle. Beyond it the join stays a shuffle join, where
-    AQE splits a file holding most of the lines across tasks."""
-    size = header.agg(F.sum(F.length("file") + 16 + F.aggregate(
-        "names", F.lit(0), lambda acc, n: acc + F.length(n) + 8)).alias("bytes")).first()["bytes"] or 0
-    return F.broadcast(header) if size <= limit else header
-
-
 def read_sensor_features(spark: SparkSession, path: str, sensor_type: str, device_type: str,
                          columns: list[str] | None = None,
-                         broadcast_limit: int = HEADER_BROADCAST_LIMIT) -> DataFrame:
-    """ARFF feature files `data_*_{device}.arff` -> one column per declared
-    attribute (S10).
+                         glob: str | None = None) -> DataFrame:
+    """ARFF feature files `data_*_{device}.arff` (or ``glob``) -> one column per
+    declared attribute (S10).
 
     Each file declares its attributes (`@attribute "NAME" type`) before
     `@data`; rows after it that are blank, comments (`%`) or of the wrong
@@ -78,10 +71,10 @@ def read_sensor_features(spark: SparkSession, path: str, sensor_type: str, devic
     reading a file in one task. Attribute lists are tiny; the output columns
     are the declared names (``columns`` to fix them up front).
     """
-    raw = (spark.read.option("pathGlobFilter", f"data_*_{device_type}.arff")
+    raw = (spark.read.option("pathGlobFilter", glob or f"data_*_{device_type}.arff")
            .option("recursiveFileLookup", "true").text(path)
            .select(F.col("value").alias("line"),
-                   F.col("_metadata.file_path").alias("file"),
+                   F.col("_metadata.file_path").alias("file"), source_name().alias("name"),
                    F.col("_metadata.file_block_start").alias("blk"),
                    F.monotonically_increasing_id().alias("mid")))
     t = F.trim(F.col("line"))
@@ -94,14 +87,14 @@ def read_sensor_features(spark: SparkSession, path: str, sensor_type: str, devic
              .select("file", "pos", F.regexp_replace(F.element_at(F.split("t", r"\s+"), 2), '^"+|"+$', "").alias("name")))
     header = (attrs.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("a"))
               .join(data_pos, "file")
-              .select("file", "data_pos", F.transform("a", lambda s: s["name"]).alias("names"))
-              .persist())
-    rows = (raw.join(_sized_broadcast(header, broadcast_limit), "file")
+              .select("file", "data_pos", F.transform("a", lambda s: s["name"]).alias("names")))
+    # headers found small at run time are broadcast by Spark; else the join
+    # shuffles, and a file with most of the lines is split over tasks
+    rows = (raw.join(header, "file")
             .filter((F.struct("blk", "mid") > F.col("data_pos")) & (t != "") & ~F.col("line").startswith("%"))
-            .select("file", "names", F.split(t, ",").alias("vals"))
+            .select("name", "names", F.split(t, ",").alias("vals"))
             .filter(F.size("vals") == F.size("names")))
-    rows = rows.select(F.element_at(F.split("file", "/"), -1).alias("source_file"),
-                       F.map_from_arrays("names", "vals").alias("m"))
+    rows = rows.select(F.col("name").alias("source_file"), F.map_from_arrays("names", "vals").alias("m"))
     if columns is None:
         columns = [r[0] for r in header.select(F.explode("names")).distinct().collect()]
         # keep declaration order of the first header that has them

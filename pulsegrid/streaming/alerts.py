@@ -20,11 +20,12 @@ from pulsegrid.operators.clean import parse_value
 
 
 def read_kafka(spark: SparkSession, bootstrap: str, topics: list[str], starting_offsets: str = "latest",
-               fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = 10_000,
+               fail_on_data_loss: bool = True, max_offsets_per_trigger: int | None = None,
                min_offsets_per_trigger: int | None = None, max_trigger_delay: str | None = None) -> DataFrame:
     """Kafka topics as one stream (S03/S04): key, value, topic, partition,
-    offset, timestamp. The rate cap is a source option (it has no effect as a
-    session setting).
+    offset, timestamp. There is no rate cap unless one is given (a source
+    option; it has no effect as a session setting), and records that expired
+    before they were read stop the query rather than go missing.
 
     ``min_offsets_per_trigger`` with ``max_trigger_delay`` gives the landing
     flush rule "N records or the interval, whichever comes first" (K06): with

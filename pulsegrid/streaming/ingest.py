@@ -15,17 +15,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid import schemas as S
 from pulsegrid.functions.scalars import time_parts
-from pulsegrid.operators.clean import add_lineage, to_envelope, unnest_envelope
-from pulsegrid.plans.etl import EtlResult, drop_run, run_layers
+from pulsegrid.operators.clean import to_envelope
+from pulsegrid.plans.etl import EtlResult, drop_run, run_staged, stage_landing
 from pulsegrid.sinks.files import run_logged
-from pulsegrid.sources.files import CORRUPT, LANDING_GLOB, PARTITION_COLS, _parse_lines, delete_path, path_exists, touch_path
+from pulsegrid.sources.files import LANDING_GLOB, PARTITION_COLS, delete_path, path_exists, touch_path
 
 
 def landing_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, glob: str = LANDING_GLOB) -> DataFrame:
     """New landing files as a stream of text lines with their file path."""
     r = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-         .option("pathGlobFilter", LANDING_GLOB))
+         .option("pathGlobFilter", glob))
     if archive_dir:  # K08: consumed files are moved aside (after a later batch commits)
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
@@ -37,13 +37,17 @@ def ingest_landing(spark: SparkSession, landing: str, base: str, checkpoint: str
                    archive_dir: str | None = None, min_records: int = 1,
                    batch_date: str | Column | None = None, fall_threshold: float = S.FALL_SVM_THRESHOLD,
                    minutes: int = S.WINDOW_MINUTES, available_now: bool = True,
-                   interval: str = "10 minutes") -> StreamingQuery:
+                   interval: str = "10 minutes", max_files_per_trigger: int | None = None,
+                   glob: str = LANDING_GLOB) -> StreamingQuery:
     """Start the incremental medallion job (ST04).
 
     With ``available_now`` it processes everything new and stops (the
     scheduled-run mode); otherwise it runs every ``interval``.
+    ``max_files_per_trigger`` cuts a backlog into micro-batches of that many
+    files. A stream cannot leave files for later: lines that no layer takes
+    are kept in `{base}/_quarantine`.
     """
-    lines = landing_stream(spark, landing, archive_dir)
+    lines = landing_stream(spark, landing, archive_dir, max_files_per_trigger, glob)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         run_id = micro_batch_run_id(spark, batch_id)
@@ -68,19 +72,18 @@ def ingest_landing(spark: SparkSession, landing: str, base: str, checkpoint: str
                 finish()
                 return
             earlier = drop_run(spark, base, run_id, [r[0] for r in spark.read.schema("d string").json(note).collect()])
-        parsed = _parse_lines(batch, ["source_file"])
-        good = unnest_envelope(parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
-        bronze = add_lineage(good, run_id, batch_date, source_file=F.col("source_file")).persist()
+        staged = stage_landing(batch, run_id, batch_date)
         try:
             # the dates this batch writes are noted before its first write
-            dates = [batch_date] if isinstance(batch_date, str) else [
-                r[0] for r in bronze.select("etl_batch_date").distinct().collect()]
-            spark.createDataFrame([(d,) for d in dates], "d string").coalesce(1).write.mode("overwrite").json(note)
-            res = EtlResult(run_id, sorted(set(dates) | set(earlier)))
-            run_layers(spark, bronze, base, res, min_records, fall_threshold, minutes)
+            dates = [batch_date] if isinstance(batch_date, str) else sorted(staged.seen["dates"])
+            spark.createDataFrame([(d,) for d in sorted({*dates, *earlier})], "d string").coalesce(1).write.mode(
+                "overwrite").json(note)
+            res = EtlResult(run_id, sorted(earlier))
+            run_staged(staged, base, res, min_records, fall_threshold, minutes, defer=False,
+                       batch_date=batch_date if isinstance(batch_date, str) else None)
             finish()
         finally:
-            bronze.unpersist()
+            staged.remove()
 
     w = lines.writeStream.queryName("landing_ingest").option("checkpointLocation", checkpoint).foreachBatch(each)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
@@ -101,23 +104,33 @@ def micro_batch_run_id(spark: SparkSession, batch_id: int) -> str:
 
 
 def land_stream(kafka: DataFrame, base: str, kind: str, checkpoint: str,
-                interval: str = "10 minutes") -> StreamingQuery:
+                interval: str = "10 minutes", available_now: bool = False) -> StreamingQuery:
     """Kafka records -> JSON-Lines landing files in processing-time Hive
     partitions (K05/K06). A batch is flushed every ``interval``; for "N
     records or the interval, whichever first" read the source with
     ``read_kafka(..., min_offsets_per_trigger=N, max_trigger_delay=interval)``
     and pass a short ``interval`` (the poll). The record cap is the source's
     ``maxOffsetsPerTrigger``. Failed batches are retried from the
-    checkpoint, so nothing is dropped or ingested twice. The event is stored
-    decoded under `value`, as the batch reader expects."""
+    checkpoint, so nothing is dropped or ingested twice. ``available_now``
+    lands what is there and stops."""
     out = envelope_lines(kafka).withColumns(time_parts(F.current_timestamp()))
-    return (out.writeStream.format("json").outputMode("append")
-            .partitionBy(*PARTITION_COLS)
-            .option("path", f"{base}/{kind}").option("checkpointLocation", checkpoint)
-            .trigger(processingTime=interval).start())
-
-
-def envelope_lines(kafka: DataFrame, schema=S.EVENT_SCHEMA) -> DataFrame:
-    """Kafka records -> envelope objects with the event decoded."""
+    w = (out.writeStream.format("text").outputMode("append")
+         .partitionBy(*PARTITION_COLS)
+         .option("path", f"{base}/{kind}").option("checkpointLocation", checkpoint))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
+
+
+def envelope_lines(kafka: DataFrame) -> DataFrame:
+    """Kafka records -> landing lines (P04), column `value`: an envelope object
+    that holds the message as received. A JSON object is put in unchanged
+    (only line breaks between its parts become spaces); anything else becomes
+    a JSON string, which the landing readers report as malformed, so a broken
+    message is neither lost nor taken for an empty event."""
     env = to_envelope(kafka)
-    return env.withColumn("value", F.from_json(F.col("value").cast("string"), schema))
+    text = F.col("value").cast("string")
+    is_object = F.from_json(text, "map<string,string>").isNotNull()
+    head = F.to_json(F.struct("offset", "partition", "timestamp", "key"), {"ignoreNullFields": "false"})
+    broken = F.to_json(F.struct(F.coalesce(text, F.lit("")).alias("value")))
+    body = F.when(is_object, F.concat(F.lit('"value":'), F.regexp_replace(text, r"[\r\n]+", " "), F.lit("}"))).otherwise(
+        F.substr(broken, F.lit(2)))
+    return env.select(F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(","), body).alias("value"))

@@ -13,9 +13,7 @@ def spark():
     s = get_session("local[8]", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="pulsegrid-test-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-test-"))
     yield s
     s.stop()
 

@@ -63,20 +63,25 @@ def test_py_round_matches_python_round(spark):
         assert g == want and math.copysign(1, g) == math.copysign(1, want), (v, g, want)
 
 
-def test_quantiles_exact_only_for_bounded_distinct_values(spark, monkeypatch):
-    """Exact quartiles come from the value histogram while a column's
-    distinct values are bounded; beyond the limit a sketch is used."""
+def test_quantiles_are_exact_whatever_the_number_of_distinct_values(spark):
+    """Against numpy, with ties, many distinct values and few."""
+    import numpy as np
+
     from pulsegrid.operators import datasets as DS
-    df = spark.range(20000).selectExpr("id % 5 AS few", "CAST(id AS DOUBLE) AS many", "CAST(NULL AS DOUBLE) AS none")
-    q = {r.column_name: r.q for r in DS.quantiles(df, ["few", "many"], [0.25, 0.5], limit=1000).collect()}
-    assert q["few"] == [1.0, 2.0]  # exact, interpolated
-    assert abs(q["many"][1] - 9999.5) <= 1.5 and q["many"][1] in {float(v) for v in range(20000)}  # a sketch value
-    monkeypatch.setattr(DS, "EXACT_DISTINCT_LIMIT", 10**9)
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=30_011), np.full(9_000, 0.25)])
+    df = spark.createDataFrame([(float(v), int(i % 5), None) for i, v in enumerate(x)], "many double, few int, none double")
+    ps = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    q = {r.column_name: r.q for r in DS.quantiles(df.repartition(13), ["many", "few", "none"], ps).collect()}
+    assert np.allclose(q["many"], np.quantile(x, ps), rtol=0, atol=1e-12)
+    assert np.allclose(q["few"], np.quantile(np.arange(len(x)) % 5, ps)) and "none" not in q
     d = {r.column_name: r for r in DS.describe_numeric(df).collect()}
-    assert (d["many"].p25, d["many"].p50, d["many"].p75) == (4999.75, 9999.5, 14999.25)  # exact
-    assert d["few"]["count"] == 20000 and abs(d["many"].std - 5773.647) < 1e-3
+    assert np.allclose([d["many"].p25, d["many"].p50, d["many"].p75], np.quantile(x, [.25, .5, .75]), rtol=0, atol=1e-12)
+    assert d["few"]["count"] == len(x) and abs(d["many"].std - x.std(ddof=1)) < 1e-9
     assert d["none"]["count"] == 0 and d["none"].mean is None and d["none"].p50 is None
-    assert [r.column_name for r in DS.describe_numeric(df).collect()] == ["few", "many", "none"]
+    assert list(d) == ["many", "few", "none"]
+    sketch = {r.column_name: r.q for r in DS.quantiles(df, ["many"], [0.5], exact=False).collect()}
+    assert abs(sketch["many"][0] - np.median(x)) < 0.01
 
 
 def test_describe_without_numeric_columns_is_empty(spark):

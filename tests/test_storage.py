@@ -1,28 +1,68 @@
 """Layer storage edge cases."""
 
+import json
 import os
 
+import pytest
+
 from pulsegrid.session import local_path, scratch_path
-from pulsegrid.sinks.files import write_layer
-from pulsegrid.sources.files import available_dates, read_layer, read_smartwatch_csv
+from pulsegrid.sinks.files import write_layer, write_layer_metrics
+from pulsegrid.sources.files import (
+    available_dates, read_landing, read_layer, read_smartwatch_csv, unreadable_files,
+)
+
+
+def _junk(base, layer, entity, date, name):
+    folder = os.path.join(local_path(base), layer, entity, f"etl_batch_date={date}")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("not parquet")
 
 
-def test_missing_layer_is_empty_and_corrupt_file_skipped(spark):
+def test_missing_layer_is_empty(spark):
     base = scratch_path(spark, "lake")
     assert read_layer(spark, base, "gold", "vitals").count() == 0
+    assert available_dates(spark, base, "gold", "vitals").count() == 0
+    os.makedirs(os.path.join(local_path(base), "gold", "vitals"))  # a folder without files
+    assert read_layer(spark, base, "gold", "vitals").columns == []
+    assert available_dates(spark, base, "gold", "vitals").count() == 0
+
+
+@pytest.mark.parametrize("name", ["a_first.parquet", "z_last.parquet"])
+@pytest.mark.parametrize("date", ["2024-01-01", "2024-01-02", "2024-01-03"])
+def test_unreadable_file_fails_the_read_and_is_skipped_only_on_request(spark, name, date):
+    base = scratch_path(spark, "lake")
     df = spark.createDataFrame([("1600", 1.0, "2024-01-01"), ("1601", 2.0, "2024-01-02")],
                                "patient_id string, avg_hr double, etl_batch_date string")
     assert write_layer(df, base, "gold", "vitals") == 2
-    with open(os.path.join(local_path(base), "gold", "vitals", "etl_batch_date=2024-01-02", "junk.parquet"), "w") as f:
-        f.write("not parquet")
-    assert read_layer(spark, base, "gold", "vitals", batch_date="2024-01-02").count() == 1
+    _junk(base, "gold", "vitals", date, name)
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_layer(spark, base, "gold", "vitals", schema=df.schema).collect()
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        read_layer(spark, base, "gold", "vitals").collect()
+    got = read_layer(spark, base, "gold", "vitals", skip_unreadable=True)
+    assert sorted(r.patient_id for r in got.collect()) == ["1600", "1601"]
+    assert [r.path.endswith(name) for r in unreadable_files(spark, base, "gold", "vitals").collect()] == [True]
+
+
+def test_rewriting_a_batch_replaces_only_its_partition(spark):
+    base = scratch_path(spark, "lake")
+    df = spark.createDataFrame([("1600", 1.0, "2024-01-01"), ("1601", 2.0, "2024-01-02")],
+                               "patient_id string, avg_hr double, etl_batch_date string")
+    write_layer(df, base, "gold", "vitals")
     assert [r[0] for r in available_dates(spark, base, "gold", "vitals").collect()] == ["2024-01-02", "2024-01-01"]
-    # re-writing one batch replaces only that partition
-    again = spark.createDataFrame([("1609", 3.0, "2024-01-02")], df.schema)
-    write_layer(again, base, "gold", "vitals")
+    write_layer(spark.createDataFrame([("1609", 3.0, "2024-01-02")], df.schema), base, "gold", "vitals")
     assert sorted(r.patient_id for r in read_layer(spark, base, "gold", "vitals").collect()) == ["1600", "1609"]
 
 
+def test_partition_values_stay_text(spark):
+    base = scratch_path(spark, "lake")
+    df = spark.createDataFrame([("1600", "2024-01-01", "00012345"), ("1601", "2024-01-01", "1e5")],
+                               "patient_id string, etl_batch_date string, etl_run_id string")
+    write_layer_metrics(df, base, "bronze", "vitals", by=("etl_batch_date", "etl_run_id"))
+    assert {r.etl_run_id for r in read_layer(spark, base, "bronze", "vitals").collect()} == {"00012345", "1e5"}
+
+
 def test_empty_frame_writes_nothing(spark):
     base = scratch_path(spark, "lake")
     empty = spark.createDataFrame([], "patient_id string, etl_batch_date string")
@@ -73,16 +113,10 @@ def test_gold_skipped_when_no_silver_row_has_event_time(spark):
     assert res.counts[("gold", "vitals")] == 1
 
 
-def test_has_at_least_small_and_large_thresholds(spark):
+def test_has_at_least(spark):
     from pulsegrid.plans import etl
     df = spark.range(50).repartition(5)
     assert etl.has_at_least(df, 0) and etl.has_at_least(df, 50) and not etl.has_at_least(df, 51)
-    old = etl.TAKE_LIMIT
-    try:
-        etl.TAKE_LIMIT = 10  # the limit/count path
-        assert etl.has_at_least(df, 50) and not etl.has_at_least(df, 51)
-    finally:
-        etl.TAKE_LIMIT = old
 
 
 def test_too_few_landing_records_write_no_layer(spark):
@@ -95,7 +129,8 @@ def test_too_few_landing_records_write_no_layer(spark):
         f.write('{"patient_id": "1600", "device_type": "vital_monitor", "timestamp": 1704067200.0, '
                 '"heart_rate": 80, "spo2": 97}\n')
     res = run_etl(spark, landing, base, batch_date="2024-01-01", min_records=2, run_log=False)
-    assert res.skipped == [("bronze", "all")] and not res.counts
+    assert res.skipped == [("bronze", "all")]
+    assert res.counts == {("landing", "consumed"): 1, ("landing", "rejected"): 0, ("landing", "other_device"): 0}
     assert read_layer(spark, base, "bronze", "vitals").count() == 0
     res = run_etl(spark, landing, base, batch_date="2024-01-01", min_records=1, run_log=False)
     assert res.counts[("bronze", "vitals")] == 1 and res.counts[("gold", "vitals")] == 1
@@ -132,3 +167,118 @@ def test_cluster_session_without_checkpoint_dir_is_refused():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(_Session())
+
+
+VITAL = {"patient_id": "1600", "device_type": "vital_monitor", "timestamp": 1704067200.0, "heart_rate": 80, "spo2": 97}
+MOVE = {"patient_id": "1600", "device_type": "imu_sensor", "timestamp": 1704067200.0, "x": 1.0, "y": 2.0, "z": 2.0}
+
+
+def land(spark, *lines):
+    path = scratch_path(spark, "landing")
+    os.makedirs(local_path(path))
+    with open(os.path.join(local_path(path), "a.jsonl"), "w") as f:
+        f.writelines((x if isinstance(x, str) else json.dumps(x)) + "\n" for x in lines)
+    return path
+
+
+def test_landing_coerces_each_field_and_keeps_the_rest(spark):
+    rows = [VITAL | {"heart_rate": "81"}, VITAL | {"stress_level": "Very High", "firmware": {"v": 2}},
+            {"offset": 5, "partition": 1, "timestamp": 9, "key": "k", "value": VITAL | {"spo2": "ERROR", "tag": "x"}}]
+    good, bad = read_landing(spark, land(spark, *rows, '{"patient_id": "1', "[1, 2]", '{"offset": 1, "value": "broken"}', "  "), True)
+    a, b, c = good.orderBy("offset", "heart_rate", ascending=[True, False]).collect()
+    assert (a.heart_rate, a.extra_fields) == (81.0, None)
+    assert (b.heart_rate, b.stress_level, b.extra_fields) == (80.0, None, {"stress_level": "Very High", "firmware": '{"v":2}'})
+    assert (c.offset, c.key, c.timestamp, c.spo2, c.extra_fields) == (5, "k", 1704067200.0, None, {"spo2": "ERROR", "tag": "x"})
+    assert sorted(r.raw_line for r in bad.collect()) == ["[1, 2]", '{"offset": 1, "value": "broken"}', '{"patient_id": "1']
+
+
+def test_landed_message_is_the_one_received(spark):
+    from pulsegrid import schemas as S
+    from pulsegrid.streaming.ingest import envelope_lines
+    messages = ['{"heart_rate": "ERROR", "extra": [1, {"a": null}], "x": 1.50}', '{"a":\n 1}', "not json", "", None, '"text"']
+    df = spark.createDataFrame([(b"k", m.encode() if m is not None else None, "t", 0, i, None) for i, m in enumerate(messages)],
+                               S.KAFKA_SCHEMA)
+    got = {json.loads(r.value)["offset"]: r.value for r in envelope_lines(df).collect()}
+    assert messages[0] in got[0]
+    assert json.loads(got[1])["value"] == {"a": 1} and "\n" not in got[1]
+    assert [json.loads(got[i])["value"] for i in (2, 3, 4, 5)] == ["not json", "", "", '"text"']
+
+
+def test_rows_no_layer_takes_are_quarantined_and_counted(spark):
+    from pulsegrid.plans.etl import run_etl
+    base = scratch_path(spark, "lake")
+    res = run_etl(spark, land(spark, VITAL, VITAL | {"device_type": "scale", "kg": 70}, '{"cut'), base, batch_date="2024-01-01")
+    assert [res.counts[("landing", k)] for k in ("consumed", "rejected", "other_device")] == [3, 1, 1]
+    q = {r.reason: r.raw_line for r in spark.read.parquet(f"{base}/_quarantine").collect()}
+    assert q["malformed"] == '{"cut' and json.loads(q["other device"])["extra_fields"] == {"kg": "70"}
+
+
+def test_landing_without_a_known_device_writes_no_layer(spark):
+    from pulsegrid.plans.etl import run_etl
+    base = scratch_path(spark, "lake")
+    res = run_etl(spark, land(spark, VITAL | {"device_type": "scale"}), base, batch_date="2024-01-01")
+    assert res.skipped == [("bronze", "all")] and not os.path.exists(os.path.join(local_path(base), "bronze"))
+
+
+def test_rerun_without_valid_rows_empties_silver_and_gold(spark):
+    from pulsegrid.plans.etl import run_etl
+    for least in (0, 1, 2):
+        base = scratch_path(spark, "lake")
+        kw = dict(batch_date="2024-01-01", bronze_mode="overwrite")
+        run_etl(spark, land(spark, VITAL, MOVE), base, **kw)
+        assert read_layer(spark, base, "gold", "vitals").count() == read_layer(spark, base, "gold", "movement").count() == 1
+        run_etl(spark, land(spark, VITAL | {"heart_rate": 999}, VITAL | {"heart_rate": 998}), base, min_records=least, **kw)
+        assert sorted(r.heart_rate for r in read_layer(spark, base, "bronze", "vitals").collect()) == [998.0, 999.0]
+        for layer in ("silver", "gold"):
+            for entity in ("vitals", "movement"):
+                assert read_layer(spark, base, layer, entity).count() == 0
+                assert available_dates(spark, base, layer, entity).count() == 0
+
+
+def test_second_run_of_a_date_reads_only_its_own_rows(spark):
+    """The earlier run's Bronze and Silver files may be gone: Gold still merges."""
+    import shutil
+
+    from pulsegrid.plans.etl import run_etl
+    base = scratch_path(spark, "lake")
+    run_etl(spark, land(spark, VITAL), base, run_id="r1", batch_date="2024-01-01")
+    for layer in ("bronze", "silver"):
+        part = os.path.join(local_path(base), layer, "vitals", "etl_batch_date=2024-01-01", "etl_run_id=r1")
+        for f in os.listdir(part):
+            if f.endswith(".parquet"):
+                with open(os.path.join(part, f), "w") as out:
+                    out.write("unreadable: never opened again")
+    run_etl(spark, land(spark, VITAL | {"heart_rate": 100}), base, run_id="r2", batch_date="2024-01-01")
+    g = read_layer(spark, base, "gold", "vitals").collect()
+    assert [(r.avg_hr, r.peak_hr) for r in g] == [(90.0, 100.0)]
+    shutil.rmtree(local_path(base))
+
+
+def test_rows_held_back_by_the_threshold_join_a_later_run(spark):
+    from pulsegrid.plans.etl import run_etl, run_staged, EtlResult, stage_landing
+    from pulsegrid.sources.files import landing_lines
+    base = scratch_path(spark, "lake")
+
+    def run(run_id, path):
+        s = stage_landing(landing_lines(spark, path), run_id, "2024-01-01")
+        return run_staged(s, base, EtlResult(run_id), min_records=2, batch_date="2024-01-01", defer=False)
+    assert ("silver", "vitals") in run("r1", land(spark, VITAL)).skipped
+    assert read_layer(spark, base, "silver", "vitals").count() == 0
+    run("r2", land(spark, VITAL | {"heart_rate": 100}))
+    assert sorted(r.heart_rate for r in read_layer(spark, base, "silver", "vitals").collect()) == [80.0, 100.0]
+    assert read_layer(spark, base, "gold", "vitals").first().avg_hr == 90.0
+    assert callable(run_etl)
+
+
+def test_taking_a_run_back_deletes_only_its_partitions(spark):
+    from pulsegrid.plans.etl import drop_run, run_etl
+    base = scratch_path(spark, "lake")
+    for run_id in ("r1", "r2"):
+        run_etl(spark, land(spark, VITAL), base, run_id=run_id, batch_date="2024-01-01")
+    _junk(base, "bronze", "vitals", "2024-01-01/etl_run_id=r1", "broken.parquet")
+    assert drop_run(spark, base, "r2", ["2024-01-01", "2024-01-09"]) == ["2024-01-01"]
+    left = os.listdir(os.path.join(local_path(base), "bronze", "vitals", "etl_batch_date=2024-01-01"))
+    assert [f for f in left if f.startswith("etl_run")] == ["etl_run_id=r1"]
+    assert "broken.parquet" in os.listdir(os.path.join(
+        local_path(base), "bronze", "vitals", "etl_batch_date=2024-01-01", "etl_run_id=r1"))
+    assert drop_run(spark, base, "r2", ["2024-01-01"]) == []  # a lake without movement, and nothing left

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pulsegrid import schemas as S
 from pulsegrid.functions.scalars import svm
 from pulsegrid.operators import alerts as AL
-from pulsegrid.plans.catalog_storage import write_landing
+from pulsegrid.plans.catalog_storage import GLOB, write_landing
 from pulsegrid.plans.fixtures import fx_events
 from pulsegrid.session import local_path, scratch_path
-from pulsegrid.sinks.files import rename_suffix
 from pulsegrid.sources.files import read_layer
 from pulsegrid.streaming.alerts import alert_stream, route_topics, start_alert_query
 from pulsegrid.streaming.ingest import ingest_landing
@@ -58,21 +57,20 @@ def test_ingest_exactly_once_and_archive(spark):
     ckpt = scratch_path(spark, "ckpt")
     archive = scratch_path(spark, "archive")
     date = F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd")
-    ingest_landing(spark, landing, base, ckpt, archive_dir=archive, batch_date=date).awaitTermination(300)
+    ingest_landing(spark, landing, base, ckpt, archive_dir=archive, batch_date=date, glob=GLOB).awaitTermination(300)
     first = read_layer(spark, base, "gold", "vitals").count()
     bronze1 = read_layer(spark, base, "bronze", "vitals").count()
     # a second run sees no new files: nothing is ingested twice
-    ingest_landing(spark, landing, base, ckpt, archive_dir=archive, batch_date=date).awaitTermination(300)
+    ingest_landing(spark, landing, base, ckpt, archive_dir=archive, batch_date=date, glob=GLOB).awaitTermination(300)
     assert read_layer(spark, base, "bronze", "vitals").count() == bronze1
     assert read_layer(spark, base, "gold", "vitals").count() == first > 0
     # new files arrive: only they are ingested, and the files of the earlier
     # batch are moved to the archive once this later batch runs
     more = f"{landing}/more"
     spark.read.text(landing).write.text(more)
-    rename_suffix(spark, more, ".txt", ".jsonl")
-    ingest_landing(spark, landing, base, ckpt, archive_dir=archive, batch_date=date).awaitTermination(300)
+    ingest_landing(spark, landing, base, ckpt, archive_dir=archive, batch_date=date, glob=GLOB).awaitTermination(300)
     assert read_layer(spark, base, "bronze", "vitals").count() == 2 * bronze1
-    files = [f for _, _, fs in os.walk(local_path(archive)) for f in fs if f.endswith(".jsonl")]
+    files = [f for _, _, fs in os.walk(local_path(archive)) for f in fs if f.endswith(".txt")]
     assert files
 
 
@@ -84,7 +82,7 @@ def test_ingest_replayed_batch_is_not_ingested_twice(spark):
     base = scratch_path(spark, "lake")
     ckpt = scratch_path(spark, "ckpt")
     date = F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd")
-    ingest_landing(spark, landing, base, ckpt, batch_date=date).awaitTermination(300)
+    ingest_landing(spark, landing, base, ckpt, batch_date=date, glob=GLOB).awaitTermination(300)
     bronze = read_layer(spark, base, "bronze", "vitals").count()
     gold = read_layer(spark, base, "gold", "vitals").count()
     commits = os.path.join(local_path(ckpt), "commits")
@@ -92,7 +90,7 @@ def test_ingest_replayed_batch_is_not_ingested_twice(spark):
     for f in (last, f".{last}.crc"):  # the commit that never happened
         if os.path.exists(os.path.join(commits, f)):
             os.remove(os.path.join(commits, f))
-    q = ingest_landing(spark, landing, base, ckpt, batch_date=date)
+    q = ingest_landing(spark, landing, base, ckpt, batch_date=date, glob=GLOB)
     q.awaitTermination(300)
     assert int(last) in {p["batchId"] for p in q.recentProgress}  # the batch was replayed
     assert read_layer(spark, base, "bronze", "vitals").count() == bronze > 0
@@ -110,27 +108,26 @@ def test_ingest_batch_stopped_part_way_is_redone_once(spark, monkeypatch):
     base = scratch_path(spark, "lake")
     ckpt = scratch_path(spark, "ckpt")
     date = F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd")
-    ingest_landing(spark, landing, base, ckpt, batch_date=date).awaitTermination(300)
+    ingest_landing(spark, landing, base, ckpt, batch_date=date, glob=GLOB).awaitTermination(300)
     bronze1 = read_layer(spark, base, "bronze", "vitals").count()
     more = f"{landing}/more"  # the same lines again: same batch dates
     spark.read.text(landing).write.text(more)
-    rename_suffix(spark, more, ".txt", ".jsonl")
-    real = ING.run_layers
+    real = ING.run_staged
 
     def stop_before_logging(*args, **kw):
         real(*args, **{**kw, "run_log": False})
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(ING, "run_layers", stop_before_logging)
+    monkeypatch.setattr(ING, "run_staged", stop_before_logging)
     with pytest.raises(StreamingQueryException):
-        ingest_landing(spark, landing, base, ckpt, batch_date=date).awaitTermination(300)
+        ingest_landing(spark, landing, base, ckpt, batch_date=date, glob=GLOB).awaitTermination(300)
     assert read_layer(spark, base, "bronze", "vitals").count() == 2 * bronze1  # written, not logged
-    monkeypatch.setattr(ING, "run_layers", real)
-    ingest_landing(spark, landing, base, ckpt, batch_date=date).awaitTermination(300)
+    monkeypatch.setattr(ING, "run_staged", real)
+    ingest_landing(spark, landing, base, ckpt, batch_date=date, glob=GLOB).awaitTermination(300)
     assert read_layer(spark, base, "bronze", "vitals").count() == 2 * bronze1
     # Gold equals a clean run over the same files
     clean_base, clean_ckpt = scratch_path(spark, "lake"), scratch_path(spark, "ckpt")
-    ingest_landing(spark, landing, clean_base, clean_ckpt, batch_date=date).awaitTermination(300)
+    ingest_landing(spark, landing, clean_base, clean_ckpt, batch_date=date, glob=GLOB).awaitTermination(300)
 
     def gold(b):
         return sorted(map(tuple, read_layer(spark, b, "gold", "vitals").drop("etl_batch_date").collect()))
@@ -154,10 +151,10 @@ def test_ingest_batch_stopped_after_logging_is_not_redone(spark, monkeypatch):
 
     monkeypatch.setattr(ING, "touch_path", lost)
     with pytest.raises(StreamingQueryException):
-        ingest_landing(spark, landing, base, ckpt, batch_date=date).awaitTermination(300)
+        ingest_landing(spark, landing, base, ckpt, batch_date=date, glob=GLOB).awaitTermination(300)
     bronze = read_layer(spark, base, "bronze", "vitals").count()
     monkeypatch.undo()
-    q = ingest_landing(spark, landing, base, ckpt, batch_date=date)
+    q = ingest_landing(spark, landing, base, ckpt, batch_date=date, glob=GLOB)
     q.awaitTermination(300)
     assert read_layer(spark, base, "bronze", "vitals").count() == bronze > 0
     log = spark.read.parquet(f"{base}/_run_log")
@@ -168,7 +165,7 @@ def test_ingest_skips_small_layers(spark):
     landing = write_landing(spark, SF)
     base = scratch_path(spark, "lake")
     ingest_landing(spark, landing, base, scratch_path(spark, "ckpt"), min_records=10**9,
-                   batch_date="2024-01-01").awaitTermination(300)
+                   batch_date="2024-01-01", glob=GLOB).awaitTermination(300)
     assert read_layer(spark, base, "bronze", "vitals").count() > 0
     assert read_layer(spark, base, "silver", "vitals").count() == 0
 
