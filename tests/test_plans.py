@@ -91,3 +91,31 @@ def test_histogram_range_subqueries_reuse_the_gold_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert p.count("FileScan") == 1 and "ReusedExchange" in p
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_route_counts_scan_the_input_once(spark):
+    from pulsegrid.plans.catalog import QUERIES
+    assert _plan(QUERIES["p02_route_counts"](spark, SF)).count("FileScan parquet") == 1
+
+
+def test_available_dates_open_no_file(spark):
+    from pulsegrid.session import scratch_path
+    from pulsegrid.sinks.files import write_layer
+    from pulsegrid.sources.files import available_dates
+    base = scratch_path(spark, "lake")
+    write_layer(spark.createDataFrame([("a", "2024-01-01")], "p string, etl_batch_date string"), base, "gold", "vitals")
+    df = available_dates(spark, base, "gold", "vitals")
+    assert "FileScan" not in _plan(df) and [r[0] for r in df.collect()] == ["2024-01-01"]
+
+
+def test_sensor_statistics_expand_only_pre_aggregated_rows(spark):
+    """The rows meet a map-side aggregate before any is repeated for a distinct count."""
+    from pulsegrid.operators.datasets import sensor_statistics
+    raw = spark.range(10).selectExpr("'phone' AS device_type", "'gyroscope' AS sensor_type", "id AS subject_id",
+                                     "'A' AS activity_code", "1.0D AS x", "1.0D AS y", "1.0D AS z")
+    plan = _plan(sensor_statistics(raw))
+    assert "Expand" not in plan or plan.index("Expand") < plan.rindex("HashAggregate")

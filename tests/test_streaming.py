@@ -214,3 +214,66 @@ def test_describe_approx_close_to_exact(spark):
     ex = {r.column_name: r for r in DS.describe_numeric(clean, ["heart_rate"]).collect()}
     ap = {r.column_name: r for r in DS.describe_numeric(clean, ["heart_rate"], exact=False).collect()}
     assert abs(ex["heart_rate"].p50 - ap["heart_rate"].p50) < 1.0
+
+
+class _Calls:
+    """Stands for a reader or writer: keeps the format and options it is given."""
+
+    def __init__(self):
+        self.kind, self.options, self.done = None, {}, False
+
+    def format(self, kind):
+        self.kind = kind
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        self.done = True
+        return self
+
+    def save(self):
+        self.done = True
+
+
+def test_kafka_source_options():
+    """Topics, start, no rate cap and no silent loss by default; the flush rule
+    "N records or the interval" (S03, K06). No broker is needed or started."""
+    from pulsegrid.streaming.alerts import read_kafka
+
+    class Session:
+        readStream = _Calls()
+    got = read_kafka(Session, "b:9092", ["raw_vitals", "raw_movement"])
+    assert got.done and got.kind == "kafka"
+    assert got.options == {"kafka.bootstrap.servers": "b:9092", "subscribe": "raw_vitals,raw_movement",
+                           "startingOffsets": "latest", "failOnDataLoss": "true"}
+    Session.readStream = _Calls()
+    got = read_kafka(Session, "b:9092", ["t"], starting_offsets="earliest", fail_on_data_loss=False,
+                     max_offsets_per_trigger=500, min_offsets_per_trigger=100, max_trigger_delay="30s")
+    assert {k: got.options[k] for k in ("maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay", "failOnDataLoss")} == {
+        "maxOffsetsPerTrigger": "500", "minOffsetsPerTrigger": "100", "maxTriggerDelay": "30s", "failOnDataLoss": "false"}
+
+
+def test_alerts_are_published_keyed_by_patient(spark, monkeypatch):
+    """What goes to the topic, and where."""
+    import json
+
+    from pulsegrid.streaming import alerts as A
+    ev = fx_events(spark, SF).withColumn("svm", svm())
+    batch = AL.all_alerts(ev)
+    sent, writer = [], _Calls()
+
+    class Frame:
+        write = writer
+    real = A.kafka_records
+    monkeypatch.setattr(A, "kafka_records", lambda b: sent.extend(real(b).collect()) or Frame)
+    A.write_alerts_kafka(batch, "b:9092", "critical_alerts")
+    assert writer.done and writer.kind == "kafka"
+    assert writer.options == {"kafka.bootstrap.servers": "b:9092", "topic": "critical_alerts"}
+    assert len(sent) == batch.count() > 0
+    for r in sent[:50]:
+        key = r.key.decode() if isinstance(r.key, (bytes, bytearray)) else r.key
+        value = r.value.decode() if isinstance(r.value, (bytes, bytearray)) else r.value
+        assert json.loads(value)["patient_id"] == key
