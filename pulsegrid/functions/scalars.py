@@ -63,9 +63,10 @@ def valid_reading(c: ColumnOrName) -> Column:
 
 def event_time(epoch_seconds: ColumnOrName) -> Column:
     """Epoch seconds (double, sub-second kept) -> TIMESTAMP; bad input -> null."""
-    # micro-second precision; text, NaN and out-of-range values become null
+    # to the nearest micro-second (a double's product is not exact); text, NaN
+    # and out-of-range values become null
     s = _c(epoch_seconds).try_cast("double")
-    return F.timestamp_micros((s * 1_000_000).try_cast("long"))
+    return F.timestamp_micros(F.rint(s * 1_000_000).try_cast("long"))
 
 
 def utc_wall(ts: ColumnOrName) -> Column:

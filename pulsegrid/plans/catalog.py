@@ -17,7 +17,8 @@ from pulsegrid.functions import scalars as fn
 from pulsegrid.operators import alerts as AL
 from pulsegrid.operators import serving as SV
 from pulsegrid.operators.clean import route, route_name
-from pulsegrid.plans.fixtures import fx_events
+from pulsegrid.operators.gold import merge_vitals, vitals_state
+from pulsegrid.plans.fixtures import event_log, fx_events
 from pulsegrid.plans.layers import duck_with, gold, gold_m, gold_v, r6, silver_m, silver_v, wall
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +65,36 @@ def q_silver_m(spark, d):
     return wall(sm.select("patient_id", "timestamp", "x", "y", "z", "svm", "event_timestamp"), "event_timestamp")
 
 
+@register("p11_event_time_microseconds", """
+SELECT event_id, CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0 THEN NULL ELSE ts END AS event_timestamp
+FROM events""")
+def q_event_time(spark, d):
+    """Event times of the log as text: exact to the micro-second; text that is no
+    time, missing and out-of-range values become null."""
+    e = F.col("event_id")
+    text = (F.when(e % 13 == 0, "ERROR").when(e % 17 == 0, None).when(e % 19 == 0, "1e30")
+            .otherwise(F.col("epoch_s").cast("string")))
+    return event_log(spark, d).select("event_id", fn.utc_wall(fn.event_time(text)).alias("event_timestamp"))
+
+
+@register("w02_gold_on_logged_time", """
+SELECT event_type || '-' || (user_id % 20) AS patient_id, time_bucket(INTERVAL 60 MINUTE, ts) AS window_start,
+  round(avg(40 + value), 6) AS avg_hr, max(40 + value) AS peak_hr,
+  round(avg(90 + CAST(regexp_extract(props, '[0-9]+') AS INT) % 11), 6) AS avg_spo2, count(*) AS n_events
+FROM events GROUP BY 1, 2""")
+def q_logged_time(spark, d):
+    """Hourly vitals windows over the log's own time, all its columns read."""
+    silver = event_log(spark, d).select(
+        F.concat_ws("-", "event_type", (F.col("user_id") % 20).cast("string")).alias("patient_id"),
+        fn.event_time("epoch_s").alias("event_timestamp"), (F.col("value") + 40).alias("heart_rate"),
+        (F.regexp_extract("props", "[0-9]+", 0).cast("int") % 11 + 90).alias("spo2"))
+    state = vitals_state(silver, minutes=60)
+    g = merge_vitals(state).join(state.groupBy("patient_id", "window_start").agg(F.sum("hr_n").alias("n_events")),
+                                 ["patient_id", "window_start"])
+    return r6(wall(g, "window_start"), "avg_hr", "avg_spo2").select(
+        "patient_id", "window_start", "avg_hr", "peak_hr", "avg_spo2", "n_events")
+
+
 @register("a01_gold_vitals", W() + "SELECT * FROM fx_gold_v")
 def q_gold_v(spark, d):
     gv = gold_v(spark, d)

@@ -58,6 +58,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of `events`, with its own time: ``ts`` as wall-clock time and
+    ``epoch_s``, seconds since 1970 with micro-seconds."""
+    df = spark.read.schema(EVENTS_SCHEMA + ", ts TIMESTAMP_NTZ, event_type STRING, props STRING").parquet(f"{sf_dir}/events.parquet")
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    return df.withColumn("epoch_s", micros / 1e6)
+
+
 def _fx(spark: SparkSession, sf_dir: str, select_list: str) -> DataFrame:
     return spark.sql(f"SELECT {select_list} FROM {{events}}", events=events(spark, sf_dir))
 
