@@ -87,11 +87,14 @@ def console(batch: DataFrame, n: int = 20) -> None:
 def start_alert_query(alerts: DataFrame, checkpoint: str,
                       sinks: list[Callable[[DataFrame], None]],
                       trigger: dict | None = None, name: str = "alerts") -> StreamingQuery:
-    """Run the alert stream once into several sinks (ST03): each micro-batch
-    is persisted, handed to every sink, and released, so the source is read
-    once. The checkpoint makes the query restartable after executor or
-    driver loss."""
+    """Run the alert stream once into several sinks (ST03): with more than one
+    sink each micro-batch is persisted, handed to every sink, and released, so
+    the source is read once (lost blocks are read again). The checkpoint makes
+    the query restartable after executor or driver loss."""
     def each(batch: DataFrame, batch_id: int) -> None:
+        if len(sinks) == 1:
+            sinks[0](batch)
+            return
         batch.persist()
         try:
             for sink in sinks:
