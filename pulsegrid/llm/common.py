@@ -76,6 +76,14 @@ def same_key(a: DataFrame, b: DataFrame) -> Column:
     return (a[KEY[0]] == b[KEY[0]]) & (a[KEY[1]] == b[KEY[1]])
 
 
+def split_join(left: DataFrame, right: DataFrame, a: str, b: str, how: str = "inner") -> DataFrame:
+    """Equi-join a = b that Spark can split where a key is hot. A side that was
+    just grouped by its key would be joined in the stage that groups it, which
+    skew handling leaves alone; keys as structs make both sides shuffle for the
+    join itself (again for the grouped side, which is the small one)."""
+    return left.join(right, F.struct(left[a].alias("k")) == F.struct(right[b].alias("k")), how)
+
+
 def text_column(text: str = "text") -> Column:
     """The text with null as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))

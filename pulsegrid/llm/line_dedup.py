@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, text_column
+from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, split_join, text_column
 
 MIN_WORDS = 5
 UNIT_DDL = f"{KEY[0]} bigint, {KEY[1]} bigint, _id bigint, unit int, start int, end int, digest binary"
@@ -82,7 +82,7 @@ def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         rank = F.struct("_id", *KEY, "unit")
         first = (units.groupBy("digest").agg(F.min(rank).alias("_first"), F.max(rank).alias("_last"))
                  .where(~F.col("_first").eqNullSafe(F.col("_last"))).select(F.col("digest").alias("_d"), "_first"))
-        late = units.join(first, units["digest"] == first["_d"]).where(~rank.eqNullSafe(F.col("_first")))
+        late = split_join(units, first, "digest", "_d").where(~rank.eqNullSafe(F.col("_first")))
         return kept(late.groupBy(*KEY).agg(
             F.sort_array(F.collect_set(F.struct("start", "end", "unit"))).alias("removed")))
 

@@ -44,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, text_column
+from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, split_join, text_column
 
 LENGTH = 400
 GRAM = 160
@@ -397,7 +397,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
             stats.append(F.min(place).alias("_first"))
         many = (found.groupBy("h").agg(*stats).where("_k > 1").withColumn("_mixed", F.col("_c1") != F.col("_c2"))
                 .withColumnRenamed("h", "_h").drop("_c1", "_c2"))
-        rows = found.join(many, F.col("h") == F.col("_h"))
+        rows = split_join(found, many, "h", "_h")
         if not none:
             rows = rows.where(F.col("_mixed") | ~place.eqNullSafe(F.col("_first")))
         rows = tmp.save(rows.select(*KEY, "s", "n", "h", F.col("_k").alias("k"), F.col("_mixed").alias("mixed")))
