@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.llm.common import kept
+from pulsegrid.llm.common import kept, split_join
 
 
 def _large_star(e: DataFrame) -> DataFrame:
     """Link each larger neighbour of a node to the node's smallest neighbour."""
     n = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
     m = n.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("mu"), F.least("u", "m").alias("m"))
-    return (n.where("v > u").join(m, F.col("u") == F.col("mu"))
+    return (split_join(n.where("v > u"), m, "u", "mu")
             .select(F.col("v").alias("a"), F.col("m").alias("b")))
 
 
@@ -24,7 +24,7 @@ def _small_star(e: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     n = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     m = n.groupBy("u").agg(F.min("v").alias("m"))
-    linked = n.join(m.withColumnRenamed("u", "mu"), F.col("u") == F.col("mu"))
+    linked = split_join(n, m.withColumnRenamed("u", "mu"), "u", "mu")
     return (linked.where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
             .unionAll(m.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.llm.common import batch_blocks, bounded, blocks, kept, scratch, text_column
+from pulsegrid.llm.common import batch_blocks, bounded, blocks, kept, scratch, split_join, text_column
 from pulsegrid.llm.components import components
 
 SEED = 42
@@ -234,7 +234,7 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
     k = fps.select("fp").mapInArrow(_keyed, "key int, fp bigint")
     hot = (k.groupBy("key").count().where(F.col("count") > CHUNK)
            .select(F.col("key").alias("_hk"), F.ceil(F.col("count") / CHUNK).cast("int").alias("_n")))
-    j = k.join(hot, F.col("key") == F.col("_hk"), "left")
+    j = split_join(k, hot, "key", "_hk", "left")
     chunk = F.when(F.col("_n").isNull(), 0).otherwise(F.pmod(F.xxhash64("fp"), F.col("_n"))).cast("int")
     j = j.select("key", "fp", F.coalesce("_n", F.lit(1)).alias("n"), chunk.alias("chunk"))
     # a chunk meets every chunk of its bucket, itself included
