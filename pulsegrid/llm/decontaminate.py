@@ -9,7 +9,7 @@ hit. Spans of hit words are removed; a text in which the hit share exceeds
 
 Items are cut into blocks of at most ``BLOCK_WORDS`` words; each block's
 automaton is broadcast (its size is bounded by the block) and all rows pass
-every block. A text passes a bigram bitmap of the items first, so that only
+every block, one block at a time. A text passes a bigram bitmap of the items first, so that only
 runs of words that could hold a window reach the automaton.
 
 Defined cases: a null or empty text has no words; an item without words, or
@@ -20,13 +20,14 @@ hits nothing; words never cross documents; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pulsegrid.llm.common import batch_blocks, bounded, text_column
+from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, text_column
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
@@ -206,28 +207,72 @@ def runs(mark: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.diff(np.concatenate([[False], mark, [False]]).astype(np.int8))).reshape(-1, 2)
 
 
-def _matcher(automata, out_rows):
-    """mapInArrow body: out_rows(row batch, texts, [(marks, items)]) per block."""
+def _match_all(automaton: Automaton):
+    """(hit flags, items) of each text of a row batch, by streaming."""
+    def match(rows, texts):
+        return [automaton.match(words_of(t)) for t in texts]
+    return match
+
+
+def _match_known(rows, texts):
+    """(hit flags, items) of each text from hits found before (``_hits``, ``_found``)."""
+    out = []
+    for t, hits, found in zip(texts, rows.column("_hits").to_pylist(), rows.column("_found").to_pylist(), strict=True):
+        mark = np.zeros(len(words_of(t)), bool)
+        for h in hits or ():
+            mark[h["a"]:h["b"]] = True
+        out.append((mark, set(found or ())))
+    return out
+
+
+def _matcher(automaton, out_rows):
+    """mapInArrow body: out_rows(row batch, texts, [(marks, items)])."""
     def run(batches):
-        loaded = [Automaton.loaded(a.value) for a in automata]
+        match = _match_known if automaton is None else _match_all(Automaton.loaded(automaton.value))
         for rows, data, off in batch_blocks(batches, "_text"):
             texts = [data[off[i]:off[i + 1]].tobytes() for i in range(len(off) - 1)]
-            result = []
-            for t in texts:
-                w = words_of(t)
-                mark, items = np.zeros(len(w), bool), set()
-                for a in loaded:
-                    m, f = a.match(w)
-                    mark |= m
-                    items |= f
-                result.append((mark, items))
-            yield out_rows(rows, texts, result)
+            yield out_rows(rows, texts, match(rows, texts))
     return run
 
 
-def _broadcast(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, window: int) -> list:
-    sc = bounded(docs).sparkSession.sparkContext
-    return [sc.broadcast(dict(vars(a))) for a in item_blocks(benchmark, item_id, item_text, window)]
+def _hit_rows(rows, texts, result):
+    """The texts with a hit: row key, hit word ranges, items."""
+    at = [i for i, (m, _) in enumerate(result) if m.any()]
+    pick = pa.array(at, pa.int32())
+    return pa.record_batch([
+        rows.column(KEY[0]).take(pick), rows.column(KEY[1]).take(pick),
+        pa.array([[{"a": a, "b": b} for a, b in runs(result[i][0]).tolist()] for i in at],
+                 pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
+        pa.array([sorted(result[i][1]) for i in at], pa.list_(pa.string()))], names=[*KEY, "hits", "found"])
+
+
+def _with_matches(docs: DataFrame, columns: list, text: str, doc_id: str, benchmark: DataFrame, item_id: str,
+                  item_text: str, window: int):
+    """(rows with ``columns``, _text and what the matcher needs; the matcher's
+    automaton). Items of one block are matched where the rows are read. Of more
+    blocks each is broadcast and passed over all rows on its own, so that a
+    worker holds one automaton; its hits are a table, and the hits of all
+    blocks come back by row key."""
+    spark = bounded(docs).sparkSession
+    found = item_blocks(benchmark, item_id, item_text, window)
+    first, second = next(found, None), next(found, None)
+    plain = docs.select(*columns, text_column(text).alias("_text"))
+    if second is None:
+        first = first or Automaton([], window)
+        return plain, spark.sparkContext.broadcast(dict(vars(first)))
+    keyed = docs.select(*row_key(doc_id, text), text_column(text).alias("_text"))
+    with scratch(spark, "decontaminate") as tmp:
+        hits = None
+        for a in itertools.chain([first, second], found):
+            sent = spark.sparkContext.broadcast(dict(vars(a)))
+            part = tmp.save(keyed.mapInArrow(_matcher(sent, _hit_rows), f"{KEY[0]} bigint, {KEY[1]} bigint, "
+                                             "hits array<struct<a: int, b: int>>, found array<string>"))
+            sent.unpersist()
+            hits = part if hits is None else hits.unionByName(part)
+        hits = kept(hits.groupBy(*[F.col(k).alias("_h" + k) for k in KEY]).agg(
+            F.flatten(F.collect_list("hits")).alias("_hits"), F.array_distinct(F.flatten(F.collect_list("found"))).alias("_found")))
+    named = docs.select(*columns, text_column(text).alias("_text"), *row_key(doc_id, text))
+    return named.join(hits, (F.col(KEY[0]) == F.col("_h" + KEY[0])) & (F.col(KEY[1]) == F.col("_h" + KEY[1])), "left"), None
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
@@ -248,14 +293,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc
             "item_ids": pa.array([sorted(f) for _, f in result], pa.list_(pa.string())),
             "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
 
-    auto = _broadcast(docs, benchmark, item_id, item_text, window)
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_column(text).alias("_text")).mapInArrow(
+    rows, auto = _with_matches(docs, [F.col(doc_id).cast("bigint").alias("doc_id")], text, doc_id, benchmark, item_id,
+                               item_text, window)
+    return rows.mapInArrow(
         _matcher(auto, rows_out), "doc_id bigint, n_words bigint, n_hit bigint, item_ids array<string>, "
                                   "spans array<struct<start: bigint, end: bigint>>")
 
 
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
-                         item_text: str = "text", window: int = WINDOW, max_coverage: float = 0.8) -> DataFrame:
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
+                         item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, max_coverage: float = 0.8) -> DataFrame:
     """The input's rows and columns with hit spans cut out of ``text``; rows
     whose share of hit words exceeds ``max_coverage`` are dropped. A text
     without a hit is unchanged, null included."""
@@ -278,9 +324,9 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "tex
         cols = [pa.array(cut, row.field(i).type) if i == at else row.field(i) for i in range(row.type.num_fields)]
         return pa.record_batch(cols, names=[str(i) for i in range(len(cols))]).filter(keep)
 
-    auto = _broadcast(docs, benchmark, item_id, item_text, window)
+    rows, auto = _with_matches(docs, [packed], text, doc_id, benchmark, item_id, item_text, window)
     out = T.StructType([T.StructField(str(i), f.dataType, True) for i, f in enumerate(schema.fields)])
-    return docs.select(packed, text_column(text).alias("_text")).mapInArrow(_matcher(auto, rows_out), out).toDF(*docs.columns)
+    return rows.mapInArrow(_matcher(auto, rows_out), out).toDF(*docs.columns)
 
 
 def items_digest(ids: str = "item_ids"):
