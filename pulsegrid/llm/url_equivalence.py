@@ -37,12 +37,12 @@ def _lower(c: Column) -> Column:
 
 def host_of(url: str) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, lower-cased."""
-    return _lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"(?s)^(?:(?!://).)*://([^/?#]*)", 1))
+    return _lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
 
 
 def path_of(url: str) -> Column:
     """After the host up to ``?``, ``#`` or the end."""
-    return F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"(?s)^(?:(?!://).)*://[^/?#]*([^?#]*)", 1)
+    return F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
 def matched_rule(rules: list[tuple[str, str]], host: Column, path: Column) -> tuple[Column, Column]:
@@ -92,7 +92,7 @@ def _edges(df: DataFrame, a: str, b: str) -> DataFrame:
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(a, b): canonical and refresh edges that the pages' markup declares; an
     end is null where a link gives no url."""
-    tags = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), 0)
+    tags = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"(?is)<(?:link|meta)\b[^<>]*>"), 0)
     t = pages.where(F.col(html).rlike(r"(?i)canonical|http-equiv")).select(
         F.col(url).alias("page"), F.explode(tags).alias("tag"))
 

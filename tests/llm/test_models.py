@@ -409,6 +409,15 @@ def test_url_equivalence(spark, hub):
     assert Counter(tuple(r) for r in got) == want
 
 
+def test_very_long_urls_and_pages(spark):
+    n = 300_000
+    pages = spark.createDataFrame([
+        (1, "x" * n + "://b.net/fr/" + "y" * n, "<link " * 20_000), (2, "http://q.org/" + "a/" * n, "<p>" * n + '<link rel=canonical href="http://b.net/fr/1">'),
+        (3, "x" * n, "http-equiv" * n)], "page_id long, url string, html string")
+    got = {r.page_id: (r.host, len(r.path), r.verdict) for r in url_equivalence.judge(pages, RULES).collect()}
+    assert got == {1: ("b.net", n + 4, "block"), 2: ("q.org", 2 * n + 1, "block"), 3: ("", 0, "allow")}
+
+
 def test_relative_targets_and_redirect_table(spark):
     pages = spark.createDataFrame([
         (1, "http://a.org/x/y?q", '<link rel="canonical" href="/fr/z">'), (2, "http://a.org/x/y", '<link rel=canonical href="z&amp;k">'),
