@@ -12,8 +12,10 @@ Row counts come from Observations on the writes (A28/K09), not extra passes.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from pulsegrid.operators.clean import add_lineage, clean_movement, clean_vitals,
 from pulsegrid.operators.gold import merge_movement, merge_vitals, movement_state, vitals_state
 from pulsegrid.session import scratch_path
 from pulsegrid.sinks.files import append_run_log, write_layer_metrics
-from pulsegrid.sources.files import LANDING_GLOB, delete_path, landing_lines, list_folders, parse_landing, read_layer
+from pulsegrid.sources.files import LANDING_GLOB, delete_path, landing_lines, parse_landing, partition_folder, read_layer, run_folders
 
 ENTITIES = ("vitals", "movement")
 RUN_PARTITIONS = ("etl_batch_date", "etl_run_id")
@@ -134,9 +136,11 @@ def run_staged(staged: Staged, base: str, res: EtlResult, min_records: int = 1,
     return run_layers(staged.spark, bronze, base, res, min_records, fall_threshold, minutes, run_log, bronze_mode)
 
 
-def _own_dates(spark: SparkSession, table: str, run_id: str, dates: list[str]) -> list[str]:
-    """The dates in which a run has a partition of a table (folder names only)."""
-    return [d for d in dates if f"etl_run_id={run_id}" in list_folders(spark, f"{table}/etl_batch_date={d}")]
+def _each_entity(spark: SparkSession, fn) -> dict:
+    """fn(entity) for vitals and movement side by side: their jobs are
+    independent, and either alone rarely fills a cluster."""
+    with ThreadPoolExecutor(len(ENTITIES)) as pool:
+        return dict(zip(ENTITIES, pool.map(inheritable_thread_target(spark)(fn), ENTITIES), strict=True))
 
 
 def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult, min_records: int = 1,
@@ -151,26 +155,28 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
     no longer has."""
     if "etl_run_id" not in bronze.columns:
         bronze = bronze.withColumn("etl_run_id", F.lit(res.run_id))
-    track = {"dates": F.collect_set("etl_batch_date")}
     dates = set(res.batch_dates)
-    for entity in ENTITIES:
-        got = write_layer_metrics(bronze.filter(route_name() == entity), base, "bronze", entity, extra=track, by=RUN_PARTITIONS)
+
+    def land(entity: str) -> dict:
+        return write_layer_metrics(bronze.filter(route_name() == entity), base, "bronze", entity, by=RUN_PARTITIONS,
+                                   extra={"dates": F.collect_set("etl_batch_date")})
+
+    for entity, got in _each_entity(spark, land).items():
         res.counts[("bronze", entity)] = got["rows"]
         _drop_partitions(spark, f"{base}/bronze/{entity}", res.run_id, dates - set(got["dates"]))
         dates.update(got["dates"])
     res.batch_dates = sorted(dates)
     if bronze_mode == "overwrite":
-        for d in res.batch_dates:
-            for layer in ("bronze", "silver", STATES):
-                for entity in ENTITIES:
-                    for f in list_folders(spark, f"{base}/{layer}/{entity}/etl_batch_date={d}"):
-                        if f != f"etl_run_id={res.run_id}":
-                            delete_path(spark, f"{base}/{layer}/{entity}/etl_batch_date={d}/{f}")
+        for layer in ("bronze", "silver", STATES):
+            for entity in ENTITIES:
+                table = f"{base}/{layer}/{entity}"
+                for d, runs in run_folders(spark, table, res.batch_dates).items():
+                    for run in runs - {res.run_id}:
+                        _drop_partitions(spark, table, run, [d])
 
     steps = {"vitals": (clean_vitals, lambda df: vitals_state(df, minutes), merge_vitals),
              "movement": (clean_movement, lambda df: movement_state(df, fall_threshold, minutes), merge_movement)}
-    for entity, (to_silver, to_state, to_gold) in steps.items():
-        _refresh(spark, bronze.schema, base, entity, res, min_records, to_silver, to_state, to_gold)
+    _each_entity(spark, lambda entity: _refresh(spark, bronze.schema, base, entity, res, min_records, *steps[entity]))
     if run_log:
         append_run_log(spark, base, res.run_id, res.counts)
     return res
@@ -178,7 +184,7 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
 
 def _drop_partitions(spark: SparkSession, table: str, run_id: str, dates) -> None:
     for d in dates:
-        delete_path(spark, f"{table}/etl_batch_date={d}/etl_run_id={run_id}")
+        delete_path(spark, f"{table}/{partition_folder('etl_batch_date', d)}/{partition_folder('etl_run_id', run_id)}")
 
 
 def _refresh(spark: SparkSession, schema, base: str, entity: str, res: EtlResult, min_records: int,
@@ -187,10 +193,9 @@ def _refresh(spark: SparkSession, schema, base: str, entity: str, res: EtlResult
     runs that Silver lacks (this run, and runs that a record threshold held
     back), then merge the dates' states."""
     on_date = F.col("etl_batch_date").isin(res.batch_dates)
-    owed = {res.run_id}
-    for d in res.batch_dates:
-        have = set(list_folders(spark, f"{base}/silver/{entity}/etl_batch_date={d}"))
-        owed |= {f.split("=", 1)[1] for f in list_folders(spark, f"{base}/bronze/{entity}/etl_batch_date={d}") if f not in have}
+    landed = run_folders(spark, f"{base}/bronze/{entity}", res.batch_dates)
+    cleaned = run_folders(spark, f"{base}/silver/{entity}", res.batch_dates)
+    owed = {res.run_id}.union(*(landed[d] - cleaned[d] for d in res.batch_dates))
     # layers are read with the schema they were written with: no footer-reading
     # schema job, and a table never written reads as empty; unreadable files fail
     source = read_layer(spark, base, "bronze", entity, schema=schema)
@@ -200,31 +205,30 @@ def _refresh(spark: SparkSession, schema, base: str, entity: str, res: EtlResult
             stored.filter(~F.col("etl_run_id").isin(sorted(owed))).select("etl_run_id").unionAll(silver.select("etl_run_id")),
             min_records):
         res.skipped.append(("silver", entity))
-        written, res_dates = set(), set()
+        written = set()
     else:
         got = write_layer_metrics(silver, base, "silver", entity, by=RUN_PARTITIONS,
                                   extra={"own": F.collect_set(F.struct("etl_batch_date", "etl_run_id"))})
         written = {(r["etl_batch_date"], r["etl_run_id"]) for r in got["own"]}
-        res_dates = {d for d, _ in written}
         if got["rows"]:
             res.counts[("silver", entity)] = got["rows"]
         else:
             res.skipped.append(("silver", entity))
-    for layer in ("silver", STATES):
-        for run in owed:
-            _drop_partitions(spark, f"{base}/{layer}/{entity}", run, [d for d in res.batch_dates if (d, run) not in written])
+    # what an earlier attempt left of the owed runs and this one did not write
+    for layer, ours in (("silver", written), (STATES, set())):
+        for d, runs in run_folders(spark, f"{base}/{layer}/{entity}", res.batch_dates).items():
+            for run in runs & owed:
+                if (d, run) not in ours:
+                    _drop_partitions(spark, f"{base}/{layer}/{entity}", run, [d])
     # read again: the write above changed the table's files
     stored = read_layer(spark, base, "silver", entity, schema=silver.schema).filter(on_date)
     state = to_state(stored.filter(F.col("etl_run_id").isin(sorted(owed))))
-    if res_dates:
-        # a rerun of owed partitions replaces them; runs without keyed rows leave none
-        for run in owed:
-            _drop_partitions(spark, f"{base}/{STATES}/{entity}", run, res_dates)
+    if written:
         write_layer_metrics(state, base, STATES, entity, by=RUN_PARTITIONS)
     got = write_layer_metrics(to_gold(read_layer(spark, base, STATES, entity, schema=state.schema).filter(on_date)),
                               base, "gold", entity, extra={"dates": F.collect_set("etl_batch_date")})
     for d in set(res.batch_dates) - set(got["dates"]):
-        delete_path(spark, f"{base}/gold/{entity}/etl_batch_date={d}")
+        delete_path(spark, f"{base}/gold/{entity}/{partition_folder('etl_batch_date', d)}")
     if ("silver", entity) not in res.skipped:
         res.counts[("gold", entity)] = got["rows"]
 
@@ -237,8 +241,8 @@ def drop_run(spark: SparkSession, base: str, run_id: str, dates: list[str]) -> l
     for layer in ("bronze", "silver", STATES):
         for entity in ENTITIES:
             table = f"{base}/{layer}/{entity}"
-            own = _own_dates(spark, table, run_id, dates)
+            own = [d for d, runs in run_folders(spark, table, dates).items() if run_id in runs]
             had.update(own)
             _drop_partitions(spark, table, run_id, own)
-    delete_path(spark, f"{base}/_quarantine/etl_run_id={run_id}")
+    delete_path(spark, f"{base}/_quarantine/{partition_folder('etl_run_id', run_id)}")
     return sorted(had)

@@ -6,6 +6,8 @@ filters into the scan, and split files across tasks.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,39 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return out
 
 
+# --- fixed values: characters that Spark writes as %XX in partition folder names
+_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def partition_folder(column: str, value: str) -> str:
+    """Folder name of a partition value, as Spark writes it."""
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in value)
+
+
+def _folder_value(name: str) -> str:
+    return unquote(name.split("=", 1)[1])
+
+
+def run_folders(spark: SparkSession, table: str, dates: list[str]) -> dict[str, set[str]]:
+    """Run ids that have a partition of each batch date of a table, from one
+    listing of the dates' folders (metadata only)."""
+    out: dict[str, set[str]] = {d: set() for d in dates}
+    if not dates:
+        return out
+    jvm = spark.sparkContext._jvm
+    glob = jvm.org.apache.hadoop.fs.Path(f"{table}/etl_batch_date=*/etl_run_id=*")
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if len(dates) < 1000:  # a long list of dates is cheaper to take from the whole table
+        names = ",".join(partition_folder("etl_batch_date", d) for d in dates)
+        glob = jvm.org.apache.hadoop.fs.Path(f"{table}/{{{names}}}/etl_run_id=*")
+    for s in fs.globStatus(glob) or []:
+        path = s.getPath()
+        date = _folder_value(path.getParent().getName())
+        if date in out:
+            out[date].add(_folder_value(path.getName()))
+    return out
+
+
 def parse_landing(lines: DataFrame, keep: list[str], value: str = "value") -> DataFrame:
     """JSON text lines -> typed columns, one row per non-blank line.
 
@@ -171,7 +206,7 @@ def unreadable_files(spark: SparkSession, base: str, layer: str, entity: str) ->
 def available_dates(spark: SparkSession, base: str, layer: str, entity: str) -> DataFrame:
     """Batch dates present in a layer table, newest first (S07), from its
     partition folders: no file is opened."""
-    dates = [f.split("=", 1)[1] for f in list_folders(spark, f"{base}/{layer}/{entity}") if f.startswith("etl_batch_date=")]
+    dates = [_folder_value(f) for f in list_folders(spark, f"{base}/{layer}/{entity}") if f.startswith("etl_batch_date=")]
     return spark.createDataFrame([(d,) for d in sorted(dates, reverse=True)], "etl_batch_date string").coalesce(1)
 
 

@@ -282,3 +282,18 @@ def test_taking_a_run_back_deletes_only_its_partitions(spark):
     assert "broken.parquet" in os.listdir(os.path.join(
         local_path(base), "bronze", "vitals", "etl_batch_date=2024-01-01", "etl_run_id=r1"))
     assert drop_run(spark, base, "r2", ["2024-01-01"]) == []  # a lake without movement, and nothing left
+
+
+def test_run_ids_and_dates_with_odd_characters(spark):
+    """Partition folders escape them; taking back and replacing still find them."""
+    from pulsegrid.plans.etl import drop_run, run_etl
+    from pulsegrid.sources.files import run_folders
+    base = scratch_path(spark, "lake")
+    run_id, date = "nightly: 50%/a=b", "2024-01-01 [x]"
+    for _ in range(2):
+        run_etl(spark, land(spark, VITAL), base, run_id=run_id, batch_date=date)
+    assert read_layer(spark, base, "silver", "vitals").count() == 1  # the same run again replaces itself
+    assert run_folders(spark, f"{base}/bronze/vitals", [date, "other"]) == {date: {run_id}, "other": set()}
+    assert [r[0] for r in available_dates(spark, base, "gold", "vitals").collect()] == [date]
+    assert drop_run(spark, base, run_id, [date]) == [date]
+    assert read_layer(spark, base, "bronze", "vitals").count() == 0
