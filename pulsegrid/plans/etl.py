@@ -207,7 +207,7 @@ def _refresh(spark: SparkSession, schema, base: str, entity: str, res: EtlResult
         res.skipped.append(("silver", entity))
         written = set()
     else:
-        got = write_layer_metrics(silver, base, "silver", entity, by=RUN_PARTITIONS,
+        got = write_layer_metrics(silver, base, "silver", entity, by=RUN_PARTITIONS, rebalance=False,
                                   extra={"own": F.collect_set(F.struct("etl_batch_date", "etl_run_id"))})
         written = {(r["etl_batch_date"], r["etl_run_id"]) for r in got["own"]}
         if got["rows"]:

@@ -20,7 +20,7 @@ def write_layer(df: DataFrame, base: str, layer: str, entity: str, partitioned:
 
 def write_layer_metrics(df: DataFrame, base: str, layer: str, entity: str, extra: dict[str, Column] | None = None,
                         partitioned: bool = True, mode: str | None = None,
-                        by: tuple[str, ...] = ("etl_batch_date",)) -> dict:
+                        by: tuple[str, ...] = ("etl_batch_date",), rebalance: bool = True) -> dict:
     """Write a layer table; its row count and further aggregates of the
     written rows (``extra``: name -> aggregate column) are observed on the
     same write - no extra pass.
@@ -30,7 +30,8 @@ def write_layer_metrics(df: DataFrame, base: str, layer: str, entity: str, extra
     write without rows leaves no file. Rows are rebalanced by the partition
     columns first, so files have the session's advisory size instead of one
     small file for each task and date; a large date still spreads over many
-    tasks. ``partitioned=False`` appends instead, and skips an empty frame
+    tasks (``rebalance=False`` for rows that come from such files in a narrow
+    plan). ``partitioned=False`` appends instead, and skips an empty frame
     (K01)."""
     by = tuple(c for c in by if partitioned and c in df.columns)
     if not by and df.isEmpty():
@@ -39,7 +40,7 @@ def write_layer_metrics(df: DataFrame, base: str, layer: str, entity: str, extra
     aggs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (extra or {}).items()]
     # observed above the rebalance: an exchange that turns out empty is cut off
     # at run time, with all that stands below it
-    df = (df.hint("rebalance", *by) if by else df).observe(obs, *aggs)
+    df = (df.hint("rebalance", *by) if by and rebalance else df).observe(obs, *aggs)
     if by:
         w = df.write.partitionBy(*by).option("partitionOverwriteMode", "dynamic").mode(mode or "overwrite")
     else:
