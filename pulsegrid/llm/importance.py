@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, text_column
 
 BINS = 1 << 15
+BLOCK = 1 << 20  # text bytes of one numpy pass
 MAX_LABELS = 200_000  # labelled documents used, those with the smallest id hashes
 MAX_FALSE_REJECT = 0.002  # share of good labels that the margin may put below weight 1
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -134,7 +135,7 @@ def _counts(labels, bins: int):
     """Per task the n-gram counts of good and of all documents (bounded: bins)."""
     def run(batches):
         good, every = np.zeros(bins, np.int64), np.zeros(bins, np.int64)
-        for rows, data, off in batch_blocks(batches, "_text"):
+        for rows, data, off in batch_blocks(batches, "_text", BLOCK):
             b, n = ngrams(data, off, bins)
             every += np.bincount(b, minlength=bins)
             _, g = _label_flags(rows.column("_id"), labels.value)
@@ -180,7 +181,7 @@ def _sortable(x: np.ndarray) -> np.ndarray:
 
 def _scores(ratio, labels, bins: int, seed: int):
     def run(batches):
-        for rows, data, off in batch_blocks(batches, "_text"):
+        for rows, data, off in batch_blocks(batches, "_text", BLOCK):
             n, s, g = _weigh(rows, data, off, ratio.value, bins, seed)
             known, good = _label_flags(rows.column("_id"), labels.value)
             yield pa.record_batch({"doc_id": rows.column("_id"), "n_grams": pa.array(n), "log_ratio": pa.array(s),
@@ -280,7 +281,7 @@ def select_quality(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
         margin, _, cut = _draw(tmp, scored, k)
 
     def run(batches):
-        for rows, data, off in batch_blocks(batches, "_text"):
+        for rows, data, off in batch_blocks(batches, "_text", BLOCK):
             n, s, g = _weigh(rows, data, off, ratio.value, bins, seed)
             keep = _sortable(s - margin * n + g) >= np.uint64(cut) if cut is not None else np.zeros(len(n), bool)
             row = rows.column("_row")
