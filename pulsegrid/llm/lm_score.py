@@ -1,9 +1,9 @@
 """Log-bilinear language model, trained by noise-contrastive estimation.
 
 Tokens are white-space separated words (A-Z lower-cased) and one end for each
-text. The model predicts symbols: the ``shortlist`` most frequent training
-tokens, and classes (by last byte, and whether there are other than ASCII
-bytes) that hold all other tokens. The two symbols before a token give the
+text. The model predicts symbols: the ``shortlist`` (the end, however rare, and
+the most frequent training tokens), and classes (by last byte, and whether there
+are other than ASCII bytes) that hold all other tokens. The two symbols before a token give the
 prediction r1 C1 + r2 C2, whose product with a symbol's target vector plus its
 bias is the symbol's score. Training samples noise from the symbols' training
 frequencies. Scores split into one term for each context symbol, so the
@@ -170,16 +170,16 @@ class Trainer:
 
 
 class Symbols:
-    """Symbol numbers: shortlist tokens, then classes."""
+    """Symbol numbers: shortlist tokens (END is one of them), then classes."""
 
     def __init__(self, shortlist: list[bytes]):
         self.short = {t: i for i, t in enumerate(shortlist)}
         self.size = len(shortlist) + CLASSES
-        self.end = self.short.get(END, len(shortlist))
+        self.end = self.short[END]
 
     def of(self, token: bytes) -> int:
         s = self.short.get(token)
-        return s if s is not None else len(self.short) + class_of(token) if token else self.end
+        return s if s is not None else len(self.short) + class_of(token)
 
     def encode(self, data: np.ndarray, off: np.ndarray):
         """(distinct tokens, token number of each place, tokens of each text) of
@@ -308,7 +308,7 @@ def _encode(sent):
                 pa.array(np.full(k, block)), none(k, pa.int64()), none(k, pa.bool_()), none(k, pa.int64()),
                 none(k, pa.int64()), none(k, pa.float64()), none(k, pa.float64()), none(k, pa.binary()),
                 pa.array([tokens[i] for i in words], pa.binary()),
-                pa.array([of[i] - len(shortlist) if tokens[i] else -1 for i in words], pa.int32()),
+                pa.array([of[i] - len(shortlist) for i in words], pa.int32()),
                 pa.array(local[words], pa.int32())], schema=ENCODED)
     return run
 
@@ -359,11 +359,16 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_out_
     with scratch(spark, "lm") as tmp:
         counts = tmp.save(learn.select("_text").mapInArrow(_count_tokens, "token binary, class int, c bigint")
                           .groupBy("token").agg(F.first("class").alias("class"), F.sum("c").alias("c")))
-        top = counts.orderBy(F.desc("c"), "token").limit(shortlist_size).collect()
-        shortlist = [bytes(x["token"]) for x in top]
-        short_counts = np.array([x["c"] for x in top], np.float64)
-        least = (top[-1]["c"], bytes(top[-1]["token"])) if top else (0, b"")
-        is_rare = (F.col("c") < least[0]) | ((F.col("c") == least[0]) & (F.col("token") > F.lit(least[1])))
+        word = F.col("token") != F.lit(END)
+        top = [(x["c"], bytes(x["token"])) for x in
+               counts.orderBy(word, F.desc("c"), "token").limit(max(shortlist_size, 1)).collect()]
+        is_rare = word
+        if len(top) > 1:
+            least, last = top[-1]
+            is_rare = word & ((F.col("c") < least) | ((F.col("c") == least) & (F.col("token") > F.lit(last))))
+        top = sorted(top or [(0, END)], key=lambda x: (-x[0], x[1]))
+        shortlist = [t for _, t in top]
+        short_counts = np.array([c for c, _ in top], np.float64)
         mass, distinct, ones, twos = np.zeros(CLASSES), np.zeros(CLASSES), 0, 0
         for x in counts.where(is_rare).groupBy("class").agg(
                 F.sum("c").alias("m"), F.count("*").alias("d"), F.sum((F.col("c") == 1).cast("long")).alias("o"),
@@ -371,8 +376,8 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_out_
             mass[x["class"]], distinct[x["class"]] = x["m"], x["d"]
             ones, twos = ones + x["o"], twos + x["t"]
         discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-        stats = {"mass": np.append(mass, 0.0), "distinct": np.append(distinct, 0.0), "discount": discount,
-                 "tokens": int(short_counts.sum() + mass.sum()), "types": len(top) + int(distinct.sum())}
+        stats = {"mass": mass, "distinct": distinct, "discount": discount,
+                 "tokens": int(short_counts.sum() + mass.sum()), "types": int((short_counts > 0).sum() + distinct.sum())}
         unigram = np.concatenate([short_counts, mass]) + 0.5
         unigram /= unigram.sum()
         flat = train(learn.select("_text", F.expr(f"_crc div {m}").alias("_part")), tmp, shortlist, unigram)

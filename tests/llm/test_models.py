@@ -50,6 +50,25 @@ def test_counts_and_base_scores(docs):
     assert all(r.score < 0 for r in got)
 
 
+def test_the_end_is_a_symbol_below_the_rank_of_the_shortlist(docs, monkeypatch):
+    """Few long texts: every word is more frequent than the end."""
+    rng, sent = random.Random(9), []
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(2000))) for i in range(12)]
+    train = lm_score.train
+    monkeypatch.setattr(lm_score, "train", lambda t, tmp, s, u: sent.append((s, u)) or train(t, tmp, s, u))
+    got = lm_score.score(docs(rows), shortlist_size=5).collect()
+    learnt = [t for i, t in rows if crc(i) % 7 != 2]
+    count = Counter(w for t in learnt for w in [*t.split(), ""])
+    assert sorted(count.values())[0] == count[""] == len(learnt)
+    (shortlist, unigram), n = sent[0], sum(count.values())
+    assert len(shortlist) == 5 and {*shortlist} == {b"", *(w.encode() for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:4])}
+    size = 5 + lm_score.CLASSES
+    assert abs(unigram[shortlist.index(b"")] - (len(learnt) + 0.5) / (n + size / 2)) < 1e-12
+    assert all(math.isfinite(r.score) and r.score < 0 for r in got)
+    base = {i: sum(math.log10((count[w] + 1) / (n + len(count) + 1)) for w in [*t.split(), ""]) for i, t in rows}
+    assert all(r.n_known == r.n_tokens == 2001 and abs(r.base_score - base[r.doc_id]) < 1e-6 for r in got)
+
+
 def test_model_beats_the_base_on_held_out_rows(docs):
     rng = random.Random(2)
     rows = [(i, language(rng, 80)) for i in range(500)]
