@@ -115,6 +115,15 @@ def test_line_dedup(docs, unit):
     assert line_dedup.dedup_lines(docs([])).count() == 0
 
 
+def test_line_dedup_without_a_floor_removes_short_lines(docs):
+    rows = [(1, "a\nb c\none two three four five"), (2, "A\nx"), (3, "b  c\nx\nx\n \none two three four five")]
+    df = docs(rows)
+    for least in (1, 5):
+        want = brute_lines(rows, "line", max(least, 1))
+        got = {r.doc_id: ([tuple(s) for s in r.removed_spans], r.kept_text) for r in line_dedup.dedup_lines(df, min_words=least).collect()}
+        assert sum(len(s) for s, _ in got.values()) == (5 if least == 1 else 1) and got == want
+
+
 def test_line_dedup_repeated_rows_are_one_document(docs):
     t = "one two three four five six\none two three four five six"
     got = line_dedup.dedup_lines(docs([(1, t), (1, t), (2, t)])).collect()
