@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pulsegrid.llm.common import kept, scratch, text_column
+from pulsegrid.llm.common import kept, scratch, split_join, text_column
 
 N_BUCKETS = 65536  # global index buckets; each is the work of one step in a task
 LOCAL_LIVE = 200_000  # live digests a map-side index holds before it is flushed
@@ -243,18 +243,17 @@ def _load(state: pa.Table) -> tuple[int | None, CuckooIndex]:
 
 
 def _apply(state: pa.Table, changes: pa.Table) -> pa.Table:
-    """One bucket: load the stored keys, then apply the changes in order."""
+    """One bucket: load the stored keys, then apply the changes, a row per digest."""
     bucket, index = _load(state)
-    for c in sorted(changes.to_pylist(), key=lambda c: c["insert"], reverse=True):
+    for c in changes.to_pylist():
         bucket = c["bucket"]
-        if c["insert"]:
-            _merge(index, c["digest"], c["doc_id"], 1)
-        else:
-            v = index.find(c["digest"])
-            if v is not None:
-                v[1] -= 1
-                if v[1] <= 0:
-                    index.delete(c["digest"])
+        if c["inserts"]:
+            _merge(index, c["digest"], c["doc_id"], c["inserts"])
+        v = index.find(c["digest"])
+        if v is not None:
+            v[1] -= c["deletes"]
+            if v[1] <= 0:
+                index.delete(c["digest"])
     out = [_state(bucket, index)] if bucket is not None else []
     schema = pa.schema([("bucket", pa.int32()), ("live", pa.int32()), ("capacity", pa.int32()),
                         ("filter", pa.binary()), ("keys", pa.binary()),
@@ -262,32 +261,41 @@ def _apply(state: pa.Table, changes: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, schema=schema)
 
 
+def _look(state: pa.Table, probes: pa.Table) -> pa.Table:
+    """One bucket: which of its distinct digests are live."""
+    index = _load(state)[1]
+    hit = [index.find(k) is not None for k in probes.column("digest").to_pylist()]
+    return pa.table({"digest": probes.column("digest"), "live": pa.array(hit, pa.bool_())})
+
+
 def update_index(index: DataFrame | None, inserts: DataFrame | None = None,
                  deletes: DataFrame | None = None, spark=None) -> DataFrame:
     """Index table after inserting and deleting documents (insertions first).
 
     A digest stays live while it has members; its doc_id is the largest ever
-    inserted for it. Deleting an unknown digest does nothing.
+    inserted for it. Deleting an unknown digest does nothing. Changes are counted
+    per digest before they meet their bucket.
     """
     spark = spark or (index if index is not None else inserts if inserts is not None else deletes).sparkSession
     bucket = F.conv(F.hex(F.substring("digest", 31, 2)), 16, 10).cast("int").alias("bucket")
-    parts = [digests(d).select(bucket, "digest", "doc_id", F.lit(i).alias("insert"))
-             for d, i in ((inserts, True), (deletes, False)) if d is not None]
+    changes = spark.createDataFrame([], "digest binary, doc_id bigint, insert int")
+    for d, i in ((inserts, 1), (deletes, 0)):
+        if d is not None:
+            changes = changes.unionByName(digests(d).withColumn("insert", F.lit(i)))
+    changes = changes.groupBy("digest").agg(
+        F.max(F.when(F.col("insert") == 1, F.col("doc_id"))).alias("doc_id"), F.sum("insert").alias("inserts"),
+        F.sum(1 - F.col("insert")).alias("deletes")).select(bucket, "digest", "doc_id", "inserts", "deletes")
     empty = spark.createDataFrame([], INDEX_DDL)
-    changes = spark.createDataFrame([], "bucket int, digest binary, doc_id bigint, insert boolean")
-    for p in parts:
-        changes = changes.unionByName(p)
     return ((index if index is not None else empty).groupBy("bucket")
             .cogroup(changes.groupBy("bucket")).applyInArrow(_apply, INDEX_DDL))
 
 
 def probe_index(index: DataFrame, docs: DataFrame) -> DataFrame:
     """Per document whether its text is live in the index (verified by key)."""
-    def look(state: pa.Table, rows: pa.Table) -> pa.Table:
-        index = _load(state)[1]
-        hit = [index.find(k) is not None for k in rows.column("digest").to_pylist()]
-        return pa.table({"doc_id": rows.column("doc_id").cast(pa.int64()), "live": pa.array(hit, pa.bool_())})
-
-    bucket = F.conv(F.hex(F.substring("digest", 31, 2)), 16, 10).cast("int").alias("bucket")
-    rows = digests(docs).select(bucket, "digest", "doc_id")
-    return index.groupBy("bucket").cogroup(rows.groupBy("bucket")).applyInArrow(look, "doc_id bigint, live boolean")
+    with scratch(docs.sparkSession, "probe") as tmp:
+        rows = tmp.save(digests(docs))
+        bucket = F.conv(F.hex(F.substring("digest", 31, 2)), 16, 10).cast("int").alias("bucket")
+        probes = rows.select("digest").distinct().select(bucket, "digest")
+        found = (index.groupBy("bucket").cogroup(probes.groupBy("bucket"))
+                 .applyInArrow(_look, "digest binary, live boolean").withColumnRenamed("digest", "_d"))
+        return kept(split_join(rows, found, "digest", "_d").select("doc_id", "live"))

@@ -73,6 +73,26 @@ def test_cuckoo_index_table(docs, spark):
     assert probe == {1: True, 2: False, 3: True, 4: False, 5: True}
 
 
+def test_cuckoo_index_meets_a_digest_once(docs, spark, monkeypatch):
+    """A text that most rows carry reaches its bucket as one row, and counts as many."""
+    apply, look = cuckoo_dedup._apply, cuckoo_dedup._look
+
+    def once(f):
+        def run(state, rows):
+            assert len(set(rows.column("digest").to_pylist())) == rows.num_rows
+            return f(state, rows)
+        return run
+    monkeypatch.setattr(cuckoo_dedup, "_apply", once(apply))
+    monkeypatch.setattr(cuckoo_dedup, "_look", once(look))
+    hot = [(i, "hot") for i in range(300)] + [(None, "hot"), (400, "cold"), (401, None)]
+    index = cuckoo_dedup.update_index(None, docs(hot), docs([(0, "hot"), (1, "hot"), (2, "cold"), (3, "cold")]), spark=spark).checkpoint()
+    assert sorted((list(r.doc_ids), list(r.members)) for r in index.collect() if r.live) == [([299], [299]), ([401], [1])]
+    probe = cuckoo_dedup.probe_index(index, docs([*hot, (None, "no")])).collect()
+    assert Counter((r.doc_id, r.live) for r in probe) == Counter([(i, t != "cold") for i, t in hot] + [(None, False)])
+    index = cuckoo_dedup.update_index(index, None, docs([(i, "hot") for i in range(299)]))
+    assert [list(r.doc_ids) for r in index.collect() if r.live] == [[401]]
+
+
 # --- lines -------------------------------------------------------------------
 
 def brute_lines(rows, unit, least):
