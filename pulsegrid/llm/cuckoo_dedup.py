@@ -1,7 +1,9 @@
 """Exact deduplication on a cuckoo-filter index.
 
 Documents are equal when their normalised texts are identical (by default the
-text itself; null counts as empty). Digests are SHA-256 of the UTF-8 bytes.
+text itself; null counts as empty). Digests are SHA-256 of the UTF-8 bytes; the
+texts of each digest are compared too, and where they differ (a collision) the
+digest is extended by the text's number. The persistent index has digests only.
 Every task keeps a :class:`CuckooIndex` of live digests: a filter of 16-bit
 fingerprints whose hits are verified against the full stored digest and byte
 length. Hash buckets of digests are the unit of the global index, so no task
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulsegrid.llm.common import kept, scratch, split_join, text_column
 
@@ -185,12 +187,33 @@ GROUP_DDL = "bucket int, digest binary, keep_id bigint, group_size bigint"
 
 
 def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-            normalise: Column | None = None) -> DataFrame:
-    """(digest, doc_id): SHA-256 and byte length (8 bytes) of the normalised text."""
-    t = text_column(text) if normalise is None else F.coalesce(normalise, F.lit(""))
+            normalise: Column | None = None, *more: Column) -> DataFrame:
+    """(digest, doc_id, more): SHA-256 and byte length (8 bytes) of the normalised text."""
+    t = normalised(text, normalise)
     size = F.unhex(F.lpad(F.hex(F.octet_length(t).cast("bigint")), 16, "0"))
     return docs.select(F.concat(F.unhex(F.sha2(t.cast("binary"), 256)), size).alias("digest"),
-                       F.col(doc_id).cast("bigint").alias("doc_id"))
+                       F.col(doc_id).cast("bigint").alias("doc_id"), *more)
+
+
+def normalised(text: str, normalise: Column | None = None) -> Column:
+    return text_column(text) if normalise is None else F.coalesce(normalise, F.lit(""))
+
+
+def verified(docs: DataFrame, text: str, doc_id: str, normalise: Column | None, tmp) -> DataFrame:
+    """(digest, doc_id) of all rows, equal exactly where the texts are: the texts
+    of each digest are counted, and a digest of several gets their number added."""
+    rows = tmp.save(digests(docs, text, doc_id, normalise))
+    full = digests(docs, text, doc_id, normalise, normalised(text, normalise).alias("_text"))
+    texts = full.select("digest", "_text").distinct()
+    clash = tmp.save(texts.groupBy("digest").count().where("count > 1").select(F.col("digest").alias("_c")))
+    if clash.isEmpty():
+        return rows
+    number = F.row_number().over(Window.partitionBy("digest").orderBy("_text")).cast("bigint")
+    texts = texts.join(clash, F.col("digest") == F.col("_c")).select(
+        F.col("digest").alias("_c"), F.col("_text").alias("_t"), F.unhex(F.lpad(F.hex(number), 16, "0")).alias("_n"))
+    same = (F.col("digest") == F.col("_c")) & (F.col("_text") == F.col("_t"))
+    return tmp.save(full.join(texts, same, "left").select(
+        F.concat("digest", F.coalesce("_n", F.lit(b""))).alias("digest"), "doc_id"))
 
 
 def groups(rows: DataFrame) -> DataFrame:
@@ -205,7 +228,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
                      normalise: Column | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     with scratch(docs.sparkSession, "cuckoo") as tmp:
-        rows = tmp.save(digests(docs, text, doc_id, normalise))
+        rows = verified(docs, text, doc_id, normalise, tmp)
         g = groups(rows).select(F.col("digest").alias("_d"), "keep_id", "group_size")
         return kept(rows.join(g, rows["digest"] == g["_d"]).select(
             "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),

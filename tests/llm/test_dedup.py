@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from pulsegrid.llm import components, cuckoo_dedup, golay_simhash, line_dedup, lpf_dedup
 
@@ -65,6 +66,22 @@ def test_exact_duplicates(docs):
     assert cuckoo_dedup.exact_duplicates(docs([])).count() == 0
 
 
+def test_texts_of_equal_digest_are_compared(docs, monkeypatch):
+    """With digests that tell texts by length only, groups are still those of equal texts."""
+    def weak(df, text="text", doc_id="doc_id", normalise=None, *more):
+        size = F.lpad(F.hex(F.octet_length(F.coalesce(text, F.lit("")))), 80, "0")
+        return df.select(F.unhex(size).alias("digest"), F.col(doc_id).cast("bigint").alias("doc_id"), *more)
+    rows = [(i, f"t{i % 4}") for i in range(40)] + [(50, "alone"), (51, None), (52, ""), (None, "t1"), (None, "pairs"), (60, "t5")]
+    group = defaultdict(list)
+    for i, t in rows:
+        group[t or ""].append(i)
+    want = Counter((i, max((x for x in group[t or ""] if x is not None), default=None), len(group[t or ""])) for i, t in rows)
+    monkeypatch.setattr(cuckoo_dedup, "digests", weak)
+    got = cuckoo_dedup.exact_duplicates(docs(rows, extra=True)).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == want
+    assert all(r.kept == (r.doc_id == r.keep_id) for r in got)
+
+
 def test_cuckoo_index_table(docs, spark):
     base = [(i, f"text {i}") for i in range(50)]
     index = cuckoo_dedup.update_index(None, docs(base), spark=spark).checkpoint()
