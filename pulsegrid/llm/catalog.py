@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsegrid.llm import cuckoo_dedup, decontaminate, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces, toxicity, url_equivalence
+from pulsegrid.llm import cuckoo_dedup, decontaminate, filter_audit, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces, toxicity, url_equivalence
 from pulsegrid.llm.common import read_table
 
 QUERIES: dict = {}
@@ -191,3 +191,42 @@ SELECT x.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remo
        sha256(unhex(coalesce(left_over || substring(h, 2 * last + 1), h))) AS kept_sha256
 FROM x LEFT JOIN kept k ON x.doc_id = k.doc_id
 """
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of every order of five filters removes, by language."""
+    return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda z: z <> '') AS ws,
+             min(doc_id) OVER (PARTITION BY x) AS first_id FROM t),
+f AS (SELECT doc_id, part, len(ws) < 100 AS a, 100 * len(list_distinct(ws)) < 80 * len(ws) AS b,
+             100 * (length(x) - length(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 10 * length(x) AS c,
+             regexp_matches(x, '[#$%&*|]') AS d, coalesce(doc_id > first_id, false) AS e FROM w),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels
+      WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+             CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS mask,
+             count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+      FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY 1, 2),
+letters(v) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT concat(p.v, q.v, r.v, s.v, u.v) AS o FROM letters p, letters q, letters r, letters s, letters u
+           WHERE len(list_distinct([p.v, q.v, r.v, s.v, u.v])) = 5),
+steps AS (SELECT o, k AS step, substring(o, k, 1) AS f, substring(o, 1, k - 1) AS before
+          FROM orders, (SELECT unnest(range(1, 6)) AS k)),
+g AS (SELECT part, o, step, f, n, good, toxic, contains(mask, f) AS fails,
+             mask <> '' AND translate(mask, before, '') <> mask AS gone, mask = f AS alone FROM m, steps),
+r AS (SELECT part, o, step, f, sum(n) FILTER (NOT gone AND NOT fails) AS kept, sum(n) FILTER (fails AND NOT gone) AS removed,
+             sum(n) FILTER (fails AND gone) AS redundant, sum(n) FILTER (alone) AS unique_fails,
+             sum(good) FILTER (fails AND NOT gone) AS good_lost, sum(toxic) FILTER (fails AND NOT gone) AS toxic_lost
+      FROM g GROUP BY part, o, step, f)
+SELECT part, o AS filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, f), 0) AS BIGINT) AS shapley
+FROM r
+"""
