@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsegrid.llm import cuckoo_dedup, decontaminate, filter_audit, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces, toxicity, url_equivalence
+from pulsegrid.llm import (cuckoo_dedup, decontaminate, filter_audit, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces,
+                           scaled_sketch, toxicity, url_equivalence)
 from pulsegrid.llm.common import read_table
 
 QUERIES: dict = {}
@@ -193,6 +194,12 @@ FROM x LEFT JOIN kept k ON x.doc_id = k.doc_id
 """
 
 
+@query
+def op11_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    return scaled_sketch.neighbours(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each step of every order of five filters removes, by language."""
