@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsegrid.llm import (cuckoo_dedup, decontaminate, filter_audit, golay_simhash, importance, line_dedup, lm_score, lpf_dedup, pieces,
-                           scaled_sketch, toxicity, url_equivalence)
+                           rmq_search, scaled_sketch, toxicity, url_equivalence)
 from pulsegrid.llm.common import read_table
 
 QUERIES: dict = {}
@@ -200,6 +200,31 @@ def op11_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled_sketch.neighbours(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_rmq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return rmq_search.top_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLES["op12_rmq_search"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+n AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+a AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM n),
+p AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) GROUP BY 1, 2),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark WHERE item_id IS NOT NULL),
+f AS (SELECT t, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS weight
+      FROM (SELECT t, count(*) AS df FROM p GROUP BY t), a),
+s AS (SELECT item_id, p.doc_id,
+             CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * big_n) // big_l)))) AS BIGINT) AS score
+      FROM q JOIN p ON q.t = p.t JOIN f ON f.t = p.t JOIN n ON n.doc_id = p.doc_id, a GROUP BY 1, 2)
+SELECT item_id, CAST(r AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM s WHERE score > 0) WHERE r <= 10
+"""
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each step of every order of five filters removes, by language."""

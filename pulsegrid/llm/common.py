@@ -41,12 +41,12 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, scratch_path(spark, name), 0
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, **options) -> DataFrame:
         """Write df as a table and read it back: short lineage, and a lost
-        executor loses nothing."""
+        executor loses nothing. ``options`` go to the writer."""
         self.n += 1
         path = f"{self.root}/t{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:
