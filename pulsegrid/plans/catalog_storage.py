@@ -607,3 +607,27 @@ def q_consolidated(spark, d):
     export_csv(features, f"{root}/all_processed")
     read = lambda name, like: spark.read.option("header", "true").schema(like.schema).csv(f"{root}/{name}")
     return r6(DS.dataset_statistics(read("all_raw", raw), read("all_processed", features)), "x_mean", "y_mean", "z_mean")
+
+
+@register("k02_compacted_layers", W() + """
+SELECT 'silver' AS part, etl_batch_date, count(*) AS n, sum(heart_rate) AS total, 3 AS runs
+FROM (SELECT *, strftime(event_timestamp, '%Y-%m-%d') AS etl_batch_date FROM fx_silver_v) s GROUP BY 2
+UNION ALL
+SELECT 'gold', strftime(window_start, '%Y-%m-%d'), count(*), sum(peak_hr), 0 FROM fx_gold_v GROUP BY 2""")
+def q_compacted(spark, d):
+    """Two runs, compaction of their dates, a third run of the same dates and
+    another compaction: rows, runs and Gold are those of one batch."""
+    from pulsegrid.plans.compaction import compact
+    base = scratch_path(spark, "lake")
+    ev, line = landing_events(spark, d), F.to_json(F.struct(*_PAYLOAD)).alias("value")
+    for third in range(3):
+        landing = scratch_path(spark, "landing")
+        ev.filter(F.col("event_id") % 3 == third).select(line).write.text(landing)
+        res = run_etl(spark, landing, base, batch_date=event_date(), glob=GLOB)
+        if third:
+            compact(spark, base, res.batch_dates, grace_seconds=0)
+    s, g = read_layer(spark, base, "silver", "vitals"), read_layer(spark, base, "gold", "vitals")
+    return s.groupBy(F.lit("silver").alias("part"), "etl_batch_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("heart_rate").alias("total"), F.count_distinct("etl_run_id").alias("runs")).unionByName(
+        g.groupBy(F.lit("gold").alias("part"), "etl_batch_date").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("peak_hr").alias("total"), F.lit(0).cast("bigint").alias("runs")))

@@ -24,7 +24,10 @@ from pulsegrid.operators.clean import add_lineage, clean_movement, clean_vitals,
 from pulsegrid.operators.gold import merge_movement, merge_vitals, movement_state, vitals_state
 from pulsegrid.session import scratch_path
 from pulsegrid.sinks.files import append_run_log, write_layer_metrics
-from pulsegrid.sources.files import LANDING_GLOB, delete_path, landing_lines, parse_landing, partition_folder, read_layer, run_folders
+from pulsegrid.sources.files import (
+    LANDING_GLOB, compacted_folder, delete_path, folders_of, landing_lines, parse_landing, partition_folder, path_exists,
+    read_layer, run_folders,
+)
 
 ENTITIES = ("vitals", "movement")
 RUN_PARTITIONS = ("etl_batch_date", "etl_run_id")
@@ -156,6 +159,8 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
     if "etl_run_id" not in bronze.columns:
         bronze = bronze.withColumn("etl_run_id", F.lit(res.run_id))
     dates = set(res.batch_dates)
+    if bronze_mode != "overwrite":
+        refuse_merged(spark, base, res.run_id)
 
     def land(entity: str) -> dict:
         return write_layer_metrics(bronze.filter(route_name() == entity), base, "bronze", entity, by=RUN_PARTITIONS,
@@ -170,9 +175,10 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
         for layer in ("bronze", "silver", STATES):
             for entity in ENTITIES:
                 table = f"{base}/{layer}/{entity}"
-                for d, runs in run_folders(spark, table, res.batch_dates).items():
-                    for run in runs - {res.run_id}:
-                        _drop_partitions(spark, table, run, [d])
+                for found in folders_of(spark, table, res.batch_dates):
+                    for run in set(found.runs) - {res.run_id}:
+                        _drop_partitions(spark, table, run, [found.date])
+                    delete_path(spark, compacted_folder(table, found.date))
 
     steps = {"vitals": (clean_vitals, lambda df: vitals_state(df, minutes), merge_vitals),
              "movement": (clean_movement, lambda df: movement_state(df, fall_threshold, minutes), merge_movement)}
@@ -182,6 +188,18 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
     return res
 
 
+def merged_mark(base: str, run_id: str) -> str:
+    """File that exists once compaction may have merged a run's rows with others'."""
+    return f"{base}/_merged_runs/{partition_folder('etl_run_id', run_id)}"
+
+
+def refuse_merged(spark: SparkSession, base: str, run_id: str) -> None:
+    """A run whose rows were merged is complete: its folders can no longer be
+    replaced or taken back one by one."""
+    if path_exists(spark, merged_mark(base, run_id)):
+        raise ValueError(f"run {run_id} was compacted; use a new run id")
+
+
 def _drop_partitions(spark: SparkSession, table: str, run_id: str, dates) -> None:
     for d in dates:
         delete_path(spark, f"{table}/{partition_folder('etl_batch_date', d)}/{partition_folder('etl_run_id', run_id)}")
@@ -192,18 +210,17 @@ def _refresh(spark: SparkSession, schema, base: str, entity: str, res: EtlResult
     """Silver and Gold of one entity for the touched dates: clean the Bronze
     runs that Silver lacks (this run, and runs that a record threshold held
     back), then merge the dates' states."""
-    on_date = F.col("etl_batch_date").isin(res.batch_dates)
+    dates = res.batch_dates
     landed = run_folders(spark, f"{base}/bronze/{entity}", res.batch_dates)
     cleaned = run_folders(spark, f"{base}/silver/{entity}", res.batch_dates)
     owed = {res.run_id}.union(*(landed[d] - cleaned[d] for d in res.batch_dates))
     # layers are read with the schema they were written with: no footer-reading
-    # schema job, and a table never written reads as empty; unreadable files fail
-    source = read_layer(spark, base, "bronze", entity, schema=schema)
-    silver = to_silver(source.filter(on_date & F.col("etl_run_id").isin(sorted(owed))))
-    stored = read_layer(spark, base, "silver", entity, schema=silver.schema).filter(on_date)
+    # schema job, and a table never written reads as empty; unreadable files fail.
+    # Only the touched dates' folders are listed, whatever the table's history
+    silver = to_silver(read_layer(spark, base, "bronze", entity, dates, schema, runs=owed))
     if min_records > 1 and not has_at_least(
-            stored.filter(~F.col("etl_run_id").isin(sorted(owed))).select("etl_run_id").unionAll(silver.select("etl_run_id")),
-            min_records):
+            read_layer(spark, base, "silver", entity, dates, silver.schema, runs=set().union(*cleaned.values()) - owed)
+            .select("etl_run_id").unionAll(silver.select("etl_run_id")), min_records):
         res.skipped.append(("silver", entity))
         written = set()
     else:
@@ -220,13 +237,12 @@ def _refresh(spark: SparkSession, schema, base: str, entity: str, res: EtlResult
             for run in runs & owed:
                 if (d, run) not in ours:
                     _drop_partitions(spark, f"{base}/{layer}/{entity}", run, [d])
-    # read again: the write above changed the table's files
-    stored = read_layer(spark, base, "silver", entity, schema=silver.schema).filter(on_date)
-    state = to_state(stored.filter(F.col("etl_run_id").isin(sorted(owed))))
+    # listed after the write above, which changed the table's files
+    state = to_state(read_layer(spark, base, "silver", entity, dates, silver.schema, runs=owed))
     if written:
         write_layer_metrics(state, base, STATES, entity, by=RUN_PARTITIONS)
-    got = write_layer_metrics(to_gold(read_layer(spark, base, STATES, entity, schema=state.schema).filter(on_date)),
-                              base, "gold", entity, extra={"dates": F.collect_set("etl_batch_date")})
+    got = write_layer_metrics(to_gold(read_layer(spark, base, STATES, entity, dates, state.schema)), base, "gold", entity,
+                              extra={"dates": F.collect_set("etl_batch_date")})
     for d in set(res.batch_dates) - set(got["dates"]):
         delete_path(spark, f"{base}/gold/{entity}/{partition_folder('etl_batch_date', d)}")
     if ("silver", entity) not in res.skipped:
@@ -237,6 +253,7 @@ def drop_run(spark: SparkSession, base: str, run_id: str, dates: list[str]) -> l
     """Take back what an unfinished run wrote: its own partitions of the dates
     are deleted, nothing is read or rewritten. Returns the dates in which it
     had any, whose Gold the caller brings up to date."""
+    refuse_merged(spark, base, run_id)
     had = set()
     for layer in ("bronze", "silver", STATES):
         for entity in ENTITIES:

@@ -6,8 +6,13 @@ filters into the scan, and split files across tasks.
 
 from __future__ import annotations
 
+import json
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,24 +87,113 @@ def _folder_value(name: str) -> str:
     return unquote(name.split("=", 1)[1])
 
 
-def run_folders(spark: SparkSession, table: str, dates: list[str]) -> dict[str, set[str]]:
-    """Run ids that have a partition of each batch date of a table, from one
-    listing of the dates' folders (metadata only)."""
-    out: dict[str, set[str]] = {d: set() for d in dates}
-    if not dates:
-        return out
+COMPACTED = "_compacted"  # folder beside the tables of a layer that holds their merged run folders
+LIVE = "_runs.json"  # names the runs that a merged folder replaces; written last
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible folders directly under ``path`` (none if missing)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        found = fs.listStatus(p)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileNotFoundException":
+            return []
+        raise
+    return [s.getPath().getName() for s in found if s.isDirectory() and not s.getPath().getName().startswith(("_", "."))]
+
+
+def compacted_folder(table: str, date: str) -> str:
+    """Folder of the merged run folders of one batch date of a table."""
+    layer, entity = table.rsplit("/", 1)
+    return f"{layer}/{COMPACTED}/{entity}/{partition_folder('etl_batch_date', date)}"
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file, null if it does not exist."""
     jvm = spark.sparkContext._jvm
-    glob = jvm.org.apache.hadoop.fs.Path(f"{table}/etl_batch_date=*/etl_run_id=*")
-    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if len(dates) < 1000:  # a long list of dates is cheaper to take from the whole table
-        names = ",".join(partition_folder("etl_batch_date", d) for d in dates)
-        glob = jvm.org.apache.hadoop.fs.Path(f"{table}/{{{names}}}/etl_run_id=*")
-    for s in fs.globStatus(glob) or []:
-        path = s.getPath()
-        date = _folder_value(path.getParent().getName())
-        if date in out:
-            out[date].add(_folder_value(path.getName()))
-    return out
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it appears whole or not at all."""
+    jvm = spark.sparkContext._jvm
+    final, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex[:8]}")
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(final):
+        fs.delete(final, False)
+    if not fs.rename(part, final):
+        raise OSError(f"cannot write {path}")
+
+
+@dataclass
+class DateFolders:
+    """Where the rows of one batch date of a table lie. ``runs``: its run
+    folders that hold live rows; ``merged``: the runs inside the merged folder
+    ``version`` (which replaces their own folders, if those still exist);
+    ``dead``: run folders that it replaced, and other merged folders."""
+    date: str
+    table: str
+    runs: list[str]
+    version: str | None
+    merged: list[str]
+    dead: list[str]
+    plain: bool
+
+    def paths(self, only: set[str] | None = None) -> list[str]:
+        """Folders to scan besides the merged one."""
+        folder = f"{self.table}/{partition_folder('etl_batch_date', self.date)}"
+        if self.plain:
+            return [folder]
+        return [f"{folder}/{partition_folder('etl_run_id', r)}" for r in self.runs if only is None or r in only]
+
+
+def date_folders(spark: SparkSession, table: str, date: str) -> DateFolders | None:
+    """Folders of one batch date, listed under that date only; null if it has
+    none. Rows that lie directly in the date's folder make it ``plain``."""
+    folder, home = f"{table}/{partition_folder('etl_batch_date', date)}", compacted_folder(table, date)
+    runs = {_folder_value(n): n for n in child_folders(spark, folder) if n.startswith("etl_run_id=")}
+    versions = sorted(n for n in child_folders(spark, home) if n.startswith("v="))
+    live = {}
+    for v in versions:
+        note = read_small(spark, f"{home}/{v}/{LIVE}")
+        if note is not None:
+            live = {"version": f"{home}/{v}", "merged": json.loads(note)}  # the last one replaces those before it
+    version, merged = live.get("version"), live.get("merged", [])
+    if not runs and version is None and not path_exists(spark, folder):
+        return None
+    dead = [f"{folder}/{runs[r]}" for r in runs if r in set(merged)]
+    dead += [f"{home}/{v}" for v in versions if f"{home}/{v}" != version]
+    return DateFolders(date, table, sorted(r for r in runs if r not in set(merged)), version, merged, dead,
+                       plain=not runs and path_exists(spark, folder))
+
+
+def folders_of(spark: SparkSession, table: str, dates: list[str]) -> list[DateFolders]:
+    """:func:`date_folders` of those dates that have any, listed side by side."""
+    if len(dates) < 4:
+        found = [date_folders(spark, table, d) for d in dates]
+    else:
+        with ThreadPoolExecutor(16) as pool:
+            found = list(pool.map(lambda d: date_folders(spark, table, d), dates))
+    return [f for f in found if f]
+
+
+def run_folders(spark: SparkSession, table: str, dates: list[str]) -> dict[str, set[str]]:
+    """Run ids that have rows in each batch date of a table, in folders of
+    their own or merged. Only the dates' own folders are listed."""
+    return {d: set() for d in dates} | {f.date: {*f.runs, *f.merged} for f in folders_of(spark, table, dates)}
 
 
 def parse_landing(lines: DataFrame, keep: list[str], value: str = "value") -> DataFrame:
@@ -158,38 +252,78 @@ def read_landing_partitions(spark: SparkSession, base: str, quarantine: bool = F
 TEXT_PARTITIONS = ("etl_batch_date", "etl_run_id")
 
 
-def read_layer(spark: SparkSession, base: str, layer: str, entity: str, batch_date: str | None = None,
-               schema: T.StructType | None = None, skip_unreadable: bool = False) -> DataFrame:
-    """One layer table (S05); one batch-date partition when ``batch_date`` is
-    given (S06, partition pruning). A missing table, or one without files, is
-    an empty frame (with ``schema`` when known).
+def _text_partitions(schema: T.StructType) -> T.StructType:
+    """Partition values are text, whatever they look like."""
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name in TEXT_PARTITIONS else f for f in schema.fields])
 
-    An unreadable file fails the read. With ``skip_unreadable`` (for serving,
-    never inside the ETL) such files are left out; :func:`unreadable_files`
-    tells which."""
-    path = f"{base}/{layer}/{entity}"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema or T.StructType([]))
 
+def scan(spark: SparkSession, table: str, paths: list[str], schema: T.StructType | None, skip_unreadable: bool) -> DataFrame:
+    """Parquet files under the given folders of a table: nothing else is listed."""
     def reader():
-        r = spark.read
+        r = spark.read.option("basePath", table)
         # the schema then comes from all readable files, not from one that may be broken
         return r.option("ignoreCorruptFiles", "true").option("mergeSchema", "true") if skip_unreadable else r
 
     if schema is None:
         try:
-            found = reader().parquet(path).schema
+            schema = reader().parquet(*paths).schema
         except AnalysisException as e:
-            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a folder without data files
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # folders without data files
                 raise
             return spark.createDataFrame([], T.StructType([]))
-        schema = found
-    # partition values are text, whatever they look like
-    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in TEXT_PARTITIONS else f for f in schema.fields])
-    df = reader().schema(schema).parquet(path)
-    if batch_date is not None:
-        df = df.filter(F.col("etl_batch_date") == batch_date)
-    return df
+    schema = _text_partitions(schema)
+    return reader().schema(schema).parquet(*paths).select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+
+
+def batch_dates(spark: SparkSession, table: str) -> list[str]:
+    """All batch dates of a table that have a folder, oldest first."""
+    layer, entity = table.rsplit("/", 1)
+    names = {*child_folders(spark, table), *child_folders(spark, f"{layer}/{COMPACTED}/{entity}")}
+    return sorted(_folder_value(n) for n in names if n.startswith("etl_batch_date="))
+
+
+def read_layer(spark: SparkSession, base: str, layer: str, entity: str, batch_date: str | list[str] | None = None,
+               schema: T.StructType | None = None, skip_unreadable: bool = False, runs: set[str] | None = None) -> DataFrame:
+    """One layer table (S05), or one or several of its batch dates (S06), and of
+    these the rows of some ``runs`` only.
+
+    With ``batch_date`` only the folders of these dates are listed, however
+    many others there are. A missing table or date, or one without files, gives
+    an empty frame (with the columns of ``schema``, else those of the table's
+    newest date). Run folders that a merged folder replaced are not read (see
+    ``plans.compaction``).
+
+    An unreadable file fails the read. With ``skip_unreadable`` (for serving,
+    never inside the ETL) such files are left out; :func:`unreadable_files`
+    tells which."""
+    table = f"{base}/{layer}/{entity}"
+    compacted = f"{base}/{layer}/{COMPACTED}/{entity}"
+    if batch_date is None and runs is None and not path_exists(spark, compacted):
+        if not path_exists(spark, table):
+            return spark.createDataFrame([], schema or T.StructType([]))
+        return scan(spark, table, [table], schema, skip_unreadable)
+    dates = batch_dates(spark, table) if batch_date is None else [batch_date] if isinstance(batch_date, str) else list(batch_date)
+    found = folders_of(spark, table, dates)
+    paths = [p for f in found for p in f.paths(runs)]
+    versions = [f.version for f in found if f.version and (runs is None or runs & set(f.merged))]
+    if schema is None and not paths and not versions:
+        newest = folders_of(spark, table, batch_dates(spark, table)[-1:])
+        schema = (read_layer(spark, base, layer, entity, newest[0].date, skip_unreadable=skip_unreadable).schema
+                  if newest and newest[0].date not in dates else T.StructType([]))
+    parts = []
+    if paths:
+        parts.append(scan(spark, table, paths, schema, skip_unreadable))
+    if versions:
+        like = schema or (parts[0].schema if parts and parts[0].columns else None)
+        merged = scan(spark, compacted, versions, like, skip_unreadable).drop("v")
+        parts.append(merged if runs is None else merged.filter(F.col("etl_run_id").isin(sorted(runs))))
+    parts = [p for p in parts if p.columns]
+    if not parts:
+        return spark.createDataFrame([], _text_partitions(schema) if schema else T.StructType([]))
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    if batch_date is None:
+        return df
+    return df.filter(F.col("etl_batch_date") == dates[0] if len(dates) == 1 else F.col("etl_batch_date").isin(dates))
 
 
 def unreadable_files(spark: SparkSession, base: str, layer: str, entity: str) -> DataFrame:
