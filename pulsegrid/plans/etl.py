@@ -178,6 +178,8 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
                 for found in folders_of(spark, table, res.batch_dates):
                     for run in set(found.runs) - {res.run_id}:
                         _drop_partitions(spark, table, run, [found.date])
+                    for path in found.dead:  # before the note that keeps them from being read
+                        delete_path(spark, path)
                     delete_path(spark, compacted_folder(table, found.date))
 
     steps = {"vitals": (clean_vitals, lambda df: vitals_state(df, minutes), merge_vitals),
