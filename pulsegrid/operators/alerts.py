@@ -8,6 +8,8 @@ streaming frames.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,26 +53,26 @@ def movement_rules(t: S.AlertThresholds = S.STANDARD) -> list[Column]:
                           activity_at_time=F.coalesce(F.col("activity_name"), F.lit("unknown"))))]
 
 
-def _explode_rules(df: DataFrame, rules: list[Column]) -> DataFrame:
+def _explode_rules(df: DataFrame, rules: list[Column], keep: Sequence[str] = ()) -> DataFrame:
     arr = F.filter(F.array(*rules), lambda a: a.isNotNull())
-    return (df.select("patient_id", F.col("timestamp").cast("double").alias("timestamp"),
+    return (df.select("patient_id", F.col("timestamp").cast("double").alias("timestamp"), *keep,
                       F.explode(arr).alias("a"))
-            .select("patient_id", "timestamp", "a.*"))
+            .select("patient_id", "timestamp", "a.*", *keep))
 
 
-def vitals_alerts(vitals: DataFrame, t: S.AlertThresholds = S.STANDARD) -> DataFrame:
-    """Alerts from vitals readings (ST01)."""
+def vitals_alerts(vitals: DataFrame, t: S.AlertThresholds = S.STANDARD, keep: Sequence[str] = ()) -> DataFrame:
+    """Alerts from vitals readings (ST01); ``keep`` names further columns."""
     for c in ("heart_rate", "spo2", "stress_level"):
         if c not in vitals.columns:
             vitals = vitals.withColumn(c, F.lit(None).cast("double"))
-    return _explode_rules(vitals, vitals_rules(t))
+    return _explode_rules(vitals, vitals_rules(t), keep)
 
 
-def movement_alerts(movement: DataFrame, t: S.AlertThresholds = S.STANDARD) -> DataFrame:
-    """Fall alerts from movement readings (ST02)."""
+def movement_alerts(movement: DataFrame, t: S.AlertThresholds = S.STANDARD, keep: Sequence[str] = ()) -> DataFrame:
+    """Fall alerts from movement readings (ST02); ``keep`` names further columns."""
     if "activity_name" not in movement.columns:
         movement = movement.withColumn("activity_name", F.lit(None).cast("string"))
-    return _explode_rules(movement, movement_rules(t))
+    return _explode_rules(movement, movement_rules(t), keep)
 
 
 def all_alerts(events: DataFrame, t: S.AlertThresholds = S.STANDARD) -> DataFrame:
@@ -94,12 +96,12 @@ def union_alerts(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def encode_alerts(alerts: DataFrame) -> DataFrame:
+def encode_alerts(alerts: DataFrame, *more: Column) -> DataFrame:
     """Kafka record of an alert (R07): key = patient id, value = JSON object
-    without null fields."""
+    without null fields; ``more`` are further columns of the record."""
     cols = [c for c in ["patient_id", "timestamp", "alert_type", *_PAYLOAD] if c in alerts.columns]
     return alerts.select(F.col("patient_id").cast("string").alias("key"),
-                         F.to_json(F.struct(*cols)).alias("value"))
+                         F.to_json(F.struct(*cols)).alias("value"), *more)
 
 
 def decode_alerts(records: DataFrame) -> DataFrame:

@@ -410,10 +410,17 @@ FROM fx_raw WHERE device_type = 'vital_monitor' AND stress_level <> 0 AND stress
 """
 
 
-def _alert_sql(t: S.AlertThresholds) -> str:
+def _alert_rows(t: S.AlertThresholds) -> str:
     stress = _STRESS_SQL.format(stress=t.high_stress) if t.emit_high_stress else ""
-    return W() + _ALERT_SQL.format(tachy=t.tachycardia_hr, brady=t.bradycardia_hr, hypo=t.hypoxia_spo2,
-                                   fall=t.fall_svm, names=_NAMES_SQL, stress=stress)
+    return _ALERT_SQL.format(tachy=t.tachycardia_hr, brady=t.bradycardia_hr, hypo=t.hypoxia_spo2, fall=t.fall_svm,
+                             names=_NAMES_SQL, stress=stress)
+
+
+def _alert_sql(t: S.AlertThresholds) -> str:
+    return W() + _alert_rows(t)
+
+
+ALERTS_STANDARD = _alert_rows(S.STANDARD)
 
 
 def _alerts(spark, d, t):

@@ -14,7 +14,7 @@ from pulsegrid.operators import datasets as DS
 from pulsegrid.operators.datasets import feature_statistics
 from pulsegrid.operators import serving as SV
 from pulsegrid.operators.clean import route
-from pulsegrid.plans.catalog import W
+from pulsegrid.plans.catalog import ALERTS_STANDARD, W
 from pulsegrid.plans.catalog import register as register_query
 from pulsegrid.plans.catalog_data import _WATCH, _na_sql, _names_case
 from pulsegrid.plans.etl import run_etl
@@ -631,3 +631,100 @@ def q_compacted(spark, d):
         F.count(F.lit(1)).alias("n"), F.sum("heart_rate").alias("total"), F.count_distinct("etl_run_id").alias("runs")).unionByName(
         g.groupBy(F.lit("gold").alias("part"), "etl_batch_date").agg(
             F.count(F.lit(1)).alias("n"), F.sum("peak_hr").alias("total"), F.lit(0).cast("bigint").alias("runs")))
+
+
+# --- the alert stream, stopped and started again (ST01-ST03, K03) --------------------
+class _Stopped(RuntimeError):
+    """Stands for the loss of the driver."""
+
+
+def _stop_once():
+    """A sink that is lost with its first micro-batch, after the sinks before it
+    have written and before the query commits."""
+    calls = []
+
+    def sink(batch: DataFrame) -> None:
+        calls.append(1)
+        if len(calls) == 1:
+            raise _Stopped("driver lost")
+    return sink
+
+
+def _run_stopped(spark: SparkSession, d: str, alerts_of, sinks: dict, outbox: str) -> DataFrame:
+    """The alert stream over the Kafka layout in micro-batches of two files:
+    stopped in the first one, started again, run to the end. Returns an empty
+    frame in the layout of the alerts."""
+    from pyspark.errors import StreamingQueryException
+
+    from pulsegrid import schemas as S
+    from pulsegrid.streaming.alerts import start_alert_query
+    src, check = (scratch_path(spark, n) for n in ("kafka", "ckpt"))
+    kafka_layout(spark, d).repartitionByRange(6, "offset").write.parquet(src)
+    for _ in range(2):
+        stream = alerts_of(spark.readStream.schema(S.KAFKA_SCHEMA).option("maxFilesPerTrigger", 2).parquet(src))
+        try:
+            start_alert_query(stream, check, sinks, {"availableNow": True}, outbox=outbox).awaitTermination()
+        except StreamingQueryException as e:
+            if "driver lost" not in str(e):
+                raise
+    return stream
+
+
+_ALERT_COLS = ["patient_id", "timestamp", "alert_type", "heart_rate", "spo2_level", "stress_level", "impact_force", "activity_at_time"]
+
+
+def _exactly_once(spark: SparkSession, d: str, alerts_of) -> DataFrame:
+    from pulsegrid.streaming.alerts import published_alerts
+    outbox = scratch_path(spark, "outbox")
+    stream = _run_stopped(spark, d, alerts_of, {"mirror": lambda b: b.write.format("noop").mode("overwrite").save(), "lost": _stop_once()}, outbox)
+    return published_alerts(spark, outbox, stream.schema).select(*_ALERT_COLS)
+
+
+_VITALS_ALERTS = W() + "SELECT * FROM (" + ALERTS_STANDARD + ") a WHERE alert_type <> 'FALL_DETECTED'"
+_FALL_ALERTS = W() + "SELECT * FROM (" + ALERTS_STANDARD + ") a WHERE alert_type = 'FALL_DETECTED'"
+
+
+@register("st01_vitals_alert_stream", _VITALS_ALERTS)
+def q_vitals_stream(spark, d):
+    from pulsegrid.streaming.alerts import vitals_alert_stream
+    return _exactly_once(spark, d, lambda k: vitals_alert_stream(k, origin=True))
+
+
+@register("st02_movement_alert_stream", _FALL_ALERTS)
+def q_movement_stream(spark, d):
+    from pulsegrid.streaming.alerts import movement_alert_stream
+    return _exactly_once(spark, d, lambda k: movement_alert_stream(k, origin=True))
+
+
+@register("st03_combined_alert_stream", W() + ALERTS_STANDARD)
+def q_combined_stream(spark, d):
+    """One query, two tables as sinks: the second is lost in its first batch, so
+    the first must not get that batch again."""
+    from pulsegrid.streaming.alerts import alert_stream
+    tables = scratch_path(spark, "alert_tables")
+    sinks = {"first": lambda b: b.write.mode("append").parquet(f"{tables}/first"), "lost": _stop_once(),
+             "second": lambda b: b.write.mode("append").parquet(f"{tables}/second")}
+    stream = _run_stopped(spark, d, lambda k: alert_stream(k, origin=True), sinks, scratch_path(spark, "outbox"))
+    first, second = (spark.read.schema(stream.schema).parquet(f"{tables}/{t}") for t in ("first", "second"))
+    return first.select(*_ALERT_COLS).intersectAll(second.select(*_ALERT_COLS))
+
+
+@register("k03_published_alerts", W() + "SELECT patient_id AS key, * FROM (" + ALERTS_STANDARD + ") a")
+def q_published(spark, d):
+    """Alerts in the topic's layout: the sink writes a batch and is lost before
+    its mark, so the batch is published twice; consumers, by stream, keep each
+    alert once."""
+    from pulsegrid.streaming.alerts import alert_stream, kafka_records, received_alerts
+    topic, out, check = (scratch_path(spark, n) for n in ("topic", "received", "ckpt"))
+    lost = _stop_once()
+
+    def publish(batch: DataFrame) -> None:
+        kafka_records(batch).withColumn("timestamp", F.current_timestamp()).write.mode("append").parquet(topic)
+        lost(batch)
+
+    _run_stopped(spark, d, lambda k: alert_stream(k, origin=True), {"topic": publish}, scratch_path(spark, "outbox"))
+    sent = spark.readStream.schema("key string, value string, headers array<struct<key string, value binary>>, timestamp timestamp")
+    received = received_alerts(sent.parquet(topic))
+    (received.writeStream.format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True)
+     .start().awaitTermination())
+    return spark.read.schema(received.schema).parquet(out).select(F.col("patient_id").alias("key"), *_ALERT_COLS)
