@@ -6,6 +6,8 @@ same on batch and streaming frames.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,15 +105,15 @@ def unnest_envelope(top: Column, payload: Column) -> dict[str, Column]:
     return out
 
 
-def to_envelope(df: DataFrame) -> DataFrame:
+def to_envelope(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Kafka record -> landing envelope (P04): offset, partition, timestamp in
     epoch ms, key text, and the JSON value as a struct (given ``schema``) or
-    text."""
+    text; ``keep`` names further columns."""
     return df.select(
         F.col("offset"), F.col("partition"),
         F.unix_millis(F.col("timestamp")).alias("timestamp"),
         F.col("key").cast("string").alias("key"),
-        F.col("value"),
+        F.col("value"), *keep,
     )
 
 

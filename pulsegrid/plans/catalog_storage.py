@@ -728,3 +728,61 @@ def q_published(spark, d):
     (received.writeStream.format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True)
      .start().awaitTermination())
     return spark.read.schema(received.schema).parquet(out).select(F.col("patient_id").alias("key"), *_ALERT_COLS)
+
+
+# --- the landing buffer: flush rule and counters (K06, K09) -----------------------------
+FLUSH_RECORDS = 500
+
+
+def _landed_by_buffer(spark: SparkSession, d: str) -> str:
+    """The Kafka layout, every tenth message broken, landed by the flush rule in
+    micro-batches of one file; the first flush of each topic fails once."""
+    from pulsegrid import schemas as S
+    from pulsegrid.streaming.landing import LandingBuffer, land_buffered
+    src, root, base, check = (scratch_path(spark, n) for n in ("kafka", "buffer", "landing_tree", "ckpt"))
+    k = kafka_layout(spark, d).withColumn("value", F.when(F.col("offset") % 10 == 0, F.lit(b"not json {")).otherwise(F.col("value")))
+    k.repartitionByRange(6, "offset").write.parquet(src)
+    buffer, write, failed = LandingBuffer(spark, root, base, FLUSH_RECORDS, interval=3600), LandingBuffer.write_files, set()
+
+    def fails_once(topic: str, *rest) -> None:
+        if topic not in failed:
+            failed.add(topic)
+            raise OSError("no space left")
+        write(buffer, topic, *rest)
+
+    buffer.write_files = fails_once
+    stream = spark.readStream.schema(S.KAFKA_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    land_buffered(stream, buffer, check, available_now=True).awaitTermination()
+    for _ in range(2):  # a small topic's only flush may be the one that fails
+        buffer.flush_due(everything=True)
+    return base
+
+
+_TOPIC_SQL = "CASE WHEN device_type = 'vital_monitor' THEN 'raw_vitals' ELSE 'raw_movement' END"
+
+
+@register("k06_flush_rule", W() + f"""
+SELECT {_TOPIC_SQL} AS topic, count(*) AS landed, count(DISTINCT CASE WHEN event_id % 10 <> 0 THEN event_id END) AS offsets,
+  true AS bounded FROM fx_raw WHERE device_type IN ('vital_monitor', 'imu_sensor') GROUP BY 1""")
+def q_flush_rule(spark, d):
+    from pulsegrid.sources.files import parse_landing
+    base = _landed_by_buffer(spark, d)
+    out = None
+    for topic in ("raw_vitals", "raw_movement"):
+        lines = (spark.read.option("recursiveFileLookup", "true").text(f"{base}/{topic}")
+                 .select("value", F.col("_metadata.file_path").alias("file")))
+        files = parse_landing(lines, ["file"]).groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.count("offset").alias("good"))
+        # offsets are distinct over the files: counted again as a set
+        offsets = parse_landing(lines, ["file"]).agg(F.count_distinct("offset")).first()[0]
+        part = files.agg(F.lit(topic).alias("topic"), F.sum("n").alias("landed"), F.lit(offsets).cast("bigint").alias("offsets"),
+                         ((F.max("n") <= FLUSH_RECORDS) & (F.sum("good") == offsets)).alias("bounded"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("k09_stream_counters", W() + f"""
+SELECT {_TOPIC_SQL} AS topic, count(*) AS consumed, count(CASE WHEN event_id % 10 = 0 THEN 1 END) AS broken, count(*) AS landed,
+  1 AS failed_flushes FROM fx_raw WHERE device_type IN ('vital_monitor', 'imu_sensor') GROUP BY 1""")
+def q_stream_counters(spark, d):
+    from pulsegrid.streaming.landing import stream_counters
+    return stream_counters(spark, _landed_by_buffer(spark, d))

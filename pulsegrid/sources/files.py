@@ -91,8 +91,8 @@ COMPACTED = "_compacted"  # folder beside the tables of a layer that holds their
 LIVE = "_runs.json"  # names the runs that a merged folder replaces; written last
 
 
-def child_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the visible folders directly under ``path`` (none if missing)."""
+def _children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, is a folder) of what is visible directly under ``path``."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     try:
@@ -101,7 +101,28 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
         if e.java_exception.getClass().getSimpleName() == "FileNotFoundException":
             return []
         raise
-    return [s.getPath().getName() for s in found if s.isDirectory() and not s.getPath().getName().startswith(("_", "."))]
+    named = [(s.getPath().getName(), bool(s.isDirectory())) for s in found]
+    return [(n, d) for n, d in named if not n.startswith(("_", ".")) and ".tmp-" not in n]
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible folders directly under ``path`` (none if missing)."""
+    return [n for n, is_folder in _children(spark, path) if is_folder]
+
+
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible files directly under ``path`` (none if missing)."""
+    return sorted(n for n, is_folder in _children(spark, path) if not is_folder)
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; a target that exists already is an error."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    if fs.exists(b) or not fs.rename(a, b):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def compacted_folder(table: str, date: str) -> str:

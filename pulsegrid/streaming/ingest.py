@@ -9,6 +9,8 @@ run, and every micro-batch recomputes only the batch dates it touched.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -106,11 +108,9 @@ def micro_batch_run_id(spark: SparkSession, batch_id: int) -> str:
 def land_stream(kafka: DataFrame, base: str, kind: str, checkpoint: str,
                 interval: str = "10 minutes", available_now: bool = False) -> StreamingQuery:
     """Kafka records -> JSON-Lines landing files in processing-time Hive
-    partitions (K05/K06). A batch is flushed every ``interval``; for "N
-    records or the interval, whichever first" read the source with
-    ``read_kafka(..., min_offsets_per_trigger=N, max_trigger_delay=interval)``
-    and pass a short ``interval`` (the poll). The record cap is the source's
-    ``maxOffsetsPerTrigger``. Failed batches are retried from the
+    partitions (K05). A batch is flushed every ``interval``; for "N records or
+    the interval, whichever first" and files of at most N records (K06) see
+    ``streaming.landing``. Failed batches are retried from the
     checkpoint, so nothing is dropped or ingested twice. ``available_now``
     lands what is there and stops."""
     out = envelope_lines(kafka).withColumns(time_parts(F.current_timestamp()))
@@ -120,17 +120,20 @@ def land_stream(kafka: DataFrame, base: str, kind: str, checkpoint: str,
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
 
 
-def envelope_lines(kafka: DataFrame) -> DataFrame:
+def envelope_lines(kafka: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Kafka records -> landing lines (P04), column `value`: an envelope object
     that holds the message as received. A JSON object is put in unchanged
     (only line breaks between its parts become spaces); anything else becomes
     a JSON string, which the landing readers report as malformed, so a broken
-    message is neither lost nor taken for an empty event."""
-    env = to_envelope(kafka)
+    message is neither lost nor taken for an empty event. ``keep`` names
+    columns of the record to keep; `broken` says whether it is no object."""
+    more = [c for c in keep if c != "broken"]
+    env = to_envelope(kafka, more)
     text = F.col("value").cast("string")
     is_object = F.from_json(text, "map<string,string>").isNotNull()
     head = F.to_json(F.struct("offset", "partition", "timestamp", "key"), {"ignoreNullFields": "false"})
     broken = F.to_json(F.struct(F.coalesce(text, F.lit("")).alias("value")))
     body = F.when(is_object, F.concat(F.lit('"value":'), F.regexp_replace(text, r"[\r\n]+", " "), F.lit("}"))).otherwise(
         F.substr(broken, F.lit(2)))
-    return env.select(F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(","), body).alias("value"))
+    line = F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(","), body).alias("value")
+    return env.select(line, *[~is_object if c == "broken" else F.col(c) for c in keep]).toDF("value", *keep)

@@ -103,3 +103,119 @@ def test_consumers_drop_alerts_they_have_seen(spark):
     got = received_alerts(twice)
     assert got.count() == sent.count() > 0 and got.columns[0] == "alert_id"
     assert "headers" not in kafka_records(alert_stream(k)).columns  # as before without an id
+
+
+# --- buffered landing ------------------------------------------------------------
+
+class Clock:
+    def __init__(self):
+        self.now = 1_700_000_000.0
+
+    def __call__(self):
+        return self.now
+
+
+def records(spark, first, n, topic="raw_vitals"):
+    return spark.range(first, first + n, 1, 3).select(
+        F.lit(b"1600").alias("key"), F.format_string('{"patient_id": "1600", "n": %d}', "id").cast("binary").alias("value"),
+        F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.current_timestamp().alias("timestamp"))
+
+
+def buffer_of(spark, **kw):
+    from pulsegrid.streaming.landing import LandingBuffer
+    return LandingBuffer(spark, scratch_path(spark, "buffer"), scratch_path(spark, "tree"), clock=Clock(), **kw)
+
+
+def landed(b):
+    """(topic, file, offset) of every landed line."""
+    import json
+    out = []
+    for folder, _, files in os.walk(local_path(b.base)):
+        for f in files:
+            if f.endswith(".json") and "_stream_log" not in folder:
+                with open(os.path.join(folder, f)) as lines:
+                    out += [(folder.split(os.sep + "year=")[0].split(os.sep)[-1], f, json.loads(x)["offset"]) for x in lines]
+    return out
+
+
+def test_flush_by_number_and_by_age(spark):
+    b = buffer_of(spark, max_records=100, interval=60)
+    b.store(records(spark, 0, 70), 0)
+    assert b.flush_due() == {}
+    b.clock.now += 59
+    assert b.flush_due() == {}
+    b.clock.now += 1  # the oldest record has waited for the interval
+    assert b.flush_due() == {"raw_vitals": 70}
+    b.store(records(spark, 70, 60), 1)
+    assert b.flush_due() == {}
+    b.store(records(spark, 130, 190).unionAll(records(spark, 0, 5, "raw_movement")), 2)
+    assert b.flush_due() == {"raw_vitals": 250}  # enough records, at once; the other topic waits
+    per_file = {}
+    for _, f, _ in landed(b):
+        per_file[f] = per_file.get(f, 0) + 1
+    assert max(per_file.values()) <= 100 and sorted(o for _, _, o in landed(b)) == list(range(320))
+    assert b.waiting() == {"raw_movement": [(2, 5, b.clock.now)]}
+    assert b.flush_due(everything=True) == {"raw_movement": 5} and b.flush_due(everything=True) == {}
+
+
+def test_a_failed_flush_keeps_its_records_and_is_counted(spark):
+    from pulsegrid.streaming.landing import LandingBuffer, stream_counters
+    b = buffer_of(spark, max_records=10, max_failures=3)
+    b.store(records(spark, 0, 30), 0)
+    b.write_files = lambda *a: (_ for _ in ()).throw(OSError("no space left"))
+    assert b.flush_due() == {} and b.flush_due() == {}
+    with pytest.raises(OSError):
+        b.flush_due()
+    b.write_files = lambda *a: LandingBuffer.write_files(b, *a)
+    b.store(records(spark, 30, 5), 1)
+    b.flush_due()
+    b.flush_due(everything=True)
+    assert sorted(o for _, _, o in landed(b)) == list(range(35))
+    assert [tuple(r) for r in stream_counters(spark, b.base).collect()] == [("raw_vitals", 35, 0, 35, 3)]
+
+
+@pytest.mark.parametrize("step", ["intent", "files", "moved", "landed"])
+def test_a_stop_inside_a_flush_lands_each_record_once(spark, monkeypatch, step):
+    import pulsegrid.streaming.landing as L
+    b = buffer_of(spark, max_records=10)
+    b.store(records(spark, 0, 25), 0)
+    calls = []
+
+    def after(real, n):
+        def f(*a):
+            out = real(*a)
+            calls.append(a)
+            if len(calls) == n:
+                raise KeyboardInterrupt  # not an error of the flush: the driver is gone
+            return out
+        return f
+
+    name, n = {"intent": ("write_small", 1), "files": ("touch_path", 1), "moved": ("move_file", 2), "landed": ("write_small", 3)}[step]
+    monkeypatch.setattr(L, name, after(getattr(L, name), n))
+    with pytest.raises(KeyboardInterrupt):
+        b.flush_due()
+    monkeypatch.undo()
+    again = L.LandingBuffer(spark, b.root, b.base, max_records=10, clock=b.clock)
+    again.store(records(spark, 0, 25), 0)  # the micro-batch is handed in again
+    again.store(records(spark, 25, 3), 1)
+    again.flush_due(everything=True)
+    assert sorted(o for _, _, o in landed(again)) == list(range(28))
+    assert [tuple(r) for r in L.stream_counters(spark, b.base).collect()] == [("raw_vitals", 28, 0, 28, 0)]
+
+
+def test_landed_micro_batches_leave_the_buffer(spark):
+    b = buffer_of(spark, max_records=1)
+    for i in range(3):
+        b.store(records(spark, i * 5, 5), i)
+        b.flush_due()
+    assert os.listdir(os.path.join(local_path(b.root), "rows")) == ["batch=000000002"]
+    b.store(records(spark, 999, 5), 2)  # a replay of the newest one stores nothing
+    assert b.waiting() == {}
+
+
+def test_empty_micro_batch_and_no_log(spark):
+    from pulsegrid.streaming.landing import stream_counters
+    b = buffer_of(spark)
+    assert stream_counters(spark, b.base).count() == 0
+    b.store(records(spark, 0, 0), 0)
+    assert b.flush_due(everything=True) == {} and landed(b) == []
