@@ -2,18 +2,20 @@
 null/describe/value-count profiles, alert distribution, sensor statistics.
 
 Everything is a narrow projection/filter or a global/grouped aggregate that
-Spark runs partial + final. Exact quantiles rank a distributed value histogram.
+Spark runs partial + final. Exact quantiles are found by counting digits (ranks).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.functions.scalars import np_round, percent, py_round, text_bar, to_number, value_range_text
 from pulsegrid.operators.clean import standardise_activity
+from pulsegrid.operators.ranks import column_figures, quantile_values
 
 # --- fixed values: dataset column names and their canonical short names ------
 SMARTWATCH_NAMES = {
@@ -77,67 +79,27 @@ def _long(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("v").isNotNull())
 
 
-def value_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column_name, v, n): rows per distinct value of each column. Counted
-    with map-side partial aggregation and a shuffle on (column, value), so a
-    value held by a third of the rows is one partial row per task.
-
-    The histogram is checkpointed to the shared checkpoint dir: the input is
-    scanned once for all the figures read from it, and they survive the loss
-    of an executor."""
-    from pulsegrid.session import shared_dir
-    shared_dir(df.sparkSession)  # a checkpoint dir must be set
-    return _long(df, cols).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")).checkpoint()
-
-
-def quantiles(df: DataFrame, cols: list[str], ps: list[float], exact: bool = True, accuracy: int = 100_000,
-              hist: DataFrame | None = None) -> DataFrame:
+def quantiles(df: DataFrame, cols: list[str], ps: list[float], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """(column_name, q): quantiles ``ps`` of each column, linear interpolation,
-    exact at any size.
-
-    The value histogram is range-partitioned by (column, value). Rows before
-    each partition are counted on one row per partition and column, so every
-    histogram row knows its ranks and the two rows around each quantile are
-    picked where they are: no task holds a column. ``exact=False`` asks for
-    mergeable sketches over the raw values instead (rank error 1/accuracy)."""
+    exact at any size: a few passes that count digits of the values (see
+    :mod:`pulsegrid.operators.ranks`), run when this is called. ``exact=False``
+    asks for mergeable sketches over the raw values (rank error 1/accuracy)."""
     if not exact:
         return (_long(df, cols).groupBy("column_name")
                 .agg(F.percentile_approx("v", ps, accuracy).cast("array<double>").alias("q")))
-    from pulsegrid.session import shared_dir
-    shared_dir(df.sparkSession)
-    hist = hist if hist is not None else value_histogram(df, cols)
-    # the checkpoint fixes which rows each partition holds
-    h = hist.repartitionByRange("column_name", "v").withColumn("part", F.spark_partition_id()).checkpoint()
-    size = h.groupBy("column_name", "part").agg(F.sum("n").alias("rows"))
-    before = W.partitionBy("column_name").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    column = W.partitionBy("column_name")
-    size = size.select(F.col("column_name").alias("_c"), F.col("part").alias("_p"), F.sum("rows").over(column).alias("total"),
-                       F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    inside = W.partitionBy("column_name", "part").orderBy("v")
-    ranked = (h.join(size, (h["column_name"] == size["_c"]) & (h["part"] == size["_p"]))
-              .withColumn("end", F.col("offset") + F.sum("n").over(inside)))
-    # zero-based places i/p*(total-1): the rows that hold their floor and ceiling
-    at = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("total") - 1)).alias("pos"))
-                             for i, p in enumerate(ps)]))
-    low, high = F.floor("a.pos"), F.ceil("a.pos")
-    held = lambda k: (k >= F.col("end") - F.col("n")) & (k < F.col("end"))
-    near = (ranked.select("column_name", "v", "n", "end", at.alias("a")).filter(held(low) | held(high))
-            .groupBy("column_name", "a.i").agg(F.first("a.pos").alias("pos"), F.min("v").alias("lo"), F.max("v").alias("hi")))
-    value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(
-        (F.ceil("pos") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.floor("pos")) * F.col("hi"))
-    return (near.groupBy("column_name").agg(F.sort_array(F.collect_list(F.struct("i", value.alias("x")))).alias("q"))
-            .select("column_name", F.transform("q", lambda s: s["x"]).alias("q")))
+    found = quantile_values(df, column_figures(df, cols), ps)
+    return df.sparkSession.createDataFrame(list(found.items()), "column_name string, q array<double>")
 
 
 def impute_median(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    """Nulls of each column -> that column's median (A23), exact from the
-    value histogram (see :func:`quantiles`).
-
-    The medians are a few-row frame used as scalar subqueries, so rows are
-    filled in place (no join, no driver round trip)."""
-    med = quantiles(df, cols, [0.5], exact, accuracy)
-    return df.withColumns({c: F.coalesce(F.col(c), med.filter(F.col("column_name") == c)
-                                         .select(F.col("q")[0]).scalar()) for c in cols})
+    """Nulls of each column -> that column's median (A23; see
+    :func:`quantiles`), filled in place: no join, nothing is shuffled. A column
+    without values stays null."""
+    if not exact:
+        med = quantiles(df, cols, [0.5], exact, accuracy)
+        return df.withColumns({c: F.coalesce(F.col(c), med.filter(F.col("column_name") == c).select(F.col("q")[0]).scalar()) for c in cols})
+    found = quantile_values(df, column_figures(df, cols), [0.5])
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(found[c][0])) for c in cols if c in found})
 
 
 def clean_smartwatch(raw: DataFrame, impute: bool = False) -> DataFrame:
@@ -211,39 +173,24 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool =
     per column (A24); one row per column. Without ``cols``, every numeric
     column in frame order, as a pandas describe does.
 
-    The input is scanned once, into the per-column value histogram
-    (checkpointed; one row per distinct value). All figures come from
-    it: count, mean, min and max as sums over it, the standard deviation in
-    two passes over it (mean first, then squared deviations), and the
-    quartiles as in :func:`quantiles`. With ``exact=False`` no histogram is
-    built (right for continuous columns, whose histogram would be as large
-    as the column): one aggregate of mergeable states and sketches."""
+    One pass gives count, mean, standard deviation and range, a few more the
+    quartiles, exact at any size (:mod:`pulsegrid.operators.ranks`); they run
+    when this is called. With ``exact=False`` one aggregate of mergeable states
+    and sketches."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     if not cols:
         return df.sparkSession.createDataFrame([], DESCRIBE_SCHEMA)
     if not exact:
         return _describe_sketched(df, cols, accuracy)
-    hist = value_histogram(df, cols)
-    base = hist.groupBy("column_name").agg(
-        F.sum("n").alias("count"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    # one row per described column: a bounded broadcast
-    dev = (hist.join(F.broadcast(base.select("column_name", F.col("mean").alias("m"), F.col("count").alias("c"))),
-                     "column_name")
-           .groupBy("column_name")
-           .agg(F.when(F.first("c") > 1, F.sqrt(F.sum(F.col("n") * (F.col("v") - F.col("m")) ** 2) / (F.first("c") - 1)))
-                .alias("std")))
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], hist=hist)
-    # the described columns themselves (metadata, one row each) drive the
-    # result, so a column without values still gets its row (count 0)
-    names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "column_name string, ord int")
-    out = (names.join(F.broadcast(base), "column_name", "left").join(F.broadcast(dev), "column_name", "left")
-           .join(F.broadcast(q), "column_name", "left")
-           .select("ord", "column_name", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"), "mean",
-                   "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"),
-                   "max"))
-    return out.orderBy("ord").drop("ord")
+    figures = column_figures(df, cols)
+    q = quantile_values(df, figures, [0.25, 0.5, 0.75])
+    rows = []
+    for c, f in figures.items():
+        largest = math.nan if f["nan"] else f["hi"]  # NaN is the largest value, and the smallest of none but itself
+        smallest = math.nan if f["nan"] == f["count"] > 0 else f["lo"]
+        rows.append((c, f["count"], f["mean"], f["std"], smallest, *q.get(c, [None] * 3), largest))
+    return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA).coalesce(1)
 
 
 def value_counts(df: DataFrame, col: str, by_value: bool = False) -> DataFrame:

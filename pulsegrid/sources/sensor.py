@@ -6,6 +6,8 @@ parsing is built-in string functions (split, element access), no Python.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,50 @@ def read_sensor_raw(spark: SparkSession, path: str, sensor_type: str, device_typ
             .withColumns({"sensor_type": F.lit(sensor_type), "device_type": F.lit(device_type)}))
 
 
+def _feature_lines(spark: SparkSession, paths: list[str], glob: str | None) -> DataFrame:
+    r = spark.read.option("recursiveFileLookup", "true")
+    return ((r.option("pathGlobFilter", glob) if glob else r).text(paths)
+            .select(F.col("value").alias("line"), F.trim("value").alias("t"), F.col("_metadata.file_path").alias("file"),
+                    source_name().alias("name"), F.col("_metadata.file_block_start").alias("blk"),
+                    F.monotonically_increasing_id().alias("mid")))
+
+
+def _may_be_row() -> Column:
+    """A line that may be a row: not blank, no comment, no declaration."""
+    return (F.col("t") != "") & ~F.col("line").startswith("%") & ~F.col("t").startswith("@")
+
+
+def feature_headers(lines: DataFrame) -> DataFrame:
+    """(file, names, regular) of each file that declares attributes and data,
+    from one pass whose shuffle holds a few rows per task and file: the declared
+    names, and whether all rows stand after `@data` and all declarations before
+    it. Lines keep their in-file order through (block start, increasing id)."""
+    pos, t = F.struct("blk", "mid"), F.col("t")
+    attribute = F.struct("blk", "mid", F.regexp_replace(F.element_at(F.split("t", r"\s+"), 2), '^"+|"+$', "").alias("attr"))
+    g = lines.groupBy("file").agg(
+        F.min(F.when(t == "@data", pos)).alias("data"), F.min(F.when(_may_be_row(), pos)).alias("first_row"),
+        F.max(F.when(t.startswith("@"), pos)).alias("last_mark"),
+        F.sort_array(F.collect_list(F.when(t.startswith("@attribute"), attribute))).alias("a"))
+    declared = F.filter("a", lambda x: F.struct(x["blk"], x["mid"]) < F.struct(F.col("data.blk"), F.col("data.mid")))
+    regular = (F.col("last_mark") == F.col("data")) & F.coalesce(F.col("first_row") > F.col("data"), F.lit(True))
+    return (g.where("data is not null")
+            .select("file", F.transform(declared, lambda x: x["attr"]).alias("names"), regular.alias("regular"), "data")
+            .where(F.size("names") > 0))
+
+
+def _as_path(uri: str) -> str:
+    """A file's reported path as one that a reader takes literally."""
+    return "".join(f"\\{c}" if c in "[]{}*?\\" else c for c in unquote(uri))
+
+
+def _positional(rows: DataFrame, names: list[str], columns: list[str]) -> DataFrame:
+    """Rows of files that declare ``names``: each wanted column by its place."""
+    cells = rows.select("name", F.split("t", ",").alias("cells")).where(F.size("cells") == len(names))
+    place = {n: i for i, n in enumerate(names)}
+    return cells.select(*[(F.col("cells")[place[c]] if c in place else F.lit(None).cast("string")).alias(c) for c in columns],
+                        F.col("name").alias("source_file"))
+
+
 def read_sensor_features(spark: SparkSession, path: str, sensor_type: str, device_type: str,
                          columns: list[str] | None = None,
                          glob: str | None = None) -> DataFrame:
@@ -66,42 +112,39 @@ def read_sensor_features(spark: SparkSession, path: str, sensor_type: str, devic
 
     Each file declares its attributes (`@attribute "NAME" type`) before
     `@data`; rows after it that are blank, comments (`%`) or of the wrong
-    width are dropped. Lines keep their in-file order through (block start,
-    monotonically increasing id), so headers are matched per file without
-    reading a file in one task. Attribute lists are tiny; the output columns
-    are the declared names (``columns`` to fix them up front).
+    width are dropped. Headers are read first, when this is called, and files
+    grouped by the names they declare; the lines of a group are then split and
+    taken by position in a narrow plan: no line is shuffled or joined. A file
+    with rows before `@data` or `@` lines after it is the exception: only its
+    lines meet their header in a join. ``columns`` fixes the output columns;
+    else they are those of the first file, then all others by name.
     """
-    raw = (spark.read.option("pathGlobFilter", glob or f"data_*_{device_type}.arff")
-           .option("recursiveFileLookup", "true").text(path)
-           .select(F.col("value").alias("line"),
-                   F.col("_metadata.file_path").alias("file"), source_name().alias("name"),
-                   F.col("_metadata.file_block_start").alias("blk"),
-                   F.monotonically_increasing_id().alias("mid")))
-    t = F.trim(F.col("line"))
-    pos = F.struct("blk", "mid")
-    marks = raw.select("file", pos.alias("pos"), t.alias("t")).filter(
-        F.col("t").startswith("@attribute") | (F.col("t") == "@data"))
-    data_pos = marks.filter(F.col("t") == "@data").groupBy("file").agg(F.min("pos").alias("data_pos"))
-    attrs = (marks.filter(F.col("t").startswith("@attribute")).join(data_pos, "file")
-             .filter(F.col("pos") < F.col("data_pos"))
-             .select("file", "pos", F.regexp_replace(F.element_at(F.split("t", r"\s+"), 2), '^"+|"+$', "").alias("name")))
-    header = (attrs.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("a"))
-              .join(data_pos, "file")
-              .select("file", "data_pos", F.transform("a", lambda s: s["name"]).alias("names")))
-    # headers found small at run time are broadcast by Spark; else the join
-    # shuffles, and a file with most of the lines is split over tasks
-    rows = (raw.join(header, "file")
-            .filter((F.struct("blk", "mid") > F.col("data_pos")) & (t != "") & ~F.col("line").startswith("%"))
-            .select("name", "names", F.split(t, ",").alias("vals"))
-            .filter(F.size("vals") == F.size("names")))
-    rows = rows.select(F.col("name").alias("source_file"), F.map_from_arrays("names", "vals").alias("m"))
+    glob = glob or f"data_*_{device_type}.arff"
+    lines = _feature_lines(spark, [path], glob)
+    headers = feature_headers(lines)
+    # one row per distinct header; a file's path is there once, as in Spark's own listing
+    groups = headers.groupBy("names", "regular").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    groups = sorted(groups, key=lambda g: g["files"][0])
     if columns is None:
-        columns = [r[0] for r in header.select(F.explode("names")).distinct().collect()]
-        # keep declaration order of the first header that has them
-        first = header.select("names").first()
-        order = list(first[0]) if first else []
-        columns = order + sorted(set(columns) - set(order))
-    out = rows.select(*[F.col("m")[c].alias(c) for c in columns], "source_file")
+        declared = [list(g["names"]) for g in groups]
+        columns = list(dict.fromkeys(declared[0])) if declared else []
+        columns += sorted({n for names in declared for n in names} - set(columns))
+    parts = []
+    alone = len(groups) == 1 and len(groups[0]["files"]) == len(lines.inputFiles())
+    for g in groups:
+        own = lines if alone else _feature_lines(spark, [_as_path(f) for f in g["files"]], None)
+        if g["regular"]:
+            parts.append(_positional(own.where(_may_be_row()), list(g["names"]), columns))
+        else:
+            header = feature_headers(own).select(F.col("file").alias("_file"), F.col("data").alias("_data"))
+            rows = own.join(header, own["file"] == header["_file"]).where(F.struct("blk", "mid") > F.col("_data"))
+            rows = rows.where((F.col("t") != "") & ~F.col("line").startswith("%"))
+            parts.append(_positional(rows, list(g["names"]), columns))
+    if not parts:
+        parts = [_positional(lines.limit(0), [], columns)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
     out = out.withColumns({"sensor_type": F.lit(sensor_type), "device_type": F.lit(device_type)})
     if "ACTIVITY" in columns:
         out = out.withColumn("activity_name", activity_name("ACTIVITY"))

@@ -23,15 +23,25 @@ from pulsegrid.sinks.files import run_logged
 from pulsegrid.sources.files import LANDING_GLOB, PARTITION_COLS, delete_path, path_exists, touch_path
 
 
+# a micro-batch takes about this much of a backlog unless the caller says otherwise
+MAX_BYTES_PER_TRIGGER = 64 << 30
+
+
 def landing_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
-                   max_files_per_trigger: int | None = None, glob: str = LANDING_GLOB) -> DataFrame:
-    """New landing files as a stream of text lines with their file path."""
+                   max_files_per_trigger: int | None = None, glob: str = LANDING_GLOB,
+                   max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
+    """New landing files as a stream of text lines with their file path. A
+    micro-batch is bounded by bytes (at least one file), whatever the number
+    and the sizes of the waiting files; with ``max_files_per_trigger`` by their
+    number instead."""
     r = (spark.readStream.format("text").option("recursiveFileLookup", "true")
          .option("pathGlobFilter", glob))
     if archive_dir:  # K08: consumed files are moved aside (after a later batch commits)
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    else:
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return r.load(landing).withColumn("source_file", F.col("_metadata.file_path"))
 
 
@@ -40,16 +50,16 @@ def ingest_landing(spark: SparkSession, landing: str, base: str, checkpoint: str
                    batch_date: str | Column | None = None, fall_threshold: float = S.FALL_SVM_THRESHOLD,
                    minutes: int = S.WINDOW_MINUTES, available_now: bool = True,
                    interval: str = "10 minutes", max_files_per_trigger: int | None = None,
-                   glob: str = LANDING_GLOB) -> StreamingQuery:
+                   glob: str = LANDING_GLOB, max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> StreamingQuery:
     """Start the incremental medallion job (ST04).
 
     With ``available_now`` it processes everything new and stops (the
     scheduled-run mode); otherwise it runs every ``interval``.
-    ``max_files_per_trigger`` cuts a backlog into micro-batches of that many
-    files. A stream cannot leave files for later: lines that no layer takes
+    ``max_bytes_per_trigger`` cuts a backlog into micro-batches of about that
+    size (``max_files_per_trigger``: of that many files). A stream cannot leave files for later: lines that no layer takes
     are kept in `{base}/_quarantine`.
     """
-    lines = landing_stream(spark, landing, archive_dir, max_files_per_trigger, glob)
+    lines = landing_stream(spark, landing, archive_dir, max_files_per_trigger, glob, max_bytes_per_trigger)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         run_id = micro_batch_run_id(spark, batch_id)

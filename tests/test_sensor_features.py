@@ -58,3 +58,68 @@ def test_header_join_without_broadcast_gives_the_same_rows(spark, tmpdir_fresh):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert small == rows and rows
+
+
+def _files(root, texts):
+    os.makedirs(root, exist_ok=True)
+    for name, text in texts.items():
+        with open(os.path.join(root, f"data_{name}_accel_phone.arff"), "w") as f:
+            f.write(text)
+
+
+def _brute(texts):
+    """Rows of each file as {name: cell}, by reading it line by line."""
+    out = []
+    for name, text in texts.items():
+        names, data = [], False
+        for line in text.split("\n"):
+            t = line.strip()
+            if data:
+                if t and not line.startswith("%") and len(t.split(",")) == len(names):
+                    out.append((f"data_{name}_accel_phone.arff", dict(zip(names, t.split(",")))))
+            elif t == "@data":
+                data = bool(names)
+                if not names:
+                    break
+            elif t.startswith("@attribute"):
+                names.append(t.split()[1].strip('"'))
+    return out
+
+
+TEXTS = {
+    "1": '@relation r\n@attribute "ACTIVITY" {A}\n@attribute "X0" numeric\n@data\nA,1\nB,2\nB,2,3\n%x\n\n C,4 \n',
+    "2": '@attribute "ACTIVITY" {A}\n@attribute "X0" numeric\n@data\nA,5\n',
+    "3": '@attribute "Y" numeric\n@attribute "ACTIVITY" {A}\n@attribute "Z" numeric\n@data\n7,A,8\n,,\n',
+    "4": '@attribute "ACTIVITY" {A}\n@attribute "X0" numeric\nA,0\n@data\nA,6\n',  # a row before @data
+    "5": '@attribute "ACTIVITY" {A}\n@attribute "X0" numeric\n@data\n@a,9\n@attribute "late" numeric\nB,10\n',  # marks after it
+    "6": '@attribute "ACTIVITY" {A}\nA\n',  # no @data
+    "7": "@data\nA,1\n",  # nothing declared
+    "8 [x]": '@attribute "ACTIVITY" {A}\n@attribute "X0" numeric\n@data\n"A",11\n',
+    "9": "",
+}
+
+
+def test_headers_of_all_kinds(spark, tmpdir_fresh):
+    _files(local_path(tmpdir_fresh), TEXTS)
+    df = read_sensor_features(spark, tmpdir_fresh, "accelerometer", "phone")
+    assert df.columns == ["ACTIVITY", "X0", "Y", "Z", "source_file", "sensor_type", "device_type", "activity_name"]
+    from urllib.parse import unquote
+    got = sorted((unquote(r.source_file), str({c: r[c] for c in ("ACTIVITY", "X0", "Y", "Z") if r[c] is not None})) for r in df.collect())
+    want = sorted((f, str({c: row[c] for c in ("ACTIVITY", "X0", "Y", "Z") if c in row})) for f, row in _brute(TEXTS))
+    assert got == want and len(want) == 10
+    some = read_sensor_features(spark, tmpdir_fresh, "accelerometer", "phone", columns=["Z", "ACTIVITY"])
+    assert some.columns[:2] == ["Z", "ACTIVITY"] and some.count() == len(want)
+
+
+def test_no_line_is_shuffled_or_joined(spark, tmpdir_fresh):
+    _files(local_path(tmpdir_fresh), {k: TEXTS[k] for k in ("1", "2", "3")})
+    df = read_sensor_features(spark, tmpdir_fresh, "accelerometer", "phone")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "map_from_arrays" not in plan
+    assert plan.count("FileScan text") == 2  # one for each distinct header
+
+
+def test_no_feature_files(spark, tmpdir_fresh):
+    _files(local_path(tmpdir_fresh), {k: TEXTS[k] for k in ("6", "7", "9")})
+    assert read_sensor_features(spark, tmpdir_fresh, "accelerometer", "phone").count() == 0
+    assert read_sensor_features(spark, tmpdir_fresh, "accelerometer", "phone", columns=["ACTIVITY"]).columns[0] == "ACTIVITY"

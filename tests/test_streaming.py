@@ -161,6 +161,27 @@ def test_ingest_batch_stopped_after_logging_is_not_redone(spark, monkeypatch):
     assert log.count() == log.select("layer", "data_type").distinct().count()  # one entry per table
 
 
+def test_backlog_is_cut_by_bytes_and_ends_as_one_batch(spark):
+    landing = scratch_path(spark, "landing")
+    write_landing(spark, SF, root=f"{landing}/a")
+    spark.read.text(f"{landing}/a").repartition(5).write.text(f"{landing}/b")
+    sizes = [os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(local_path(landing)) for f in fs if f.endswith(".txt")]
+    date = F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd")
+    cut, whole = scratch_path(spark, "lake"), scratch_path(spark, "lake")
+    q = ingest_landing(spark, landing, cut, scratch_path(spark, "ckpt"), batch_date=date, glob=GLOB, max_bytes_per_trigger=sum(sizes) // 3)
+    q.awaitTermination(300)
+    batches = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert 2 < len(batches) <= 6
+    ingest_landing(spark, landing, whole, scratch_path(spark, "ckpt"), batch_date=date, glob=GLOB).awaitTermination(300)
+    for layer in ("bronze", "silver"):
+        assert read_layer(spark, cut, layer, "vitals").count() == read_layer(spark, whole, layer, "vitals").count() > 0
+
+    def gold(b):
+        rows = read_layer(spark, b, "gold", "vitals").select("patient_id", "window_start", "avg_hr", "peak_hr", "mews_score").collect()
+        return sorted((r[0], r[1], round(r[2], 9), r[3], r[4]) for r in rows)
+    assert gold(cut) == gold(whole)
+
+
 def test_ingest_skips_small_layers(spark):
     landing = write_landing(spark, SF)
     base = scratch_path(spark, "lake")
