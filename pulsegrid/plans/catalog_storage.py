@@ -786,3 +786,52 @@ SELECT {_TOPIC_SQL} AS topic, count(*) AS consumed, count(CASE WHEN event_id % 1
 def q_stream_counters(spark, d):
     from pulsegrid.streaming.landing import stream_counters
     return stream_counters(spark, _landed_by_buffer(spark, d))
+
+
+# --- Gold as a stream (W01, A01, A06) ----------------------------------------------------
+def _streamed_gold(spark: SparkSession, d: str, kind: str) -> DataFrame:
+    """Fixture events in files by event time; every 37th event comes in the next
+    file but one, every 41st one twice, the second time in the last file."""
+    from pulsegrid.operators.clean import clean_movement, clean_vitals
+    from pulsegrid.streaming.gold import served_windows, state_schema
+    e = F.col("event_id")
+    clean = clean_vitals if kind == "vitals" else clean_movement
+    src, base = scratch_path(spark, "events"), scratch_path(spark, "gold_stream")
+    ev = fx_events(spark, d)
+    step = F.greatest(F.floor((ev.agg(F.max("event_id")).scalar() + 1) / 3), F.lit(1))  # three files of event time
+    place = F.least(F.floor(e / step), F.lit(2)) + F.when(e % 37 == 0, 2).otherwise(0)
+    sent = ev.withColumn("place", place).unionAll(ev.where(e % 41 == 0).withColumn("place", F.lit(4).cast("bigint")))
+    for i in range(5):  # one after the other: a file source reads by age
+        sent.where(F.col("place") == i).drop("place").coalesce(1).write.parquet(f"{src}/f{i}")
+    # the number of state stores of a query is that of the shuffle partitions when it first starts
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), 4)))
+    try:
+        _run_both(spark, kind, ev, src, base, clean)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    silver = clean(route(ev.limit(0))[0 if kind == "vitals" else 1])
+    return wall(served_windows(spark, kind, base, state_schema(silver, kind)), "window_start", "window_end")
+
+
+def _run_both(spark: SparkSession, kind: str, ev: DataFrame, src: str, base: str, clean) -> None:
+    from pulsegrid.streaming.gold import late_stream, window_stream
+    for start in (late_stream, window_stream):
+        stream = (spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
+                  .option("pathGlobFilter", "*.parquet").parquet(src))
+        silver = clean(route(stream)[0 if kind == "vitals" else 1])
+        start(silver, kind, base, scratch_path(spark, "ckpt"), ["event_id"], trigger={"availableNow": True}).awaitTermination()
+
+
+@register("w01_stream_gold_vitals", W() + """
+SELECT patient_id, window_start, window_end, round(avg_hr, 6) AS avg_hr, peak_hr, round(avg_spo2, 6) AS avg_spo2, peak_spo2,
+  mews_hr_score, mews_spo2_score, mews_score FROM fx_gold_v""")
+def q_stream_vitals(spark, d):
+    return r6(_streamed_gold(spark, d, "vitals"), "avg_hr", "avg_spo2")
+
+
+@register("a06_stream_gold_movement", W() + """
+SELECT patient_id, window_start, window_end, round(avg_activity, 6) AS avg_activity, round(peak_impact, 6) AS peak_impact,
+  fall_events_detected FROM fx_gold_m""")
+def q_stream_movement(spark, d):
+    return r6(_streamed_gold(spark, d, "movement"), "avg_activity", "peak_impact")
