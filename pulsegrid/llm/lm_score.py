@@ -13,12 +13,13 @@ exponentials: probabilities are normalised exactly, without a softmax a token.
 Inside a class a token has its discounted training frequency; what the discount
 frees is the probability of meeting a token not seen in training.
 
-Counts (all training tokens) are one distributed group-by. Training passes over
-all training texts: each task runs its part from the last parameters and the
-results are averaged by weight, a few tasks at a time (the parameters are
-bounded by the shortlist). Scoring encodes texts in blocks; the rare tokens of
-a block meet their counts in a join on the token and come back by block, so no
-vocabulary is broadcast.
+Counts (all training tokens) are one distributed group-by. One pass then encodes
+all texts in blocks: symbol numbers, two bytes each, and the rare tokens of the
+block. Training passes over the symbols of all training texts: each task runs
+its part from the last parameters and the results are averaged by weight, a few
+tasks at a time (the parameters are bounded by the shortlist). Scoring reads the
+same symbols; the rare tokens of a block meet their counts in a join on the
+token and come back by block, so no vocabulary is broadcast.
 
 Defined cases: null and empty texts are one end; without training texts every
 base probability is 1 and symbols are equally likely; a null doc_id counts as
@@ -28,11 +29,14 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from itertools import count as numbers
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.llm.common import batch_blocks, bounded, crc_mod, kept, scratch, text_column
+from pulsegrid.llm.common import batch_blocks, blocks, bounded, crc_mod, kept, scratch, text_column, utf8
 
 SHORTLIST = 2048
 CLASSES = 64
@@ -43,6 +47,7 @@ RATE = 0.15
 ROUNDS = (0, 1)  # the first of 16 parts of the training texts, then the other 15
 FLUSH = 400_000  # distinct tokens that a task counts before it passes them on
 BLOCK = 16 << 20  # a block is a whole Arrow batch
+TOKENS = 1 << 20  # places that training and scoring take at once
 FAN_IN = 8
 END = b""
 
@@ -57,7 +62,7 @@ def class_of(token: bytes) -> int:
 # --- counts ------------------------------------------------------------------
 
 def _count_tokens(batches):
-    seen: dict[bytes, int] = {}
+    seen: Counter[bytes] = Counter()
 
     def rows():
         keys = list(seen)
@@ -68,9 +73,8 @@ def _count_tokens(batches):
         n = len(off) - 1
         bound, raw = off.tolist(), data.tobytes().lower()
         for i in range(n):
-            for w in raw[bound[i]:bound[i + 1]].split():
-                seen[w] = seen.get(w, 0) + 1
-        seen[END] = seen.get(END, 0) + n
+            seen.update(raw[bound[i]:bound[i + 1]].split())
+        seen[END] += n
         if len(seen) >= FLUSH:
             yield rows()
             seen.clear()
@@ -184,41 +188,55 @@ class Symbols:
     def encode(self, data: np.ndarray, off: np.ndarray):
         """(distinct tokens, token number of each place, tokens of each text) of
         a block; every text ends with END (number 0)."""
-        seen, flat, count = {END: 0}, [], []
-        raw, bound = data.tobytes().lower(), off.tolist()
+        seen: dict[bytes, int] = defaultdict(numbers().__next__)
+        flat, count, end = [], [], seen[END]
+        raw, bound, number = data.tobytes().lower(), off.tolist(), seen.__getitem__
         for i in range(len(bound) - 1):
             w = raw[bound[i]:bound[i + 1]].split()
-            flat.extend([seen.setdefault(x, len(seen)) for x in w])
-            flat.append(0)
+            flat.extend(map(number, w))
+            flat.append(end)
             count.append(len(w) + 1)
         return list(seen), np.array(flat, np.int64), np.array(count, np.int64)
 
-    def contexts(self, symbol: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(far, near) symbols before each place; texts start after ends."""
-        near = np.empty_like(symbol)
-        near[1:] = symbol[:-1]
-        far = np.empty_like(symbol)
-        far[2:] = symbol[:-2]
-        first = np.cumsum(count) - count
-        near[first] = self.end
-        far[first] = self.end
-        second = first[count > 1] + 1
-        far[second] = self.end
-        return far, near
-
-
-def _train(shortlist: list[bytes], unigram: np.ndarray, start: np.ndarray | None, seed: int):
+
+def contexts(symbol: np.ndarray, count: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(far, near) symbols before each place; texts start after ends."""
+    near = np.empty_like(symbol)
+    near[1:] = symbol[:-1]
+    far = np.empty_like(symbol)
+    far[2:] = symbol[:-2]
+    first = np.cumsum(count) - count
+    near[first] = end
+    far[first] = end
+    second = first[count > 1] + 1
+    far[second] = end
+    return far, near
+
+
+def width(size: int) -> type:
+    """Number type that holds the symbols."""
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
+def symbol_blocks(batches, kind: type):
+    """(rows, symbols, symbols of each text) of encoded texts, about TOKENS at a
+    time (a longer text is taken whole)."""
+    for b in batches:
+        data, off = utf8(b.column(b.schema.get_field_index("symbols")))
+        size = np.dtype(kind).itemsize
+        for i, j in blocks(off, TOKENS * size):
+            yield b.slice(i, j - i), np.frombuffer(data[off[i]:off[j]].tobytes(), kind).astype(np.int64), np.diff(off[i:j + 1]) // size
+
+
+def _train(end: int, unigram: np.ndarray, start: np.ndarray | None, seed: int):
     """Run NCE over the task's texts; one row: parameters times tokens seen."""
     def run(batches):
-        sym = Symbols(shortlist)
-        model = LogBilinear(sym.size, DIM, unigram)
+        model = LogBilinear(len(unigram), DIM, unigram)
         if start is not None:
             model.load(start)
         trainer, seen = Trainer(model, seed), 0
-        for _, data, off in batch_blocks(batches, "_text", BLOCK):
-            tokens, number, count = sym.encode(data, off)
-            symbol = np.array([sym.of(t) for t in tokens], np.int64)[number]
-            far, near = sym.contexts(symbol, count)
+        for _, symbol, count in symbol_blocks(batches, width(len(unigram))):
+            far, near = contexts(symbol, count, end)
             order = trainer.rng.permutation(len(symbol))
             far, near, symbol = far[order], near[order], symbol[order]
             for i in range(0, len(symbol), BATCH):
@@ -245,11 +263,11 @@ def _add_up(batches):
 
 
 def train(texts: DataFrame, tmp, shortlist: list[bytes], unigram: np.ndarray) -> np.ndarray | None:
-    """Averaged parameters after all rounds; ``texts`` has _text and _part (0-15)."""
-    flat, ddl = None, "flat binary, weight bigint"
+    """Averaged parameters after all rounds; ``texts`` has symbols and part (0-15)."""
+    flat, ddl, end = None, "flat binary, weight bigint", shortlist.index(END)
     for r in ROUNDS:
-        part = texts.where("_part = 0" if r == 0 else "_part > 0").select("_text")
-        done = tmp.save(part.mapInArrow(_train(shortlist, unigram, flat, 11 + r), ddl))
+        part = texts.where("part = 0" if r == 0 else "part > 0").select("symbols")
+        done = tmp.save(part.mapInArrow(_train(end, unigram, flat, 11 + r), ddl))
         n = done.count()
         while n > FAN_IN:  # a tree of sums: the driver gets at most FAN_IN rows
             n = -(-n // FAN_IN)
@@ -263,56 +281,71 @@ def train(texts: DataFrame, tmp, shortlist: list[bytes], unigram: np.ndarray) ->
 
 # --- scoring -----------------------------------------------------------------
 
-ENCODED = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                     ("known", pa.int64()), ("base", pa.float64()), ("neural", pa.float64()), ("rare", pa.binary()),
+ENCODED = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("part", pa.int32()), ("n_tokens", pa.int64()),
+                     ("known", pa.int64()), ("base", pa.float64()), ("rare", pa.binary()), ("symbols", pa.binary()),
                      ("token", pa.binary()), ("class", pa.int32()), ("local", pa.int32())])
-ENCODED_DDL = ("block bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, neural double, "
-               "rare binary, token binary, class int, local int")
+ENCODED_DDL = ("block bigint, doc_id bigint, held_out boolean, part int, n_tokens bigint, known bigint, base double, "
+               "rare binary, symbols binary, token binary, class int, local int")
 
 
 def _encode(sent):
-    """Blocks of texts: a row per text with what the shortlist gives it and its
-    rare tokens by number, and a row per distinct rare token of the block."""
+    """Blocks of texts: a row per text with its symbols, what the shortlist
+    gives the base and its rare tokens by number, and a row per distinct rare
+    token of the block."""
     def run(batches):
-        shortlist, counts, unigram, flat = sent.value
+        shortlist, counts = sent.value
         sym = Symbols(shortlist)
-        model = LogBilinear(sym.size, DIM, unigram)
-        near_t, far_t, norm = (model.load(flat) if flat is not None else model).tables()
+        kind = width(sym.size)
         log_count = np.concatenate([np.log10(counts + 1.0), np.zeros(CLASSES)])
         done = 0
         for rows, data, off in batch_blocks(batches, "_text", BLOCK):
             tokens, number, count = sym.encode(data, off)
             of = np.array([sym.of(t) for t in tokens], np.int64)
             symbol = of[number]
-            far, near = sym.contexts(symbol, count)
-            logp = (near_t[near, symbol] + far_t[far, symbol] - norm[near, far]).astype(np.float64) / np.log(10.0)
             first = np.cumsum(count) - count
             is_rare = of >= len(shortlist)
             local = np.cumsum(is_rare) - 1
             rare = is_rare[number]
             n_rare = np.add.reduceat(rare.astype(np.int64), first)
-            flat_rare = local[number][rare].astype(np.int32)
-            end = np.cumsum(n_rare).tolist()
+            flat_rare, packed = local[number][rare].astype(np.int32), symbol.astype(kind)
+            end, last = np.cumsum(n_rare).tolist(), np.cumsum(count).tolist()
             n, words = rows.num_rows, np.flatnonzero(is_rare).tolist()
             block = (rows.column("_task")[0].as_py() << 24) + done
             done += 1
             none = pa.nulls
             yield pa.record_batch([
-                pa.array(np.full(n, block)), rows.column("doc_id"), rows.column("held_out"), pa.array(count),
+                pa.array(np.full(n, block)), rows.column("doc_id"), rows.column("held_out"), rows.column("_part"), pa.array(count),
                 pa.array(count - n_rare), pa.array(np.add.reduceat(log_count[symbol], first)),
-                pa.array(np.add.reduceat(logp, first)),
                 pa.array([flat_rare[b - k:b].tobytes() for b, k in zip(end, n_rare.tolist(), strict=True)], pa.binary()),
+                pa.array([packed[b - k:b].tobytes() for b, k in zip(last, count.tolist(), strict=True)], pa.binary()),
                 none(n, pa.binary()), none(n, pa.int32()), none(n, pa.int32())], schema=ENCODED)
             k = len(words)
             yield pa.record_batch([
-                pa.array(np.full(k, block)), none(k, pa.int64()), none(k, pa.bool_()), none(k, pa.int64()),
-                none(k, pa.int64()), none(k, pa.float64()), none(k, pa.float64()), none(k, pa.binary()),
+                pa.array(np.full(k, block)), none(k, pa.int64()), none(k, pa.bool_()), none(k, pa.int32()), none(k, pa.int64()),
+                none(k, pa.int64()), none(k, pa.float64()), none(k, pa.binary()), none(k, pa.binary()),
                 pa.array([tokens[i] for i in words], pa.binary()),
                 pa.array([of[i] - len(shortlist) for i in words], pa.int32()),
                 pa.array(local[words], pa.int32())], schema=ENCODED)
     return run
 
 
+TEXTS = ("block", "doc_id", "held_out", "n_tokens", "known", "base", "rare")
+
+
+def _neural(sent):
+    """Encoded texts: the model's log10 probability of their symbols."""
+    def run(batches):
+        end, unigram, flat = sent.value
+        model = LogBilinear(len(unigram), DIM, unigram)
+        near_t, far_t, norm = (model.load(flat) if flat is not None else model).tables()
+        for rows, symbol, count in symbol_blocks(batches, width(len(unigram))):
+            far, near = contexts(symbol, count, end)
+            logp = (near_t[near, symbol] + far_t[far, symbol] - norm[near, far]).astype(np.float64) / np.log(10.0)
+            yield pa.RecordBatch.from_arrays([*[rows.column(rows.schema.get_field_index(c)) for c in TEXTS],
+                                              pa.array(np.add.reduceat(logp, np.cumsum(count) - count))], names=[*TEXTS, "neural"])
+    return run
+
+
 SCORED_DDL = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
               "base_score double, score double")
 
@@ -354,7 +387,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_out_
     spark = bounded(docs).sparkSession
     m, r = held_out_mod
     base = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), (crc_mod(doc_id, m) == r).alias("held_out"),
-                       crc_mod(doc_id, 16 * m).alias("_crc"), text_column(text).alias("_text"))
+                       F.floor(crc_mod(doc_id, 16 * m) / m).cast("int").alias("_part"), text_column(text).alias("_text"))
     learn = base.where("not held_out")
     with scratch(spark, "lm") as tmp:
         counts = tmp.save(learn.select("_text").mapInArrow(_count_tokens, "token binary, class int, c bigint")
@@ -380,11 +413,14 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_out_
                  "tokens": int(short_counts.sum() + mass.sum()), "types": int((short_counts > 0).sum() + distinct.sum())}
         unigram = np.concatenate([short_counts, mass]) + 0.5
         unigram /= unigram.sum()
-        flat = train(learn.select("_text", F.expr(f"_crc div {m}").alias("_part")), tmp, shortlist, unigram)
-        sent = spark.sparkContext.broadcast((shortlist, short_counts, unigram, flat))
-        encoded = tmp.save(base.select(F.spark_partition_id().cast("bigint").alias("_task"), "doc_id", "held_out", "_text")
+        sent = spark.sparkContext.broadcast((shortlist, short_counts))
+        encoded = tmp.save(base.select(F.spark_partition_id().cast("bigint").alias("_task"), "doc_id", "held_out", "_part", "_text")
                            .mapInArrow(_encode(sent), ENCODED_DDL))
-        texts = encoded.where("n_tokens is not null").select("block", "doc_id", "held_out", "n_tokens", "known", "base", "neural", "rare")
+        texts, end = encoded.where("n_tokens is not null"), shortlist.index(END)
+        flat = train(texts.where("not held_out"), tmp, shortlist, unigram)
+        sent = spark.sparkContext.broadcast((end, unigram, flat))
+        texts = texts.select(*TEXTS, "symbols").mapInArrow(
+            _neural(sent), "block bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, rare binary, neural double")
         words = encoded.where("local is not null").select("block", "token", "class", "local")
         found = counts.select(F.col("token").alias("_t"), F.col("c"))
         words = words.join(found, F.col("token") == F.col("_t"), "left").select(
