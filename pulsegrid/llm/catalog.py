@@ -56,11 +56,12 @@ SELECT page_id, host, path, rule, coalesce(kind, 'allow') AS verdict FROM fit WH
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document what line deduplication removes and the digest of the rest."""
-    r = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    r = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), min_words=1)
+    gone = F.aggregate("removed_spans", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"])
     t = F.coalesce("kept_text", F.lit("")).cast("binary")
     return r.select(
         "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"),
-        F.size("removed_spans").cast("bigint").alias("n_removed"),
+        F.size("removed_spans").cast("bigint").alias("n_removed"), gone.alias("n_removed_bytes"),
         F.array_join(F.transform("removed_spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("removed_spans"),
         F.sha2(t, 256).alias("kept_sha256"))
 
@@ -78,17 +79,17 @@ words AS (
          list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                      '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w
   FROM lines WHERE line <> ''),
-units AS (SELECT doc_id, i, s, e, array_to_string(w, ' ') AS u FROM words WHERE len(w) >= 5),
+units AS (SELECT doc_id, i, s, e, array_to_string(w, ' ') AS u FROM words WHERE len(w) >= 1),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY doc_id, i) AS r FROM units),
 gone AS (
-  SELECT doc_id, count(*) AS n, string_agg(CAST(s AS BIGINT) || '-' || CAST(e AS BIGINT), ',' ORDER BY s) AS spans
+  SELECT doc_id, count(*) AS n, sum(e - s) AS n_bytes, string_agg(CAST(s AS BIGINT) || '-' || CAST(e AS BIGINT), ',' ORDER BY s) AS spans
   FROM ranked WHERE r > 1 GROUP BY doc_id),
 kept AS (
   SELECT l.doc_id, string_agg(l.line || CASE WHEN l.more THEN chr(10) ELSE '' END, '' ORDER BY l.i) AS t
   FROM lines l LEFT JOIN (SELECT doc_id, i FROM ranked WHERE r > 1) g ON l.doc_id = g.doc_id AND l.i = g.i
   WHERE g.i IS NULL GROUP BY l.doc_id)
 SELECT d.doc_id, CAST(strlen(coalesce(d.text, '')) AS BIGINT) AS n_bytes, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed,
-       coalesce(g.spans, '') AS removed_spans, sha256(coalesce(k.t, '')) AS kept_sha256
+       CAST(coalesce(g.n_bytes, 0) AS BIGINT) AS n_removed_bytes, coalesce(g.spans, '') AS removed_spans, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 

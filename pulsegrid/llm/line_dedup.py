@@ -108,7 +108,8 @@ def _cut_spans(with_text: bool):
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", unit: str = "line",
                 min_words: int = MIN_WORDS) -> DataFrame:
     """The input's rows and columns plus ``removed_spans`` (start, end, unit in
-    the original text) and ``kept_text`` (null stays null)."""
+    the original text) and ``kept_text`` (null stays null); input columns of
+    these two names give way to them."""
     marks = repeated_units(docs, text, doc_id, unit, min_words).select(
         *[F.col(k).alias("_m" + k) for k in KEY], F.col("removed").alias("_removed"))
     row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row")
