@@ -26,14 +26,19 @@ One suffix array of a corpus fits no machine, so suffixes meet in buckets:
    distinct window: its 64-bit name under the 64-bit anchor hash.
 4. Entries are dealt by anchor hash; in name order LPF finds what repeats
    between tasks. An anchor of very many runs is dealt by anchor and part of
-   the name, so no anchor is gathered in one task.
+   the name, and a window that very many tasks hold is dealt twice: first to as
+   many buckets as the square root of the anchor's runs, each of which settles
+   its own and passes on one entry for each distinct window. So no anchor and
+   no window is gathered in one task.
 
 Defined cases: null and empty texts lose nothing; an empty table gives an empty
 result; texts shorter than ``length`` lose nothing; with ``keep="first"`` rows
 of equal id and text are one document (and are treated alike), with
 ``keep="none"`` they are two; a null doc_id comes first; bytes left over that
 are no longer valid UTF-8 become U+FFFD in ``kept_text`` (``kept_bytes`` has
-them as they are); other columns are passed on unchanged.
+them as they are); other columns are passed on unchanged, but columns named
+``spans``, ``kept_bytes`` or ``kept_text`` give way to the results; doc_ids are
+whole numbers.
 """
 
 from __future__ import annotations
@@ -226,9 +231,8 @@ def lpf_array(data: np.ndarray) -> np.ndarray:
 
 
 ENTRY = pa.schema([(KEY[0], pa.int64()), (KEY[1], pa.int64()), ("_id", pa.int64()), ("s", pa.int32()), ("n", pa.int32()),
-                   ("h", pa.int64()), ("salt", pa.int32()), ("place", pa.binary()), ("name", pa.binary())])
-ENTRY_DDL = (f"{KEY[0]} bigint, {KEY[1]} bigint, _id bigint, s int, n int, h bigint, salt int, place binary, name binary")
-MARK_DDL = f"{KEY[0]} bigint, {KEY[1]} bigint, s int, n int"
+                   ("h", pa.int64()), ("salt", pa.int32()), ("bucket", pa.int32()), ("place", pa.binary()), ("name", pa.binary())])
+ENTRY_DDL = (f"{KEY[0]} bigint, {KEY[1]} bigint, _id bigint, s int, n int, h bigint, salt int, bucket int, place binary, name binary")
 
 
 def _spans(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -308,50 +312,73 @@ def _local(length: int, none: bool):
                 runs_ = np.flatnonzero(pick)
                 who = runs_[np.array([e[0] for e in entries], np.int64)] if entries else np.zeros(0, np.int64)
                 at = pa.array(np.concatenate([d, doc[who]]), pa.int32())
+                spread = np.ceil(np.sqrt(count[who])).astype(np.int64)
+                bucket = np.where(count[who] > SPREAD, 1 + rows.column(KEY[0]).to_numpy()[doc[who]] % spread, 0)
                 yield pa.record_batch([
                     rows.column(KEY[0]).take(at), rows.column(KEY[1]).take(at), rows.column("_id").take(at),
                     pa.array(np.concatenate([ms, s[who]]), pa.int32()), pa.array(np.concatenate([mn, n[who]]), pa.int32()),
                     pa.array(np.concatenate([np.zeros(len(d), np.int64), h[who]])),
                     pa.array([-1] * len(d) + [e[1] for e in entries], pa.int32()),
+                    pa.array(np.concatenate([np.zeros(len(d), np.int64), bucket]), pa.int32()),
                     pa.array([None] * len(d) + [e[2] for e in entries], pa.binary()),
                     pa.array([None] * len(d) + [e[3] for e in entries], pa.binary())], schema=ENTRY)
     return run
 
 
-def _global(none: bool):
-    """Entries sorted by (h, salt): windows that repeat between tasks."""
-    def judge(t: pa.Table) -> pa.RecordBatch | None:
-        t = t.combine_chunks()
-        names = np.frombuffer(b"".join(t.column("name").to_pylist()), np.uint64)
-        place = np.frombuffer(b"".join(t.column("place").to_pylist()), np.int32)
-        size = np.asarray(pa.compute.binary_length(t.column("name"))).astype(np.int64) // 8
-        row = np.repeat(np.arange(len(size)), size)
-        h = t.column("h").to_numpy()
-        s = t.column("s").to_numpy().astype(np.int64)
-        # both hashes make the rank; places in order of (doc_id, key, offset)
-        order = np.lexsort((names, h[row]))
-        new = np.zeros(len(order), np.int64)
-        new[1:] = (names[order][1:] != names[order][:-1]) | (h[row][order][1:] != h[row][order][:-1])
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.cumsum(new)
-        id_ = t.column("_id")
-        by = np.lexsort((s, t.column(KEY[1]).to_numpy(), t.column(KEY[0]).to_numpy(),
-                         id_.fill_null(0).to_numpy(), ~np.asarray(id_.is_null())))
-        nth = np.empty(len(by), np.int64)
-        nth[by] = np.arange(len(by))
-        earlier, later = neighbours(rank, nth[row] * (1 << 32) + (place >> 1))
-        hit = (earlier | later) & (place & 1 == 0) if none else earlier
-        if not hit.any():
-            return None
-        row, at = row[hit], s[row[hit]] + (place[hit] >> 1)
-        o = np.lexsort((at, row))
-        row, at = row[o], at[o]
-        cut = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)]))
-        n = np.diff(np.append(cut, len(row)))
-        pick = pa.array(row[cut])
-        return pa.record_batch([t.column(KEY[0]).take(pick).combine_chunks(), t.column(KEY[1]).take(pick).combine_chunks(),
-                                pa.array(at[cut], pa.int32()), pa.array(n, pa.int32())], names=[*KEY, "s", "n"])
-
+def _packed_runs(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, stop) of each run of equal numbers."""
+    cut = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else np.zeros(0, np.int64)
+    return cut, np.append(cut[1:], len(row)) if len(row) else cut
+
+
+def _judge(t: pa.Table, none: bool, pass_on: bool) -> pa.RecordBatch:
+    """Entries of whole groups: marks (salt -1) of what repeats among them and,
+    to ``pass_on``, one entry for each distinct window, its earliest one."""
+    t = t.combine_chunks()
+    names = np.frombuffer(b"".join(t.column("name").to_pylist()), np.uint64)
+    place = np.frombuffer(b"".join(t.column("place").to_pylist()), np.int32)
+    size = np.asarray(pa.compute.binary_length(t.column("name"))).astype(np.int64) // 8
+    row = np.repeat(np.arange(len(size)), size)
+    h, s = t.column("h").to_numpy(), t.column("s").to_numpy().astype(np.int64)
+    # both hashes make the rank; places in order of (doc_id, key, offset)
+    order = np.lexsort((names, h[row]))
+    new = np.zeros(len(order), np.int64)
+    new[1:] = (names[order][1:] != names[order][:-1]) | (h[row][order][1:] != h[row][order][:-1])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new)
+    id_ = t.column("_id")
+    by = np.lexsort((s, t.column(KEY[1]).to_numpy(), t.column(KEY[0]).to_numpy(),
+                     id_.fill_null(0).to_numpy(), ~np.asarray(id_.is_null())))
+    nth = np.empty(len(by), np.int64)
+    nth[by] = np.arange(len(by))
+    earlier, later = neighbours(rank, nth[row] * (1 << 32) + (place >> 1))
+    repeats = earlier | later if none else earlier
+    hit = repeats & (place & 1 == 0)
+    marked, at = row[hit], s[row[hit]] + (place[hit] >> 1)
+    o = np.lexsort((at, marked))
+    marked, at = marked[o], at[o]
+    cut = np.flatnonzero(np.concatenate([[True], (marked[1:] != marked[:-1]) | (at[1:] != at[:-1] + 1)])) if len(at) else np.zeros(0, np.int64)
+    n = np.diff(np.append(cut, len(at))) if len(at) else cut
+    kept_ = np.flatnonzero(~earlier) if pass_on else np.zeros(0, np.int64)  # in row order
+    first, stop = _packed_runs(row[kept_])
+    settled = (place[kept_] | repeats[kept_] if none else place[kept_]).astype(np.int32)
+    whose = row[kept_][first]
+    pick = pa.array(np.concatenate([marked[cut], whose]))
+    zero = np.zeros(len(cut), np.int64)
+    own = t.take(pick).combine_chunks()
+    column = lambda name: own.column(name).combine_chunks() if len(pick) else pa.array([], own.column(name).type)
+    pairs = list(zip(first.tolist(), stop.tolist(), strict=True))
+    return pa.record_batch([
+        column(KEY[0]), column(KEY[1]), column("_id"), pa.array(np.concatenate([at[cut], s[whose]]), pa.int32()),
+        pa.array(np.concatenate([n, t.column("n").to_numpy()[whose]]), pa.int32()),
+        pa.array(np.concatenate([zero, h[whose]])),
+        pa.array(np.concatenate([zero - 1, t.column("salt").to_numpy()[whose]]), pa.int32()), pa.array(np.zeros(len(pick), np.int64), pa.int32()),
+        pa.array([None] * len(cut) + [settled[i:j].tobytes() for i, j in pairs], pa.binary()),
+        pa.array([None] * len(cut) + [names[kept_[i:j]].tobytes() for i, j in pairs], pa.binary())], schema=ENTRY)
+
+
+def _between_tasks(none: bool, group: tuple[str, ...], pass_on: bool):
+    """Entries sorted by ``group``: windows that repeat between tasks."""
     def run(batches):
         held, weight = [], 0
         for b in batches:
@@ -360,20 +387,19 @@ def _global(none: bool):
             if weight < 8 * PART:
                 continue
             t = pa.Table.from_batches(held)
-            h, salt = t.column("h").to_numpy(), t.column("salt").to_numpy()
-            new = np.flatnonzero((h[1:] != h[:-1]) | (salt[1:] != salt[:-1]))
+            new = np.zeros(len(t) - 1, bool)
+            for c in group:
+                x = t.column(c).to_numpy()
+                new |= x[1:] != x[:-1]
+            new = np.flatnonzero(new)
             if not len(new):
                 continue
             cut = int(new[-1]) + 1
-            out = judge(t.slice(0, cut))
+            yield _judge(t.slice(0, cut), none, pass_on)
             held = t.slice(cut).combine_chunks().to_batches()
             weight = sum(x.nbytes for x in held)
-            if out is not None:
-                yield out
-        if held:
-            out = judge(pa.Table.from_batches(held))
-            if out is not None:
-                yield out
+        if held and sum(map(len, held)):
+            yield _judge(pa.Table.from_batches(held), none, pass_on)
     return run
 
 
@@ -405,10 +431,16 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
                  .agg(F.collect_set(F.struct("s", "n", "h", "k")).alias("_runs")))
         local = tmp.save(base.join(mixed, (F.col(KEY[0]) == F.col("_m" + KEY[0])) & (F.col(KEY[1]) == F.col("_m" + KEY[1])))
                          .select(*KEY, "_id", "_text", "_runs").mapInArrow(_local(length, none), ENTRY_DDL))
-        entries = local.where("salt >= 0").repartition("h", "salt").sortWithinPartitions("h", "salt")
-        marks = (rows.where("not mixed").select(*KEY, "s", "n")
-                 .unionByName(local.where("salt < 0").select(*KEY, "s", "n"))
-                 .unionByName(entries.mapInArrow(_global(none), MARK_DDL)))
+        entries = local.where("salt >= 0")
+        hot = ("h", "salt", "bucket")
+        first = tmp.save(entries.where("bucket > 0").repartition(*hot).sortWithinPartitions(*hot)
+                         .mapInArrow(_between_tasks(none, hot, True), ENTRY_DDL))
+        entries = entries.where("bucket = 0").unionAll(first.where("salt >= 0"))
+        last = (entries.repartition("h", "salt").sortWithinPartitions("h", "salt")
+                .mapInArrow(_between_tasks(none, ("h", "salt"), False), ENTRY_DDL))
+        marks = rows.where("not mixed").select(*KEY, "s", "n")
+        for part in (local.where("salt < 0"), first.where("salt < 0"), last):
+            marks = marks.unionAll(part.select(*KEY, "s", "n"))
         return kept(marks.groupBy(*KEY).agg(F.collect_set(F.struct("s", "n")).alias("marks")))
 
 
