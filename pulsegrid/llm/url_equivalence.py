@@ -49,7 +49,8 @@ def matched_rule(rules: list[tuple[str, str]], host: Column, path: Column) -> tu
     """(rule text, verdict) of the longest fitting rule, null if none fits.
     A rule is (verdict, host/path); equal lengths: the first given wins."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for kind, text in sorted(rules, key=lambda r: len(r[1])):  # the longest is asked first
+    # the longest is asked first, of equal ones the first given
+    for _, (kind, text) in sorted(enumerate(rules), key=lambda r: (len(r[1][1]), -r[0])):
         h, _, p = text.partition("/")
         fits = ((host == h) | host.endswith("." + h)) & path.startswith("/" + p)
         rule = F.when(fits, F.lit(text)).otherwise(rule)
@@ -126,7 +127,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFrame |
         base = _with_node(base.withColumns({"host": host_of("_url"), "path": path_of("_url")}), "_url", "_n")
         rule, own = matched_rule(rules, F.col("host"), F.col("path"))
         base = base.select("page_id", "host", "path", rule.alias("rule"), own.alias("own"), "_n")
-        # urls with a rule of their own ask no class; null keys go unmatched
-        ask = F.when(F.col("own").isNull(), F.col("_n"))
+        # urls with a rule of their own ask no class: their keys are no node's, and all over the place
+        ask = F.when(F.col("own").isNull(), F.col("_n")).otherwise(F.hex(F.xxhash64("page_id", "host", "path")))
         return kept(base.withColumn("_n", ask).join(by_node, F.col("_n") == F.col("node"), "left").select(
             "page_id", "host", "path", "rule", F.coalesce("own", "by", F.lit("allow")).alias("verdict")))
