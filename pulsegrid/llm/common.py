@@ -84,6 +84,17 @@ def split_join(left: DataFrame, right: DataFrame, a: str, b: str, how: str = "in
     return left.join(right, F.struct(left[a].alias("k")) == F.struct(right[b].alias("k")), how)
 
 
+def packed_row(df: DataFrame) -> Column:
+    """All columns as one struct, ``_row``: whatever their names, they clash
+    with none that an operator adds."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row")
+
+
+def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` from ``_row``."""
+    return df.select(*[F.col("_row").getField(c).alias(c) for c in like.columns])
+
+
 def text_column(text: str = "text") -> Column:
     """The text with null as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))

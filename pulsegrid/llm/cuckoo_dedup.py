@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pulsegrid.llm.common import kept, scratch, split_join, text_column
+from pulsegrid.llm.common import kept, packed_row, scratch, split_join, text_column, unpacked
 
 N_BUCKETS = 65536  # global index buckets; each is the work of one step in a task
 LOCAL_LIVE = 200_000  # live digests a map-side index holds before it is flushed
@@ -240,8 +240,8 @@ def drop_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     with the largest doc_id (rows repeating that id and text all stay)."""
     d = exact_duplicates(docs, text, doc_id).where("kept")
     d = d.select(F.col("doc_id").alias("_k_id"), F.col("text_sha256").alias("_k_sha")).distinct()
-    sha = F.sha2(text_column(text).cast("binary"), 256)
-    return docs.join(d, F.col(doc_id).eqNullSafe(F.col("_k_id")) & (sha == F.col("_k_sha")), "left_semi")
+    keyed = docs.select(packed_row(docs), F.col(doc_id).cast("bigint").alias("_id"), F.sha2(text_column(text).cast("binary"), 256).alias("_sha"))
+    return unpacked(keyed.join(d, F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("_sha") == F.col("_k_sha")), "left_semi"), docs)
 
 
 # --- the persistent index: insertion and deletion of live digests ------------

@@ -21,7 +21,8 @@ chunks is a task's work of its own, so no bucket is gathered whole.
 Defined cases: null, empty and blank texts have fingerprint zero, linked like
 any other; fewer words than a shingle make one shingle; null doc_ids keep their
 row and never name a component unless all its ids are null; repeated rows stay;
-an empty table gives an empty result; other columns are ignored.
+an empty table gives an empty result; other columns are ignored, whatever their
+names; doc_ids are whole numbers.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.llm.common import batch_blocks, bounded, blocks, kept, scratch, split_join, text_column
+from pulsegrid.llm.common import (KEY, batch_blocks, blocks, bounded, kept, packed_row, row_key, scratch, split_join, text_column,
+                                  unpacked)
 from pulsegrid.llm.components import components
 
 SEED = 42
@@ -133,14 +135,15 @@ def _fingerprints(shingle: int):
             each = [fingerprint(raw[bound[i]:bound[i + 1]], shingle) for i in range(len(bound) - 1)]
             counts = np.array([len(x) for x in each], np.int64)
             flat = np.fromiter((h for x in each for h in x), np.uint64, int(counts.sum()))
-            yield pa.record_batch({"doc_id": rows.column("doc_id"), "fp": pa.array(_bits(flat, counts).view(np.int64))})
+            yield pa.record_batch({**{c: rows.column(rows.schema.get_field_index(c)) for c in ("doc_id", *KEY)},
+                                   "fp": pa.array(_bits(flat, counts).view(np.int64))})
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
-    return bounded(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), text_column(text).alias("_text")).mapInArrow(
-        _fingerprints(shingle), "doc_id bigint, fp bigint")
+    """(doc_id, row key, fp) of every row; fp is the fingerprint as a signed long."""
+    return bounded(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), *row_key(doc_id, text), text_column(text).alias("_text")).mapInArrow(
+        _fingerprints(shingle), f"doc_id bigint, {KEY[0]} bigint, {KEY[1]} bigint, fp bigint")
 
 
 def _keyed(batches):
@@ -246,26 +249,34 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
     return dealt.mapInArrow(_verify(max_bits), "a bigint, b bigint").distinct()
 
 
+def _named(docs: DataFrame, tmp, shingle: int, max_bits: int, text: str, doc_id: str) -> DataFrame:
+    """(doc_id, row key, fp, component_id) of every row."""
+    rows = tmp.save(fingerprints(docs, shingle, text, doc_id))
+    distinct = tmp.save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    cc = components(links(distinct, max_bits))
+    name = tmp.save(distinct.join(cc, distinct["fp"] == cc["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")))
+    named = name.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "_root")
+    ids = tmp.save(split_join(name, named, "root", "_root").select(F.col("fp").alias("_fp"), "component_id"))
+    return rows.join(ids, rows["fp"] == ids["_fp"]).drop("_fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text: str = "text",
                     doc_id: str = "doc_id") -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id
     (the smallest doc_id reachable over links, its own included)."""
     with scratch(docs.sparkSession, "simhash") as tmp:
-        rows = tmp.save(fingerprints(docs, shingle, text, doc_id))
-        distinct = tmp.save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-        cc = components(links(distinct, max_bits))
-        name = distinct.join(cc, distinct["fp"] == cc["node"], "left").select(
-            "fp", "least", F.coalesce("root", "fp").alias("root"))
-        named = name.groupBy("root").agg(F.min("least").alias("component_id"))
-        ids = tmp.save(name.join(named, "root").select(F.col("fp").alias("_fp"), "component_id"))
-        return kept(rows.join(ids, rows["fp"] == ids["_fp"]).select(
+        return kept(_named(docs, tmp, shingle, max_bits, text, doc_id).select(
             "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
 def keep_one_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text: str = "text",
                   doc_id: str = "doc_id") -> DataFrame:
     """The input rows of the smallest doc_id of each component, all columns
-    unchanged (rows with a null id stay if their component has no other id)."""
-    d = near_duplicates(docs, shingle, max_bits, text, doc_id)
-    d = d.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_k")).distinct()
-    return docs.join(d, F.col(doc_id).eqNullSafe(F.col("_k")), "left_semi")
+    unchanged (rows with a null id stay if their component has no other id;
+    rows that repeat the kept id stay if they are of its component)."""
+    with scratch(docs.sparkSession, "simhash") as tmp:
+        d = _named(docs, tmp, shingle, max_bits, text, doc_id).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        d = kept(d.select(*[F.col(k).alias("_k" + k) for k in KEY]).distinct())
+    keyed = docs.select(packed_row(docs), *row_key(doc_id, text))
+    return unpacked(keyed.join(d, (keyed[KEY[0]] == d["_k" + KEY[0]]) & (keyed[KEY[1]] == d["_k" + KEY[1]]), "left_semi"), docs)
