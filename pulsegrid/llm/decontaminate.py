@@ -7,10 +7,15 @@ shorter item is one window); every word inside an occurrence of a window is
 hit. Spans of hit words are removed; a text in which the hit share exceeds
 ``max_coverage`` is contaminated as a whole.
 
-Items are cut into blocks of at most ``BLOCK_WORDS`` words; each block's
-automaton is broadcast (its size is bounded by the block) and all rows pass
-every block, one block at a time. A text passes a bigram bitmap of the items first, so that only
-runs of words that could hold a window reach the automaton.
+Items are cut into pieces of at most ``BLOCK_WORDS`` words that share
+``window - 1`` words, so that every window is whole in one. Pieces that make one
+block in all are broadcast, and each task builds their automaton and streams the
+texts that it reads. More pieces are numbered into blocks of that size by tasks.
+The documents are then read once: a bitmap of the hashes of all item grams (of
+as many words as the shortest item, ``window`` at most; its size is fixed) keeps
+the runs of words that could hold a window. These runs meet each block's pieces
+in tasks that hold one block's automaton at a time, and the hits come back by
+row key.
 
 Defined cases: a null or empty text has no words; an item without words, or
 with a null id, is ignored; items sharing an id count once; an empty benchmark
@@ -20,18 +25,22 @@ hits nothing; words never cross documents; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import itertools
+import math
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pulsegrid.llm.common import KEY, batch_blocks, bounded, kept, row_key, scratch, text_column
+from pulsegrid.llm.common import BLOCK_BYTES, KEY, batch_blocks, bounded, kept, row_key, scratch, text_column
+from pulsegrid.llm.words import ALPHANUMERIC, LOWER, hashes, mix, spans
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
 BITS = 22
+FILTER_BITS = 26  # of the bitmap of item grams: 8 MB
+SCAN_WORDS = 2_000_000  # words that one task streams through one block's automaton
 
 # Word bytes are 0-9, a-z (A-Z lower-cased) and all above 0x7F.
 _TABLE = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -69,13 +78,6 @@ class Automaton:
             self.seen[_mix(a[:, 0], a[:, 1])] = True
         self._label(items)
 
-    @classmethod
-    def loaded(cls, state: dict) -> Automaton:
-        """An automaton from the plain state that was broadcast."""
-        a = cls.__new__(cls)
-        vars(a).update(state)
-        return a
-
     def _extend(self, last: int, c: int) -> int:
         nxt, link, length = self.next, self.link, self.length
         if c in nxt[last]:
@@ -178,21 +180,140 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, window: int):
-    """Automata of the items, one per block of at most BLOCK_WORDS words."""
-    block, size = [], 0
-    for r in benchmark.where(F.col(item_id).isNotNull()).select(
-            F.col(item_id).cast("string").alias("i"), text_column(text).alias("t")).toLocalIterator():
-        w = words_of(r["t"].encode())
-        if not w:
-            continue
-        if block and size + len(w) > BLOCK_WORDS:
-            yield Automaton(block, window)
-            block, size = [], 0
-        block.append((r["i"], w))
-        size += len(w)
-    if block:
-        yield Automaton(block, window)
+def cut(words: list[bytes], size: int, window: int) -> list[list[bytes]]:
+    """An item's pieces of at most ``size`` words; neighbours share window - 1."""
+    return [words[a:a + size] for a in range(0, max(len(words) - window, 0) + 1, size - window + 1)]
+
+
+def item_pieces(benchmark: DataFrame, item_id: str, text: str, window: int, size: int) -> DataFrame:
+    """item, words (joined by blanks) and their number n, of each piece."""
+    def run(batches):
+        for b in batches:
+            out = [(i, p) for i, t in zip(b.column("i").to_pylist(), b.column("t").to_pylist(), strict=True)
+                   for p in cut(words_of(t.encode()), size, window) if p]
+            yield pa.record_batch({"item": pa.array([i for i, _ in out], pa.string()),
+                                   "words": pa.array([b" ".join(p) for _, p in out], pa.binary()),
+                                   "n": pa.array([len(p) for _, p in out], pa.int64())})
+
+    return benchmark.where(F.col(item_id).isNotNull()).select(
+        F.col(item_id).cast("string").alias("i"), text_column(text).alias("t")).mapInArrow(
+            run, "item string, words binary, n bigint")
+
+
+def numbered(pieces: DataFrame, total: int, size: int) -> DataFrame:
+    """(block, item, words): blocks of at most ``size`` words, cut by the tasks
+    over which the pieces are spread."""
+    def run(batches):
+        block, held = TaskContext.get().partitionId() << 32, 0
+        for b in batches:
+            at = []
+            for n in b.column("n").to_pylist():
+                if held and held + n > size:
+                    block, held = block + 1, 0
+                held += n
+                at.append(block)
+            yield pa.record_batch([pa.array(at, pa.int64()), b.column("item"), b.column("words")], names=["block", "item", "words"])
+
+    return pieces.repartition(math.ceil(total / size)).mapInArrow(run, "block bigint, item string, words binary")
+
+
+def gram_slots(data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, place in the bitmap) of each run of ``gram`` words of a row."""
+    h = hashes(data, start, end)
+    n = max(len(h) - gram + 1, 0)
+    x = h[:n]
+    with np.errstate(over="ignore"):
+        for j in range(1, gram):
+            x = mix(x) + h[j:n + j]
+    first = np.flatnonzero(row[:n] == row[len(row) - n:])
+    return first, (mix(x)[first] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def gram_filter(pieces: DataFrame, gram: int) -> np.ndarray:
+    """Bitmap (64-bit words) of the places of all grams of the pieces; tasks and
+    then one aggregate merge it, so at most 2**FILTER_BITS / 64 rows come back."""
+    def run(batches):
+        for _, data, off in batch_blocks(batches, "words"):
+            _, at = gram_slots(data, *spans(data, off, ALPHANUMERIC), gram)
+            at = np.unique(at)
+            slot, first = np.unique(at >> 6, return_index=True)
+            mask = np.uint64(1) << (at & 63).astype(np.uint64)
+            yield pa.record_batch({"slot": pa.array(slot, pa.int64()),
+                                   "mask": pa.array((np.bitwise_or.reduceat(mask, first) if len(at) else mask).view(np.int64))})
+
+    got = pieces.select("words").mapInArrow(run, "slot bigint, mask bigint").groupBy("slot").agg(
+        F.bit_or("mask").alias("mask")).toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bits[got.column("slot").to_numpy()] = got.column("mask").to_numpy().view(np.uint64)
+    return bits
+
+
+def possible_runs(keyed: DataFrame, bits: np.ndarray, gram: int) -> DataFrame:
+    """(row key, number of the first word, words, n) of each maximal run of words
+    that lie in grams of the bitmap: every occurrence of a window is inside one."""
+    sent = keyed.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for rows, data, off in batch_blocks(batches, "_text"):
+            low = LOWER[data]
+            start, end, row = spans(low, off, ALPHANUMERIC)
+            first, at = gram_slots(low, start, end, row, gram)
+            first = first[(sent.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1]
+            depth = np.zeros(len(start) + 1, np.int64)
+            depth[first] += 1
+            depth[first + gram] -= 1
+            held = np.cumsum(depth)[:-1] > 0
+            new = np.ones(len(held) + 1, bool)
+            new[1:-1] = row[1:] != row[:-1]  # runs end with their row
+            a = np.flatnonzero(held & (new[:-1] | ~np.concatenate([[False], held[:-1]])))
+            b = np.flatnonzero(held & (new[1:] | ~np.concatenate([held[1:], [False]])))
+            pick = pa.array(row[a], pa.int64())
+            yield pa.record_batch([
+                rows.column(KEY[0]).take(pick), rows.column(KEY[1]).take(pick),
+                pa.array(a - np.searchsorted(row, row[a]), pa.int32()),
+                pa.array([low[i:j].tobytes() for i, j in zip(start[a].tolist(), end[b].tolist(), strict=True)], pa.binary()),
+                pa.array(b + 1 - a, pa.int64())], names=[*KEY, "first", "words", "n"])
+
+    return keyed.mapInArrow(run, f"{KEY[0]} bigint, {KEY[1]} bigint, first int, words binary, n bigint")
+
+
+def block_hits(blocks: DataFrame, found: DataFrame, window: int) -> DataFrame:
+    """Hits of the runs ``found`` in each block: (row key, hit word ranges,
+    items). A block's pieces come before its runs in the task that has both;
+    the runs of a block are spread over tasks of about SCAN_WORDS words."""
+    ids = sorted(r[0] for r in blocks.select("block").distinct().collect())
+    salts = max(1, math.ceil((found.agg(F.sum("n")).first()[0] or 0) / SCAN_WORDS))
+    pieces = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"),
+                           "item", "words", *[F.lit(None).cast("bigint").alias(k) for k in KEY], F.lit(None).cast("int").alias("first"))
+    runs_ = found.select(F.explode(F.lit(ids).cast("array<bigint>")).alias("block"),
+                         F.pmod(F.xxhash64(*KEY, "first"), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"),
+                         F.lit(None).cast("string").alias("item"), "words", *KEY, "first")
+
+    def run(batches):
+        group, held, automaton = None, [], None
+        for b in batches:
+            out = []
+            for block, salt, kind, item, words, k1, k2, first in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if (block, salt) != group:
+                    group, held, automaton = (block, salt), [], None
+                if kind == 0:
+                    held.append((item, words.split()))
+                    continue
+                if automaton is None:
+                    automaton, held = Automaton(held, window), []
+                mark, items = automaton.match(words_of(words))
+                if mark.any():
+                    out.append((k1, k2, [{"a": first + i, "b": first + j} for i, j in runs(mark).tolist()], sorted(items)))
+            if out:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _HITS, strict=True)],
+                                      names=[*KEY, "hits", "found"])
+
+    return pieces.unionByName(runs_).repartition(len(ids) * salts, "block", "salt").sortWithinPartitions(
+        "block", "salt", "kind").mapInArrow(run, f"{KEY[0]} bigint, {KEY[1]} bigint, hits array<struct<a: int, b: int>>, "
+                                                 "found array<string>")
+
+
+_HITS = [pa.int64(), pa.int64(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])), pa.list_(pa.string())]
 
 
 def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -225,51 +346,34 @@ def _match_known(rows, texts):
     return out
 
 
-def _matcher(automaton, out_rows):
+def _matcher(pieces, window, out_rows):
     """mapInArrow body: out_rows(row batch, texts, [(marks, items)])."""
     def run(batches):
-        match = _match_known if automaton is None else _match_all(Automaton.loaded(automaton.value))
+        match = _match_known if pieces is None else _match_all(Automaton([(i, w.split()) for i, w in pieces.value], window))
         for rows, data, off in batch_blocks(batches, "_text"):
             texts = [data[off[i]:off[i + 1]].tobytes() for i in range(len(off) - 1)]
             yield out_rows(rows, texts, match(rows, texts))
     return run
 
 
-def _hit_rows(rows, texts, result):
-    """The texts with a hit: row key, hit word ranges, items."""
-    at = [i for i, (m, _) in enumerate(result) if m.any()]
-    pick = pa.array(at, pa.int32())
-    return pa.record_batch([
-        rows.column(KEY[0]).take(pick), rows.column(KEY[1]).take(pick),
-        pa.array([[{"a": a, "b": b} for a, b in runs(result[i][0]).tolist()] for i in at],
-                 pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
-        pa.array([sorted(result[i][1]) for i in at], pa.list_(pa.string()))], names=[*KEY, "hits", "found"])
-
-
 def _with_matches(docs: DataFrame, columns: list, text: str, doc_id: str, benchmark: DataFrame, item_id: str,
                   item_text: str, window: int):
-    """(rows with ``columns``, _text and what the matcher needs; the matcher's
-    automaton). Items of one block are matched where the rows are read. Of more
-    blocks each is broadcast and passed over all rows on its own, so that a
-    worker holds one automaton; its hits are a table, and the hits of all
-    blocks come back by row key."""
+    """(rows with ``columns``, _text and what the matcher needs; the pieces that
+    the matcher streams, broadcast, or none where the hits are known)."""
     spark = bounded(docs).sparkSession
-    found = item_blocks(benchmark, item_id, item_text, window)
-    first, second = next(found, None), next(found, None)
+    size = max(BLOCK_WORDS, window)
     plain = docs.select(*columns, text_column(text).alias("_text"))
-    if second is None:
-        first = first or Automaton([], window)
-        return plain, spark.sparkContext.broadcast(dict(vars(first)))
-    keyed = docs.select(*row_key(doc_id, text), text_column(text).alias("_text"))
     with scratch(spark, "decontaminate") as tmp:
-        hits = None
-        for a in itertools.chain([first, second], found):
-            sent = spark.sparkContext.broadcast(dict(vars(a)))
-            part = tmp.save(keyed.mapInArrow(_matcher(sent, _hit_rows), f"{KEY[0]} bigint, {KEY[1]} bigint, "
-                                             "hits array<struct<a: int, b: int>>, found array<string>"))
-            sent.unpersist()
-            hits = part if hits is None else hits.unionByName(part)
-        hits = kept(hits.groupBy(*[F.col(k).alias("_h" + k) for k in KEY]).agg(
+        pieces = tmp.save(item_pieces(benchmark, item_id, item_text, window, size))
+        total, least, held = pieces.agg(F.sum("n"), F.min("n"), F.sum(F.octet_length("words"))).first()
+        if not total or total <= size and held <= BLOCK_BYTES:
+            return plain, spark.sparkContext.broadcast([(r["item"], bytes(r["words"])) for r in pieces.collect()])
+        gram = min(window, least)
+        blocks = tmp.save(numbered(pieces, total, size))
+        keyed = docs.select(*row_key(doc_id, text), text_column(text).alias("_text"))
+        # rows of equal id and text share their key: their runs count once
+        found = tmp.save(possible_runs(keyed, gram_filter(pieces, gram), gram).dropDuplicates([*KEY, "first"]))
+        hits = kept(block_hits(blocks, found, window).groupBy(*[F.col(k).alias("_h" + k) for k in KEY]).agg(
             F.flatten(F.collect_list("hits")).alias("_hits"), F.array_distinct(F.flatten(F.collect_list("found"))).alias("_found")))
     named = docs.select(*columns, text_column(text).alias("_text"), *row_key(doc_id, text))
     return named.join(hits, (F.col(KEY[0]) == F.col("_h" + KEY[0])) & (F.col(KEY[1]) == F.col("_h" + KEY[1])), "left"), None
@@ -293,10 +397,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc
             "item_ids": pa.array([sorted(f) for _, f in result], pa.list_(pa.string())),
             "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
 
-    rows, auto = _with_matches(docs, [F.col(doc_id).cast("bigint").alias("doc_id")], text, doc_id, benchmark, item_id,
-                               item_text, window)
+    rows, pieces = _with_matches(docs, [F.col(doc_id).cast("bigint").alias("doc_id")], text, doc_id, benchmark, item_id,
+                                 item_text, window)
     return rows.mapInArrow(
-        _matcher(auto, rows_out), "doc_id bigint, n_words bigint, n_hit bigint, item_ids array<string>, "
+        _matcher(pieces, window, rows_out), "doc_id bigint, n_words bigint, n_hit bigint, item_ids array<string>, "
                                   "spans array<struct<start: bigint, end: bigint>>")
 
 
@@ -324,9 +428,9 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "tex
         cols = [pa.array(cut, row.field(i).type) if i == at else row.field(i) for i in range(row.type.num_fields)]
         return pa.record_batch(cols, names=[str(i) for i in range(len(cols))]).filter(keep)
 
-    rows, auto = _with_matches(docs, [packed], text, doc_id, benchmark, item_id, item_text, window)
+    rows, pieces = _with_matches(docs, [packed], text, doc_id, benchmark, item_id, item_text, window)
     out = T.StructType([T.StructField(str(i), f.dataType, True) for i, f in enumerate(schema.fields)])
-    return rows.mapInArrow(_matcher(auto, rows_out), out).toDF(*docs.columns)
+    return rows.mapInArrow(_matcher(pieces, window, rows_out), out).toDF(*docs.columns)
 
 
 def items_digest(ids: str = "item_ids"):

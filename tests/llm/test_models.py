@@ -14,7 +14,7 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2
 
-from pulsegrid.llm import decontaminate, importance, lm_score, pieces, toxicity, url_equivalence
+from pulsegrid.llm import common, decontaminate, importance, lm_score, pieces, toxicity, url_equivalence
 
 EDGE = [(None, "some words"), (1, None), (2, ""), (3, " \t\n"), (4, "dup dup"), (4, "dup dup"), (5, "y" * 6000), (6, "zß→𝄞 ▁ é")]
 TOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -340,6 +340,40 @@ def test_contamination(docs, spark, monkeypatch, block):
         assert sum(len(WORD.findall(lower(raw[s["start"]:s["end"]].decode()))) for s in r.spans) == r.n_hit
 
 
+def test_long_items_and_many_blocks(docs, spark, monkeypatch):
+    """An item of many blocks, and texts repeated under one id: the tables
+    written do not depend on the number of blocks, the rows equal brute force."""
+    rng = random.Random(31)
+    long = [f"w{rng.randrange(400)}" for _ in range(900)]
+    items = [(1, " ".join(long)), (2, "w1 w2 w3"), (3, " ".join(long[17:33]))] + [
+        (10 + i, " ".join(f"v{rng.randrange(50)}" for _ in range(rng.randrange(3, 30)))) for i in range(40)]
+    rows = EDGE + [(100 + i, " ".join(long[a:a + rng.randrange(30)] + ["X"] + items[3 + i % 40][1].upper().split()[:12]))
+                   for i, a in enumerate(range(0, 900, 13))]
+    rows += [(7, " ".join(long))] * 30 + [(8, "w1, W2; w3")] * 30
+    saved = []
+    save = common.Scratch.save
+    monkeypatch.setattr(common.Scratch, "save", lambda *a, **k: saved.append(1) or save(*a, **k))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    tables = []
+    for size in (40, 700):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", size)
+        saved.clear()
+        got = decontaminate.contamination(docs(rows, extra=True), bench, window=8).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in got) == brute_contamination(rows, items, 8)
+        tables.append(len(saved))
+    assert tables == [3, 3]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 39, 40, 41, 73, 74, 500])
+def test_pieces_hold_every_window(n):
+    words = [b"%d" % i for i in range(n)]
+    parts = decontaminate.cut(words, 40, 8)
+    k = min(8, n)
+    wins = {tuple(p[a:a + 8]) for p in parts for a in range(max(len(p) - 7, 1))}
+    assert wins == {tuple(words[a:a + 8]) for a in range(n - k + 1)}
+    assert all(len(p) <= 40 for p in parts) and (n < 8 or min(map(len, parts)) >= 8)
+
+
 def test_remove_contamination(docs, spark):
     bench = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
     rows = [(1, "Before. One, two three FOUR! After it all is well."), (2, "one two three four"), (3, None), (4, ""), (5, "clean É text")]
