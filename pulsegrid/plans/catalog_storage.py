@@ -23,7 +23,8 @@ from pulsegrid.plans.layers import r6, wall
 from pulsegrid.session import scratch_path as new_scratch, shared_dir
 from pulsegrid.sinks.files import export_csv, land_batch, write_layer
 from pulsegrid.sources.files import (
-    available_dates, delete_path, read_landing, read_landing_partitions, read_layer, read_smartwatch_csv,
+    MANIFEST, MANIFEST_SCHEMA, available_dates, batch_dates, child_files, delete_path, partition_folder, read_landing,
+    read_landing_partitions, read_layer, read_smartwatch_csv, unreadable_files, write_small,
 )
 from pulsegrid.sources.sensor import read_sensor_features, read_sensor_raw
 
@@ -191,6 +192,27 @@ def q_run_log(spark, d):
     return spark.read.parquet(f"{base}/_run_log").select("layer", "data_type", "record_count")
 
 
+@register("s05_file_manifest", W() + _LAYER_COUNTS.replace("record_count", "n_rows") + """
+UNION ALL SELECT 'gold', 'broken', count(*) FROM fx_gold_v WHERE strftime(window_start, '%Y-%m-%d') =
+  (SELECT min(strftime(window_start, '%Y-%m-%d')) FROM fx_gold_v)""")
+def q_file_manifest(spark, d):
+    """Rows by the manifest, and the rows lost with the Gold files of the oldest
+    date after these are cut short; no other file is opened to find them."""
+    base, res = etl_base(spark, d)
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{base}/{MANIFEST}")
+    out = None
+    for layer in ("bronze", "silver", "gold"):
+        for ent in ("vitals", "movement"):
+            part = rows.where(F.col("path").contains(f"/{layer}/{ent}/")).agg(
+                F.lit(layer).alias("layer"), F.lit(ent).alias("data_type"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
+            out = part if out is None else out.unionByName(part)
+    first = f"{base}/gold/vitals/{partition_folder('etl_batch_date', batch_dates(spark, f'{base}/gold/vitals')[0])}"
+    for name in child_files(spark, first):
+        write_small(spark, f"{first}/{name}", "PAR1 cut")
+    return out.unionByName(unreadable_files(spark, base, "gold", "vitals").agg(
+        F.lit("gold").alias("layer"), F.lit("broken").alias("data_type"), F.sum("recorded_rows").alias("n_rows")))
+
+
 @register("a28_layer_counts", W() + _LAYER_COUNTS)
 def q_layer_counts(spark, d):
     base, _ = etl_base(spark, d, run_log=False)

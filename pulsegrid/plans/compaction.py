@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.plans.etl import ENTITIES, STATES, merged_mark
 from pulsegrid.sinks.files import RUN_LOG_SCHEMA
+from pulsegrid.sinks.manifest import record_files
 from pulsegrid.sources.files import (
     LIVE, DateFolders, child_folders, compacted_folder, date_folders, delete_path, path_exists, read_layer, touch_path, write_small,
 )
@@ -85,6 +86,7 @@ def merge_folders(spark: SparkSession, base: str, layer: str, entity: str, f: Da
     rows = read_layer(spark, base, layer, entity, f.date, runs=runs).drop("etl_batch_date")
     seen = Observation(f"compact_{layer}_{entity}")
     (rows.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(version))
+    record_files(spark, base, [version])
     write_small(spark, f"{version}/{LIVE}", json.dumps(sorted(runs)))
     return int(seen.get["rows"])
 

@@ -24,6 +24,7 @@ from pulsegrid.operators.clean import add_lineage, clean_movement, clean_vitals,
 from pulsegrid.operators.gold import merge_movement, merge_vitals, movement_state, vitals_state
 from pulsegrid.session import scratch_path
 from pulsegrid.sinks.files import append_run_log, write_layer_metrics
+from pulsegrid.sinks.manifest import record_files
 from pulsegrid.sources.files import (
     LANDING_GLOB, compacted_folder, delete_path, folders_of, landing_lines, parse_landing, partition_folder, path_exists,
     read_layer, run_folders,
@@ -184,6 +185,10 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
     steps = {"vitals": (clean_vitals, lambda df: vitals_state(df, minutes), merge_vitals),
              "movement": (clean_movement, lambda df: movement_state(df, fall_threshold, minutes), merge_movement)}
     _each_entity(spark, lambda entity: _refresh(spark, bronze.schema, base, entity, res, min_records, *steps[entity]))
+    record_files(spark, base, [f"{base}/{layer}/{entity}/{partition_folder('etl_batch_date', d)}"
+                               + (f"/{partition_folder('etl_run_id', run)}" if run else "")
+                               for d in res.batch_dates for entity in ENTITIES
+                               for layer, run in (("bronze", res.run_id), ("silver", res.run_id), (STATES, res.run_id), ("gold", None))])
     if run_log:
         append_run_log(spark, base, res.run_id, res.counts)
     return res

@@ -347,15 +347,51 @@ def read_layer(spark: SparkSession, base: str, layer: str, entity: str, batch_da
     return df.filter(F.col("etl_batch_date") == dates[0] if len(dates) == 1 else F.col("etl_batch_date").isin(dates))
 
 
-def unreadable_files(spark: SparkSession, base: str, layer: str, entity: str) -> DataFrame:
-    """`path` of the table's data files that ``skip_unreadable`` leaves out: the
-    listed files from which no row is read (an empty file is listed too)."""
+MANIFEST = "_manifest"  # table of the files that runs and compactions wrote (sinks.manifest)
+MANIFEST_SCHEMA = "path string, n_rows long, n_bytes long"
+
+
+def suspect_files(spark: SparkSession, base: str, layer: str, entity: str) -> DataFrame:
+    """Stored data files of a table, merged ones included, that are not as the
+    manifest lists them: never recorded, or of another size. ``path`` (as
+    ``_metadata.file_path`` gives it), ``n_bytes`` and ``recorded_rows`` (null if
+    never recorded). No data file is opened."""
+    tables = [p for p in (f"{base}/{layer}/{entity}", f"{base}/{layer}/{COMPACTED}/{entity}") if path_exists(spark, p)]
+    if not tables:
+        return spark.createDataFrame([], "path string, n_bytes long, recorded_rows long")
+    m = F.col("_metadata")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-             .load(f"{base}/{layer}/{entity}").select("path"))
-    df = read_layer(spark, base, layer, entity, skip_unreadable=True)
-    if not df.columns:
-        return files
-    return files.join(df.select(F.col("_metadata.file_path").alias("path")).distinct(), "path", "left_anti")
+             .load(tables).select(m["file_path"].alias("path"), m["file_size"].alias("n_bytes")))
+    if not path_exists(spark, f"{base}/{MANIFEST}"):
+        return files.withColumn("recorded_rows", F.lit(None).cast("bigint"))
+    known = (spark.read.schema(MANIFEST_SCHEMA).parquet(f"{base}/{MANIFEST}")
+             .groupBy("path").agg(F.collect_set("n_bytes").alias("sizes"), F.max("n_rows").alias("recorded_rows")))
+    return (files.join(known, "path", "left")
+            .where(~F.coalesce(F.array_contains("sizes", F.col("n_bytes")), F.lit(False)))
+            .select("path", "n_bytes", "recorded_rows"))
+
+
+def unreadable_files(spark: SparkSession, base: str, layer: str, entity: str) -> DataFrame:
+    """Broken data files of a table, those that ``skip_unreadable`` leaves out:
+    ``path``, ``n_bytes`` and ``recorded_rows`` (the rows lost with it, null if
+    the manifest has no such file).
+
+    A file whose size the manifest lists is sound and is not opened (a change
+    that keeps the size is not seen). Of the others a file with rows is sound, and
+    one without is empty if it begins and ends as a Parquet file does."""
+    suspects = suspect_files(spark, base, layer, entity)
+    paths = [r["path"] for r in suspects.select("path").collect()]  # names only
+    if not paths:
+        return suspects
+    paths = [unquote(p) for p in paths]
+    m = F.col("_metadata")
+    read = (spark.read.schema("_none int").option("ignoreCorruptFiles", "true").parquet(*paths)
+            .select(m["file_path"].alias("path")).distinct())
+    marks = spark.read.format("binaryFile").load(paths).select(m["file_path"].alias("path"), "content")
+    magic = F.lit("PAR1").cast("binary")
+    empty = marks.where((F.octet_length("content") >= 12) & (F.substring("content", 1, 4) == magic)
+                        & (F.substring("content", -4, 4) == magic)).select("path")
+    return suspects.join(read, "path", "left_anti").join(empty, "path", "left_anti")
 
 
 def available_dates(spark: SparkSession, base: str, layer: str, entity: str) -> DataFrame:

@@ -45,6 +45,51 @@ def test_unreadable_file_fails_the_read_and_is_skipped_only_on_request(spark, na
     assert [r.path.endswith(name) for r in unreadable_files(spark, base, "gold", "vitals").collect()] == [True]
 
 
+def _spoil(path, text):
+    """Replace a file and drop its local checksum, as a foreign writer would."""
+    folder, name = os.path.split(path)
+    crc = os.path.join(folder, f".{name}.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    with open(path, "wb") as f:
+        f.write(text)
+
+
+@pytest.mark.parametrize("date", ["2024-01-01", "a b%c:d"])
+def test_manifest_tells_broken_from_empty_and_opens_no_sound_file(spark, date):
+    from pulsegrid.plans.compaction import compact
+    from pulsegrid.plans.etl import run_etl
+    from pulsegrid.sources.files import suspect_files
+    base = scratch_path(spark, "lake")
+    for run in ("r1", "r2", "r3"):
+        run_etl(spark, land(spark, VITAL, VITAL | {"heart_rate": 100}, MOVE), base, run_id=run, batch_date=date)
+        if run == "r2":
+            compact(spark, base, [date], grace_seconds=0)
+    tables = [(la, e) for la in ("bronze", "silver", "gold") for e in ("vitals", "movement")]
+    for la, e in tables:
+        assert suspect_files(spark, base, la, e).count() == 0 and unreadable_files(spark, base, la, e).count() == 0
+    files = [os.path.join(p, n) for p, _, names in os.walk(local_path(base)) for n in names
+             if n.endswith(".parquet") and "/bronze/" in p and "vitals" in p]
+    merged = [f for f in files if "_compacted" in f]
+    own = [f for f in files if "etl_run_id=r3" in f]
+    assert merged and own
+    folder = os.path.dirname(own[0])
+    with open(own[0], "rb") as f:
+        sound = f.read()
+    _spoil(merged[0], b"PAR1")
+    _spoil(own[0], sound[:len(sound) // 2])
+    _spoil(os.path.join(folder, "part-foreign.parquet"), sound)
+    spark.createDataFrame([], "x int").coalesce(1).write.parquet(f"{base}/none")
+    none = next(n for n in os.listdir(local_path(f"{base}/none")) if n.endswith(".parquet"))
+    with open(os.path.join(local_path(f"{base}/none"), none), "rb") as f:
+        _spoil(os.path.join(folder, "part-empty.parquet"), f.read())
+    got = {os.path.basename(r.path): r.recorded_rows for r in unreadable_files(spark, base, "bronze", "vitals").collect()}
+    assert got == {os.path.basename(merged[0]): 4, os.path.basename(own[0]): 2}
+    assert suspect_files(spark, base, "bronze", "vitals").count() == 4
+    assert unreadable_files(spark, base, "silver", "vitals").count() == 0
+    assert unreadable_files(spark, base, "silver", "nothing").count() == 0
+
+
 def test_rewriting_a_batch_replaces_only_its_partition(spark):
     base = scratch_path(spark, "lake")
     df = spark.createDataFrame([("1600", 1.0, "2024-01-01"), ("1601", 2.0, "2024-01-02")],
