@@ -18,8 +18,8 @@ Defined cases: null and empty texts have zero features and a score like any
 other; null labels and labels without a document are ignored; labels that
 contradict each other count as toxic if one says so; without toxic or without
 clean training rows the score is the training share of toxic rows (0 without
-labels); a null doc_id counts as the empty id; repeated rows are scored each;
-other columns are ignored; an empty table gives an empty result.
+labels); a null doc_id counts as the empty id; repeated rows are scored each, but
+of rows that share a labelled id only one (by a hash of its text) is learnt from; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -90,6 +90,8 @@ def features(data: np.ndarray, off: np.ndarray, weights: _Weights) -> np.ndarray
     if len(data) > 2:
         inside[1:-1] = (symbol | digit)[1:-1] & letter[:-2] & letter[2:] & (data[1:-1] != 39) & (data[1:-1] != 45)
         shout[1:] = upper[1:] & upper[:-1]
+    first, last = off[:-1][off[1:] > off[:-1]], off[1:][off[1:] > off[:-1]] - 1
+    shout[first] = inside[first] = inside[last] = False  # texts that touch
     size = np.maximum(np.diff(off), 1)
     x[:, 4] = _share(upper, off) / np.maximum(_share(letter, off), 1)
     x[:, 5] = _share(shout, off) / size
@@ -218,8 +220,8 @@ def _labelled(sent):
         for b in batches:
             at, found = _lookup(ids, b.column("doc_id"))
             pick = np.flatnonzero(found)
-            yield pa.record_batch({"_text": b.column("_text").take(pa.array(pick)), "toxic": pa.array(toxic[at[pick]]),
-                                   "role": pa.array(role[at[pick]])})
+            yield pa.record_batch({"id": b.column("doc_id").take(pa.array(pick)), "_text": b.column("_text").take(pa.array(pick)),
+                                   "toxic": pa.array(toxic[at[pick]]), "role": pa.array(role[at[pick]])})
     return run
 
 
@@ -289,8 +291,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     o = np.argsort(ids, kind="stable")
     sent = spark.sparkContext.broadcast((ids[o], s.column("t").to_numpy()[o], s.column("role").to_numpy()[o]))
     with scratch(spark, "toxic") as tmp:
+        # of rows that share an id one is read, whatever their number
         rows = tmp.save(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_column(text).alias("_text"))
-                        .mapInArrow(_labelled(sent), "_text string, toxic int, role int"))
+                        .mapInArrow(_labelled(sent), "id bigint, _text string, toxic int, role int")
+                        .groupBy("id", "toxic", "role").agg(F.min(F.struct(F.xxhash64("_text").alias("h"), "_text")).alias("s"))
+                        .select("s._text", "toxic", "role"))
         half = [learn_lexicon(rows.where(f"role = {i}")) for i in (0, 1)]
         lexicon = learn_lexicon(rows.where("role < 2"))
         got = pa.concat_tables([

@@ -219,6 +219,56 @@ def test_toxicity_on_held_out_rows(docs, labels):
     assert sum(a == b for a, b in held) >= 0.95 * len(held)
 
 
+def naive_features(text, lexicon):
+    """The twelve features of one text, told word by word and byte by byte."""
+    raw = text.encode()
+
+    def letter(c):
+        return 65 <= c <= 90 or 97 <= c <= 122 or c > 127
+    plain = [c for c in raw if not (letter(c) or 48 <= c <= 57 or c == 32 or 9 <= c <= 13)]
+    capital = [65 <= c <= 90 for c in raw]
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", lower(text))
+    m, size = len(words), max(len(raw), 1)
+    x = [0.0] * 12
+    x[4] = sum(capital) / max(sum(map(letter, raw)), 1)
+    x[5] = sum(a and b for a, b in itertools.pairwise(capital)) / size
+    x[6] = sum(c in b"!?" for c in plain) / size
+    x[7] = sum(c not in b"!?" for c in plain) / size
+    if not m:
+        return x
+    hidden = sum(letter(a) and letter(c) and not letter(b) and not (b == 32 or 9 <= b <= 13) and b not in b"'-"
+                 for a, b, c in zip(raw, raw[1:], raw[2:], strict=False))
+    weight = [max([lexicon.get(w, 0.0)] + [lexicon.get(w[:k] + b"*", 0.0) for k in range(4, 10) if k < len(w)]) for w in words]
+    at = [i for i, w in enumerate(weight) if w]
+    you = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+    x[8], x[9], x[11] = hidden / m, math.log1p(m), sum(a == b for a, b in itertools.pairwise(words)) / m
+    if at:
+        x[0], x[1], x[10] = len(at) / m, math.log1p(len(at)), sum(weight) / m
+        x[2] = max(Counter(i // toxicity.STRETCH for i in at).values()) / min(m, toxicity.STRETCH)
+        x[3] = sum(any(abs(i - k) <= toxicity.NEAR for k in you) for i in at) / len(at)
+    return x
+
+
+def test_features_equal_naive_ones_in_any_block():
+    rng = random.Random(41)
+    lexicon = {b"snark": 2.0, b"grob*": 3.0, b"idiot": 2.5, b"blurgh*": 4.0}
+    bits = ["you", "DU", "vous", "snark", "Grobian", "i.d1ot", "idiot", "blurghen", "A", "ABC", "é", "É!", "x-y", "it's", "!?", "#1", "a\tb", "\n", "w7 w7"]
+    texts = ["", " ", "A", "ABC", "XYZ", "a", "1", "b", "?", "c"] + [
+        " ".join(rng.choice(bits) for _ in range(rng.choice([1, 3, 20, 200]))) for _ in range(120)]
+    rng.shuffle(texts)
+    raw = [t.encode() for t in texts]
+    off = np.cumsum([0, *map(len, raw)])
+    got = toxicity.features(np.frombuffer(b"".join(raw), np.uint8), off, toxicity._Weights(lexicon))
+    assert np.allclose(got, [naive_features(t, lexicon) for t in texts], atol=1e-12)
+
+
+def test_one_row_of_a_repeated_labelled_id_is_learnt_from(docs, labels):
+    lab = labels([(1, 1, 1), (2, 1, 0), (4, 1, 0)])
+    rows = [(1, "bad words"), (2, "good words"), (4, "fine words")]
+    once = toxicity.fit(docs(rows), lab)
+    assert toxicity.fit(docs(rows + [rows[0]] * 50), lab) == once and once[3] == 1 / 3
+
+
 @pytest.mark.parametrize("rows", [[], [(10, 1, 0), (11, 1, 0)], [(None, 1, 1), (10, None, None)]])
 def test_toxicity_without_two_classes(docs, labels, rows):
     got = toxicity.toxicity(docs([(10, "a b"), (11, None)]), labels(rows)).collect()
@@ -259,6 +309,44 @@ def test_ngram_blocks_do_not_depend_on_the_block():
         assert k[0] == n[i] == brute_ngrams(texts[i]) and own.tolist() == b[end[i] - n[i]:end[i]].tolist()
 
 
+def naive_ngrams(text):
+    """Four keys of each word, as values in place of hashes."""
+    out, before, shape_before = [], None, None
+    for w in TOKEN.findall((text or "").encode()):
+        kinds = ["cap" if 65 <= c <= 90 else "low" if 97 <= c <= 122 or c > 127 else "dig" if 48 <= c <= 57 else c for c in w]
+        for i, (a, b) in enumerate(itertools.pairwise(w)):
+            if a == 0xC3 and 0x80 <= b <= 0x9E:
+                kinds[i] = kinds[i + 1] = "cap"
+        word = bytes(c + 32 if 65 <= c <= 90 else c for c in w)
+        shape = (tuple(k for k, _ in itertools.groupby(kinds)), word == before)
+        out += [("w", word), ("twice",) if word == before else ("ww", before, word), ("s", shape), ("ss", shape_before, shape)]
+        before, shape_before = word, shape
+    return out
+
+
+def test_ngram_bins_stand_for_naive_ngrams_and_ratios_for_their_counts(docs, labels):
+    rng = random.Random(43)
+    bits = ["Ab", "ab", "x1!", "É", "é", "Été", "7", "...", "AB", "w-w", "ab"]
+    rows = EDGE + [(i, " ".join(rng.choice(bits) + rng.choice(["", "q", "Z"]) for _ in range(rng.randrange(30)))) for i in range(100, 220)]
+    own = {t: importance.ngrams(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]), 1 << 24)[0].tolist()
+           for _, t in rows}
+    pairs = {(k, b) for t, bins in own.items() for k, b in zip(naive_ngrams(t), bins, strict=True)}
+    assert len(pairs) == len({k for k, _ in pairs}) and len({b for _, b in pairs}) > 0.999 * len(pairs)
+
+    good = {i for i in range(100, 220) if i % 3 == 0}
+    got = importance.importance(docs(rows, extra=True), labels([(i, int(i in good), 0) for i in range(100, 220, 1) if i % 2 or i in good])).collect()
+    def bins(t):
+        return importance.ngrams(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))[0].tolist()
+    target, raw = Counter(b for i, t in rows if i in good for b in bins(t)), Counter(b for _, t in rows for b in bins(t))
+    nt, nr = target.total(), raw.total()
+
+    def ratio(b):
+        p = (raw[b] + 0.5) / (nr + 0.5 * importance.BINS)
+        return math.log((target[b] + 0.0005 * nt * p) / (nt + 0.0005 * nt)) - math.log(p)
+    want = Counter((i, round(sum(map(ratio, bins(t))), 6)) for i, t in rows)
+    assert Counter((r.doc_id, round(r.log_ratio, 6)) for r in got) == want
+
+
 def test_quality_selection(docs, labels):
     rng = random.Random(10)
 
