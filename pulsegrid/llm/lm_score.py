@@ -128,49 +128,59 @@ def _scatter(ids: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return s[cut], np.add.reduceat(grad[order], cut, axis=0)
 
 
+def _logistic(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class Trainer:
     """Stochastic NCE with AdaGrad steps on batches of (far, near, token)."""
 
     def __init__(self, model: LogBilinear, seed: int):
         self.m, self.rng = model, np.random.default_rng(seed)
-        self.past = {p: np.full(getattr(model, p).shape, 0.1, np.float32) for p in LogBilinear.PARTS}
+        # target vectors and biases side by side; the model's own are views of them
+        self.out = np.concatenate([model.target, model.bias[:, None]], axis=1)
+        model.target, model.bias = self.out[:, :-1], self.out[:, -1]
+        self.shift = model.log_noise + np.float32(np.log(NOISE))
+        self.past = [np.full(x.shape, 0.1, np.float32) for x in (model.context, self.out, model.near, model.far)]
         self.cdf = np.cumsum(model.unigram)
         self.cdf /= self.cdf[-1]
 
-    def _move(self, part: str, ids, grad) -> None:
-        value, past = getattr(self.m, part), self.past[part]
-        if ids is None:
-            past += grad * grad
-            value += RATE * grad / np.sqrt(past)
-        else:
-            past[ids] += grad * grad
-            value[ids] += RATE * grad / np.sqrt(past[ids])
+    @staticmethod
+    def _move(value: np.ndarray, past: np.ndarray, ids, grad: np.ndarray) -> None:
+        total = past[ids] + grad * grad
+        past[ids] = total
+        value[ids] += RATE * grad / np.sqrt(total)
 
     def step(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> None:
-        m, n = self.m, np.float32(len(word))
+        m, n, dim = self.m, len(word), self.m.near.shape[0]
+        context_past, out_past, near_past, far_past = self.past
         noise = np.minimum(np.searchsorted(self.cdf, self.rng.random(NOISE)), len(self.cdf) - 1)
-        rn, rf = m.context[near], m.context[far]
-        q = rn @ m.near + rf @ m.far
-        tw, tn = m.target[word], m.target[noise]
-        shift = np.float32(np.log(NOISE))
-        up = np.einsum("ij,ij->i", q, tw) + m.bias[word] - m.log_noise[word] - shift
-        down = q @ tn.T + (m.bias[noise] - m.log_noise[noise] - shift)
-        gu = 1.0 / (1.0 + np.exp(np.clip(up, -30, 30)))
-        gd = -1.0 / (1.0 + np.exp(-np.clip(down, -30, 30)))
+        both = np.stack([near, far], axis=1).ravel()  # a place's near and far context side by side
+        mix = np.concatenate([m.near, m.far])
+        r = m.context[both].reshape(-1, 2 * dim)
+        q = np.ones((n, dim + 1), np.float32)  # the last column meets the bias
+        np.matmul(r, mix, out=q[:, :-1])
+        tw, tn = self.out[word], self.out[noise]
+        gu = _logistic(self.shift[word] - np.einsum("ij,ij->i", q, tw))
+        tn[:, -1] -= self.shift[noise]
+        gd = _logistic(q @ tn.T)
         scale = np.float32(1.0 / np.sqrt(n))
         gu *= scale
-        gd *= scale
-        dq = gu[:, None] * tw + gd @ tn
-        ids, g = _scatter(word, np.concatenate([gu[:, None] * q, gu[:, None]], axis=1))
-        self._move("target", ids, g[:, :-1])
-        self._move("bias", ids, g[:, -1])
-        ids, g = _scatter(noise, np.concatenate([gd.T @ q, gd.sum(axis=0)[:, None]], axis=1))
-        self._move("target", ids, g[:, :-1])
-        self._move("bias", ids, g[:, -1])
-        back = np.concatenate([dq @ m.near.T, dq @ m.far.T])
-        self._move("near", None, rn.T @ dq)
-        self._move("far", None, rf.T @ dq)
-        self._move("context", *_scatter(np.concatenate([near, far]), back))
+        gd *= -scale
+        dq = gd @ tn[:, :-1]
+        dq += gu[:, None] * tw[:, :-1]
+        self._move(self.out, out_past, *_scatter(word, gu[:, None] * q))
+        self._move(self.out, out_past, *_scatter(noise, gd.T @ q))
+        turn = r.T @ dq
+        ids, g = _scatter(both, (dq @ mix.T).reshape(-1, dim))
+        self._move(m.near, near_past, ..., turn[:dim])
+        self._move(m.far, far_past, ..., turn[dim:])
+        self._move(m.context, context_past, ids, g)
 
 
 class Symbols:
@@ -237,8 +247,8 @@ def _train(end: int, unigram: np.ndarray, start: np.ndarray | None, seed: int):
         trainer, seen = Trainer(model, seed), 0
         for _, symbol, count in symbol_blocks(batches, width(len(unigram))):
             far, near = contexts(symbol, count, end)
-            order = trainer.rng.permutation(len(symbol))
-            far, near, symbol = far[order], near[order], symbol[order]
+            order, kind = trainer.rng.permutation(len(symbol)), width(len(unigram))  # 16-bit numbers sort by radix
+            far, near, symbol = (x.astype(kind)[order] for x in (far, near, symbol))
             for i in range(0, len(symbol), BATCH):
                 trainer.step(far[i:i + BATCH], near[i:i + BATCH], symbol[i:i + BATCH])
             seen += len(symbol)
