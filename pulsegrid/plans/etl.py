@@ -12,6 +12,7 @@ Row counts come from Observations on the writes (A28/K09), not extra passes.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -27,7 +28,7 @@ from pulsegrid.sinks.files import append_run_log, write_layer_metrics
 from pulsegrid.sinks.manifest import record_files
 from pulsegrid.sources.files import (
     LANDING_GLOB, compacted_folder, delete_path, folders_of, landing_lines, parse_landing, partition_folder, path_exists,
-    read_layer, run_folders,
+    read_layer, run_folders, side_by_side,
 )
 
 ENTITIES = ("vitals", "movement")
@@ -168,27 +169,29 @@ def run_layers(spark: SparkSession, bronze: DataFrame, base: str, res: EtlResult
 
     for entity, got in _each_entity(spark, land).items():
         res.counts[("bronze", entity)] = got["rows"]
-        _drop_partitions(spark, f"{base}/bronze/{entity}", res.run_id, dates - set(got["dates"]))
+        _drop_partitions(spark, f"{base}/bronze/{entity}", [(d, res.run_id) for d in dates - set(got["dates"])])
         dates.update(got["dates"])
     res.batch_dates = sorted(dates)
     if bronze_mode == "overwrite":
         for layer in ("bronze", "silver", STATES):
             for entity in ENTITIES:
                 table = f"{base}/{layer}/{entity}"
-                for found in folders_of(spark, table, res.batch_dates):
-                    for run in set(found.runs) - {res.run_id}:
-                        _drop_partitions(spark, table, run, [found.date])
-                    for path in found.dead:  # before the note that keeps them from being read
-                        delete_path(spark, path)
-                    delete_path(spark, compacted_folder(table, found.date))
+                found = folders_of(spark, table, res.batch_dates)
+                _drop_partitions(spark, table, [(f.date, run) for f in found for run in set(f.runs) - {res.run_id}])
+                # before the note that keeps them from being read
+                side_by_side(lambda path: delete_path(spark, path), [path for f in found for path in f.dead])
+                side_by_side(lambda f, table=table: delete_path(spark, compacted_folder(table, f.date)),
+                             [f for f in found if f.version or f.dead])
 
     steps = {"vitals": (clean_vitals, lambda df: vitals_state(df, minutes), merge_vitals),
              "movement": (clean_movement, lambda df: movement_state(df, fall_threshold, minutes), merge_movement)}
     _each_entity(spark, lambda entity: _refresh(spark, bronze.schema, base, entity, res, min_records, *steps[entity]))
-    record_files(spark, base, [f"{base}/{layer}/{entity}/{partition_folder('etl_batch_date', d)}"
-                               + (f"/{partition_folder('etl_run_id', run)}" if run else "")
-                               for d in res.batch_dates for entity in ENTITIES
-                               for layer, run in (("bronze", res.run_id), ("silver", res.run_id), (STATES, res.run_id), ("gold", None))])
+    wrote = []
+    for layer in ("bronze", "silver", STATES, "gold"):
+        for entity in ENTITIES:
+            for f in folders_of(spark, f"{base}/{layer}/{entity}", res.batch_dates):
+                wrote += f.paths({res.run_id}) if layer != "gold" else f.paths()
+    record_files(spark, base, wrote)
     if run_log:
         append_run_log(spark, base, res.run_id, res.counts)
     return res
@@ -206,9 +209,10 @@ def refuse_merged(spark: SparkSession, base: str, run_id: str) -> None:
         raise ValueError(f"run {run_id} was compacted; use a new run id")
 
 
-def _drop_partitions(spark: SparkSession, table: str, run_id: str, dates) -> None:
-    for d in dates:
-        delete_path(spark, f"{table}/{partition_folder('etl_batch_date', d)}/{partition_folder('etl_run_id', run_id)}")
+def _drop_partitions(spark: SparkSession, table: str, parts: Iterable[tuple[str, str]]) -> None:
+    """Delete the folders of (batch date, run) pairs."""
+    side_by_side(lambda x: delete_path(spark, f"{table}/{partition_folder('etl_batch_date', x[0])}/{partition_folder('etl_run_id', x[1])}"),
+                 parts)
 
 
 def _refresh(spark: SparkSession, schema, base: str, entity: str, res: EtlResult, min_records: int,
@@ -239,18 +243,17 @@ def _refresh(spark: SparkSession, schema, base: str, entity: str, res: EtlResult
             res.skipped.append(("silver", entity))
     # what an earlier attempt left of the owed runs and this one did not write
     for layer, ours in (("silver", written), (STATES, set())):
-        for d, runs in run_folders(spark, f"{base}/{layer}/{entity}", res.batch_dates).items():
-            for run in runs & owed:
-                if (d, run) not in ours:
-                    _drop_partitions(spark, f"{base}/{layer}/{entity}", run, [d])
+        left = run_folders(spark, f"{base}/{layer}/{entity}", res.batch_dates)
+        _drop_partitions(spark, f"{base}/{layer}/{entity}",
+                         [(d, run) for d, runs in left.items() for run in runs & owed if (d, run) not in ours])
     # listed after the write above, which changed the table's files
     state = to_state(read_layer(spark, base, "silver", entity, dates, silver.schema, runs=owed))
     if written:
         write_layer_metrics(state, base, STATES, entity, by=RUN_PARTITIONS)
     got = write_layer_metrics(to_gold(read_layer(spark, base, STATES, entity, dates, state.schema)), base, "gold", entity,
                               extra={"dates": F.collect_set("etl_batch_date")})
-    for d in set(res.batch_dates) - set(got["dates"]):
-        delete_path(spark, f"{base}/gold/{entity}/{partition_folder('etl_batch_date', d)}")
+    side_by_side(lambda d: delete_path(spark, f"{base}/gold/{entity}/{partition_folder('etl_batch_date', d)}"),
+                 set(res.batch_dates) - set(got["dates"]))
     if ("silver", entity) not in res.skipped:
         res.counts[("gold", entity)] = got["rows"]
 
@@ -266,6 +269,6 @@ def drop_run(spark: SparkSession, base: str, run_id: str, dates: list[str]) -> l
             table = f"{base}/{layer}/{entity}"
             own = [d for d, runs in run_folders(spark, table, dates).items() if run_id in runs]
             had.update(own)
-            _drop_partitions(spark, table, run_id, own)
+            _drop_partitions(spark, table, [(d, run_id) for d in own])
     delete_path(spark, f"{base}/_quarantine/{partition_folder('etl_run_id', run_id)}")
     return sorted(had)

@@ -7,12 +7,10 @@ compares it with what is stored, so it opens no file that is as it was written.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.sources.files import MANIFEST, path_exists
+from pulsegrid.sources.files import MANIFEST
 
 
 def file_rows(spark: SparkSession, folders: list[str]) -> DataFrame:
@@ -27,13 +25,7 @@ def file_rows(spark: SparkSession, folders: list[str]) -> DataFrame:
 
 
 def record_files(spark: SparkSession, base: str, folders: list[str]) -> None:
-    """Append the files of the given folders (those that exist) to the manifest.
+    """Append the files of the given folders (that exist) to the manifest.
     Written again, a file is listed twice with the same figures."""
-    if len(folders) < 8:
-        there = [path_exists(spark, f) for f in folders]
-    else:
-        with ThreadPoolExecutor(16) as pool:
-            there = list(pool.map(lambda f: path_exists(spark, f), folders))
-    folders = [f for f, yes in zip(folders, there, strict=True) if yes]
     if folders:
         file_rows(spark, folders).coalesce(1).write.mode("append").parquet(f"{base}/{MANIFEST}")
