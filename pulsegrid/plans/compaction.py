@@ -30,15 +30,17 @@ any more are the ones to compact, as each call rewrites the date.
 from __future__ import annotations
 
 import json
+from collections import Counter
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.plans.etl import ENTITIES, STATES, merged_mark
 from pulsegrid.sinks.files import RUN_LOG_SCHEMA
 from pulsegrid.sinks.manifest import record_files
 from pulsegrid.sources.files import (
-    LIVE, DateFolders, child_folders, compacted_folder, date_folders, delete_path, path_exists, read_layer, touch_path, write_small,
+    COMPACTED, LIVE, DateFolders, child_folders, compacted_folder, delete_path, file_system, folders_of, path_exists, scan,
+    side_by_side, touch_path, write_small,
 )
 
 LAYERS = ("bronze", "silver", STATES)
@@ -60,35 +62,46 @@ def compact(spark: SparkSession, base: str, dates: list[str], runs: set[str] | N
     ``min_folders`` folders to merge is left alone."""
     done = {}
     allowed = runs if runs is not None else complete_runs(spark, base)
-    for date in dates:
-        for entity in ENTITIES:
-            found = {layer: date_folders(spark, f"{base}/{layer}/{entity}", date) for layer in LAYERS}
-            for layer, f in found.items():
-                if f:
-                    sweep(spark, f, grace_seconds)
-            if not all(found.values()):
-                continue
-            whole = allowed.intersection(*({*f.runs, *f.merged} for f in found.values()))
-            for run in whole:
-                touch_path(spark, merged_mark(base, run))
-            for layer, f in found.items():
-                if len(whole & set(f.runs)) >= min_folders:
-                    done[layer, entity, date] = merge_folders(spark, base, layer, entity, f, whole | set(f.merged))
+    for entity in ENTITIES:
+        found = {layer: {f.date: f for f in folders_of(spark, f"{base}/{layer}/{entity}", dates)} for layer in LAYERS}
+        side_by_side(lambda f: sweep(spark, f, grace_seconds), [f for dated in found.values() for f in dated.values()])
+        whole = {d: allowed.intersection(*({*found[layer][d].runs, *found[layer][d].merged} for layer in LAYERS))
+                 for d in dict.fromkeys(dates) if all(d in dated for dated in found.values())}
+        side_by_side(lambda run: touch_path(spark, merged_mark(base, run)), set().union(*whole.values()))
+        for layer, dated in found.items():
+            todo = [(dated[d], ready | set(dated[d].merged)) for d, ready in whole.items() if len(ready & set(dated[d].runs)) >= min_folders]
+            if todo:
+                done |= {(layer, entity, d): n for d, n in merge_folders(spark, base, layer, entity, todo).items()}
     return done
 
 
-def merge_folders(spark: SparkSession, base: str, layer: str, entity: str, f: DateFolders, runs: set[str]) -> int:
-    """Write the rows of ``runs`` into a new merged folder, then the note that
-    makes readers use it."""
-    home = compacted_folder(f.table, f.date)
-    newest = max((int(v[2:]) for v in child_folders(spark, home) if v.startswith("v=")), default=0)
-    version = f"{home}/v={newest + 1:06d}"
-    rows = read_layer(spark, base, layer, entity, f.date, runs=runs).drop("etl_batch_date")
-    seen = Observation(f"compact_{layer}_{entity}")
-    (rows.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(version))
-    record_files(spark, base, [version])
-    write_small(spark, f"{version}/{LIVE}", json.dumps(sorted(runs)))
-    return int(seen.get["rows"])
+def merge_folders(spark: SparkSession, base: str, layer: str, entity: str, todo: list[tuple[DateFolders, set[str]]]) -> dict[str, int]:
+    """Write the rows of the given runs of each date into a new merged folder,
+    all dates in one job, then the notes that make readers use them; returns
+    the rows of each date."""
+    table, compacted = f"{base}/{layer}/{entity}", f"{base}/{layer}/{COMPACTED}/{entity}"
+    number = {f.date: 1 + max([int(p.rsplit("/v=", 1)[1]) for p in [f.version, *f.dead] if p and "/v=" in p], default=0) for f, _ in todo}
+    usual = Counter(number.values()).most_common(1)[0][0]
+    v = F.lit(f"{usual:06d}")
+    for n in set(number.values()) - {usual}:
+        v = F.when(F.col("etl_batch_date").isin([d for d in number if number[d] == n]), f"{n:06d}").otherwise(v)
+    rows = None
+    for root, paths in ((table, [p for f, runs in todo for p in f.paths(runs)]), (compacted, [f.version for f, _ in todo if f.version])):
+        if paths:  # the columns of all files: those of one date may have fewer
+            schema = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths).schema
+            part = scan(spark, root, paths, schema, False).drop("v")
+            rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    (rows.withColumn("v", v).hint("rebalance", "etl_batch_date").write.partitionBy("etl_batch_date", "v")
+     .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(compacted))
+    homes = {f.date: f"{compacted_folder(table, f.date)}/v={number[f.date]:06d}" for f, _ in todo}
+    there = [h for h, yes in zip(homes.values(), side_by_side(lambda h: path_exists(spark, h), homes.values()), strict=True) if yes]
+    record_files(spark, base, there)
+    counts = {}
+    if there:
+        dated = spark.read.schema("etl_batch_date string, v string").option("basePath", compacted).parquet(*there)
+        counts = {r[0]: r[1] for r in dated.groupBy("etl_batch_date").count().collect()}  # a row per date
+    side_by_side(lambda x: write_small(spark, f"{homes[x[0].date]}/{LIVE}", json.dumps(sorted(x[1]))), todo)
+    return {f.date: counts.get(f.date, 0) for f, _ in todo}
 
 
 def sweep(spark: SparkSession, f: DateFolders, grace_seconds: float = 3600) -> list[str]:
@@ -106,7 +119,6 @@ def sweep(spark: SparkSession, f: DateFolders, grace_seconds: float = 3600) -> l
 
 def _age(spark: SparkSession, path: str) -> float:
     """Seconds since a path was last written."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-    return (jvm.java.lang.System.currentTimeMillis() - status.getModificationTime()) / 1000
+    fs, p = file_system(spark, path)
+    now = spark.sparkContext._jvm.java.lang.System.currentTimeMillis()
+    return (now - fs.getFileStatus(p).getModificationTime()) / 1000

@@ -192,3 +192,37 @@ def test_merged_files_are_few(spark):
     merged = read_layer(spark, base, "bronze", "vitals", DATES[0])
     assert len(merged.inputFiles()) < 6 and merged.agg(F.count_distinct("etl_run_id")).first()[0] == 6
     assert etl.STATES in LAYERS
+
+
+def test_many_dates_are_listed_together_as_one_by_one(spark, monkeypatch):
+    base, dates = scratch_path(spark, "lake"), [f"2024-01-{d:02d}" for d in range(1, 6)] + ["odd {date},*", "1999-01-01"]
+    table = f"{base}/bronze/vitals"
+    home = f"{base}/bronze/_compacted/vitals"
+    for d in dates[:-1]:
+        os.makedirs(f"{local_path(table)}/{files.partition_folder('etl_batch_date', d)}")
+        if d != dates[0]:  # rows of the first one lie in its own folder
+            for run in ("a", "b=?"):
+                os.makedirs(f"{local_path(table)}/{files.partition_folder('etl_batch_date', d)}/{files.partition_folder('etl_run_id', run)}")
+    for v, note in (("v=000001", '["a"]'), ("v=000002", '["a", "c"]'), ("v=000003", None)):
+        folder = f"{home}/{files.partition_folder('etl_batch_date', dates[1])}/{v}"
+        os.makedirs(local_path(folder))
+        if note:
+            files.write_small(spark, f"{folder}/{files.LIVE}", note)
+    one_by_one = sorted((f for d in dates if (f := date_folders(spark, table, d))), key=lambda f: f.date)
+    assert [f.date for f in one_by_one] == sorted(dates[:-1])
+    monkeypatch.setattr(files, "child_folders", None)  # not a call for each date
+    assert sorted(files.folders_of(spark, table, dates), key=lambda f: f.date) == one_by_one
+
+
+def test_dates_are_compacted_in_one_job_per_table(spark, monkeypatch):
+    base = scratch_path(spark, "lake")
+    dates = [f"2024-01-{d:02d}" for d in range(1, 6)]
+    for r in range(2):
+        run_layers(spark, bronze(spark, r, 4, dates[:3 + 2 * r]), base, EtlResult(f"run{r}"))
+    before, noted = state(spark, base), []
+    record = compaction.record_files
+    monkeypatch.setattr(compaction, "record_files", lambda s, b, folders: noted.append(len(folders)) or record(s, b, folders))
+    done = compact(spark, base, dates, grace_seconds=0)
+    assert set(done) == {(layer, e, d) for layer in LAYERS for e in ENTITIES for d in dates[:3]}  # the others have one run
+    assert all(done["bronze", e, d] == 4 for e in ENTITIES for d in dates[:3])
+    assert noted == [3] * 6 and state(spark, base) == before
