@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pulsegrid.sources.files import child_files, delete_path, move_file, path_exists, read_small, touch_path, write_small
+from pulsegrid.sources.files import child_files, delete_path, move_file, path_exists, read_small, side_by_side, touch_path, write_small
 from pulsegrid.streaming.ingest import envelope_lines
 
 ROWS = "value string, broken boolean, topic string"
@@ -135,8 +135,8 @@ class LandingBuffer:
                 touch_path(self.spark, f"{aside}/_ready")
             when = dt.datetime.fromtimestamp(plan["at"], dt.timezone.utc)
             folder = f"{self.base}/{name}/" + when.strftime("year=%Y/month=%m/day=%d/hour=%H/minute=%M")
-            for f in child_files(self.spark, aside):
-                move_file(self.spark, f"{aside}/{f}", f"{folder}/{first:09d}-{last:09d}-{f.split('.')[0]}.json")
+            side_by_side(lambda f: move_file(self.spark, f"{aside}/{f}", f"{folder}/{first:09d}-{last:09d}-{f.split('.')[0]}.json"),
+                         child_files(self.spark, aside))
             self._count(f"flush-{name}-{last:09d}", [{"topic": topic, "landed": plan["n"]}])
             write_small(self.spark, f"{self.root}/landed/{name}.json", json.dumps({"through": last}))
         delete_path(self.spark, aside)
