@@ -266,7 +266,7 @@ def q_partitioned(spark, d):
     v, _, _ = route(device_fields_only(fx_events(spark, d)))
     base = scratch_path(spark, "landing_tree")
     land_batch(v.drop("event_id"), base, "vitals", time_col=utc_wall(event_time("timestamp")))
-    df = read_landing_partitions(spark, f"{base}/vitals")
+    df = read_landing_partitions(spark, f"{base}/vitals", only={"year": "2024", "month": "01", "day": "02"})
     date = (F.col("year") == "2024") & (F.col("month") == "01") & (F.col("day") == "02")
     return SV.avg_hr_by_patient(df, date)
 
@@ -827,7 +827,7 @@ def _streamed_gold(spark: SparkSession, d: str, kind: str) -> DataFrame:
         sent.where(F.col("place") == i).drop("place").coalesce(1).write.parquet(f"{src}/f{i}")
     # the number of state stores of a query is that of the shuffle partitions when it first starts
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), 4)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), max(4, spark.sparkContext.defaultParallelism))))
     try:
         _run_both(spark, kind, ev, src, base, clean)
     finally:

@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pulsegrid import schemas as S
 from pulsegrid.operators.clean import drop_unkeyed
 from pulsegrid.operators.gold import merge_movement, merge_vitals, movement_state, vitals_state, window_bounds
-from pulsegrid.sources.files import child_files, partition_folder, path_exists, read_small, scan, write_small
+from pulsegrid.sources.files import child_files, partition_folder, path_exists, read_small, scan, side_by_side, write_small
 
 KINDS: dict[str, tuple[Callable, Callable]] = {"vitals": (vitals_state, merge_vitals), "movement": (movement_state, merge_movement)}
 WINDOW_KEYS = ["patient_id", "window_start", "window_end"]
@@ -75,7 +75,8 @@ def store_rows(rows: DataFrame, kind: str, base: str, batch_id: int) -> None:
 def _stored(spark: SparkSession, kind: str, base: str, dates: Sequence[str], schema) -> DataFrame:
     """Rows of some event dates; no other date is listed."""
     table = f"{base}/rows/{kind}"
-    paths = [p for p in (f"{table}/{partition_folder('event_date', d)}" for d in dates) if path_exists(spark, p)]
+    folders = [f"{table}/{partition_folder('event_date', d)}" for d in dates]
+    paths = [p for p, yes in zip(folders, side_by_side(lambda p: path_exists(spark, p), folders), strict=True) if yes]
     return scan(spark, table, paths, schema, False) if paths else spark.createDataFrame([], schema)
 
 
