@@ -119,3 +119,23 @@ def test_sensor_statistics_expand_only_pre_aggregated_rows(spark):
                                      "'A' AS activity_code", "1.0D AS x", "1.0D AS y", "1.0D AS z")
     plan = _plan(sensor_statistics(raw))
     assert "Expand" not in plan or plan.index("Expand") < plan.rindex("HashAggregate")
+
+
+def test_landing_tree_read_of_a_day_lists_only_its_folders(spark, monkeypatch):
+    import os
+
+    from pulsegrid.session import local_path, scratch_path
+    from pulsegrid.sources import files
+    base = scratch_path(spark, "landing")
+    for day, minute, hr in (("01", "00", 80), ("02", "00", 90), ("02", "59", 91)):
+        d = os.path.join(local_path(base), "year=2024", "month=01", f"day={day}", "hour=00", f"minute={minute}")
+        os.makedirs(d)
+        with open(os.path.join(d, "part-0.json"), "w") as f:
+            f.write(f'{{"patient_id": "1", "heart_rate": {hr}}}\n')
+    listed, real = [], files.glob_paths
+    monkeypatch.setattr(files, "glob_paths", lambda s, p: listed.extend(real(s, p)) or listed)
+    day = files.read_landing_partitions(spark, base, only={"year": "2024", "month": "01", "day": "02"})
+    assert sorted(r.heart_rate for r in day.collect()) == [90.0, 91.0] and len(listed) == 1
+    assert len(day.inputFiles()) == 2
+    assert files.read_landing_partitions(spark, base, only={"year": "2023"}).count() == 0
+    assert files.read_landing_partitions(spark, base).count() == 3
