@@ -23,7 +23,7 @@ from pulsegrid.plans.layers import r6, wall
 from pulsegrid.session import scratch_path as new_scratch, shared_dir
 from pulsegrid.sinks.files import export_csv, land_batch, write_layer
 from pulsegrid.sources.files import (
-    MANIFEST, MANIFEST_SCHEMA, available_dates, batch_dates, child_files, delete_path, partition_folder, read_landing,
+    MANIFEST, MANIFEST_SCHEMA, available_dates, batch_dates, child_files, delete_tree, partition_folder, read_landing,
     read_landing_partitions, read_layer, read_smartwatch_csv, unreadable_files, write_small,
 )
 from pulsegrid.sources.sensor import read_sensor_features, read_sensor_raw
@@ -50,7 +50,7 @@ def register(name: str, sql: str | None = None):
                 return fn(spark, d).checkpoint()
             finally:
                 for path in _OPEN.pop():
-                    delete_path(spark, path)
+                    delete_tree(spark, path)
         register_query(name, sql)(run)
         return run
     return deco

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.sources.files import MANIFEST
+from pulsegrid.sources.files import MANIFEST, few_list_tasks
 
 
 def file_rows(spark: SparkSession, folders: list[str]) -> DataFrame:
@@ -18,9 +18,10 @@ def file_rows(spark: SparkSession, folders: list[str]) -> DataFrame:
     row; a file that is gone or broken is left out. Only footers are read: no
     column is asked for."""
     m = F.col("_metadata")
-    return (spark.read.schema("_none int").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
-            .option("ignoreCorruptFiles", "true").parquet(*folders)
-            .groupBy(m["file_path"].alias("path"), m["file_size"].alias("n_bytes")).agg(F.count(F.lit(1)).alias("n_rows"))
+    with few_list_tasks(spark):
+        files = (spark.read.schema("_none int").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+                 .option("ignoreCorruptFiles", "true").parquet(*folders))
+    return (files.groupBy(m["file_path"].alias("path"), m["file_size"].alias("n_bytes")).agg(F.count(F.lit(1)).alias("n_rows"))
             .select("path", "n_rows", "n_bytes"))
 
 

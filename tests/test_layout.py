@@ -10,6 +10,7 @@ from pulsegrid.plans.compaction import LAYERS, compact
 from pulsegrid.plans.etl import ENTITIES, EtlResult, drop_run, run_layers
 from pulsegrid.session import local_path, scratch_path
 from pulsegrid.sinks.files import write_layer
+from pulsegrid.sinks.manifest import file_rows
 from pulsegrid.sources import files
 from pulsegrid.sources.files import date_folders, read_layer, run_folders
 
@@ -214,6 +215,65 @@ def test_many_dates_are_listed_together_as_one_by_one(spark, monkeypatch):
     assert sorted(files.folders_of(spark, table, dates), key=lambda f: f.date) == one_by_one
 
 
+def test_many_dates_are_looked_up_and_not_searched_for(spark, monkeypatch):
+    base, dates = scratch_path(spark, "lake"), [f"2024-01-{d:02d}" for d in range(1, 6)]
+    table, asked, real = f"{base}/bronze/vitals", [], files.glob_paths
+    for d in dates[:-1]:
+        os.makedirs(local_path(f"{table}/etl_batch_date={d}/etl_run_id=a"))
+    other_dates(base, "bronze", "vitals", 20)
+    monkeypatch.setattr(files, "glob_paths", lambda s, p: asked.append(p) or real(s, p))
+    assert [f.date for f in files.folders_of(spark, table, dates)] == dates[:-1]
+    # an alternative with a slash is a path of its own; one without is compared with every folder of the table
+    assert len(asked) == 2 and "{" in asked[0] and "{" in asked[1]
+    assert all("/" in name for p in asked for name in p[p.index("{") + 1:p.rindex("}")].split(","))
+
+
+def list_tasks(spark, group, read):
+    """Tasks of each job that ``read`` starts."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        read()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    track = spark.sparkContext.statusTracker()
+    return [track.getStageInfo(s).numTasks for j in track.getJobIdsForGroup(group) for s in track.getJobInfo(j).stageIds]
+
+
+def test_folders_are_listed_in_a_few_tasks(spark):
+    base, limit = scratch_path(spark, "lake"), spark.conf.get(files._LIST_TASKS)
+    df = spark.createDataFrame([("1600", f"2024-{i:03d}") for i in range(100)], "patient_id string, etl_batch_date string")
+    write_layer(df, base, "gold", "vitals")
+    dates, most = [f"2024-{i:03d}" for i in range(100)], 4 * spark.sparkContext.defaultParallelism
+    assert most < 100
+    for n, read in enumerate((lambda: read_layer(spark, base, "gold", "vitals", schema=df.schema),
+                              lambda: read_layer(spark, base, "gold", "vitals", dates, df.schema),
+                              lambda: file_rows(spark, [f"{base}/gold/vitals/etl_batch_date={d}" for d in dates]))):
+        tasks = list_tasks(spark, f"listing {n}", read)
+        assert tasks and max(tasks) <= most, (n, tasks)
+    assert read_layer(spark, base, "gold", "vitals", dates, df.schema).count() == 100
+    assert spark.conf.get(files._LIST_TASKS) == limit
+
+
+def test_the_list_limit_is_put_back_by_the_last_thread(spark):
+    limit = spark.conf.get(files._LIST_TASKS)
+    with pytest.raises(OSError):
+        with files.few_list_tasks(spark):
+            with files.few_list_tasks(spark):
+                pass
+            assert int(spark.conf.get(files._LIST_TASKS)) <= 4 * spark.sparkContext.defaultParallelism
+            raise OSError
+    assert spark.conf.get(files._LIST_TASKS) == limit
+
+
+def test_delete_tree_leaves_nothing(spark):
+    root = scratch_path(spark, "tree")
+    for name in ("a/b/c=1/x", "a/_h/{y}", ".z", "a/w,"):
+        os.makedirs(os.path.dirname(local_path(f"{root}/{name}")), exist_ok=True)
+        open(local_path(f"{root}/{name}"), "w").close()
+    assert files.delete_tree(spark, root) and not os.path.exists(local_path(root))
+    assert not files.delete_tree(spark, root)
+
+
 def test_dates_are_compacted_in_one_job_per_table(spark, monkeypatch):
     base = scratch_path(spark, "lake")
     dates = [f"2024-01-{d:02d}" for d in range(1, 6)]
