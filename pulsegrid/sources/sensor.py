@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.scalars import activity_name, strip_trailing_semicolons, to_number
+from pulsegrid.sources.files import few_list_tasks
 
 RAW_FIELDS = 6
 
@@ -53,16 +54,18 @@ def source_name() -> Column:
 
 def read_sensor_raw(spark: SparkSession, path: str, sensor_type: str, device_type: str, glob: str | None = None) -> DataFrame:
     """Raw sensor files `data_*_{device}.txt` (or ``glob``) under ``path``."""
-    lines = (spark.read.option("pathGlobFilter", glob or f"data_*_{device_type}.txt")
-             .option("recursiveFileLookup", "true").text(path)
-             .select(F.col("value").alias("line"), source_name().alias("source_file")))
+    with few_list_tasks(spark):
+        files = spark.read.option("pathGlobFilter", glob or f"data_*_{device_type}.txt").option("recursiveFileLookup", "true").text(path)
+    lines = files.select(F.col("value").alias("line"), source_name().alias("source_file"))
     return (parse_sensor_lines(lines)
             .withColumns({"sensor_type": F.lit(sensor_type), "device_type": F.lit(device_type)}))
 
 
 def _feature_lines(spark: SparkSession, paths: list[str], glob: str | None) -> DataFrame:
     r = spark.read.option("recursiveFileLookup", "true")
-    return ((r.option("pathGlobFilter", glob) if glob else r).text(paths)
+    with few_list_tasks(spark):
+        files = (r.option("pathGlobFilter", glob) if glob else r).text(paths)
+    return (files
             .select(F.col("value").alias("line"), F.trim("value").alias("t"), F.col("_metadata.file_path").alias("file"),
                     source_name().alias("name"), F.col("_metadata.file_block_start").alias("blk"),
                     F.monotonically_increasing_id().alias("mid")))

@@ -4,7 +4,7 @@ import os
 
 from pulsegrid.operators.datasets import feature_statistics
 from pulsegrid.session import local_path
-from pulsegrid.sources.sensor import read_sensor_features
+from pulsegrid.sources.sensor import read_sensor_features, read_sensor_raw
 
 ARFF = """@relation person_activities
 % a comment line
@@ -123,3 +123,20 @@ def test_no_feature_files(spark, tmpdir_fresh):
     _files(local_path(tmpdir_fresh), {k: TEXTS[k] for k in ("6", "7", "9")})
     assert read_sensor_features(spark, tmpdir_fresh, "accelerometer", "phone").count() == 0
     assert read_sensor_features(spark, tmpdir_fresh, "accelerometer", "phone", columns=["ACTIVITY"]).columns[0] == "ACTIVITY"
+
+
+def test_sensor_files_are_listed_in_a_few_tasks(spark, tmpdir_fresh):
+    most, track = 4 * spark.sparkContext.defaultParallelism, spark.sparkContext.statusTracker()
+    for i in range(100):
+        folder = os.path.join(local_path(tmpdir_fresh), f"file=data_{i}_accel_phone.txt")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "part-0.txt"), "w") as f:
+            f.write("1600,A,1,0.5,0.25,0.125;\n")
+    spark.sparkContext.setJobGroup("sensor listing", "sensor listing")
+    try:
+        raw = read_sensor_raw(spark, tmpdir_fresh, "accelerometer", "phone", glob="part-*")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tasks = [track.getStageInfo(s).numTasks for j in track.getJobIdsForGroup("sensor listing") for s in track.getJobInfo(j).stageIds]
+    assert most < 100 and tasks and max(tasks) <= most
+    assert raw.count() == 100 == raw.select("source_file").distinct().count()
