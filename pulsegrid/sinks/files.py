@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.scalars import time_parts
+from pulsegrid.sinks.folders import append_json
 from pulsegrid.sources.files import PARTITION_COLS
 
 
@@ -69,7 +70,7 @@ def land_batch(df: DataFrame, base: str, kind: str, time_col=None) -> None:
         # file instead of one per task; a busy minute still spreads over
         # tasks because the boundaries are on the fine-grained time
         out = out.withColumn("_t", t).repartitionByRange("_t").drop("_t")
-    out.write.mode("append").partitionBy(*PARTITION_COLS).json(f"{base}/{kind}")
+    append_json(out, f"{base}/{kind}", PARTITION_COLS)
 
 
 RUN_LOG_SCHEMA = "etl_run_id string, layer string, data_type string, record_count long, logged_at timestamp_ntz"
